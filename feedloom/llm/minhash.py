@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import dropped, fresh, mix64, saved, table, tasks, text_blocks, words
@@ -17,12 +18,10 @@ SHINGLE = 5
 #: Bands of ROWS coordinates: a pair of Jaccard 0.75 shares no band with probability (1 - 0.75**3)**24 = 2e-6.
 BANDS, ROWS = 24, 3
 K = BANDS * ROWS
-#: Of K = 72 coordinates a pair of Jaccard 0.75 agrees on 54 (deviation 3.7); one that agrees on fewer than this is 6.5 deviations off.
-AGREE = 30
 #: Members that share one copy of their centre's text in a verification group.
 GROUP = 256
-#: Signatures that the last round compares at once.
-BLOCK = 512
+#: Sets on either side of a group of the last round.
+BLOCK = 1024
 
 _ODD = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93)]
 
@@ -89,7 +88,6 @@ def _signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.bincount(of, minlength=rows).astype(np.int64)
         d1, d2 = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
         full = np.flatnonzero(n)
-        sig: list = [None] * rows
         bands: list = [None] * rows
         if len(full):
             starts = np.concatenate([[0], np.cumsum(n[full])[:-1]])
@@ -99,12 +97,11 @@ def _signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for r in range(ROWS):
                 key = mix64(key * _ODD[2] + s[:, r::ROWS].astype(np.uint64) + np.uint64(r + 1))
             key = mix64(key + np.arange(BANDS, dtype=np.uint64) * _ODD[3]).view(np.int64)
-            low = (s & np.uint32(255)).astype(np.uint8)
             for i, d in enumerate(full):
-                sig[d], bands[d] = low[i].tobytes(), key[i]
+                bands[d] = key[i]
         yield pa.RecordBatch.from_arrays(
-            [block.column("doc_id"), pa.array(n), pa.array(d1), pa.array(d2), pa.array(sig, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-            names=["doc_id", "n", "d1", "d2", "sig", "bands"],
+            [block.column("doc_id"), pa.array(n), pa.array(d1), pa.array(d2), pa.array(bands, pa.list_(pa.int64()))],
+            names=["doc_id", "n", "d1", "d2", "bands"],
         )
 
 
@@ -138,6 +135,46 @@ def _verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["a", "b"])
 
 
+def _exploded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for block in text_blocks(batches):
+        of, h = shingle_sets(block.column("text"))
+        n = np.bincount(of, minlength=len(block))
+        d1 = np.zeros(len(block), np.int64)
+        full = np.flatnonzero(n)
+        if len(full):
+            d1[full] = _digests(h, np.concatenate([[0], np.cumsum(n[full])[:-1]]))[0]
+        ok = (d1 == np.asarray(block.column("digest")))[of]
+        of, h = of[ok], h[ok]
+        yield pa.RecordBatch.from_arrays([block.column("id").take(pa.array(of)), pa.array(d1[of]), pa.array(n[of].astype(np.int64)), pa.array(h.view(np.int64))], names=["id", "d1", "n", "h"])
+
+
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of the wanted ids. They are sent to the scan only while they are few; otherwise both sides are shuffled."""
+    texts = fresh(docs, "doc_id", "text").withColumnRenamed("doc_id", "id")
+    return texts.join(F.broadcast(ids), "id", "left_semi") if ids.count() <= 200_000 else texts
+
+
+def may_link(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of sets (id, d1), those that may link with another one of them, by the prefix filter, which loses no link.
+
+    Sets of sizes p and q with Jaccard of at least 0.75 share a shingle among the p - ceil(0.75 p) + 1 rarest of one and
+    the q - ceil(0.75 q) + 1 rarest of the other, in any one order of the shingles. The order is by frequency in these
+    sets, so a set whose rarest quarter is its own alone links with none.
+    """
+    wanted = sets.select("id", F.col("d1").alias("digest"))
+    rows = wanted.join(_texts(docs, wanted.select("id").distinct()), "id").select("id", "digest", "text")
+    each = saved(rows.mapInArrow(_exploded, "id long, d1 long, n long, h long"), "shingles")
+    often = each.groupBy("h").agg(F.count("*").alias("df"))
+    rank = F.row_number().over(W.partitionBy("id", "d1").orderBy("df", "h"))
+    ranked = each.join(often, "h").withColumn("rank", rank).filter("rank <= n - ceil(0.75 * n) + 1 and df > 1")
+    keep = saved(ranked.select("id", "d1", "h"), "prefixes")
+    twice = keep.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
+    out = saved(keep.join(twice, "h", "left_semi").select("id", "d1").distinct(), "linkable")
+    dropped(each)
+    dropped(keep)
+    return out
+
+
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Of pairs (c, cd, m, md) of ids with the first digests of their sets, those (a, b) whose full sets link.
 
@@ -150,48 +187,79 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     members = parts.select("c", "cd", "s", F.lit(1).alias("role"), F.col("m").alias("id"), F.col("md").alias("digest"))
     centres = parts.select("c", "cd", "s").distinct().select("c", "cd", "s", F.lit(0).alias("role"), F.col("c").alias("id"), F.col("cd").alias("digest"))
     wanted = saved(members.union(centres), "wanted")
-    # The ids are sent to the scan only while they are few; otherwise both sides are shuffled.
-    ids = wanted.select("id").distinct()
-    n = ids.count()
-    texts = fresh(docs, "doc_id", "text").withColumnRenamed("doc_id", "id")
-    if n <= 200_000:
-        texts = texts.join(F.broadcast(ids), "id", "left_semi")
-    rows = wanted.join(texts, "id").repartition(tasks(spark), "c", "cd", "s").sortWithinPartitions("c", "cd", "s", "role")
+    rows = wanted.join(_texts(docs, wanted.select("id").distinct()), "id").repartition(tasks(spark), "c", "cd", "s").sortWithinPartitions("c", "cd", "s", "role")
     rows = rows.select("c", "cd", "s", "role", "id", "digest", "text")
     return rows.mapInArrow(_verified, "a long, b long")
 
 
-def _similar(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in groups (key, i, j) sorted by side: pairs across components whose signatures agree on AGREE coordinates."""
-    held: list[tuple] = []
-    key = None
-
-    def pairs():
-        out = []
-        if len(held) > 1:
-            sig = np.frombuffer(b"".join(x[3] for x in held), np.uint8).reshape(len(held), K)
-            comp = np.array([x[2] for x in held])
-            side = np.array([x[4] for x in held])
-            for p in range(len(held)):
-                rest = slice(p + 1, None)
-                ok = ((sig[rest] == sig[p]).sum(1) >= AGREE) & (comp[rest] != comp[p])
-                if key[1] != key[2]:
-                    ok &= side[rest] != side[p]
-                for q in np.flatnonzero(ok) + p + 1:
-                    x, y = sorted((held[p][:2], held[q][:2]))
-                    out.append((*x, *y))
-        return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(4)], names=["c", "cd", "m", "md"])
-
-    for batch in batches:
-        for row in batch.to_pylist():
-            k = (row["key"], row["i"], row["j"])
-            if k != key:
-                if held:
-                    yield pairs()
-                held, key = [], k
-            held.append((row["id"], row["d1"], row["comp"], row["sig"], row["side"]))
-    if held:
-        yield pairs()
+def _links(ids: list[int], comps: list[int], sides: list[int], of: np.ndarray, h: np.ndarray, across: bool) -> list[tuple[int, int]]:
+    """A spanning forest of the links between components in one group, from exact intersection sizes by inverted lists."""
+    m = len(ids)
+    n = np.bincount(of, minlength=m)
+    _, code = np.unique(h, return_inverse=True)
+    order = np.argsort(code, kind="stable")
+    lists, size = of[order], np.bincount(code)
+    first = np.concatenate([[0], np.cumsum(size)[:-1]])
+    at = np.concatenate([[0], np.cumsum(n)])
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    side, found = np.array(sides), []
+    for p in range(m):
+        mine = code[at[p] : at[p + 1]]
+        mine = mine[size[mine] > 1]
+        if not len(mine):
+            continue
+        long = size[mine]
+        where = np.repeat(first[mine] - np.concatenate([[0], np.cumsum(long)[:-1]]), long) + np.arange(long.sum())
+        both = np.bincount(lists[where], minlength=m)
+        ok = 100 * both >= 75 * (n + n[p] - both)
+        ok[: p + 1] = False
+        if across:
+            ok &= side != side[p]
+        for q in np.flatnonzero(ok):
+            x, y = root(comps[p]), root(comps[q])
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                found.append((ids[p], ids[q]))
+    return found
+
+
+def _grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by group (g, i, j), at most 2 * BLOCK of them each: yields the links that _links() finds."""
+    key, ids, comps, sides, ofs, hs = None, [], [], [], [], []
+
+    def ended():
+        found = _links(ids, comps, sides, np.concatenate(ofs), np.concatenate(hs), key[1] != key[2]) if len(ids) > 1 else []
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["a", "b"])
+
+    for block in text_blocks(batches):
+        of, h = shingle_sets(block.column("text"))
+        n = np.bincount(of, minlength=len(block))
+        at = np.concatenate([[0], np.cumsum(n)])
+        full = np.flatnonzero(n)
+        d1 = np.zeros(len(block), np.int64)
+        if len(full):
+            d1[full] = _digests(h, at[full])[0]
+        want = np.asarray(block.column("digest"))
+        gs, iz, js, doc, comp, side = (block.column(x).to_pylist() for x in ("g", "i", "j", "id", "comp", "side"))
+        for r in range(len(block)):
+            if (gs[r], iz[r], js[r]) != key:
+                if ids:
+                    yield ended()
+                key, ids, comps, sides, ofs, hs = (gs[r], iz[r], js[r]), [], [], [], [], []
+            if d1[r] == want[r]:
+                ofs.append(np.full(n[r], len(ids)))
+                hs.append(h[at[r] : at[r + 1]].copy())
+                ids.append(doc[r])
+                comps.append(comp[r])
+                sides.append(side[r])
+    if ids:
+        yield ended()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -201,8 +269,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     2. Equal sets collapse to the smallest id (a partial minimum by digest, so groups of copies of any size are cheap).
     3. Two rounds of stars: in every bucket of a band each set is paired with one centre (least id, then least hash),
        if not yet in its component; distinct pairs are verified on full sets and the components are closed.
-    4. Buckets that still hold several components get every pair across components whose signatures agree enough,
-       compared block by block in groups of bounded size; these pairs are verified too.
+    4. Of the sets in buckets that still hold several components, the prefix filter removes those that link with no
+       other. Sets joined by such buckets are compared exactly by inverted lists, block against block in groups of
+       bounded size, and each group yields a spanning forest of its links across components, never its pairs.
     Pairs inside a component need no verification, so no group of copies yields all its pairs.
 
     Null or empty texts, and texts of white space, have no shingles and link with nothing. Rows with a null id link
@@ -211,10 +280,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     texts = fresh(docs, "doc_id", "text")
-    signed = saved(texts.mapInArrow(_signed, "doc_id long, n long, d1 long, d2 long, sig binary, bands array<long>"), "signed")
+    signed = saved(texts.mapInArrow(_signed, "doc_id long, n long, d1 long, d2 long, bands array<long>"), "signed")
     known = signed.filter("doc_id is not null and n > 0")
-    reps = known.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("sig", "bands"), "doc_id").alias("x"), F.count("*").alias("copies"))
-    reps = saved(reps.select("n", "d1", "d2", "rep", "copies", "x.sig", "x.bands"), "reps")
+    reps = known.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"), F.count("*").alias("copies"))
+    reps = saved(reps.select("n", "d1", "d2", "rep", "copies", "bands"), "reps")
     copies = known.join(reps.filter("copies > 1").select("n", "d1", "d2", "rep"), ["n", "d1", "d2"]).filter("doc_id <> rep")
     links = saved(copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct(), "copies")
 
@@ -239,14 +308,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     open_ = buckets.join(comp, "id", "left").withColumn("comp", F.coalesce("component_id", "id")).drop("component_id")
     many = open_.groupBy("key").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
-    left = open_.join(many.select("key", "size"), "key").join(reps.select(F.col("rep").alias("id"), "d1", "sig"), ["id", "d1"])
-    left = left.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("side", F.pmod(F.xxhash64("id", "d1", "key"), F.col("blocks")).cast("int"))
-    left = left.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    left = left.select("key", F.least("side", "o").alias("i"), F.greatest("side", "o").alias("j"), "side", "id", "d1", "comp", "sig")
-    pairs = left.repartition(tasks(spark), "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_similar, "c long, cd long, m long, md long").distinct()
-    pairs = saved(pairs.join(tried, ["c", "cd", "m", "md"], "left_anti"), "pairs")
-    if pairs.limit(1).count():
-        links = saved(verified(docs, pairs).union(links), "links")
+    rest = open_.join(many.select("key"), "key", "left_semi")
+    rest = saved(rest.join(may_link(docs, rest.select("id", "d1").distinct()), ["id", "d1"], "left_semi"), "rest")
+    many = rest.groupBy("key").agg(F.min("id").alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
+    rest = saved(rest.join(many.select("key", "c"), "key").select("id", "d1", "comp", "c").distinct(), "rest")
+    if rest.limit(1).count():
+        near = components(rest.select(F.col("id").alias("a"), F.col("c").alias("b")))
+        each = rest.select("id", "d1", "comp").distinct().join(near, "id", "left").withColumn("g", F.coalesce("component_id", "id"))
+        size = each.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        each = each.join(size, "g").withColumn("side", F.pmod(F.xxhash64("id", "d1"), F.col("blocks")).cast("int"))
+        each = each.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        each = each.select("g", F.least("side", "o").alias("i"), F.greatest("side", "o").alias("j"), "side", "id", F.col("d1").alias("digest"), "comp")
+        each = saved(each, "groups")
+        dealt = each.join(_texts(docs, each.select("id").distinct()), "id").repartition(tasks(spark), "g", "i", "j").sortWithinPartitions("g", "i", "j")
+        links = saved(dealt.mapInArrow(_grouped, "a long, b long").union(links), "links")
         comp = components(links)
     dropped(buckets)
     out = signed.select("doc_id", F.col("n").alias("n_shingles")).join(comp, signed.doc_id == comp.id, "left")
