@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from feedloom.llm import minhash
+from feedloom.llm import minhash, packing
 
 QUERIES = {
     "op8_near_duplicates": minhash.op8,
+    "op10_packing": packing.op10,
 }
 
 ORACLES: dict[str, str] = {}
