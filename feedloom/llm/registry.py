@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from feedloom.llm import minhash, packing
+from feedloom.llm import language, minhash, packing, quality, toxicity
 
 QUERIES = {
+    "op3_quality": quality.op3,
+    "op5_toxicity": toxicity.op5,
+    "op7_language": language.op7,
     "op8_near_duplicates": minhash.op8,
     "op10_packing": packing.op10,
 }
