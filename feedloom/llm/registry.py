@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
-from feedloom.llm import language, minhash, packing, quality, toxicity
+import corpus_pipeline
+from feedloom.llm import forest, language, minhash, mixing, packing, quality, topk, toxicity, warc, wordpiece
 
 QUERIES = {
+    "op1_warc": warc.op1,
+    "op2_token_counts": wordpiece.op2,
     "op3_quality": quality.op3,
+    "op4_mixing": mixing.op4,
     "op5_toxicity": toxicity.op5,
+    "op6_near_vectors": forest.op6,
     "op7_language": language.op7,
     "op8_near_duplicates": minhash.op8,
+    "op9_top_k": topk.op9,
     "op10_packing": packing.op10,
+    "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_warc": warc.SQL,
+    "op9_top_k": topk.SQL,
+}
