@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from feedloom.queries import feeds, shapes
+
+QUERIES = feeds.QUERIES | shapes.QUERIES
+ORACLES: dict[str, str] = feeds.ORACLES | shapes.ORACLES
