@@ -104,12 +104,12 @@ def cadence_parse(df):
     return df.select("raw", timex.cadence_minutes(F.col("raw")).cast("int").alias("minutes"))
 
 
-@shape("raw, escaped, back, collapsed", [("a, b\; c", "a\\, b\; c", "a, b\; c", "a, b\; c"), ("x\\, y", "x\\, y", "x, y", "x\\, y"), (" p  q\t", " p  q\t", " p  q\t", "p q")])
+@shape("raw, escaped, back, collapsed", [("a, b; c", "a\\, b\\; c", "a, b; c", "a, b; c"), ("x\\, y", "x\\, y", "x, y", "x\\, y"), (" p  q\t", " p  q\t", " p  q\t", "p q")])
 def escapes(df):
     return df.select("raw", text.escape(F.col("raw")).alias("escaped"), text.unescape(text.escape(F.col("raw"))).alias("back"), text.collapse(F.col("raw")).alias("collapsed"))
 
 
-@shape("raw, value", [("a\\, b\; c\\nd", "a, b\; c\nd"), ("back\\\\nslash", "back\\nslash"), ("odd\\x", "odd\\x"), ("N\\Nn", "N\nn")])
+@shape("raw, value", [("a\\, b\\; c\\nd", "a, b; c\nd"), ("back\\\\nslash", "back\\nslash"), ("odd\\x", "odd\\x"), ("N\\Nn", "N\nn")])
 def ics_text(df):
     return df.select("raw", text.ics_unescape(F.col("raw")).alias("value"))
 
