@@ -24,3 +24,19 @@ def served(manifest: DataFrame, records: DataFrame, source: str = "source") -> D
 
 def keepalive(days: Column, warn: int = 35, fail: int = 60) -> Column:
     return F.when(days >= fail, F.lit("expired")).when(days >= warn, F.lit("renew")).otherwise(F.lit("ok"))
+
+
+def stopped(states: DataFrame, expected: DataFrame) -> DataFrame:
+    """Of states (path, state), those that aren't active though a file of that name in expected (path) has a schedule."""
+    name = F.element_at(F.split("path", "/"), -1)
+    wanted = expected.select(name.alias("file")).distinct()
+    return states.withColumn("file", name).filter("state <> 'active'").join(wanted, "file", "left_semi").drop("file")
+
+
+def protection_gaps(spec: DataFrame, live: DataFrame, checks: str = "required_status_checks") -> DataFrame:
+    """(kind, name) of what spec (type, context) requires and live does not: types of rules, and contexts of checks
+    where live has that type at all."""
+    types = spec.select("type").distinct().join(live.select("type").distinct(), "type", "left_anti")
+    of = lambda x: x.filter((F.col("type") == checks) & F.col("context").isNotNull()).select("type", "context").distinct()
+    missing = of(spec).join(of(live), ["type", "context"], "left_anti").join(live.select("type").distinct(), "type", "left_semi")
+    return types.select(F.lit("rule").alias("kind"), F.col("type").alias("name")).union(missing.select(F.lit("check"), "context"))

@@ -332,3 +332,43 @@ def ext_windows(spark, sf):
     """Not among the reference's operators."""
     w = W.partitionBy("user_id").orderBy("ts", "event_id")
     return t(spark, sf, "events").select("user_id", "event_id", F.row_number().over(w).cast("long").alias("rn"), F.lag("event_type").over(w).alias("previous"))
+
+
+_ESC = "replace(regexp_replace(regexp_replace({}, '([\\\\,;])', '\\\\\\1', 'g'), '\\r?\\n', '\\\\n', 'g'), chr(13), '')"
+
+
+_FOLDS = "greatest(0, ceil((length({}) - 75) / 74.0))"
+
+
+# 18 content lines: 5 that open the calendar and the event, 6 of the event, 4 of the alarm, 3 that close them
+@query(f"""SELECT doc_id, title AS back, CAST(18 + {_FOLDS.format("title_line")} + {_FOLDS.format("text_line")} + {_FOLDS.format("alarm_line")} AS BIGINT) AS lines
+FROM (SELECT doc_id, title, 'SUMMARY:' || {_ESC.format("title")} AS title_line, 'DESCRIPTION:' || {_ESC.format("coalesce(text, '')")} AS text_line, 'DESCRIPTION:' || {_ESC.format("title")} AS alarm_line
+FROM (SELECT doc_id, text, split_part(coalesce(text, ''), chr(10), 1) AS title FROM documents))""")
+def ics_write(spark, sf):
+    """A calendar file for each document, its physical lines counted, and the summary that reading it gives."""
+    from feedloom.sources import ics
+
+    at = F.timestamp_seconds("doc_id")
+    d = t(spark, sf, "documents").withColumn("text", F.coalesce("text", F.lit("")))
+    files = d.select(F.col("doc_id").alias("source"), ics.calendar(F.col("doc_id").cast("string"), at, at, line(), F.col("text"), F.lit("")).alias("text"))
+    lines = files.select(F.col("source").alias("doc_id"), (F.size(F.split("text", "\r\n")) - 1).cast("long").alias("lines"))
+    return lines.join(ics.records(files).select(F.col("source").alias("doc_id"), F.col("summary").alias("back")), "doc_id")
+
+
+@query("""SELECT c_custkey, state FROM (SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'active' ELSE 'disabled' END AS state FROM customer)
+WHERE state <> 'active' AND c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderkey % 7 = 0)""")
+def stopped_schedules(spark, sf):
+    path = lambda folder, c: F.concat(F.lit(folder), F.col(c).cast("string"), F.lit(".yml"))
+    states = t(spark, sf, "customer").select("c_custkey", path("a/b/", "c_custkey").alias("path"), F.when(F.col("c_mktsegment") == "BUILDING", F.lit("active")).otherwise(F.lit("disabled")).alias("state"))
+    return health.stopped(states, t(spark, sf, "orders").filter("o_orderkey % 7 = 0").select(path("c/", "o_custkey").alias("path"))).select("c_custkey", "state")
+
+
+@query("""WITH spec AS (SELECT CASE WHEN p_brand = 'Brand#2' THEN 'required_status_checks' ELSE p_brand END AS type, p_name AS context, p_partkey FROM part),
+live AS (SELECT * FROM spec WHERE p_partkey % 9 = 0 AND type <> 'Brand#1')
+SELECT 'rule' AS kind, type AS name FROM (SELECT DISTINCT type FROM spec) WHERE type NOT IN (SELECT type FROM live)
+UNION ALL SELECT 'check', context FROM (SELECT DISTINCT context FROM spec WHERE type = 'required_status_checks')
+WHERE context NOT IN (SELECT context FROM live WHERE type = 'required_status_checks') AND EXISTS (SELECT 1 FROM live WHERE type = 'required_status_checks')""")
+def protection_gaps(spark, sf):
+    kind = F.when(F.col("p_brand") == "Brand#2", F.lit("required_status_checks")).otherwise(F.col("p_brand"))
+    spec = t(spark, sf, "part").select(kind.alias("type"), F.col("p_name").alias("context"), "p_partkey")
+    return health.protection_gaps(spec, spec.filter("p_partkey % 9 = 0 and type <> 'Brand#1'"))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.functions.text import ics_list, ics_unescape
+from feedloom.functions.text import ics_escape, ics_list, ics_unescape
 
 
 def read(spark, path: str) -> DataFrame:
@@ -38,3 +38,26 @@ def records(feeds: DataFrame, source: str = "source", text: str = "text") -> Dat
         last("DTEND", "value").alias("dtend"), F.regexp_replace(last("DTEND", "params"), "^;", "").alias("dtend_params"),
         F.map_from_arrays(names, F.transform(names, lambda n: F.element_at(F.filter("p", lambda x: x["name"] == n), -1)["value"])).alias("properties"),
     )
+
+
+def fold(line: Column) -> Column:
+    """A content line of more than 75 characters goes on in lines that begin with a space."""
+    rest = F.regexp_replace(F.substr(line, F.lit(76)), "(.{74})(?=.)", "$1\r\n ")
+    return F.when(F.length(line) <= 75, line).otherwise(F.concat(F.substring(line, 1, 75), F.lit("\r\n "), rest))
+
+
+def calendar(uid: Column, start: Column, end: Column, summary: Column, description: Column, url: Column, prodid: str = "-//feedloom//EN") -> Column:
+    """A calendar file of one event with an alarm a day before. start, end: UTC timestamps. The uid is the caller's, so
+    the same event written twice is one entry; the stamp is the start, so the text is the same for the same input. No
+    URL line where url is null or empty; null texts are empty."""
+    stamp = lambda c: F.date_format(c, "yyyyMMdd'T'HHmmss'Z'")
+    held = lambda c: ics_escape(F.coalesce(c, F.lit("")))
+    rows = [
+        *map(F.lit, ("BEGIN:VCALENDAR", "VERSION:2.0", f"PRODID:{prodid}", "CALSCALE:GREGORIAN", "BEGIN:VEVENT")),
+        *(F.concat(F.lit(k), v) for k, v in (("UID:", uid), ("DTSTAMP:", stamp(start)), ("DTSTART:", stamp(start)), ("DTEND:", stamp(end)), ("SUMMARY:", held(summary)), ("DESCRIPTION:", held(description)))),
+        F.when(url != "", F.concat(F.lit("URL:"), held(url))),
+        *map(F.lit, ("BEGIN:VALARM", "TRIGGER:-PT24H", "ACTION:DISPLAY")),
+        F.concat(F.lit("DESCRIPTION:"), held(summary)),
+        *map(F.lit, ("END:VALARM", "END:VEVENT", "END:VCALENDAR")),
+    ]
+    return F.concat(F.concat_ws("\r\n", *map(fold, rows)), F.lit("\r\n"))

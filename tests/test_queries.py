@@ -97,3 +97,16 @@ def test_merge_plan_has_one_exchange_and_no_python(spark):
 def test_compare_form(spark):
     df = spark.createDataFrame([("Winds, Waves — and  Wakes", "winds,  waves - and wakes"), ("a​b", "AB")], "a string, b string")
     assert df.filter(text.compare_form(F.col("a")) == text.compare_form(F.col("b"))).count() == 2
+
+
+def test_calendar_lines_are_folded(spark):
+    from pyspark.sql import functions as F
+
+    from feedloom.sources import ics
+
+    at = F.timestamp_seconds(F.lit(0))
+    for n in (0, 66, 67, 68, 141, 142, 300):
+        df = spark.createDataFrame([("x" * n,)], "s string")
+        text = df.select(ics.calendar(F.lit("u"), at, at, F.col("s"), F.lit(None).cast("string"), F.lit(None).cast("string"))).first()[0]
+        assert text.endswith("END:VCALENDAR\r\n") and max(map(len, text.split("\r\n"))) <= 75 and "URL" not in text
+        assert f"SUMMARY:{'x' * n}\r\n" in text.replace("\r\n ", "")
