@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker holds as words at once, whatever the size of the Arrow batch.
 BLOCK_BYTES = 4 << 20
+#: Rows of an Arrow batch: of 10,000 texts, the engine and a worker each hold tens of MB at once.
+BATCH_ROWS = 2_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,8 +46,11 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read again: cuts the lineage, survives lost executors."""
+    """df written to the shared folder and read again: cuts the lineage, survives lost executors. Its Arrow batches hold
+    BATCH_ROWS rows at most, and so do those of later plans of the session."""
     spark = df.sparkSession
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) not in range(1, BATCH_ROWS + 1):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     path = scratch(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
@@ -69,8 +75,17 @@ def crc_mod(column: str, modulus: int):
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(modulus)).cast("int")
 
 
+def release() -> None:
+    """Gives memory that a worker no longer uses back to the system; a worker outlives its task and serves later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_blocks(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with about `limit` bytes of text each (a single longer text is a slice by itself)."""
+    """Slices of the batches with about `limit` bytes of text each (a single longer text is a slice by itself). What
+    earlier ones took is released after each batch."""
     for batch in batches:
         sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64)
         start, total = 0, 0
@@ -81,6 +96,7 @@ def text_blocks(batches: Iterable[pa.RecordBatch], column: str = "text", limit:
             total += int(size)
         if start < len(sizes):
             yield batch.slice(start)
+        release()
 
 
 def words(text: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, pa.Array]:

@@ -90,9 +90,12 @@ def _counted(order: int, classed: bool):
                     _, first, inverse = np.unique(hashes(part, n), return_index=True, return_inverse=True)
                     total = np.bincount(inverse, weights=times[some]).astype(np.int64)
                     grams = s.chars[part.at[first][:, None] + np.arange(1 - n, 1)].astype("<u4")
-                    texts = [g.tobytes().decode("utf-32-le") for g in grams]
+                    texts = grams.tobytes().decode("utf-32-le")
+                    texts = [texts[i : i + n] for i in range(0, len(texts), n)]
                     name = classes.dictionary[k].as_py() if classed else ""
                     yield pa.RecordBatch.from_arrays([pa.array([name] * len(texts)), pa.array(texts), pa.array(total)], names=["class", "gram", "n"])
+            # the next block comes before these names are bound anew
+            del doc, code, names, s
 
     return run
 

@@ -15,6 +15,8 @@ from feedloom.llm.common import crc_mod, fresh, saved, table, text_blocks, words
 FOLDS, HELD_OUT = 3, 1
 #: The fit takes at most so many labelled positives and so many unlabelled texts of the training folds, by a seeded hash.
 MOST_POSITIVE, MOST_UNLABELLED = 20_000, 40_000
+#: Bytes of text that a worker describes at once; blocks twice as large cost as much time and more memory.
+BLOCK = 2 << 20
 STEPS, RATE, DECAY = 600, 0.05, 1e-4
 #: Cells of the score distributions that the class prior is read from, and the least share of positives above a cut.
 CELLS, TOP = 200, 0.2
@@ -76,7 +78,7 @@ def describe(text: pa.Array) -> np.ndarray:
 
 
 def _described(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block in text_blocks(batches):
+    for block in text_blocks(batches, limit=BLOCK):
         x = describe(block.column("text")).astype(np.float32)
         flat = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32()), pa.array(x.ravel()))
         yield pa.RecordBatch.from_arrays([block.column("doc_id"), flat], names=["doc_id", "x"])
