@@ -1,4 +1,4 @@
-"""Interpolated Kneser-Ney character models, one column per class, in sorted hash arrays."""
+"""Interpolated Kneser-Ney character models, one column per class: tables of counts by hash, sorted hash arrays."""
 
 from __future__ import annotations
 
@@ -11,14 +11,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import mix64, text_blocks, words
+from feedloom.llm.common import mix64, saved, text_blocks, words
 
 ORDER = 4
 #: The mark before and after a run of letters.
 EDGE = "_"
-#: Rows that the driver holds as a model. Where more are found, the rarest go first: the least count kept is raised
-#: until the rest fits, by a histogram of all counts.
-MOST = 1_500_000
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _LETTER = np.zeros(0x110000, bool)
 
@@ -105,18 +102,146 @@ def counts(docs: DataFrame, order: int = ORDER, classed: bool = True) -> DataFra
     return docs.mapInArrow(_counted(order, classed), "class string, gram string, n long").groupBy("class", "gram").agg(F.sum("n").alias("n"))
 
 
-def fitting(found: DataFrame, most: int = MOST) -> list:
-    """Rows of counts() for the driver, at most `most` of them, rarest left out first."""
-    found = found.persist()
-    sizes = sorted((r.b, r.c) for r in found.groupBy(F.least(F.col("n"), F.lit(10_000)).alias("b")).agg(F.count("*").alias("c")).collect())
-    total, least = sum(c for _, c in sizes), 1
-    for b, c in sizes:
-        if total <= most:
-            break
-        total, least = total - c, b + 1
-    rows = found.filter(F.col("n") >= least).limit(most).toArrow()
-    found.unpersist()
-    return rows
+@dataclass
+class Base:
+    """What a model has besides its strings: classes, discounts by order and class, characters, sums over all of them."""
+
+    classes: list[str]
+    order: int
+    vocabulary: int
+    discount: np.ndarray
+    total: np.ndarray
+    types: np.ndarray
+
+
+def _keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        names = batch.column("s").to_pylist()
+        long, h = np.fromiter(map(len, names), np.int64, len(names)), np.zeros(len(names), np.uint64)
+        for n in np.unique(long):
+            some = np.flatnonzero(long == n)
+            h[some] = _hash_all([names[i] for i in some])
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column("of")], names=["h", "of"])
+
+
+def estimated(found: DataFrame, order: int = ORDER) -> tuple[Base, DataFrame]:
+    """The model of counts() as a table with every string in it: (h, of), where `of` holds (k, c, total, types) for each
+    class that has it: its count as a gram, and as a context the sum and the number of the grams that continue it.
+
+    Counts as in fit(), by aggregates of the engine; the driver gets sums by class and order only.
+    """
+    spark = found.sparkSession
+    found = found.select("class", F.col("gram").alias("s"), F.col("n").alias("c"))
+    level, parts = found.filter(F.length("s") == order), []
+    for n in range(order, 0, -1):
+        parts.append(level := saved(level, "level"))
+        if n > 1:
+            more = level.select("class", F.expr("substring(s, 2)").alias("s"), F.lit(1).cast("long").alias("c"))
+            level = found.filter(F.length("s") == n - 1).union(more).groupBy("class", "s").agg(F.sum("c").alias("c"))
+    parts.reverse()
+    sums = [part.groupBy("class").agg(F.sum("c").alias("total"), F.count("*").alias("types"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")).collect() for part in parts]
+    classes = sorted({r["class"] for rows in sums for r in rows})
+    number = {c: k for k, c in enumerate(classes)}
+    base = Base(classes, order, max(2, parts[0].select("s").distinct().count() + 1), np.full((order + 1, len(classes)), 0.5), np.zeros(len(classes)), np.zeros(len(classes)))
+    for n, rows in enumerate(sums, 1):
+        for r in rows:
+            k = number[r["class"]]
+            base.discount[n, k] = min(0.95, max(0.05, r.n1 / (r.n1 + 2 * r.n2) if r.n1 else 0.5))
+            if n == 1:
+                base.total[k], base.types[k] = r.total, r.types
+    none, every = F.lit(0).cast("long"), None
+    for n, part in enumerate(parts, 1):
+        rows = part.select("class", "s", "c", none.alias("total"), none.alias("types"))
+        if n > 1:
+            head = part.groupBy("class", F.expr(f"substring(s, 1, {n - 1})").alias("s")).agg(F.lit(0).cast("long").alias("c"), F.sum("c").alias("total"), F.count("*").alias("types"))
+            rows = rows.union(head.select("class", "s", "c", "total", "types"))
+        every = rows if every is None else every.union(rows)
+    numbers = spark.createDataFrame(list(number.items()), "class string, k int")
+    each = every.join(F.broadcast(numbers), "class").groupBy("s", "k").agg(*(F.sum(x).alias(x) for x in ("c", "total", "types")))
+    each = each.groupBy("s").agg(F.collect_list(F.struct("k", "c", "total", "types")).alias("of"))
+    kind = "array<struct<k:int,c:bigint,total:bigint,types:bigint>>"
+    return base, saved(each.mapInArrow(_keyed, f"h long, of {kind}"), "model")
+
+
+@dataclass
+class Held:
+    """Strings of a model in order of their hashes - all of them, or those that some texts need."""
+
+    base: Base
+    keys: np.ndarray
+    c: np.ndarray
+    total: np.ndarray
+    types: np.ndarray
+
+    @property
+    def classes(self) -> list[str]:
+        return self.base.classes
+
+    @property
+    def order(self) -> int:
+        return self.base.order
+
+    @classmethod
+    def of(cls, base: Base, h: pa.ChunkedArray, of: pa.ChunkedArray) -> Held:
+        h = np.asarray(h.combine_chunks() if isinstance(h, pa.ChunkedArray) else h).astype(np.int64).view(np.uint64)
+        of = of.combine_chunks() if isinstance(of, pa.ChunkedArray) else of
+        row = np.repeat(np.arange(len(h)), np.asarray(pc.list_value_length(of)).astype(np.int64))
+        flat = of.flatten()
+        order = np.argsort(h)
+        place = np.empty(len(h), np.int64)
+        place[order] = np.arange(len(h))
+        tables = []
+        for name in ("c", "total", "types"):
+            x = np.zeros((len(h), len(base.classes)))
+            x[place[row], np.asarray(flat.field("k"))] = np.asarray(flat.field(name))
+            tables.append(x)
+        return cls(base, h[order], *tables)
+
+    def spot_scores(self, s: Spots) -> np.ndarray:
+        """Natural log probability of each position in each class."""
+        base = self.base
+        p = np.full((len(s.at), len(base.classes)), 1.0 / base.vocabulary)
+        for n in range(1, base.order + 1):
+            rest = np.flatnonzero(s.order >= n)
+            if not len(rest):
+                break
+            part = Spots(s.word[rest], s.order[rest], s.chars, s.at[rest])
+            found, where = _find(self.keys, hashes(part, n))
+            c = np.zeros((len(rest), len(base.classes)))
+            c[found] = self.c[where[found]]
+            if n == 1:
+                total, types = np.broadcast_to(base.total, c.shape), np.broadcast_to(base.types, c.shape)
+            else:
+                known, at = _find(self.keys, hashes(part, n - 1, 1))
+                total, types = np.zeros(c.shape), np.zeros(c.shape)
+                total[known], types[known] = self.total[at[known]], self.types[at[known]]
+            d = base.discount[n]
+            p[rest] = np.where(total > 0, (np.maximum(c - d, 0) + d * types * p[rest]) / np.maximum(total, 1), p[rest])
+        return np.log(p)
+
+    def word_scores(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Log probability of each word in each class, and its number of positions."""
+        s = spots(names, self.order)
+        h = np.zeros(len(s.at), np.uint64)
+        for n in range(1, self.order + 1):
+            rest = np.flatnonzero(s.order == n)
+            h[rest] = hashes(Spots(s.word[rest], s.order[rest], s.chars, s.at[rest]), n)
+        _, first, which = np.unique(h, return_index=True, return_inverse=True)
+        p = self.spot_scores(Spots(s.word[first], s.order[first], s.chars, s.at[first]))
+        size = np.bincount(s.word, minlength=len(names))
+        return np.stack([np.bincount(s.word, weights=p[which, k], minlength=len(names)) for k in range(p.shape[1])], axis=1), size
+
+
+def needed(names: list[str], order: int = ORDER) -> np.ndarray:
+    """Hashes of all strings of a model that the scores of some words look up."""
+    s, out = spots(names, order), [np.zeros(0, np.uint64)]
+    for n in range(1, order + 1):
+        rest = np.flatnonzero(s.order >= n)
+        part = Spots(s.word[rest], s.order[rest], s.chars, s.at[rest])
+        out.append(np.unique(hashes(part, n)))
+        if n > 1:
+            out.append(np.unique(hashes(part, n - 1, 1)))
+    return np.unique(np.concatenate(out))
 
 
 @dataclass

@@ -318,7 +318,9 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = fresh(docs, "doc_id", "text").withColumn("held_out", crc_mod("doc_id", FOLDS) == HELD_OUT)
     nothing = docs.select("doc_id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), F.lit(0).cast("long").alias("hits"))
-    model = kneser.fit(kneser.fitting(saved(kneser.counts(docs.filter("text is not null").select("text"), classed=False), "grams")))
+    base, strings = kneser.estimated(saved(kneser.counts(docs.filter("text is not null").select("text"), classed=False), "grams"))
+    rows = strings.toArrow()
+    model = kneser.Held.of(base, rows.column("h"), rows.column("of"))
     if not model.classes:
         return nothing
     shared = spark.sparkContext.broadcast(model)

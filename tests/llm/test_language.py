@@ -83,3 +83,24 @@ def test_identify_without_rows_or_labels(spark):
     assert identify(empty).count() == 0
     out = identify(spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")).collect()
     assert [(r.lang_pred, r.score) for r in out] == [("und", 0.0)]
+
+
+def test_every_gram_is_kept_and_looked_up(spark):
+    """The table of counts gives the probabilities of the definition, whole or reduced to what some words look up."""
+    common, rare = ["banana", "bandana", "ananas", "cab"], ["日本語", "本日"]
+    df = spark.createDataFrame([(" ".join(common * 50), "x"), (" ".join(rare), "y")], "text string, class string")
+    base, strings = kneser.estimated(kneser.counts(df, 3), 3)
+    rows = strings.toArrow()
+    assert base.classes == ["x", "y"] and len(rows) == len(set(rows.column("h").to_pylist()))
+    words = ["日本", "banana", "cabana", "q"]
+    keys = set(kneser.needed(words, 3).view(np.int64).tolist())
+    some = rows.filter(pa.array([h in keys for h in rows.column("h").to_pylist()]))
+    assert 0 < len(some) < len(rows)
+    v = len({c for w in common + rare for c in w}) + 2
+    for k, corpus in enumerate((common * 50, rare)):
+        p = brute(corpus, 3, v)
+        for table in (rows, some):
+            got, _ = kneser.Held.of(base, table.column("h"), table.column("of")).word_scores(words)
+            for w, s in zip(words, got[:, k], strict=True):
+                t = "_" + w + "_"
+                assert abs(sum(math.log(p(t[max(0, i - 2) : i + 1])) for i in range(1, len(t))) - s) < 1e-9, (w, k)
