@@ -20,7 +20,7 @@ _MUL = np.uint64(0x9E3779B97F4A7C15)
 _LETTER = np.zeros(0x110000, bool)
 
 
-def _letters() -> np.ndarray:
+def letters() -> np.ndarray:
     if not _LETTER.any():
         _LETTER[:] = [chr(i).isalpha() for i in range(0x110000)]
     return _LETTER
@@ -41,7 +41,7 @@ def spots(names: list[str], order: int = ORDER) -> Spots:
     text = "\n" + "\n".join(names).lower() + "\n"
     raw = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
     word = np.cumsum(raw == 10) - 1
-    known = _letters()[raw]
+    known = letters()[raw]
     chars = np.where(known, raw, ord(EDGE)).astype(np.uint64)
     index = np.arange(len(raw))
     edge = np.maximum.accumulate(np.where(known, 0, index))

@@ -37,7 +37,6 @@ MOST_FEATURES, MOST_TOXIC, MOST_OTHER = 4000, 20_000, 40_000
 LEAST_LIFT, LEAST_NEW, NEW_SHARE = 3.0, 4, 0.004
 
 _CLEAN = r"^[\pL]*[.,;:!?)\"'-]*$"
-_TRIPLE = "|".join(f"{c}{c}{c}" for c in "abcdefghijklmnopqrstuvwxyz")
 _TRAIL = re.compile(r"^([\"'(\[]*)(.*?)([.,;:!?)\"'\]]*)$", re.S)
 _REMEMBERED = 200_000
 
@@ -116,7 +115,8 @@ class Channel:
         return best[1][1] or word
 
     def restore(self, word: str) -> str:
-        """A lower-cased word: marks at its ends stay marks unless that leaves no reading; letters alone stay as they are."""
+        """A lower-cased word: marks at its ends stay marks unless that leaves no reading; letters of which none comes
+        twice in a row stay as they are."""
         if word.isalpha() and not _repeats(word):
             return word
         lead, core, trail = _TRAIL.match(word).groups()
@@ -126,7 +126,16 @@ class Channel:
 
 
 def _repeats(word: str) -> bool:
-    return any(a == b == c for a, b, c in zip(word, word[1:], word[2:], strict=False))
+    return any(a == b and a.isalpha() for a, b in zip(word, word[1:], strict=False))
+
+
+def _repeating(names: pa.Array) -> np.ndarray:
+    """_repeats() of each word, none of which holds a line break."""
+    raw = np.frombuffer(("\n".join(names.to_pylist()) + "\n").encode("utf-32-le", "replace"), np.uint32)
+    out = np.zeros(len(names), bool)
+    twice = np.flatnonzero((raw[1:] == raw[:-1]) & kneser.letters()[raw[1:]])
+    out[np.cumsum(raw == 10)[twice]] = True
+    return out
 
 
 def tokens(channel: Channel, text: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
@@ -135,7 +144,7 @@ def tokens(channel: Channel, text: pa.Array) -> tuple[np.ndarray, np.ndarray, li
     doc, code, names = words(pc.utf8_lower(pc.fill_null(text, "")), lower=False)
     if not len(doc):
         return doc, code, []
-    plain = np.asarray(pc.and_(pc.match_substring_regex(names, _CLEAN), pc.invert(pc.match_substring_regex(names, _TRIPLE))))
+    plain = np.asarray(pc.match_substring_regex(names, _CLEAN)) & ~_repeating(names)
     stripped = pc.utf8_trim(names, ".,;:!?)\"'-").to_pylist()
     raw = names.to_pylist()
     restored = [s if p else channel.restore(w) for s, p, w in zip(stripped, plain, raw, strict=True)]
@@ -301,9 +310,9 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, hits (its words in the learned lexicon).
 
     1. A Kneser-Ney character model from all words of all documents (no labels): one pass, pre-aggregated counts.
-    2. The channel: words with digits, signs, inner separators, tripled letters, or spelled out by spaces become
-       lattices, and the Viterbi path under model and channel costs is the restored word. Words of letters alone have
-       one path, themselves.
+    2. The channel: words with digits, signs, inner separators, a letter twice or more in a row, or spelled out by spaces
+       become lattices, and the Viterbi path under model and channel costs is the restored word. Other words of letters
+       alone have one path, themselves.
     3. Over at most MOST_TOXIC and MOST_OTHER labelled training texts (crc32 of the id modulo 5 is not 0; drawn by a
        seeded hash of the id, so only bounded ids are broadcast and only these texts are shuffled), equal texts once: how
        many toxic and other texts hold a feature, and how often. The MOST_FEATURES with most evidence go on; a greedy

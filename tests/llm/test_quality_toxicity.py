@@ -85,3 +85,12 @@ def test_toxicity(spark):
 def test_cover_leaves_out_words_of_a_group_of_copies():
     held = [[0, 1, 2]] * 50 + [[0]] * 20
     assert toxicity.cover(held, np.array([0.01, 0.0, 0.0]), np.array([70, 500, 500])) == [0]
+
+
+def test_doubled_letters_of_any_script_are_restored(spark):
+    text = "you idiot and the moron with the stupid clown in the trash said the loser дурак большой " * 3
+    c = toxicity.Channel(kneser.fit(kneser.counts(spark.createDataFrame([(text,)], "text string"), classed=False).toArrow()))
+    for shown, want in (("stuupid", "stupid"), ("iddiiot", "idiot"), ("mmoronn", "moron"), ("дураак", "дурак"), ("дураааак!", "дурак")):
+        assert c.restore(shown) == want, shown
+        doc, code, names = toxicity.tokens(c, pa.array([f"a {shown} here"]))
+        assert want in {names[k] for k in code.tolist()}, shown
