@@ -26,8 +26,8 @@ SIGN, GAP, ONCE, TWICE = -1.0, -0.5, -0.3, -1.0
 GAPS = "._-*~'`^·,"
 #: Single characters apart by white space are one word from this many on.
 SPACED = 4
-#: Words longer than this are kept as they are: no word is that long, and a lattice of it would say nothing.
-LONGEST = 64
+#: Restored words and runs of up to so many characters are remembered; longer ones are restored each time.
+REMEMBERED_LENGTH = 64
 #: Features: words of up to 6 letters, and beginnings of 4 to 7 letters of longer words.
 HEADS, SHORT = (4, 5, 6, 7), 6
 #: Features that go on to the fit, by evidence; toxic and other training texts that the fits take at most, by a seeded hash.
@@ -85,34 +85,64 @@ class Channel:
         """Viterbi over the lattice; a state is the last characters that the model looks at. No reading: the word itself."""
         got = self.seen.get(word)
         if got is None:
-            got = self._decode(word)
+            steps = self.lattice(word)
+            got = (self._path(steps) if steps else "") or word
+            self._remember(word, got)
+        return got
+
+    def words_of(self, run: str) -> list[str]:
+        """Words of single characters apart by white space: an edge may follow any of them. A character without a
+        reading ends a word and is left out."""
+        got = self.seen.get(" " + run)
+        if got is None:
+            parts = "".join(c if c.isalpha() or c in LEET or c in GAPS else " " for c in run).split()
+            got = kneser.EDGE.join(self._path(self._edged(self.lattice(x))) for x in parts)
+            self._remember(" " + run, got)
+        return [w for w in got.split(kneser.EDGE) if w]
+
+    def _remember(self, word: str, got: str) -> None:
+        if len(word) <= REMEMBERED_LENGTH:
             if len(self.seen) > _REMEMBERED:
                 self.seen.clear()
             self.seen[word] = got
-        return got
 
-    def _decode(self, word: str) -> str:
-        steps = self.lattice(word) if len(word) <= LONGEST else []
-        if not steps:
-            return word
-        keep = self.model.order - 1
-        states: dict[str, tuple[float, str]] = {kneser.EDGE: (0.0, "")}
+    @staticmethod
+    def _edged(steps: list[list[tuple[str, float]]]) -> list[list[tuple[str, float]]]:
+        """The lattice with an edge of words after or inside any reading of letters."""
+        out = []
+        for i, reads in enumerate(steps):
+            reads = reads + [(x[0] + kneser.EDGE + x[1], cost) for x, cost in reads if len(x) == 2]
+            out.append(reads + [(x + kneser.EDGE, cost) for x, cost in reads if x and i < len(steps) - 1])
+        return out
+
+    def _path(self, steps: list[list[tuple[str, float]]]) -> str:
+        """The best path. Paths are chains (chain before, letters), so steps of any number take memory in proportion,
+        and what no best path uses goes at once."""
+        keep, edge = self.model.order - 1, kneser.EDGE
+        states: dict[str, tuple[float, tuple | None]] = {edge: (0.0, None)}
         for reads in steps:
-            after: dict[str, tuple[float, str]] = {}
-            for state, (cost, text) in states.items():
+            after: dict[str, tuple[float, tuple | None]] = {}
+            for state, (cost, chain) in states.items():
                 for letters, channel in reads:
                     total, s = cost + channel, state
                     for c in letters:
                         total += self.p(s + c)
-                        s = (s + c)[-keep:]
-                    new = text + letters
+                        s = edge if c == edge else (s + c)[-keep:]
                     old = after.get(s)
                     # a tie goes to the reading that comes first in the alphabet
-                    if old is None or total > old[0] or (total == old[0] and new < old[1]):
-                        after[s] = (total, new)
+                    if old is None or total > old[0] or (total == old[0] and _earlier((chain, letters), old[1])):
+                        after[s] = (total, (chain, letters))
             states = after
-        best = max(states.items(), key=lambda x: (x[1][0] + self.p(x[0] + kneser.EDGE), x[1][1]))
-        return best[1][1] or word
+        best = None
+        for s, (cost, chain) in states.items():
+            cost += 0.0 if s == edge and chain and chain[1].endswith(edge) else self.p(s + edge)
+            if best is None or cost > best[0] or (cost == best[0] and _earlier(best[1], chain)):
+                best = (cost, chain)
+        out, chain = [], best[1]
+        while chain:
+            chain, letters = chain
+            out.append(letters)
+        return "".join(reversed(out))
 
     def restore(self, word: str) -> str:
         """A lower-cased word: marks at its ends stay marks unless that leaves no reading; letters of which none comes
@@ -125,6 +155,16 @@ class Channel:
         return self.decode(core) if any(c.isalpha() for c in core) and core else word
 
 
+def _earlier(a: tuple | None, b: tuple | None) -> bool:
+    """Whether the text of chain a comes before that of chain b, of as many steps; read back to where they part."""
+    x, y = [], []
+    while a is not b:
+        x.append(a[1])
+        y.append(b[1])
+        a, b = a[0], b[0]
+    return "".join(reversed(x)) < "".join(reversed(y))
+
+
 def _repeats(word: str) -> bool:
     return any(a == b and a.isalpha() for a, b in zip(word, word[1:], strict=False))
 
@@ -139,8 +179,8 @@ def _repeating(names: pa.Array) -> np.ndarray:
 
 
 def tokens(channel: Channel, text: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Restored words: document and code of each, and the restored dictionary. Runs of SPACED or more single characters
-    are joined to one word and restored as a whole."""
+    """Restored words: document and code of each, and the restored dictionary. Runs of SPACED or more single characters,
+    of any length, are restored as a whole, and give the words that they spell."""
     doc, code, names = words(pc.utf8_lower(pc.fill_null(text, "")), lower=False)
     if not len(doc):
         return doc, code, []
@@ -155,9 +195,10 @@ def tokens(channel: Channel, text: pa.Array) -> tuple[np.ndarray, np.ndarray, li
         for a, b in zip(cut[::2], cut[1::2], strict=True):
             for d in np.unique(doc[a:b]):
                 part = np.flatnonzero(doc[a:b] == d) + a
-                if SPACED <= len(part) <= LONGEST:
-                    extra_doc.append(d)
-                    extra.append(channel.decode("".join(raw[code[i]] for i in part)))
+                if len(part) >= SPACED:
+                    found = channel.words_of("".join(raw[code[i]] for i in part))
+                    extra_doc += [d] * len(found)
+                    extra += found
         if extra:
             doc = np.concatenate([doc, extra_doc])
             code = np.concatenate([code, np.arange(len(restored), len(restored) + len(extra))])
@@ -311,7 +352,8 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     1. A Kneser-Ney character model from all words of all documents (no labels): one pass, pre-aggregated counts.
     2. The channel: words with digits, signs, inner separators, a letter twice or more in a row, or spelled out by spaces
-       become lattices, and the Viterbi path under model and channel costs is the restored word. Other words of letters
+       become lattices, and the Viterbi path under model and channel costs is the restored word, of any length; what is
+       spelled out may be several words, whose edges the path sets. Other words of letters
        alone have one path, themselves.
     3. Over at most MOST_TOXIC and MOST_OTHER labelled training texts (crc32 of the id modulo 5 is not 0; drawn by a
        seeded hash of the id, so only bounded ids are broadcast and only these texts are shuffled), equal texts once: how

@@ -94,3 +94,17 @@ def test_doubled_letters_of_any_script_are_restored(spark):
         assert c.restore(shown) == want, shown
         doc, code, names = toxicity.tokens(c, pa.array([f"a {shown} here"]))
         assert want in {names[k] for k in code.tolist()}, shown
+
+
+def test_long_words_and_spelled_out_passages(spark):
+    text = "you idiot and the moron with the stupid clown in the trash said the loser a is so " * 3
+    c = toxicity.Channel(kneser.fit(kneser.counts(spark.createDataFrame([(text,)], "text string"), classed=False).toArrow()))
+    assert c.restore("idi" + "o" * 100 + "t") == "idiot"
+    assert c.restore("1d10t." * 30) == "idiot" * 30
+    for shown, want in (("you stupid", ["you", "stupid"]), ("a stupid", ["a", "stupid"]), ("is stupid", ["is", "stupid"]), ("the m0r0n", ["the", "moron"])):
+        doc, code, names = toxicity.tokens(c, pa.array([" ".join(shown.replace(" ", ""))]))
+        assert [names[k] for k in code.tolist()][-len(want) :] == want, shown
+    passage = "you stupid clown and the moron with the loser " * 20
+    doc, code, names = toxicity.tokens(c, pa.array([None, " ".join(passage.replace(" ", "")), " ".join("the?idiot")]))
+    found = [(d, names[k]) for d, k in zip(doc.tolist(), code.tolist())]
+    assert sum(x == (1, "stupid") for x in found) == 20 and (2, "idiot") in found and (2, "the") in found
