@@ -12,29 +12,38 @@ from feedloom.llm.common import fresh, saved, table
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+#: Number of a row of a stage's input.
+ROW = "row"
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a number each, written, so that every plan that reads them sees the same numbers."""
+    return saved(fresh(docs, *COLUMNS).withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Documents whose id is not among the rejected, null ids like others."""
-    ids = saved(rejected.select(F.col("doc_id").alias("id")).distinct(), "rejected")
-    return docs.join(ids, docs.doc_id.eqNullSafe(ids.id), "left_anti").select(*COLUMNS)
+    """The rows that are not among the rejected, whatever their ids."""
+    return docs.join(saved(rejected.select(ROW), "rejected"), ROW, "left_anti").select(*COLUMNS)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts; null ids have no label and are judged by their text."""
-    docs = fresh(docs, *COLUMNS)
-    return _without(docs, quality.score(docs, table(spark, sf_dir, "labels")).filter("predicted = 0"))
+    """Documents that the quality classifier accepts; null ids have no label and are judged by their text, as is each of
+    several rows of one id."""
+    docs = _numbered(docs)
+    return _without(docs, quality.score(docs, table(spark, sf_dir, "labels"), row=ROW).filter("predicted = 0"))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known and not rejected."""
-    docs = fresh(docs, *COLUMNS)
-    return _without(docs, language.identify(docs).filter("rejected"))
+    docs = _numbered(docs)
+    return _without(docs, language.identify(docs, row=ROW).filter("rejected"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that of the smallest id. Null ids stay."""
-    docs = fresh(docs, *COLUMNS)
-    return _without(docs, minhash.near_duplicates(docs).filter("not kept"))
-
+    docs = _numbered(docs)
+    gone = saved(minhash.near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("id")).distinct(), "gone")
+    return docs.join(gone, docs.doc_id == gone.id, "left_anti").select(*COLUMNS)
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture's token prefixes, at most one epoch: each document at most once, the last of a leaf cut."""

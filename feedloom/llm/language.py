@@ -58,17 +58,17 @@ def _bags(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step[1:] -= np.where(at[1:] == at[:-1], code[:-1], 0)
         keys = np.setdiff1d(kneser.needed(new), seen, assume_unique=True)
         seen = np.union1d(seen, keys)
-        lists = [pa.array([slice_.column(x).to_pylist()], pa.list_(kind)) for x, kind in (("doc_id", pa.int64()), ("lang", pa.string()), ("held_out", pa.bool_()))]
+        lists = [pa.array([slice_.column(x).to_pylist()], pa.list_(kind)) for x, kind in (("row", pa.int64()), ("doc_id", pa.int64()), ("lang", pa.string()), ("held_out", pa.bool_()))]
         packed = [pa.array([_packed(x)], pa.binary()) for x in (np.bincount(at, minlength=len(slice_)), step, times)]
         yield pa.RecordBatch.from_arrays(
             [pa.array([task + block]), pa.array([part]), *lists, pa.array([new], pa.list_(pa.string())), *packed, pa.array([keys.view(np.int64)], pa.list_(pa.int64()))],
-            names=["block", "part", "doc_id", "lang", "held_out", "names", "per", "step", "times", "keys"],
+            names=["block", "part", "row", "doc_id", "lang", "held_out", "names", "per", "step", "times", "keys"],
         )
         part += 1
 
 
-_BAGS = "block long, part long, doc_id array<long>, lang array<string>, held_out array<boolean>, names array<string>, per binary, step binary, times binary, keys array<long>"
-_SCORED = "doc_id long, lang string, held_out boolean, lang_pred string, score double, entropy double, letters long"
+_BAGS = "block long, part long, row array<long>, doc_id array<long>, lang array<string>, held_out array<boolean>, names array<string>, per binary, step binary, times binary, keys array<long>"
+_SCORED = "row long, doc_id long, lang string, held_out boolean, lang_pred string, score double, entropy double, letters long"
 
 
 def _scored(base: kneser.Base):
@@ -83,7 +83,7 @@ def _scored(base: kneser.Base):
                 p, size = np.concatenate([x for x, _ in scores]), np.concatenate([x for _, x in scores])
         out = []
         for i in range(len(bags)):
-            ids, langs, held = (bags.column(x)[i].as_py() for x in ("doc_id", "lang", "held_out"))
+            numbers, ids, langs, held = (bags.column(x)[i].as_py() for x in ("row", "doc_id", "lang", "held_out"))
             rows = len(ids)
             entropy, n = np.zeros((rows, len(model.classes))), np.zeros(rows)
             per = _unpacked(bags.column("per")[i].as_py(), rows)
@@ -104,16 +104,17 @@ def _scored(base: kneser.Base):
                 pred = [model.classes[b] if c else UNKNOWN for b, c in zip(best, n, strict=True)]
             else:
                 least, score, pred = np.zeros(rows), np.zeros(rows), [UNKNOWN] * rows
-            columns = [pa.array(ids, pa.int64()), pa.array(langs, pa.string()), pa.array(held, pa.bool_()), pa.array(pred, pa.string()), pa.array(score), pa.array(least), pa.array(n.astype(np.int64))]
-            out.append(pa.Table.from_arrays(columns, names=["doc_id", "lang", "held_out", "lang_pred", "score", "entropy", "letters"]))
+            columns = [pa.array(numbers, pa.int64()), pa.array(ids, pa.int64()), pa.array(langs, pa.string()), pa.array(held, pa.bool_()), pa.array(pred, pa.string()), pa.array(score), pa.array(least), pa.array(n.astype(np.int64))]
+            out.append(pa.Table.from_arrays(columns, names=["row", "doc_id", "lang", "held_out", "lang_pred", "score", "entropy", "letters"]))
         release()
         return pa.concat_tables(out)
 
     return run
 
 
-def identify(docs: DataFrame, deviations: float = DEVIATIONS) -> DataFrame:
-    """One row per document: doc_id, held_out, lang_pred, score, entropy, rejected.
+def identify(docs: DataFrame, deviations: float = DEVIATIONS, row: str | None = None) -> DataFrame:
+    """One row per document: doc_id, held_out, lang_pred, score, entropy, rejected; before them the column `row` (long),
+    if one is named.
 
     One pass counts character n-grams over all whole texts of the training folds (crc32 of the id modulo 3 is not 1,
     lang not null), pre-aggregated in each block; aggregates make the models of them, a table with every n-gram. A second
@@ -127,10 +128,11 @@ def identify(docs: DataFrame, deviations: float = DEVIATIONS) -> DataFrame:
     gives an empty result; further columns are ignored.
     """
     spark = docs.sparkSession
-    docs = fresh(docs, "doc_id", "text", "lang").withColumn("held_out", crc_mod("doc_id", FOLDS) == HELD_OUT)
+    number = (F.col(f"`{row}`") if row else F.lit(None)).cast("long").alias("row")
+    docs = docs.select(number, "doc_id", "text", "lang").withColumn("held_out", crc_mod("doc_id", FOLDS) == HELD_OUT)
     train = docs.filter("not held_out and lang is not null and text is not null").select("text", F.col("lang").alias("class"))
     base, strings = kneser.estimated(saved(kneser.counts(train), "grams"))
-    bags = saved(docs.select("doc_id", "lang", "held_out", "text").mapInArrow(_bags, _BAGS), "bags")
+    bags = saved(docs.select("row", "doc_id", "lang", "held_out", "text").mapInArrow(_bags, _BAGS), "bags")
     wanted = bags.select(F.col("block").alias("b"), F.explode("keys").alias("h")).join(strings, "h").select("b", "h", "of")
     scored = saved(bags.drop("keys").groupBy("block").cogroup(wanted.groupBy("b")).applyInArrow(_scored(base), _SCORED), "languages")
     dropped(bags)
@@ -151,7 +153,7 @@ def identify(docs: DataFrame, deviations: float = DEVIATIONS) -> DataFrame:
     limits = spark.createDataFrame(rows, "lang_pred string, size int, most double")
     out = scored.withColumn("size", size).join(F.broadcast(limits), ["lang_pred", "size"], "left")
     rejected = (F.col("lang_pred") == UNKNOWN) | F.coalesce(F.col("entropy") > F.col("most"), F.lit(False))
-    return out.select("doc_id", "held_out", "lang_pred", "score", "entropy", rejected.alias("rejected"))
+    return out.select(*([F.col("row").alias(row)] if row else []), "doc_id", "held_out", "lang_pred", "score", "entropy", rejected.alias("rejected"))
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:

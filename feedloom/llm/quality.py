@@ -81,7 +81,8 @@ def _described(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in text_blocks(batches, limit=BLOCK):
         x = describe(block.column("text")).astype(np.float32)
         flat = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32()), pa.array(x.ravel()))
-        yield pa.RecordBatch.from_arrays([block.column("doc_id"), flat], names=["doc_id", "x"])
+        names = [x for x in block.schema.names if x != "text"]
+        yield pa.RecordBatch.from_arrays([*(block.column(x) for x in names), flat], names=[*names, "x"])
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
@@ -131,8 +132,8 @@ def prior_of(cells: list) -> float:
     return float(np.clip(((cu + slack) / cp)[ok].min(), 0.05, 0.98))
 
 
-def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted.
+def score(docs: DataFrame, labels: DataFrame, row: str | None = None) -> DataFrame:
+    """One row per document: doc_id, held_out, score, predicted; before them the column `row` (long), if one is named.
 
     One pass describes every whole text by numbers (letters, marks, repetition, variety ...; never label, lang, source
     or id); that small table is written once. Trusted positives are texts of the training folds (crc32 of the id modulo
@@ -145,7 +146,8 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     is. With no positive or no training text every score is 0.5. An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    described = fresh(docs, "doc_id", "text").mapInArrow(_described, "doc_id long, x array<float>")
+    own = [row] if row else []
+    described = fresh(docs, *own, "doc_id", "text").mapInArrow(_described, "".join(f"`{c}` long, " for c in own) + "doc_id long, x array<float>")
     described = saved(described.withColumn("held_out", crc_mod("doc_id", FOLDS) == HELD_OUT), "described")
     good = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("id")).distinct()
     train = described.filter("not held_out").join(good, described.doc_id == good.id, "left").select("x", "doc_id", F.col("id").isNotNull().alias("p"))
@@ -169,7 +171,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
             cell = F.size(F.filter(F.array(*(F.lit(float(c)) for c in cuts)), lambda c: c <= _linear(raw(w))))
             cells = train.select(cell.alias("cell"), "p").groupBy("cell").agg(F.count_if("p").alias("p"), F.count("*").alias("u")).orderBy(F.desc("cell")).collect()
             final = raw(fit(p, u, prior_of(cells)))
-    out = described.select("doc_id", "held_out", _linear(final).alias("score"))
+    out = described.select(*own, "doc_id", "held_out", _linear(final).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
