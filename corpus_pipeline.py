@@ -40,10 +40,13 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that of the smallest id. Null ids stay."""
+    """One row of each group of near duplicates, whatever the ids: that of the smallest id, null ids last."""
     docs = _numbered(docs)
-    gone = saved(minhash.near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("id")).distinct(), "gone")
-    return docs.join(gone, docs.doc_id == gone.id, "left_anti").select(*COLUMNS)
+    near = minhash.near_duplicates(docs.select(F.col(ROW).alias("doc_id"), "text")).select(F.col("doc_id").alias(ROW), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW))[ROW]
+    kept = near.join(docs.select(ROW, "doc_id"), ROW).groupBy("component_id").agg(first.alias(ROW))
+    return docs.join(saved(kept.select(ROW), "kept"), ROW, "left_semi").select(*COLUMNS)
+
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture's token prefixes, at most one epoch: each document at most once, the last of a leaf cut."""

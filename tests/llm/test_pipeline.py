@@ -14,3 +14,11 @@ def test_only_the_rejected_rows_go(spark, tmp_path, monkeypatch):
     assert (None, junk + " x") not in out and (7, junk + " y") not in out
     out = [(r.doc_id, r.text) for r in corpus_pipeline.language_stage(spark, docs.filter("text not like 'BUY%'"), str(tmp_path)).collect()]
     assert (None, good + " null") in out and (None, "жжж щщщ ъъъ") not in out
+
+
+def test_near_duplicates_with_repeated_and_null_ids(spark):
+    one, two = "a text of some words that comes more than once in here", "quite another text under the same id as one of those"
+    rows = [(5, one), (5, one), (None, one), (None, one), (3, one), (5, two), (None, "a text of its own"), (None, None), (None, "")]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()]
+    assert sorted(out, key=str) == sorted([(3, one), (5, two), (None, "a text of its own"), (None, None), (None, "")], key=str)
