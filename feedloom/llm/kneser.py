@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -61,45 +61,44 @@ def hashes(s: Spots, n: int, back: int = 0) -> np.ndarray:
     return h
 
 
-def hash_of(gram: str) -> int:
-    h = np.array([len(gram)], np.uint64)
-    for c in gram:
-        h = mix64(h * _MUL + np.uint64(ord(c)))
-    return int(h[0])
+def grams(names: list[str], times: np.ndarray, name: str, order: int = ORDER) -> Iterator[pa.RecordBatch]:
+    """(class, gram, n) of words that occur `times` times: the longest n-gram that ends at each position, once each."""
+    s = spots(names, order)
+    times = times[s.word]
+    for n in range(2, order + 1):
+        some = np.flatnonzero((s.order == n) & (times > 0))
+        if not len(some):
+            continue
+        part = Spots(s.word[some], s.order[some], s.chars, s.at[some])
+        _, first, inverse = np.unique(hashes(part, n), return_index=True, return_inverse=True)
+        total = np.bincount(inverse, weights=times[some]).astype(np.int64)
+        texts = s.chars[part.at[first][:, None] + np.arange(1 - n, 1)].astype("<u4").tobytes().decode("utf-32-le")
+        texts = [texts[i : i + n] for i in range(0, len(texts), n)]
+        yield pa.RecordBatch.from_arrays([pa.array([name] * len(texts)), pa.array(texts), pa.array(total)], names=["class", "gram", "n"])
 
 
-def _counted(order: int, classed: bool):
+def _counted(order: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches):
             doc, code, names = words(block.column("text"))
             if not len(doc):
                 continue
-            classes = pc.cast(block.column("class"), pa.string()).dictionary_encode() if classed else None
-            kind = np.asarray(classes.indices)[doc] if classed else np.zeros(len(doc), np.int64)
-            s = spots(names.to_pylist(), order)
-            for k in range(len(classes.dictionary) if classed else 1):
-                times = np.bincount(code[kind == k], minlength=len(names))[s.word]
-                for n in range(2, order + 1):
-                    some = np.flatnonzero((s.order == n) & (times > 0))
-                    if not len(some):
-                        continue
-                    part = Spots(s.word[some], s.order[some], s.chars, s.at[some])
-                    _, first, inverse = np.unique(hashes(part, n), return_index=True, return_inverse=True)
-                    total = np.bincount(inverse, weights=times[some]).astype(np.int64)
-                    grams = s.chars[part.at[first][:, None] + np.arange(1 - n, 1)].astype("<u4")
-                    texts = grams.tobytes().decode("utf-32-le")
-                    texts = [texts[i : i + n] for i in range(0, len(texts), n)]
-                    name = classes.dictionary[k].as_py() if classed else ""
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(texts)), pa.array(texts), pa.array(total)], names=["class", "gram", "n"])
+            classes = pc.cast(block.column("class"), pa.string()).dictionary_encode()
+            kind, listed = np.asarray(classes.indices)[doc], names.to_pylist()
+            for k, name in enumerate(classes.dictionary.to_pylist()):
+                yield from grams(listed, np.bincount(code[kind == k], minlength=len(listed)), name, order)
             # the next block comes before these names are bound anew
-            del doc, code, names, s
+            del doc, code, names, listed
 
     return run
 
 
-def counts(docs: DataFrame, order: int = ORDER, classed: bool = True) -> DataFrame:
-    """(class, gram, n) over all texts of docs (text, and class if `classed`): the longest n-gram that ends at each position."""
-    return docs.mapInArrow(_counted(order, classed), "class string, gram string, n long").groupBy("class", "gram").agg(F.sum("n").alias("n"))
+_GRAMS = "class string, gram string, n long"
+
+
+def counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
+    """(class, gram, n) over all texts of docs (text, class): the longest n-gram that ends at each position."""
+    return docs.mapInArrow(_counted(order), _GRAMS).groupBy("class", "gram").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -124,11 +123,14 @@ def _keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column("of")], names=["h", "of"])
 
 
-def estimated(found: DataFrame, order: int = ORDER) -> tuple[Base, DataFrame]:
+def estimated(found: DataFrame, order: int = ORDER, hashed: bool = True) -> tuple[Base, DataFrame]:
     """The model of counts() as a table with every string in it: (h, of), where `of` holds (k, c, total, types) for each
-    class that has it: its count as a gram, and as a context the sum and the number of the grams that continue it.
+    class that has it: its count as a gram, and as a context the sum and the number of the grams that continue it. If
+    not `hashed`: (s, k, c, total, types), with the strings themselves.
 
-    Counts as in fit(), by aggregates of the engine; the driver gets sums by class and order only.
+    Raw counts for the longest n-grams and those that begin at an edge; for the others, the number of different
+    characters before them. One discount per order and class, n1 / (n1 + 2 n2). Aggregates of the engine; the driver
+    gets sums by class and order only.
     """
     spark = found.sparkSession
     found = found.select("class", F.col("gram").alias("s"), F.col("n").alias("c"))
@@ -158,6 +160,8 @@ def estimated(found: DataFrame, order: int = ORDER) -> tuple[Base, DataFrame]:
         every = rows if every is None else every.union(rows)
     numbers = spark.createDataFrame(list(number.items()), "class string, k int")
     each = every.join(F.broadcast(numbers), "class").groupBy("s", "k").agg(*(F.sum(x).alias(x) for x in ("c", "total", "types")))
+    if not hashed:
+        return base, saved(each, "model")
     each = each.groupBy("s").agg(F.collect_list(F.struct("k", "c", "total", "types")).alias("of"))
     kind = "array<struct<k:int,c:bigint,total:bigint,types:bigint>>"
     return base, saved(each.mapInArrow(_keyed, f"h long, of {kind}"), "model")
@@ -244,49 +248,6 @@ def needed(names: list[str], order: int = ORDER) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
-@dataclass
-class Model:
-    """Sorted hashes by order, with log probabilities and log back-off weights of all classes as columns."""
-
-    classes: list[str]
-    order: int
-    grams: list[np.ndarray] = field(default_factory=list)
-    logp: list[np.ndarray] = field(default_factory=list)
-    contexts: list[np.ndarray] = field(default_factory=list)
-    backoff: list[np.ndarray] = field(default_factory=list)
-    floor: np.ndarray | None = None
-
-    def spot_scores(self, s: Spots) -> np.ndarray:
-        """Natural log probability of each position in each class."""
-        out = np.zeros((len(s.at), len(self.classes)))
-        rest = np.arange(len(s.at))
-        for n in range(self.order, 0, -1):
-            if n > 1:
-                mine = s.order[rest] >= n
-                later, rest = rest[~mine], rest[mine]
-            else:
-                later = rest[:0]
-            part = Spots(s.word[rest], s.order[rest], s.chars, s.at[rest])
-            found, where = _find(self.grams[n - 1], hashes(part, n))
-            out[rest[found]] += self.logp[n - 1][where[found]]
-            rest = rest[~found]
-            if n == 1:
-                out[rest] += self.floor
-            elif len(rest):
-                part = Spots(s.word[rest], s.order[rest], s.chars, s.at[rest])
-                known, at = _find(self.contexts[n - 1], hashes(part, n - 1, 1))
-                out[rest[known]] += self.backoff[n - 1][at[known]]
-            rest = np.concatenate([rest, later])
-        return out
-
-    def word_scores(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Log probability of each word in each class, and its number of positions."""
-        s = spots(names, self.order)
-        p = self.spot_scores(s)
-        size = np.bincount(s.word, minlength=len(names))
-        return np.stack([np.bincount(s.word, weights=p[:, k], minlength=len(names)) for k in range(p.shape[1])], axis=1), size
-
-
 def _find(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(table):
         return np.zeros(len(wanted), bool), np.zeros(len(wanted), np.int64)
@@ -294,57 +255,6 @@ def _find(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return table[where] == wanted, where
 
 
-def fit(rows: pa.Table, order: int = ORDER) -> Model:
-    """Interpolated Kneser-Ney. Raw counts for the longest n-grams and those that begin at an edge; for the others, the
-    number of different characters before them. One discount per order and class, n1 / (n1 + 2 n2)."""
-    classes = sorted(set(rows.column("class").to_pylist()))
-    number = {c: i for i, c in enumerate(classes)}
-    L = len(classes)
-    raw: list[dict[str, np.ndarray]] = [{} for _ in range(order + 1)]
-    for c, g, n in zip(*(rows.column(x).to_pylist() for x in ("class", "gram", "n")), strict=True):
-        raw[len(g)].setdefault(g, np.zeros(L))[number[c]] += n
-    model = Model(classes, order, [np.zeros(0, np.uint64)] * order, [np.zeros((0, L))] * order, [np.zeros(0, np.uint64)] * order, [np.zeros((0, L))] * order)
-    count = raw
-    for n in range(order, 1, -1):
-        for g, c in count[n].items():
-            own = count[n - 1].setdefault(g[1:], np.zeros(L))
-            own += c > 0
-    lower = None
-    vocabulary = max(2, len(count[1]) + 1)
-    model.floor = np.full(L, -np.log(vocabulary))
-    for n in range(1, order + 1):
-        names = list(count[n])
-        if not names:
-            continue
-        c = np.stack([count[n][g] for g in names])
-        heads = [g[:-1] for g in names]
-        head_no = {h: i for i, h in enumerate(dict.fromkeys(heads))}
-        head = np.array([head_no[h] for h in heads])
-        n1, n2 = (c == 1).sum(0), (c == 2).sum(0)
-        discount = np.clip(np.where(n1 > 0, n1 / np.maximum(n1 + 2 * n2, 1), 0.5), 0.05, 0.95)
-        total, types = np.zeros((len(head_no), L)), np.zeros((len(head_no), L))
-        np.add.at(total, head, c)
-        np.add.at(types, head, c > 0)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            weight = np.where(total > 0, discount * types / total, 1.0)
-            own = np.where(total[head] > 0, np.maximum(c - discount, 0) / total[head], 0.0)
-        if n == 1:
-            below = np.full((len(names), L), 1.0 / vocabulary)
-            model.floor = np.log(weight[0]) - np.log(vocabulary)
-        else:
-            below = np.stack([lower.get(g[1:], np.exp(model.floor)) for g in names])
-        p = own + weight[head] * below
-        h = np.array([hash_of(g) for g in names], np.uint64) if n < 2 else _hash_all(names)
-        order_ = np.argsort(h)
-        model.grams[n - 1], model.logp[n - 1] = h[order_], np.log(p[order_])
-        if n > 1:
-            ctx = _hash_all(list(head_no))
-            order_ = np.argsort(ctx)
-            model.contexts[n - 1], model.backoff[n - 1] = ctx[order_], np.log(weight[order_])
-        lower = dict(zip(names, p, strict=True))
-    return model
-
-
 def _hash_all(grams: list[str]) -> np.ndarray:
     codes = np.frombuffer("".join(grams).encode("utf-32-le"), np.uint32).reshape(len(grams), -1).astype(np.uint64)
     h = np.full(len(grams), codes.shape[1], np.uint64)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+import math
 import re
 from collections.abc import Iterable, Iterator
 
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm import kneser
-from feedloom.llm.common import crc_mod, fresh, saved, table, text_blocks, words
+from feedloom.llm.common import crc_mod, dropped, fresh, release, saved, table, text_blocks, words
 
 FOLDS, HELD_OUT = 5, 0
 #: What a written sign may stand for.
@@ -26,39 +28,60 @@ SIGN, GAP, ONCE, TWICE = -1.0, -0.5, -0.3, -1.0
 GAPS = "._-*~'`^·,"
 #: Single characters apart by white space are one word from this many on.
 SPACED = 4
-#: Restored words and runs of up to so many characters are remembered; longer ones are restored each time.
-REMEMBERED_LENGTH = 64
-#: Features: words of up to 6 letters, and beginnings of 4 to 7 letters of longer words.
+#: Features: words, and beginnings of 4 to 7 letters of words of more than 6.
 HEADS, SHORT = (4, 5, 6, 7), 6
-#: Features that go on to the fit, by evidence; toxic and other training texts that the fits take at most, by a seeded hash.
-MOST_FEATURES, MOST_TOXIC, MOST_OTHER = 4000, 20_000, 40_000
+#: Toxic and other training texts that the fits take at most, by a seeded hash.
+MOST_TOXIC, MOST_OTHER = 20_000, 40_000
 #: A feature must be this many times as frequent among the words of toxic training texts, and explain at least this many
-#: of these texts, or this share of them, beyond chance and beyond what earlier ones explain.
-LEAST_LIFT, LEAST_NEW, NEW_SHARE = 3.0, 4, 0.004
+#: of these texts beyond chance and beyond what earlier ones explain, and so many deviations of chance.
+LEAST_LIFT, LEAST_NEW, LEAST_DEVIATIONS = 3.0, 4, 4.0
+#: Bytes of distinct disguised words, and of training texts, that are restored together.
+TOGETHER, TEXTS_TOGETHER = 256 << 10, 4 << 20
+#: Bytes of text whose words are collected at once.
+BLOCK = 8 << 20
+#: Disguised words with a weight are broadcast up to so many and so many bytes; beyond, they are joined.
+FEW, FEW_BYTES = 200_000, 16 << 20
 
 _CLEAN = r"^[\pL]*[.,;:!?)\"'-]*$"
 _TRAIL = re.compile(r"^([\"'(\[]*)(.*?)([.,;:!?)\"'\]]*)$", re.S)
 _REMEMBERED = 200_000
+#: The mark before the single characters of a spelled-out run, among written words.
+RUN = " "
 
 
 class Channel:
-    """Restores words: the likeliest letters under the character model and the channel's costs."""
+    """Restores words: the likeliest letters under the character model and the channel's costs.
 
-    def __init__(self, model: kneser.Model):
-        self.model = model
-        self.seen: dict[str, str] = {}
+    strings: (c, total, types) of the model's strings that the words look up: count as a gram, and as a context the sum
+    and the number of the grams that continue it.
+    """
+
+    def __init__(self, base: kneser.Base, strings: dict[str, tuple[int, int, int]]):
+        self.base, self.strings, self.order = base, strings, base.order
+        self.chance: dict[str, float] = {"": 1.0 / base.vocabulary}
         self.known: dict[str, float] = {}
 
+    def probability(self, gram: str) -> float:
+        """Interpolated Kneser-Ney probability of the last character of a gram of up to the model's order."""
+        got = self.chance.get(gram)
+        if got is None:
+            n, base = len(gram), self.base
+            got = self.probability(gram[1:])
+            _, total, types = (0, base.total[0], base.types[0]) if n == 1 else self.strings.get(gram[:-1], _NEVER)
+            if total > 0:
+                d = float(base.discount[n, 0])
+                got = float((max(self.strings.get(gram, _NEVER)[0] - d, 0.0) + d * types * got) / total)
+            if len(self.chance) > _REMEMBERED:
+                self.chance = {"": 1.0 / base.vocabulary}
+            self.chance[gram] = got
+        return got
+
     def p(self, gram: str) -> float:
-        """Log probability of the last character of a gram of up to the model's order."""
         got = self.known.get(gram)
         if got is None:
-            codes = np.array([ord(c) for c in gram], np.uint64)
-            s = kneser.Spots(np.array([0]), np.array([len(gram)]), codes, np.array([len(gram) - 1]))
-            got = float(self.model.spot_scores(s)[0, 0])
             if len(self.known) > _REMEMBERED:
                 self.known.clear()
-            self.known[gram] = got
+            got = self.known[gram] = math.log(self.probability(gram))
         return got
 
     def lattice(self, word: str) -> list[list[tuple[str, float]]]:
@@ -83,28 +106,46 @@ class Channel:
 
     def decode(self, word: str) -> str:
         """Viterbi over the lattice; a state is the last characters that the model looks at. No reading: the word itself."""
-        got = self.seen.get(word)
-        if got is None:
-            steps = self.lattice(word)
-            got = (self._path(steps) if steps else "") or word
-            self._remember(word, got)
-        return got
+        steps = self.lattice(word)
+        return (self._path(steps) if steps else "") or word
 
     def words_of(self, run: str) -> list[str]:
         """Words of single characters apart by white space: an edge may follow any of them. A character without a
         reading ends a word and is left out."""
-        got = self.seen.get(" " + run)
-        if got is None:
-            parts = "".join(c if c.isalpha() or c in LEET or c in GAPS else " " for c in run).split()
-            got = kneser.EDGE.join(self._path(self._edged(self.lattice(x))) for x in parts)
-            self._remember(" " + run, got)
-        return [w for w in got.split(kneser.EDGE) if w]
-
-    def _remember(self, word: str, got: str) -> None:
-        if len(word) <= REMEMBERED_LENGTH:
-            if len(self.seen) > _REMEMBERED:
-                self.seen.clear()
-            self.seen[word] = got
+        found = kneser.EDGE.join(self._path(x) for x in self._lattices(RUN + run))
+        return [w for w in found.split(kneser.EDGE) if w]
+
+    def _lattices(self, written: str) -> list[list[list[tuple[str, float]]]]:
+        """The lattices of a written word or run."""
+        if not written.startswith(RUN):
+            core = _core(written)
+            return [x for x in [self.lattice(core)] if x] if core else []
+        parts = "".join(c if c.isalpha() or c in LEET or c in GAPS else " " for c in written[1:]).split()
+        return [self._edged(self.lattice(x)) for x in parts]
+
+    def needed(self, written: Iterable[str]) -> set[str]:
+        """All strings of a model that restoring the written words and runs may look up."""
+        keep, edge, grams = self.order - 1, kneser.EDGE, set()
+        for word in written:
+            for steps in self._lattices(word):
+                states = {edge}
+                for reads in steps:
+                    after = set()
+                    for s in states:
+                        for letters, _ in reads:
+                            t = s
+                            for c in letters:
+                                grams.add(t + c)
+                                t = edge if c == edge else (t + c)[-keep:]
+                            after.add(t)
+                    states = after
+                grams.update(s + edge for s in states)
+        tails = {g[i:] for g in grams for i in range(len(g))}
+        return tails | {g[:-1] for g in tails if len(g) > 1}
+
+    def restored(self, written: str) -> list[str]:
+        """The words that a written word or run stands for."""
+        return self.words_of(written[1:]) if written.startswith(RUN) else [self.restore(written)]
 
     @staticmethod
     def _edged(steps: list[list[tuple[str, float]]]) -> list[list[tuple[str, float]]]:
@@ -118,7 +159,7 @@ class Channel:
     def _path(self, steps: list[list[tuple[str, float]]]) -> str:
         """The best path. Paths are chains (chain before, letters), so steps of any number take memory in proportion,
         and what no best path uses goes at once."""
-        keep, edge = self.model.order - 1, kneser.EDGE
+        keep, edge = self.order - 1, kneser.EDGE
         states: dict[str, tuple[float, tuple | None]] = {edge: (0.0, None)}
         for reads in steps:
             after: dict[str, tuple[float, tuple | None]] = {}
@@ -149,10 +190,18 @@ class Channel:
         twice in a row stay as they are."""
         if word.isalpha() and not _repeats(word):
             return word
-        lead, core, trail = _TRAIL.match(word).groups()
-        if core.isalpha() and not _repeats(core):
-            return core
-        return self.decode(core) if any(c.isalpha() for c in core) and core else word
+        core = _core(word)
+        return self.decode(core) if core else _TRAIL.match(word).group(2) if any(map(str.isalpha, word)) else word
+
+
+_NEVER = (0, 0, 0)
+
+
+def _core(word: str) -> str:
+    """What of a word is decoded: without the marks at its ends; nothing if that has no letter, or only letters of which
+    none comes twice in a row."""
+    core = _TRAIL.match(word).group(2)
+    return "" if core.isalpha() and not _repeats(core) or not any(map(str.isalpha, core)) else core
 
 
 def _earlier(a: tuple | None, b: tuple | None) -> bool:
@@ -178,43 +227,116 @@ def _repeating(names: pa.Array) -> np.ndarray:
     return out
 
 
-def tokens(channel: Channel, text: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Restored words: document and code of each, and the restored dictionary. Runs of SPACED or more single characters,
-    of any length, are restored as a whole, and give the words that they spell."""
+def written(text: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
+    """Words as written, lower-cased: document and code of each, the words, and which of them are disguised - those are
+    whole, the others without marks at their ends. Runs of SPACED or more single characters, of any length, come as
+    further disguised words that begin with RUN."""
     doc, code, names = words(pc.utf8_lower(pc.fill_null(text, "")), lower=False)
     if not len(doc):
-        return doc, code, []
+        return doc, code, [], np.zeros(0, bool)
     plain = np.asarray(pc.match_substring_regex(names, _CLEAN)) & ~_repeating(names)
-    stripped = pc.utf8_trim(names, ".,;:!?)\"'-").to_pylist()
+    odd = ~plain & np.asarray(pc.match_substring_regex(names, r"\pL"))
     raw = names.to_pylist()
-    restored = [s if p else channel.restore(w) for s, p, w in zip(stripped, plain, raw, strict=True)]
+    listed = pc.if_else(pa.array(plain), pc.utf8_trim(names, ".,;:!?)\"'-"), names).to_pylist()
     single = (np.asarray(pc.utf8_length(names)) == 1)[code]
     if single.any():
-        cut = np.flatnonzero(np.diff(np.concatenate([[0], (single & True).astype(np.int8), [0]])))
-        extra_doc, extra = [], []
-        for a, b in zip(cut[::2], cut[1::2], strict=True):
-            for d in np.unique(doc[a:b]):
-                part = np.flatnonzero(doc[a:b] == d) + a
-                if len(part) >= SPACED:
-                    found = channel.words_of("".join(raw[code[i]] for i in part))
-                    extra_doc += [d] * len(found)
-                    extra += found
+        # a run ends with its document
+        group = np.cumsum(np.concatenate([[True], (doc[1:] != doc[:-1]) | ~single[1:] | ~single[:-1]]))
+        some = np.flatnonzero(single)
+        runs, first, size = np.unique(group[some], return_index=True, return_counts=True)
+        long = size >= SPACED
+        extra: dict[str, int] = {}
+        of, more = [], []
+        for at, n in zip(some[first[long]].tolist(), size[long].tolist(), strict=True):
+            more.append(extra.setdefault(RUN + "".join(raw[c] for c in code[at : at + n].tolist()), len(extra)))
+            of.append(doc[at])
         if extra:
-            doc = np.concatenate([doc, extra_doc])
-            code = np.concatenate([code, np.arange(len(restored), len(restored) + len(extra))])
-            restored = restored + extra
-    return doc, code, restored
+            doc, code = np.concatenate([doc, of]), np.concatenate([code, np.array(more) + len(listed)])
+            listed, odd = listed + list(extra), np.concatenate([odd, [any(map(str.isalpha, x)) for x in extra]])
+    return doc, code, listed, odd
 
 
 def features(word: str) -> list[str]:
-    return [word + "$"] if len(word) <= SHORT else [word[:n] for n in HEADS]
+    return [word + "$"] if len(word) <= SHORT else [*(word[:n] for n in HEADS), word + "$"]
+
+
+def _gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The n-grams of all words (class ''), and the disguised words (class 'w')."""
+    for block in text_blocks(batches, limit=BLOCK):
+        doc, code, names, odd = written(block.column("text"))
+        if len(names):
+            times = np.bincount(code, minlength=len(names))
+            letters = [x[1:] if x.startswith(RUN) else x for x in names]
+            yield from kneser.grams(letters, np.where([x.startswith(RUN) for x in names], 0, times), "")
+            found = [names[i] for i in np.flatnonzero(odd)]
+            yield pa.RecordBatch.from_arrays([pa.array(["w"] * len(found), pa.string()), pa.array(found, pa.string()), pa.array([1] * len(found), pa.int64())], names=["class", "gram", "n"])
+        del doc, code, names, odd
+
+
+def _needed(base: kneser.Base):
+    def run(group: pa.Table) -> pa.Table:
+        found = sorted(Channel(base, {}).needed(group.column("w").to_pylist()))
+        return pa.table({"block": pa.array([group.column("block")[0].as_py()] * len(found), pa.int64()), "s": pa.array(found, pa.string())})
+
+    return run
+
+
+def _restored(base: kneser.Base):
+    def run(group: pa.Table, strings: pa.Table) -> pa.Table:
+        channel = Channel(base, dict(zip(strings.column("s").to_pylist(), zip(*(strings.column(x).to_pylist() for x in ("c", "total", "types")), strict=True), strict=True)))
+        names = group.column("w").to_pylist()
+        out = pa.table({"w": pa.array(names, pa.string()), "words": pa.array([channel.restored(w) for w in names], pa.list_(pa.string()))})
+        release()
+        return out
+
+    return run
+
+
+def restored_words(disguised: DataFrame, base: kneser.Base, strings: DataFrame) -> DataFrame:
+    """(w, words) of distinct disguised words (w): each is restored once, in blocks of TOGETHER bytes that are joined with
+    the model's strings that their lattices look up, so a worker holds these and never a whole model."""
+    blocks = max(1, -(-int(disguised.agg(F.sum(F.octet_length("w") + 4)).first()[0] or 0) // TOGETHER))
+    dealt = disguised.select("w", F.pmod(F.xxhash64("w"), F.lit(blocks)).alias("block"))
+    asked = saved(dealt.groupBy("block").applyInArrow(_needed(base), "block long, s string"), "asked")
+    found = asked.join(strings, "s").select("block", "s", "c", "total", "types")
+    out = saved(dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_restored(base), "w string, words array<string>"), "restored")
+    dropped(asked)
+    return out
 
 
-def _pairs(channel: Channel, text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray]:
-    """Distinct (document, feature) pairs of a block and how often each occurs; the features' names; words by document."""
-    doc, code, restored = tokens(channel, text)
+def _asked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct disguised words of each block of texts; rows come with their block's number."""
+    for batch in batches:
+        number = np.asarray(batch.column("block"))
+        for b in np.unique(number):
+            for part in text_blocks([batch.filter(pa.array(number == b))]):
+                _, _, names, odd = written(part.column("text"))
+                found = [names[i] for i in np.flatnonzero(odd)]
+                yield pa.RecordBatch.from_arrays([pa.array([int(b)] * len(found), pa.int64()), pa.array(found, pa.string())], names=["block", "w"])
+
+
+def _rewritten(texts: pa.Table, restored: pa.Table) -> pa.Table:
+    """Texts with what their disguised words stand for in place of these."""
+    of = dict(zip(restored.column("w").to_pylist(), restored.column("words").to_pylist(), strict=True))
+    out = []
+    for block in text_blocks(texts.to_batches()):
+        doc, code, names, odd = written(block.column("text"))
+        names = [" ".join(of.get(w, [w])) if o else w for w, o in zip(names, odd, strict=True)]
+        order = np.argsort(doc, kind="stable")
+        ends = np.searchsorted(doc[order], np.arange(len(block) + 1))
+        code = code[order]
+        new = [" ".join([names[c] for c in code[a:b].tolist()]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        out.append(pa.table({"digest": block.column("digest"), "toxic": block.column("toxic"), "text": pa.array(new, pa.string())}))
+    release()
+    return pa.concat_tables(out) if out else texts.select(["digest", "toxic", "text"])
+
+
+def _pairs(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray]:
+    """Distinct (document, feature) pairs of restored texts and how often each occurs; the features' names; words by
+    document."""
+    doc, code, restored = words(text, lower=False)
     number: dict[str, int] = {}
-    per = [[number.setdefault(f, len(number)) for f in features(w)] if w else [] for w in restored]
+    per = [[number.setdefault(f, len(number)) for f in features(w)] for w in restored.to_pylist()]
     size = np.fromiter(map(len, per), np.int64, len(per))
     flat = np.fromiter((x for y in per for x in y), np.int64, int(size.sum()))
     if not len(flat):
@@ -229,26 +351,22 @@ def _pairs(channel: Channel, text: pa.Array) -> tuple[np.ndarray, np.ndarray, np
 ALL = ""
 
 
-def _evidence(shared):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        channel = Channel(shared.value)
-        for block in text_blocks(batches):
-            doc, feature, times, names, size = _pairs(channel, block.column("text"))
-            bad = np.asarray(block.column("toxic")).astype(bool)
-            count = lambda ok, w=None: np.bincount(feature[ok], weights=w, minlength=len(names)).astype(np.int64)  # noqa: E731, B023
-            t = bad[doc] if len(doc) else np.zeros(0, bool)
-            columns = [count(t), count(~t), count(t, times[t]), count(~t, times[~t])]
-            whole = [int(bad.sum()), int((~bad).sum()), int(size[bad].sum()), int(size[~bad].sum())]
-            yield pa.RecordBatch.from_arrays([pa.array([*names, ALL], pa.string()), *(pa.array([*c.tolist(), w], pa.int64()) for c, w in zip(columns, whole, strict=True))], names=["f", "t", "n", "ct", "cn"])
-
-    return run
+def _evidence(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for block in text_blocks(batches):
+        doc, feature, times, names, size = _pairs(block.column("text"))
+        bad = np.asarray(block.column("toxic")).astype(bool)
+        count = lambda ok, w=None: np.bincount(feature[ok], weights=w, minlength=len(names)).astype(np.int64)  # noqa: E731, B023
+        t = bad[doc] if len(doc) else np.zeros(0, bool)
+        columns = [count(t), count(~t), count(t, times[t]), count(~t, times[~t])]
+        whole = [int(bad.sum()), int((~bad).sum()), int(size[bad].sum()), int(size[~bad].sum())]
+        yield pa.RecordBatch.from_arrays([pa.array([*names, ALL], pa.string()), *(pa.array([*c.tolist(), w], pa.int64()) for c, w in zip(columns, whole, strict=True))], names=["f", "t", "n", "ct", "cn"])
 
 
-def _holding(shared, chosen):
+def _holding(chosen):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        channel, number = Channel(shared.value), {f: i for i, f in enumerate(chosen.value)}
+        number = {f: i for i, f in enumerate(chosen.value)}
         for block in text_blocks(batches):
-            doc, feature, _, names, _ = _pairs(channel, block.column("text"))
+            doc, feature, _, names, _ = _pairs(block.column("text"))
             known = np.array([number.get(x, -1) for x in names], np.int64)
             held: list[list[int]] = [[] for _ in range(len(block))]
             mine = known[feature] if len(feature) else feature
@@ -263,60 +381,105 @@ def cover(held: list[list[int]], chance: np.ndarray, evidence: np.ndarray) -> li
     """Features that explain toxic texts no earlier feature explains, the most texts beyond chance first.
 
     held: the features of each toxic text; chance: the share of other texts that hold a feature. Words that only some
-    group of copies has explain nothing that its real features don't, so they stay out.
+    group of copies has explain nothing that its real features don't, so they stay out. What is new must be LEAST_NEW
+    texts and LEAST_DEVIATIONS deviations of chance, however many texts there are.
     """
-    need = max(LEAST_NEW, NEW_SHARE * len(held))
     of: dict[int, list[int]] = {}
     for d, fs in enumerate(held):
         for f in fs:
             of.setdefault(f, []).append(d)
     left, out = np.ones(len(held), bool), []
     texts = {f: np.array(d) for f, d in of.items()}
-    gain = {f: len(d) - chance[f] * len(held) for f, d in texts.items()}
-    while gain:
-        best = max(gain, key=lambda f: (gain[f], evidence[f], -f))
-        now = left[texts[best]].sum() - chance[best] * left.sum()
-        if gain[best] < need:
-            break
-        if now < gain[best] - 1e-9:  # a feature is counted anew only when it leads
-            gain[best] = now
+    queue = [(-(len(d) - chance[f] * len(held)), -evidence[f], f) for f, d in texts.items()]
+    heapq.heapify(queue)
+    while queue:
+        gain, e, best = heapq.heappop(queue)
+        rest = left.sum()
+        now = left[texts[best]].sum() - chance[best] * rest
+        if now < max(LEAST_NEW, LEAST_DEVIATIONS * np.sqrt(chance[best] * rest)):
+            continue  # its gain only falls
+        if now < -gain - 1e-9:  # a feature is counted anew only when it leads
+            heapq.heappush(queue, (-now, e, best))
             continue
         out.append(best)
         left[texts[best]] = False
-        del gain[best]
     return out
 
 
-def _weighed(shared, lexicon):
+def _weigher(weight: dict[str, float]):
+    def of(word: str) -> tuple[float, int]:
+        """Weight of a restored word's features, and whether one of them is in the lexicon with a weight above 0."""
+        found = [w for f in features(word) if (w := weight.get(f)) is not None]
+        return sum(found), sum(w > 0 for w in found)
+
+    return of
+
+
+def _disguised(lexicon):
+    """(w, weight, hits) of the disguised words that stand for words with a weight."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        channel, weight = Channel(shared.value), lexicon.value
-        known: dict[str, tuple[float, int]] = {"": (0.0, 0)}
-
-        def of(word: str) -> tuple[float, int]:
-            """Weight of a restored word's features, and how many of them are in the lexicon with a weight above 0."""
-            got = known.get(word)
-            if got is None:
-                if len(known) > _REMEMBERED:
-                    known.clear()
-                    known[""] = (0.0, 0)
-                found = [weight.get(f, 0.0) for f in features(word)]
-                got = known[word] = (sum(found), sum(w > 0 for w in found))
-            return got
+        of = _weigher(lexicon.value)
+        for batch in batches:
+            each = [[of(w) for w in found] for found in batch.column("words").to_pylist()]
+            total, hits = np.array([sum(x for x, _ in e) for e in each]), np.array([sum(n for _, n in e) for e in each], np.int64)
+            some = pa.array((hits > 0) | (total != 0), pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("w").filter(some), pa.array(total, pa.float64()).filter(some), pa.array(hits).filter(some)], names=["w", "weight", "hits"])
+
+    return run
 
+
+def _weighed(lexicon, disguised):
+    """Weight, lexicon words and size of each text. Disguised words weigh as in `disguised`; without that, they come in
+    `odd`, with their numbers, and weigh nothing."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, known = _weigher(lexicon.value), disguised.value if disguised else {}
         for block in text_blocks(batches):
             rows = len(block)
-            doc, code, restored = tokens(channel, block.column("text"))
-            total, hits, size = np.zeros(rows), np.zeros(rows, np.int64), np.zeros(rows, np.int64)
+            doc, code, names, odd = written(block.column("text"))
+            total, hits, size, others = np.zeros(rows), np.zeros(rows, np.int64), np.zeros(rows, np.int64), [[] for _ in range(rows)]
             if len(doc):
-                each = np.array([of(w) for w in restored])[code]
+                each = np.array([(known.get(w, _NOTHING) if o else of(w)) for w, o in zip(names, odd.tolist(), strict=True)], float)
+                each = each[code]
                 total = np.bincount(doc, weights=each[:, 0], minlength=rows)
                 hits = np.bincount(doc, weights=each[:, 1], minlength=rows).astype(np.int64)
-                size = np.bincount(doc, minlength=rows).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([block.column("doc_id"), block.column("held_out"), pa.array(total), pa.array(hits), pa.array(size)], names=["doc_id", "held_out", "weight", "hits", "size"])
+                runs = np.array([w.startswith(RUN) for w in names])
+                size = np.bincount(doc[~runs[code]], minlength=rows).astype(np.int64)
+                if not disguised:
+                    some = odd[code]
+                    pair, times = np.unique(doc[some] * len(names) + code[some], return_counts=True)
+                    for p, n in zip(pair.tolist(), times.tolist(), strict=True):
+                        others[p // len(names)].append({"w": names[p % len(names)], "n": n})
+            columns = [block.column("row"), block.column("doc_id"), block.column("held_out"), pa.array(total), pa.array(hits), pa.array(size)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(others, pa.list_(pa.struct({"w": pa.string(), "n": pa.int64()})))], names=["row", "doc_id", "held_out", "weight", "hits", "size", "odd"])
 
     return run
 
 
+_NOTHING = (0.0, 0)
+_WEIGHED = "row long, doc_id long, held_out boolean, weight double, hits long, size long, odd array<struct<w:string,n:bigint>>"
+
+
+def weighed(docs: DataFrame, lexicon: dict[str, float], restored: DataFrame, few: int = FEW, few_bytes: int = FEW_BYTES) -> DataFrame:
+    """doc_id, held_out, weight, hits, size of every text. The disguised words with a weight are broadcast while they are
+    few; otherwise those of the texts are joined with them."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(lexicon)
+    bad = saved(restored.mapInArrow(_disguised(shared), "w string, weight double, hits long"), "disguised")
+    n, size = bad.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("w")), F.lit(0))).first()
+    texts = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
+    if n <= few and size <= few_bytes:
+        known = spark.sparkContext.broadcast({r.w: (r.weight, r.hits) for r in bad.toLocalIterator()})
+        return saved(texts.mapInArrow(_weighed(shared, known), _WEIGHED).drop("row", "odd"), "weighed")
+    each = saved(texts.mapInArrow(_weighed(shared, None), _WEIGHED), "written")
+    more = each.select("row", F.explode("odd").alias("o")).select("row", "o.w", "o.n").join(bad, "w")
+    more = more.groupBy("row").agg(F.sum(F.col("n") * F.col("weight")).alias("more"), F.sum(F.col("n") * F.col("hits")).alias("found"))
+    none = lambda c: F.coalesce(c, F.lit(0))
+    out = each.drop("odd").join(more, "row", "left")
+    return saved(out.select("doc_id", "held_out", (F.col("weight") + none("more")).alias("weight"), (F.col("hits") + none("found")).alias("hits"), "size"), "weighed")
+
+
 def _inputs(weight, size, log, most):
     """What the last fit sees of a text, for arrays and for columns alike."""
     return [log(weight + 1), most(weight / (size + 1) * 100, 100.0), most(weight, 1.0), log(size + 1), log(weight + 1) * log(size + 1)]
@@ -350,17 +513,19 @@ def draw(column: str, seed: int, n: int, most: int):
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, hits (its words in the learned lexicon).
 
-    1. A Kneser-Ney character model from all words of all documents (no labels): one pass, pre-aggregated counts.
-    2. The channel: words with digits, signs, inner separators, a letter twice or more in a row, or spelled out by spaces
-       become lattices, and the Viterbi path under model and channel costs is the restored word, of any length; what is
-       spelled out may be several words, whose edges the path sets. Other words of letters
-       alone have one path, themselves.
+    1. One pass over all documents (no labels) gathers the n-grams of a Kneser-Ney character model, pre-aggregated, and
+       the distinct disguised words: those with digits, signs, inner separators, a letter twice or more in a row, or
+       spelled out by spaces. Other words of letters alone have one path, themselves.
+    2. The channel: disguised words become lattices, and the Viterbi path under model and channel costs is the restored
+       word, of any length; what is spelled out may be several words, whose edges the path sets. Each distinct word is
+       restored once, beside the model's strings that it looks up (restored_words), so no model is broadcast.
     3. Over at most MOST_TOXIC and MOST_OTHER labelled training texts (crc32 of the id modulo 5 is not 0; drawn by a
-       seeded hash of the id, so only bounded ids are broadcast and only these texts are shuffled), equal texts once: how
-       many toxic and other texts hold a feature, and how often. The MOST_FEATURES with most evidence go on; a greedy
-       cover of the toxic ones keeps those that explain texts by themselves. A feature weighs its log lift.
-    4. Every whole text is restored and weighed; a logistic fit on at most MOST_TOXIC and MOST_OTHER labelled training
-       texts turns weight and length into the score, by expressions of the engine.
+       seeded hash of the id, so only bounded ids are broadcast and only these texts are shuffled), restored, equal
+       texts once: how many toxic and other texts hold a feature, and how often. A greedy cover of the toxic ones keeps
+       the features that explain texts by themselves. A feature weighs its log lift.
+    4. Every whole text is weighed: its words by the lexicon, its disguised words by what they were restored to; a
+       logistic fit on at most MOST_TOXIC and MOST_OTHER labelled training texts turns weight and length into the score,
+       by expressions of the engine.
 
     Null and empty texts have no features. Null ids count as the empty text for the fold. Null labels are not learned
     from; an id labelled twice is toxic if any label says so. With no labelled text of either kind every score is 0. An
@@ -369,37 +534,43 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = fresh(docs, "doc_id", "text").withColumn("held_out", crc_mod("doc_id", FOLDS) == HELD_OUT)
     nothing = docs.select("doc_id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), F.lit(0).cast("long").alias("hits"))
-    base, strings = kneser.estimated(saved(kneser.counts(docs.filter("text is not null").select("text"), classed=False), "grams"))
-    rows = strings.toArrow()
-    model = kneser.Held.of(base, rows.column("h"), rows.column("of"))
-    if not model.classes:
+    gathered = docs.filter("text is not null").select("text").mapInArrow(_gathered, kneser._GRAMS)
+    gathered = saved(gathered.groupBy("class", "gram").agg(F.sum("n").alias("n")), "gathered")
+    base, strings = kneser.estimated(gathered.filter("class = ''"), hashed=False)
+    if not base.classes:
         return nothing
-    shared = spark.sparkContext.broadcast(model)
+    restored = restored_words(gathered.filter("class = 'w'").select(F.col("gram").alias("w")), base, strings)
     marked = labels.filter("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("toxic"))
     learned = marked.filter(crc_mod("id", FOLDS) != HELD_OUT)
     labelled = {r.toxic: r["count"] for r in learned.groupBy("toxic").count().collect()}
-    some = [learned.filter(F.col("toxic") == y).filter(draw("id", 4, labelled.get(y, 0), most)).limit(most) for y, most in ((1, MOST_TOXIC), (0, MOST_OTHER))]
+    some = [learned.filter(F.col("toxic") == y).filter(draw("id", 4, labelled.get(y, 0), most)) for y, most in ((1, MOST_TOXIC), (0, MOST_OTHER))]
     picked = saved(some[0].union(some[1]), "picked")
     train = docs.filter("not held_out and text is not null").join(F.broadcast(picked), docs.doc_id == picked.id)
     train = train.groupBy(F.sha2("text", 256).alias("digest")).agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
     train = saved(train.select("digest", "toxic", "text"), "training")
-    seen = train.select("text", "toxic").mapInArrow(_evidence(shared), "f string, t long, n long, ct long, cn long").groupBy("f").agg(*(F.sum(c).alias(c) for c in ("t", "n", "ct", "cn")))
+    blocks = max(1, -(-int(train.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // TEXTS_TOGETHER))
+    train = train.withColumn("block", F.pmod(F.xxhash64("digest"), F.lit(blocks)))
+    asked = train.select("block", "text").mapInArrow(_asked, "block long, w string").distinct().join(restored, "w").select("block", "w", "words")
+    train = saved(train.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(_rewritten, "digest string, toxic int, text string"), "rewritten")
+    seen = train.select("text", "toxic").mapInArrow(_evidence, "f string, t long, n long, ct long, cn long").groupBy("f").agg(*(F.sum(c).alias(c) for c in ("t", "n", "ct", "cn")))
     seen = saved(seen, "evidence")
     whole = seen.filter(F.col("f") == ALL).first()
     if whole is None or not whole.t or not whole.n:
         return nothing
     lift = (F.col("ct") / max(whole.ct, 1)) / ((F.col("cn") + 0.5) / max(whole.cn, 1))
-    some = seen.filter(F.col("f") != ALL).withColumn("lift", lift).filter(F.col("t") >= LEAST_NEW).filter(F.col("lift") >= LEAST_LIFT)
-    top = some.orderBy(F.desc(F.col("t") * F.log("lift")), "f").limit(MOST_FEATURES).toPandas()
+    # bounded as the sample is: features of at least LEAST_NEW of its toxic texts
+    top = seen.filter(F.col("f") != ALL).withColumn("lift", lift).filter(F.col("t") >= LEAST_NEW).filter(F.col("lift") >= LEAST_LIFT)
+    top = top.filter(F.col("t") - F.col("n") / whole.n * whole.t >= LEAST_NEW).toPandas().sort_values("f", ignore_index=True)
     chosen = spark.sparkContext.broadcast(top["f"].tolist())
-    held = train.filter("toxic = 1").select("text").mapInArrow(_holding(shared, chosen), "held array<long>").toPandas()["held"]
+    held = train.filter("toxic = 1").select("text").mapInArrow(_holding(chosen), "held array<long>").toPandas()["held"]
     kept = cover(list(held), top["n"].to_numpy(float) / whole.n, top["lift"].to_numpy(float)) if len(top) else []
-    words_ = spark.sparkContext.broadcast({top["f"][f]: float(min(np.log(top["lift"][f]), 6.0)) for f in kept})
-    weighed = docs.select("doc_id", "held_out", "text").mapInArrow(_weighed(shared, words_), "doc_id long, held_out boolean, weight double, hits long, size long")
-    weighed = saved(weighed, "weighed")
-    known = weighed.filter("not held_out").join(marked, weighed.doc_id == marked.id)
+    lexicon = {top["f"][f]: float(min(np.log(top["lift"][f]), 6.0)) for f in kept}
+    each = weighed(docs, lexicon, restored)
+    known = each.filter("not held_out").join(marked, each.doc_id == marked.id)
     counts = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
-    sample = [known.filter(F.col("toxic") == y).filter(draw("id", 6, counts.get(y, 0), most)).limit(most).select("weight", "size").toPandas() for y, most in ((1, MOST_TOXIC), (0, MOST_OTHER))]
+    # ids may repeat, so that the draw alone bounds nothing
+    by = F.xxhash64("doc_id", "weight", "size")
+    sample = [known.filter(F.col("toxic") == y).filter(draw("id", 6, counts.get(y, 0), most)).orderBy(by, "weight", "size").limit(most).select("weight", "size").toPandas() for y, most in ((1, MOST_TOXIC), (0, MOST_OTHER))]
     x = np.vstack([np.stack(_inputs(d["weight"].to_numpy(float), d["size"].to_numpy(float), np.log, np.minimum), 1) for d in sample])
     w = logistic(x, np.repeat([1.0, 0.0], [len(d) for d in sample]))
     # the sample may hold the toxic ones at another rate
@@ -408,9 +579,10 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     z = F.lit(float(w[-1]))
     for a, b in zip(columns, w[:-1], strict=True):
         z = z + a * float(b)
-    out = weighed.withColumn("score", 1 / (1 + F.exp(-F.least(F.greatest(z, F.lit(-40.0)), F.lit(40.0)))))
+    out = each.withColumn("score", 1 / (1 + F.exp(-F.least(F.greatest(z, F.lit(-40.0)), F.lit(40.0)))))
     return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "hits")
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document of the table: doc_id, held_out, score, predicted, hits."""
     return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -41,21 +41,31 @@ def test_quality_without_labels_or_rows(spark):
     assert quality.score(docs.limit(0), labels).count() == 0
 
 
+def _channel(spark, text):
+    grams = pa.Table.from_batches(list(kneser.grams(text.split(), np.ones(len(text.split()), np.int64), "")))
+    base, strings = kneser.estimated(spark.createDataFrame(grams.to_pandas()), hashed=False)
+    return toxicity.Channel(base, {r.s: (r.c, r.total, r.types) for r in strings.collect()})
+
+
+def _words(c, texts):
+    """(document, word) of the restored texts."""
+    doc, code, names, odd = toxicity.written(pa.array(texts))
+    of = [c.restored(w) if o else [w] for w, o in zip(names, odd)]
+    return [(d, w) for d, k in zip(doc.tolist(), code.tolist()) for w in of[k]]
+
+
 def test_channel_restores_disguised_words(spark):
     text = "you idiot and the moron with the stupid clown in the trash said the loser was pathetic scum lol pool see book " * 3
-    model = kneser.fit(kneser.counts(spark.createDataFrame([(text,)], "text string"), classed=False).toArrow())
-    c = toxicity.Channel(model)
+    c = _channel(spark, text)
     for shown, want in (("1d10t", "idiot"), ("m0r0n", "moron"), ("$tup1d", "stupid"), ("cl0wn!!", "clown"), ("i.d.i.o.t", "idiot"), ("losssser", "loser"), ("idiot,", "idiot"), ("the", "the"), ("2024", "2024"), ("", "")):
         assert c.restore(shown) == want, shown
-    doc, code, names = toxicity.tokens(c, pa.array(["a plain l o s e r here", None, ""]))
-    assert "loser" in {names[k] for k in code.tolist()}
+    assert (0, "loser") in _words(c, ["a plain l o s e r here", None, ""])
 
 
 def test_decode_is_the_best_path(spark):
     from itertools import product
 
-    model = kneser.fit(kneser.counts(spark.createDataFrame([("silly billy will spill the milk with all his skill " * 3,)], "text string"), classed=False).toArrow())
-    c = toxicity.Channel(model)
+    c = _channel(spark, "silly billy will spill the milk with all his skill " * 3)
     for word in ("s1l1y", "m1|k", "sp1lll", "w.1.l.l", "b1llly"):
         best = None
         for path in product(*c.lattice(word)):
@@ -82,6 +92,24 @@ def test_toxicity(spark):
     assert toxicity.score(docs.limit(0), labels).count() == 0
 
 
+def test_what_restoring_looks_up_is_all_that_it_needs(spark):
+    c = _channel(spark, "you idiot and the moron with the stupid clown in the trash said the loser " * 3)
+    for w in ("1d10t", "stuupid", "i.d.i.o.t!!", " thel0ser", "mmoronn", "idi" + "o" * 200 + "t"):
+        keys = c.needed([w])
+        part = toxicity.Channel(c.base, {s: x for s, x in c.strings.items() if s in keys})
+        assert part.restored(w) == c.restored(w), w
+        assert set(part.strings) < set(c.strings)
+
+
+def test_joined_disguised_words_weigh_as_broadcast_ones(spark):
+    rows = [(1, "you 1d10t and i d i o t and 1d10t", False), (2, None, False), (3, "", True), (None, "an idiot stuupid", True), (1, "no", False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")
+    restored = spark.createDataFrame([("1d10t", ["idiot"]), (" idiot", ["idiot"]), ("stuupid", ["stupid"])], "w string, words array<string>")
+    lexicon = {"idiot$": 2.0, "stupid$": 1.5}
+    some = [sorted(map(tuple, toxicity.weighed(docs, lexicon, restored, few=few).collect()), key=str) for few in (10, 0)]
+    assert some[0] == some[1] and (1, False, 6.0, 3, 10) in some[0] and (None, True, 3.5, 2, 3) in some[0]
+
+
 def test_cover_leaves_out_words_of_a_group_of_copies():
     held = [[0, 1, 2]] * 50 + [[0]] * 20
     assert toxicity.cover(held, np.array([0.01, 0.0, 0.0]), np.array([70, 500, 500])) == [0]
@@ -89,22 +117,19 @@ def test_cover_leaves_out_words_of_a_group_of_copies():
 
 def test_doubled_letters_of_any_script_are_restored(spark):
     text = "you idiot and the moron with the stupid clown in the trash said the loser дурак большой " * 3
-    c = toxicity.Channel(kneser.fit(kneser.counts(spark.createDataFrame([(text,)], "text string"), classed=False).toArrow()))
+    c = _channel(spark, text)
     for shown, want in (("stuupid", "stupid"), ("iddiiot", "idiot"), ("mmoronn", "moron"), ("дураак", "дурак"), ("дураааак!", "дурак")):
         assert c.restore(shown) == want, shown
-        doc, code, names = toxicity.tokens(c, pa.array([f"a {shown} here"]))
-        assert want in {names[k] for k in code.tolist()}, shown
+        assert (0, want) in _words(c, [f"a {shown} here"]), shown
 
 
 def test_long_words_and_spelled_out_passages(spark):
     text = "you idiot and the moron with the stupid clown in the trash said the loser a is so " * 3
-    c = toxicity.Channel(kneser.fit(kneser.counts(spark.createDataFrame([(text,)], "text string"), classed=False).toArrow()))
+    c = _channel(spark, text)
     assert c.restore("idi" + "o" * 100 + "t") == "idiot"
     assert c.restore("1d10t." * 30) == "idiot" * 30
     for shown, want in (("you stupid", ["you", "stupid"]), ("a stupid", ["a", "stupid"]), ("is stupid", ["is", "stupid"]), ("the m0r0n", ["the", "moron"])):
-        doc, code, names = toxicity.tokens(c, pa.array([" ".join(shown.replace(" ", ""))]))
-        assert [names[k] for k in code.tolist()][-len(want) :] == want, shown
+        assert [w for _, w in _words(c, [" ".join(shown.replace(" ", ""))])][-len(want) :] == want, shown
     passage = "you stupid clown and the moron with the loser " * 20
-    doc, code, names = toxicity.tokens(c, pa.array([None, " ".join(passage.replace(" ", "")), " ".join("the?idiot")]))
-    found = [(d, names[k]) for d, k in zip(doc.tolist(), code.tolist())]
+    found = _words(c, [None, " ".join(passage.replace(" ", "")), " ".join("the?idiot")])
     assert sum(x == (1, "stupid") for x in found) == 20 and (2, "idiot") in found and (2, "the") in found
