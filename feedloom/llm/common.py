@@ -112,6 +112,11 @@ def words(text: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, p
     return doc, np.asarray(coded.indices).astype(np.int64), coded.dictionary
 
 
+def listed(names: pa.Array) -> list[str]:
+    """The strings of an array without nulls; several times as fast as its own to_pylist()."""
+    return names.to_numpy(zero_copy_only=False).tolist()
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words (xor-shift and multiply)."""
     x = x ^ (x >> np.uint64(30))

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import mix64, saved, text_blocks, words
+from feedloom.llm.common import listed, mix64, saved, text_blocks, words
 
 ORDER = 4
 #: The mark before and after a run of letters.
@@ -84,11 +84,11 @@ def _counted(order: int):
             if not len(doc):
                 continue
             classes = pc.cast(block.column("class"), pa.string()).dictionary_encode()
-            kind, listed = np.asarray(classes.indices)[doc], names.to_pylist()
+            kind, own = np.asarray(classes.indices)[doc], listed(names)
             for k, name in enumerate(classes.dictionary.to_pylist()):
-                yield from grams(listed, np.bincount(code[kind == k], minlength=len(listed)), name, order)
+                yield from grams(own, np.bincount(code[kind == k], minlength=len(own)), name, order)
             # the next block comes before these names are bound anew
-            del doc, code, names, listed
+            del doc, code, names, own
 
     return run
 

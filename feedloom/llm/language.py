@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm import kneser
-from feedloom.llm.common import crc_mod, dropped, fresh, release, saved, table, text_blocks, words
+from feedloom.llm.common import crc_mod, dropped, fresh, listed, release, saved, table, text_blocks, words
 
 FOLDS, HELD_OUT = 3, 1
 #: A text is rejected if its cross-entropy lies this many standard deviations above the mean of training texts of its
@@ -50,7 +50,7 @@ def _bags(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size += int(pc.sum(pc.binary_length(slice_.column("text"))).as_py() or 0)
         doc, code, names = words(slice_.column("text"))
         first = len(known)
-        of = np.array([known.setdefault(w, len(known)) for w in names.to_pylist()], np.int64)
+        of = np.array([known.setdefault(w, len(known)) for w in listed(names)], np.int64)
         new = list(islice(known, first, None))
         pair, times = np.unique(doc * max(len(known), 1) + of[code], return_counts=True)
         at, code = pair // max(len(known), 1), pair % max(len(known), 1)
@@ -78,7 +78,7 @@ def _scored(base: kneser.Base):
         p, size = np.zeros((0, len(model.classes))), np.zeros(0)
         if model.classes:
             names = bags.column("names").combine_chunks().flatten()
-            scores = [model.word_scores(names.slice(i, AT_ONCE).to_pylist()) for i in range(0, len(names), AT_ONCE)]
+            scores = [model.word_scores(listed(names.slice(i, AT_ONCE))) for i in range(0, len(names), AT_ONCE)]
             if scores:
                 p, size = np.concatenate([x for x, _ in scores]), np.concatenate([x for _, x in scores])
         out = []

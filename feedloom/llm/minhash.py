@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import dropped, fresh, mix64, saved, table, tasks, text_blocks, words
+from feedloom.llm.common import dropped, fresh, listed, mix64, saved, table, tasks, text_blocks, words
 from feedloom.llm.components import components
 
 SHINGLE = 5
@@ -31,7 +31,7 @@ def shingle_sets(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     doc, code, names = words(text)
     if not len(doc):
         return doc, np.zeros(0, np.uint64)
-    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in names.to_pylist()), np.uint64, len(names))[code]
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in listed(names)), np.uint64, len(names))[code]
     n = np.bincount(doc, minlength=len(text))
     start = np.concatenate([[0], np.cumsum(n)[:-1]])
     whole = len(doc) - SHINGLE + 1

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from feedloom.llm.common import words
+from feedloom.llm.common import listed, words
 
 #: Texts of these characters need no Unicode normalisation: ASCII and the Latin letters of one byte in ISO 8859-1.
 _PLAIN = r"^[\t-\r -~À-ÿ]*$"
@@ -68,7 +68,7 @@ class Pieces:
                 continue
             some = text.take(pa.array(where))
             doc, code, names = words(pc.utf8_lower(some) if lower else some, lower=False)
-            names = names.to_pylist()
+            names = listed(names)
             ids = self._plain_words(names) if lower else [e.ids for e in self.tokenizer.encode_batch(names, add_special_tokens=False)]
             parts.append((where[doc], code, ids))
         n = np.zeros(len(text), np.int64)

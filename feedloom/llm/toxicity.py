@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm import kneser
-from feedloom.llm.common import crc_mod, dropped, fresh, release, saved, table, text_blocks, words
+from feedloom.llm.common import crc_mod, dropped, fresh, listed, release, saved, table, text_blocks, words
 
 FOLDS, HELD_OUT = 5, 0
 #: What a written sign may stand for.
@@ -218,15 +218,56 @@ def _repeats(word: str) -> bool:
     return any(a == b and a.isalpha() for a, b in zip(word, word[1:], strict=False))
 
 
+_ASCII = np.array([chr(i).isalpha() and i < 128 for i in range(256)])
+
+
 def _repeating(names: pa.Array) -> np.ndarray:
     """_repeats() of each word, none of which holds a line break."""
-    raw = np.frombuffer(("\n".join(names.to_pylist()) + "\n").encode("utf-32-le", "replace"), np.uint32)
     out = np.zeros(len(names), bool)
-    twice = np.flatnonzero((raw[1:] == raw[:-1]) & kneser.letters()[raw[1:]])
-    out[np.cumsum(raw == 10)[twice]] = True
+    wide = np.int32 if pa.types.is_string(names.type) else np.int64
+    at = np.frombuffer(names.buffers()[1], wide)[names.offset : names.offset + len(names) + 1].astype(np.int64)
+    data = np.frombuffer(names.buffers()[2] or b"", np.uint8)[at[0] : at[-1]]
+    at = at - at[0]
+    twice = np.flatnonzero((data[1:] == data[:-1]) & _ASCII[data[1:]])
+    word = np.searchsorted(at, twice, "right") - 1
+    out[word[twice + 1 < at[word + 1]]] = True
+    # bytes are not letters beyond ASCII
+    wide = np.unique(np.searchsorted(at, np.flatnonzero(data >= 0x80), "right") - 1)
+    wide = wide[~out[wide]]
+    if len(wide):
+        raw = np.frombuffer(("\n".join(listed(names.take(pa.array(wide)))) + "\n").encode("utf-32-le", "replace"), np.uint32)
+        twice = np.flatnonzero((raw[1:] == raw[:-1]) & kneser.letters()[raw[1:]])
+        out[wide[np.cumsum(raw == 10)[twice]]] = True
     return out
 
 
+def _disguise(names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Which words are letters alone with marks behind them, none twice in a row; which of the others are disguised."""
+    plain = np.asarray(pc.match_substring_regex(names, _CLEAN)) & ~_repeating(names)
+    return plain, ~plain & np.asarray(pc.match_substring_regex(names, r"\pL"))
+
+
+_MARKS = ".,;:!?)\"'-"
+
+
+def _runs(doc: np.ndarray, code: np.ndarray, names: pa.Array) -> tuple[list[int], list[int], list[str]]:
+    """Documents, codes and texts of runs of SPACED or more single characters; a run ends with its document."""
+    single = (np.asarray(pc.utf8_length(names)) == 1)[code]
+    if not single.any():
+        return [], [], []
+    some = np.flatnonzero(single)
+    new = np.ones(len(some), bool)
+    new[1:] = (some[1:] != some[:-1] + 1) | (doc[some[1:]] != doc[some[:-1]])
+    first = np.flatnonzero(new)
+    size = np.diff(np.append(first, len(some)))
+    raw, extra, of, more = None, {}, [], []
+    for at, n in zip(some[first[size >= SPACED]].tolist(), size[size >= SPACED].tolist(), strict=True):
+        raw = raw or {c: names[c].as_py() for c in np.unique(code[some]).tolist()}
+        more.append(extra.setdefault(RUN + "".join(raw[c] for c in code[at : at + n].tolist()), len(extra)))
+        of.append(int(doc[at]))
+    return of, more, list(extra)
+
+
 def written(text: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
     """Words as written, lower-cased: document and code of each, the words, and which of them are disguised - those are
     whole, the others without marks at their ends. Runs of SPACED or more single characters, of any length, come as
@@ -234,26 +275,13 @@ def written(text: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarr
     doc, code, names = words(pc.utf8_lower(pc.fill_null(text, "")), lower=False)
     if not len(doc):
         return doc, code, [], np.zeros(0, bool)
-    plain = np.asarray(pc.match_substring_regex(names, _CLEAN)) & ~_repeating(names)
-    odd = ~plain & np.asarray(pc.match_substring_regex(names, r"\pL"))
-    raw = names.to_pylist()
-    listed = pc.if_else(pa.array(plain), pc.utf8_trim(names, ".,;:!?)\"'-"), names).to_pylist()
-    single = (np.asarray(pc.utf8_length(names)) == 1)[code]
-    if single.any():
-        # a run ends with its document
-        group = np.cumsum(np.concatenate([[True], (doc[1:] != doc[:-1]) | ~single[1:] | ~single[:-1]]))
-        some = np.flatnonzero(single)
-        runs, first, size = np.unique(group[some], return_index=True, return_counts=True)
-        long = size >= SPACED
-        extra: dict[str, int] = {}
-        of, more = [], []
-        for at, n in zip(some[first[long]].tolist(), size[long].tolist(), strict=True):
-            more.append(extra.setdefault(RUN + "".join(raw[c] for c in code[at : at + n].tolist()), len(extra)))
-            of.append(doc[at])
-        if extra:
-            doc, code = np.concatenate([doc, of]), np.concatenate([code, np.array(more) + len(listed)])
-            listed, odd = listed + list(extra), np.concatenate([odd, [any(map(str.isalpha, x)) for x in extra]])
-    return doc, code, listed, odd
+    plain, odd = _disguise(names)
+    of, more, extra = _runs(doc, code, names)
+    out = listed(pc.if_else(pa.array(plain), pc.utf8_trim(names, _MARKS), names))
+    if extra:
+        doc, code = np.concatenate([doc, of]), np.concatenate([code, np.array(more) + len(out)])
+        out, odd = out + extra, np.concatenate([odd, [any(map(str.isalpha, x)) for x in extra]])
+    return doc, code, out, odd
 
 
 def features(word: str) -> list[str]:
@@ -336,7 +364,7 @@ def _pairs(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str
     document."""
     doc, code, restored = words(text, lower=False)
     number: dict[str, int] = {}
-    per = [[number.setdefault(f, len(number)) for f in features(w)] for w in restored.to_pylist()]
+    per = [[number.setdefault(f, len(number)) for f in features(w)] for w in listed(restored)]
     size = np.fromiter(map(len, per), np.int64, len(per))
     flat = np.fromiter((x for y in per for x in y), np.int64, int(size.sum()))
     if not len(flat):
@@ -434,30 +462,62 @@ def _weighed(lexicon, disguised):
     `odd`, with their numbers, and weigh nothing."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, known = _weigher(lexicon.value), disguised.value if disguised else {}
-        for block in text_blocks(batches):
+        whole, heads = _Lookup({f[:-1]: w for f, w in lexicon.value.items() if f.endswith("$")}), {}
+        for n in HEADS:
+            heads[n] = _Lookup({f: w for f, w in lexicon.value.items() if len(f) == n and not f.endswith("$")})
+        known = disguised.value if disguised else {}
+        odds = _Lookup({w: x for w, (x, _) in known.items()})
+        found = np.array([n for _, n in known.values()] + [0], float)
+        for block in text_blocks(batches, limit=BLOCK):
             rows = len(block)
-            doc, code, names, odd = written(block.column("text"))
-            total, hits, size, others = np.zeros(rows), np.zeros(rows, np.int64), np.zeros(rows, np.int64), [[] for _ in range(rows)]
+            doc, code, names = words(pc.utf8_lower(pc.fill_null(block.column("text"), "")), lower=False)
+            size = np.bincount(doc, minlength=rows).astype(np.int64)
+            total, hits, others = np.zeros(rows), np.zeros(rows), [[] for _ in range(rows)]
             if len(doc):
-                each = np.array([(known.get(w, _NOTHING) if o else of(w)) for w, o in zip(names, odd.tolist(), strict=True)], float)
-                each = each[code]
-                total = np.bincount(doc, weights=each[:, 0], minlength=rows)
-                hits = np.bincount(doc, weights=each[:, 1], minlength=rows).astype(np.int64)
-                runs = np.array([w.startswith(RUN) for w in names])
-                size = np.bincount(doc[~runs[code]], minlength=rows).astype(np.int64)
+                of, more, extra = _runs(doc, code, names)
+                bare = pc.utf8_trim(names, _MARKS)
+                weight, hit = np.zeros(len(names) + len(extra)), np.zeros(len(names) + len(extra))
+                long = np.asarray(pc.utf8_length(bare)) > SHORT
+                for n, look in ((0, whole), *heads.items()):
+                    if len(look.known):
+                        where, w = look(pc.utf8_slice_codeunits(bare, 0, n) if n else bare)
+                        ok = (where >= 0) & (long | (n == 0))
+                        weight[: len(names)] += np.where(ok, w, 0.0)
+                        hit[: len(names)] += ok & (w > 0)
+                some = np.flatnonzero(weight[: len(names)])
+                if len(some):  # what is disguised weighs as what it stands for
+                    plain, odd = _disguise(names.take(pa.array(some)))
+                    weight[some[odd]] = hit[some[odd]] = 0
+                if len(odds.known):
+                    where, w = odds(pa.concat_arrays([names, pa.array(extra, names.type)]))
+                    weight += np.where(where >= 0, w, 0.0)
+                    hit += np.where(where >= 0, found[where], 0.0)
+                at = np.concatenate([doc, np.array(of, np.int64)])
+                code = np.concatenate([code, np.array(more, np.int64) + len(names)])
+                total, hits = np.bincount(at, weights=weight[code], minlength=rows), np.bincount(at, weights=hit[code], minlength=rows)
                 if not disguised:
-                    some = odd[code]
-                    pair, times = np.unique(doc[some] * len(names) + code[some], return_counts=True)
+                    odd = np.concatenate([_disguise(names)[1], [any(map(str.isalpha, x)) for x in extra]]).astype(bool)
+                    written_ = listed(names) + extra
+                    pair, times = np.unique(at[odd[code]] * len(odd) + code[odd[code]], return_counts=True)
                     for p, n in zip(pair.tolist(), times.tolist(), strict=True):
-                        others[p // len(names)].append({"w": names[p % len(names)], "n": n})
-            columns = [block.column("row"), block.column("doc_id"), block.column("held_out"), pa.array(total), pa.array(hits), pa.array(size)]
+                        others[p // len(odd)].append({"w": written_[p % len(odd)], "n": n})
+            columns = [block.column("row"), block.column("doc_id"), block.column("held_out"), pa.array(total), pa.array(hits.astype(np.int64)), pa.array(size)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(others, pa.list_(pa.struct({"w": pa.string(), "n": pa.int64()})))], names=["row", "doc_id", "held_out", "weight", "hits", "size", "odd"])
 
     return run
 
 
-_NOTHING = (0.0, 0)
+class _Lookup:
+    """Weights of words, by hash: places in `known` (-1 for none) and weights."""
+
+    def __init__(self, weights: dict[str, float]):
+        self.known, self.weights = pa.array(list(weights), pa.string()), np.array([*weights.values(), 0.0])
+
+    def __call__(self, names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        where = np.asarray(pc.fill_null(pc.index_in(names, value_set=self.known), -1))
+        return where, self.weights[where]
+
+
 _WEIGHED = "row long, doc_id long, held_out boolean, weight double, hits long, size long, odd array<struct<w:string,n:bigint>>"
 
 

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import fresh, table, text_blocks, words
+from feedloom.llm.common import fresh, listed, table, text_blocks, words
 
 #: Words that a worker remembers between blocks.
 REMEMBERED = 500_000
@@ -110,7 +110,7 @@ def _counted(path: str):
             if len(seen) > REMEMBERED:
                 seen.clear()
             sizes = []
-            for w in names.to_pylist():
+            for w in listed(names):
                 n = seen.get(w)
                 if n is None:
                     n = seen[w] = count(w)
