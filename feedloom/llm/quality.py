@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,11 +13,10 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import crc_mod, fresh, saved, table, text_blocks, words
 
 FOLDS, HELD_OUT = 3, 1
-#: The fit takes at most so many labelled positives and so many unlabelled texts of the training folds, by a seeded hash.
-MOST_POSITIVE, MOST_UNLABELLED = 20_000, 40_000
 #: Bytes of text that a worker describes at once; blocks twice as large cost as much time and more memory.
 BLOCK = 2 << 20
-STEPS, RATE, DECAY = 600, 0.05, 1e-4
+#: Newton steps at most, half steps at most, the ridge, and the step that ends the fit.
+STEPS, HALVES, DECAY, STILL = 25, 12, 1e-4, 1e-5
 #: Cells of the score distributions that the class prior is read from, and the least share of positives above a cut.
 CELLS, TOP = 200, 0.2
 
@@ -89,31 +88,78 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, guard: bool = True) -> np.ndarray:
-    """Weights (bias last) of a linear score that minimise the non-negative unbiased risk with logistic losses.
+def sums(x: np.ndarray, p: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """What a Newton step needs of rows (the last input is 1): of all rows and of positives, their number, the sums of
+    log(1 + exp(z)), of log(1 + exp(-z)), of its gradient, and of the second derivatives."""
+    out = []
+    for some in (x, x[p]):
+        z = some @ w
+        s = sigmoid(z)
+        out += [[len(some), np.logaddexp(0, z).sum(), np.logaddexp(0, -z).sum()], some.T @ s, some.sum(0), ((some * (s * (1 - s))[:, None]).T @ some).ravel()]
+    return np.concatenate(out)
 
-    risk = prior * mean loss(+, positives) + max(0, mean loss(-, unlabelled) - prior * mean loss(-, positives)); where
-    the part in the maximum is negative, the step goes the other way along it. guard=False is the plain classifier of
-    positives against unlabelled texts.
+
+def fit(summed: Callable[[np.ndarray], np.ndarray], size: int, prior: float | None) -> np.ndarray:
+    """Weights (bias last) of a linear score that minimise the non-negative unbiased risk with logistic losses, by damped
+    Newton steps; summed(w) gives sums() over all rows.
+
+    risk = prior * mean loss(+, positives) + max(0, mean loss(-, all) - prior * mean loss(-, positives)). The unbiased
+    risk is convex; a step that would make the part in the maximum negative is halved, so the fit ends on the side where
+    it isn't. Without a prior: the plain classifier of positives against all rows.
     """
-    p, u = (np.hstack([x, np.ones((len(x), 1))]) for x in (positive, unlabelled))
-    w = np.zeros(p.shape[1])
-    m, v = np.zeros_like(w), np.zeros_like(w)
-    for step in range(1, STEPS + 1):
-        zp, zu = p @ w, u @ w
-        up = p.T @ (sigmoid(zp) - 1) / len(p)  # gradient of mean log(1 + exp(-z)) over positives
-        if guard:
-            negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-            g = u.T @ sigmoid(zu) / len(u) - prior * (p.T @ sigmoid(zp)) / len(p)
-            g = prior * up + g if negative >= 0 else -g
+
+    def risk(w: np.ndarray):
+        parts = np.split(summed(w), np.cumsum([3, size, size, size * size, 3, size, size])[:7])
+        (n, minus, _), g, _, h, (n_p, minus_p, plus_p), g_p, x_p, h_p = parts
+        h, h_p = h.reshape(size, size) / n, h_p.reshape(size, size) / n_p
+        up, down = (g_p - x_p) / n_p, g / n
+        ridge = DECAY * 0.5 * (w @ w)
+        if prior is None:
+            return plus_p / n_p + minus / n + ridge, 0.0, up + down + DECAY * w, h + h_p
+        negative = minus / n - prior * minus_p / n_p
+        return prior * plus_p / n_p + negative + ridge, negative, prior * (up - g_p / n_p) + down + DECAY * w, h
+
+    w = np.zeros(size)
+    value, _, g, h = risk(w)
+    for _ in range(STEPS):
+        step = np.linalg.solve(h + (DECAY + 1e-8) * np.eye(size), g)
+        for half in range(HALVES):
+            next_ = w - step / 2**half
+            new, negative, g_, h_ = risk(next_)
+            if new <= value and negative >= 0:
+                break
         else:
-            g = up + u.T @ sigmoid(zu) / len(u)
-        g = g + DECAY * w
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w = w - RATE * (0.1 + 0.9 * (1 - step / STEPS)) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+            return w
+        moved = np.abs(next_ - w).max()
+        w, value, g, h = next_, new, g_, h_
+        if moved < STILL:
+            break
     return w
 
 
+def _summed(train: DataFrame, mean: np.ndarray, scale: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+    """sums() over a table (x, p) of described rows; the engine adds what its tasks have."""
+
+    def of(w: np.ndarray) -> np.ndarray:
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = 0.0
+            for batch in batches:
+                if len(batch):
+                    total = total + sums(_scaled(batch.column("x"), mean, scale), np.asarray(batch.column("p").cast(pa.int8())).astype(bool), w)
+            if np.ndim(total):
+                yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array(total)], names=["i", "v"])
+
+        rows = train.select("x", "p").mapInArrow(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).toPandas()
+        return rows.sort_values("i")["v"].to_numpy()
+
+    return of
+
+
+def _scaled(x: pa.Array, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    flat = np.asarray(x.flatten(), float).reshape(len(x), len(mean))
+    return np.hstack([(flat - mean) * scale, np.ones((len(x), 1))])
+
+
 def _linear(w: np.ndarray):
     """The score of a feature array, as an expression of the engine."""
     terms = F.aggregate(F.zip_with("x", F.array(*(F.lit(float(a)) for a in w[:-1])), lambda a, b: a.cast("double") * b), F.lit(float(w[-1])), lambda a, b: a + b)
@@ -138,8 +184,8 @@ def score(docs: DataFrame, labels: DataFrame, row: str | None = None) -> DataFra
     One pass describes every whole text by numbers (letters, marks, repetition, variety ...; never label, lang, source
     or id); that small table is written once. Trusted positives are texts of the training folds (crc32 of the id modulo
     3 is not 1) with quality 1; unlabelled ones are all texts of the training folds, whatever their label. Means,
-    deviations and the class prior come from all of them; the fit takes a bounded sample (MOST_POSITIVE,
-    MOST_UNLABELLED). The score is computed by expressions of the engine.
+    deviations, the class prior and every step of the fits come from all of them: a step is an aggregate of the engine,
+    of about 2,000 sums. The score is computed by expressions of the engine.
 
     Null and empty texts are described as empty and scored like others. Labels other than 1 are not learned from. An id
     that is labelled twice counts once as positive if any label is 1. Null ids are scored, as held out if the empty text
@@ -159,21 +205,18 @@ def score(docs: DataFrame, labels: DataFrame, row: str | None = None) -> DataFra
     if n and n_p:
         mean, dev = np.array(stats[2 : 2 + len(FEATURES)]), np.array(stats[2 + len(FEATURES) :])
         scale = 1 / np.maximum(dev, 1e-3)
-        draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20))
-        some = lambda rows, of, most: np.array(rows.filter(draw < int((1 << 20) * min(1.0, 0.97 * most / of)) + 1).limit(most).select("x").toPandas()["x"].tolist(), float)
-        p, u = some(train.filter("p"), n_p, MOST_POSITIVE), some(train, n, MOST_UNLABELLED)
-        if len(p) and len(u):
-            p, u = (p - mean) * scale, (u - mean) * scale
-            raw = lambda w: np.concatenate([w[:-1] * scale, [w[-1] - (w[:-1] * scale * mean).sum()]])
-            w = fit(p, u, 0.5, guard=False)
-            # cells by rank among the sampled positives, so that they hold like shares of them
-            cuts = np.unique(np.quantile(sigmoid(p @ w[:-1] + w[-1]), np.linspace(0, 1, CELLS + 1)[1:-1]))
-            cell = F.size(F.filter(F.array(*(F.lit(float(c)) for c in cuts)), lambda c: c <= _linear(raw(w))))
-            cells = train.select(cell.alias("cell"), "p").groupBy("cell").agg(F.count_if("p").alias("p"), F.count("*").alias("u")).orderBy(F.desc("cell")).collect()
-            final = raw(fit(p, u, prior_of(cells)))
+        raw = lambda w: np.concatenate([w[:-1] * scale, [w[-1] - (w[:-1] * scale * mean).sum()]])
+        summed = _summed(train, mean, scale)
+        first = saved(train.select("p", _linear(raw(fit(summed, len(final), None))).alias("s")), "first")
+        # cells by rank among the positives, so that they hold like shares of them
+        cuts = sorted(set(first.filter("p").agg(F.percentile_approx("s", [float(q) for q in np.linspace(0, 1, CELLS + 1)[1:-1]], 10_000)).first()[0]))
+        cell = F.size(F.filter(F.array(*(F.lit(float(c)) for c in cuts)), lambda c: c <= F.col("s")))
+        cells = first.select(cell.alias("cell"), "p").groupBy("cell").agg(F.count_if("p").alias("p"), F.count("*").alias("u")).orderBy(F.desc("cell")).collect()
+        final = raw(fit(summed, len(final), prior_of(cells)))
     out = described.select(*own, "doc_id", "held_out", _linear(final).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document of the table: doc_id, held_out, score, predicted."""
     return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -5,12 +5,31 @@ from feedloom.llm import kneser, quality, toxicity
 from feedloom.llm.common import crc_fold
 
 
-def test_non_negative_risk_separates_with_the_prior():
+def _risk(x, p, w, prior):
+    """The risk and its gradient by the definition."""
+    z = x @ w
+    plus, minus = np.logaddexp(0, -z), np.logaddexp(0, z)
+    negative = minus.mean() - prior * minus[p].mean()
+    s = 1 / (1 + np.exp(-z))
+    g = prior * x[p].T @ (s[p] - 1) / p.sum() + x.T @ s / len(x) - prior * x[p].T @ s[p] / p.sum()
+    return prior * plus[p].mean() + max(0, negative) + quality.DECAY / 2 * (w @ w), negative, g + quality.DECAY * w
+
+
+def test_fit_is_the_minimum_of_the_non_negative_risk():
     rng = np.random.default_rng(1)
-    p, n = rng.normal(1.5, 1, (2000, 2)), rng.normal(-1.5, 1, (1000, 2))
-    w = quality.fit(p[:800], np.vstack([p[800:], n]), 1200 / 2200)
-    z = np.vstack([p, n]) @ w[:-1] + w[-1]
-    assert ((z > 0) == (np.arange(3000) < 2000)).mean() > 0.95
+    x = np.hstack([np.vstack([rng.normal(1.0, 1, (2000, 2)), rng.normal(-1.0, 1, (1000, 2))]), np.ones((3000, 1))])
+    p = np.arange(3000) < 800
+    for prior in (2 / 3, 0.4):
+        w = quality.fit(lambda w: quality.sums(x, p, w), 3, prior)
+        slow = np.zeros(3)
+        for _ in range(6000):  # plain gradient descent
+            slow -= 0.1 * _risk(x, p, slow, prior)[2]
+        risk, negative, g = _risk(x, p, w, prior)
+        assert negative >= 0 and np.abs(g).max() < 1e-3 and risk <= _risk(x, p, slow, prior)[0] + 1e-4
+    assert (((x @ quality.fit(lambda w: quality.sums(x, p, w), 3, 2 / 3)) > 0) == (np.arange(3000) < 2000)).mean() > 0.9
+    # with a prior that is too high the part in the maximum would turn negative: the fit stops before
+    w = quality.fit(lambda w: quality.sums(x, p, w), 3, 0.97)
+    assert np.isfinite(w).all() and _risk(x, p, w, 0.97)[1] >= 0
 
 
 def test_describe_handles_odd_texts():
