@@ -5,7 +5,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -159,63 +162,58 @@ def _order(row: tuple) -> tuple:
 
 
 def _sorted_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One sorted run of each batch of captures, with its rows' places."""
-    for batch in batches:
-        t = pa.Table.from_batches([batch]).sort_by([(c, "ascending") for c in _KEY])
-        run = uuid.uuid5(uuid.NAMESPACE_OID, f"{t.column('archive')[0]}{t.column('page_id')[0]}{len(t)}{t.column('page_id')[len(t) - 1]}").int >> 65 if len(t) else 0
-        t = t.append_column("run", pa.array([run] * len(t), pa.int64())).append_column("place", pa.array(range(len(t)), pa.int64()))
-        yield from t.to_batches()
+    """One sorted run of each batch of captures, with its rows' places; runs are numbered by task and batch."""
+    task = TaskContext.get().partitionId() << 32
+    for number, batch in enumerate(batches):
+        order = pc.sort_indices(batch, [(c, "ascending") for c in _KEY], null_placement="at_start")
+        t = batch.take(order)
+        yield pa.RecordBatch.from_arrays([*t.columns, pa.array([task + number] * len(t), pa.int64()), pa.array(range(len(t)), pa.int64())], names=[*t.schema.names, "run", "place"])
 
 
 def _merged(names: list[str]) -> Callable:
+    """Merges the slices of runs that lie in a range; rows stay in Arrow's columns, the tree sees their keys."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs: dict[int, list[tuple]] = {}
-        schema = None
-        for batch in batches:
-            schema = batch.schema
-            columns = [batch.column(c).to_pylist() for c in names]
-            for r, place, *row in zip(batch.column("run").to_pylist(), batch.column("place").to_pylist(), *columns, strict=True):
-                runs.setdefault(r, []).append((place, tuple(row)))
-        if schema is None:
+        held = list(batches)
+        if not held:
             return
-        ordered = []
-        for _, rows in sorted(runs.items()):
-            if any(a[0] > b[0] for a, b in zip(rows, rows[1:], strict=False)):  # slices of a run may come in any order
-                rows.sort(key=lambda x: x[0])
-            ordered.append(iter([(_order(row), row) for _, row in rows]))
-        out: list[tuple] = []
-        types = [schema.field(c) for c in names]
-
-        def made():
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(types)], names=names)
-
-        for _, row in LoserTree(ordered):
-            out.append(row)
-            if len(out) == 10_000:
-                yield made()
-                out.clear()
-        if out:
-            yield made()
+        part = TaskContext.get().partitionId()
+        table = pa.Table.from_batches(held).sort_by([("run", "ascending"), ("place", "ascending")])  # slices come in any order
+        number = np.asarray(table.column("run"))
+        ends = np.flatnonzero(np.append(True, number[1:] != number[:-1])).tolist() + [len(table)]
+        keys = list(zip(*(table.column(c).to_pylist() for c in _KEY), strict=True))
+        slices = [((_order(keys[i]), i) for i in range(a, b)) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        order = np.fromiter((i for _, i in LoserTree(slices)), np.int64, len(table))
+        for at in range(0, len(order), 10_000):
+            some = table.select(names).take(pa.array(order[at : at + 10_000])).combine_chunks()
+            some = some.append_column("part", pa.array([part] * len(some), pa.int32())).append_column("at", pa.array(range(at, at + len(some)), pa.int64()))
+            yield from some.to_batches()
 
     return run
 
 
-def index(captures: DataFrame, rows: int) -> DataFrame:
-    """Captures (url_key, captured, page_id, archive and more) in global order of url key, time and id.
+def index(captures: DataFrame) -> DataFrame:
+    """Captures (url_key, captured, page_id, archive and more) with their position in the global order of url key, time
+    and id, nulls first.
 
     Every reading task sorts its batches to runs; the runs are dealt to ranges of the whole key, so that a url with any
-    number of captures is many ranges; each task merges its slices of the runs with a loser tree. Ranges follow the
-    order, so partitions in order are the global history.
+    number of captures is many ranges, each of about MERGE_ROWS rows; each task merges its slices of the runs with a
+    loser tree. Ranges follow the order, so a row's position is its place in the range after the rows of those before,
+    whose numbers are all that the driver sees.
     """
-    names = captures.columns
+    spark, names = captures.sparkSession, captures.columns
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in captures.schema.fields)
     runs = saved(captures.mapInArrow(_sorted_runs, f"{fields}, run long, place long"), "runs")
-    parts = max(tasks(captures.sparkSession), -(-rows // MERGE_ROWS))
-    return runs.repartitionByRange(parts, *_KEY).mapInArrow(_merged(names), fields)
+    parts = max(tasks(spark), -(-runs.count() // MERGE_ROWS))
+    merged = saved(runs.repartitionByRange(parts, *_KEY).mapInArrow(_merged(names), f"{fields}, part int, at long"), "merged")
+    sizes = sorted((r.part, r["count"]) for r in merged.groupBy("part").count().collect())
+    before = [(p, sum(n for q, n in sizes if q < p)) for p, _ in sizes]
+    offsets = spark.createDataFrame(before, "part int, before long")
+    return merged.join(F.broadcast(offsets), "part").select(*names, (F.col("before") + F.col("at")).alias("position"))
 
 
 def histories(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """Writes the archives of pages, reads them back and merges their index: a row per page in order of url and time.
+    """Writes the archives of pages, reads them back and merges their index: a row per page with its position in the order of url key, time and id.
 
     A null html is an empty payload; null urls have an empty target; null ids are kept, and among equal payloads the
     smallest id that is not null holds the payload. Rows that repeat an id repeat its record. Further columns are
@@ -223,22 +221,28 @@ def histories(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """
     spark = pages.sparkSession
     path, boundary = write(pages, least_bytes)
-    captures = read(spark, path, boundary).drop("payload")
-    return index(captures, pages.count())
+    return index(read(spark, path, boundary).drop("payload"))
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per page of the table: page_id, payload_bytes, payload_digest, record_type, refers_to, and of the merged
+    index url_key, captured and position."""
     out = histories(table(spark, sf_dir, "pages"))
-    return out.select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
+    at = F.date_format("captured", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("captured")
+    return out.select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to", "url_key", at, "position")
 
 
 SQL = """
-WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
-d AS (SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, lower(regexp_replace(regexp_replace(coalesce(url, ''), '[\\r\\n]', ' ', 'g'), '^[a-zA-Z][a-zA-Z0-9+.-]*://', '')) AS bare FROM pages),
+d AS (SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS first,
+  array_to_string(list_reverse(string_split(regexp_replace(regexp_extract(bare, '^([^/?#]*)', 1), '^www[0-9]*\\.|:[0-9]+$', '', 'g'), '.')), ',') || ')'
+    || regexp_replace(regexp_extract(bare, '^[^/?#]*([^#]*)', 1), '^$', '/') AS url_key,
+  strftime(make_timestamp((1700000000 + page_id % 100000000) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS captured FROM p)
 SELECT page_id, payload_bytes,
   array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     1 + CAST((CAST('0x' || substr(x, CAST(5 * (i // 4) + 1 AS INTEGER), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31 AS INTEGER), 1)), '') AS payload_digest,
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to,
+  url_key, captured, row_number() OVER (ORDER BY url_key, captured, page_id) - 1 AS position
 FROM d
 """

@@ -21,6 +21,8 @@ def test_archives_round_trip(spark):
     kinds = {(r.page_id, r.payload_bytes): (r.record_type, r.refers_to) for r in out}
     assert kinds[(1, 4)] == ("response", None) and kinds[(2, 4)] == ("revisit", 1) and kinds[(9, 4)] == ("revisit", 1)
     assert kinds[(4, 0)] == ("response", None) and kinds[(5, 0)] == ("revisit", 4)
+    out.sort(key=lambda r: r.position)
+    assert [r.position for r in out] == list(range(len(out)))
     keys = [(r.url_key, r.captured) for r in out]
     assert keys == sorted(keys) and ("org,example,b)/x?q=1" in {k for k, _ in keys})
     path, boundary = warc.write(pages)
@@ -29,6 +31,19 @@ def test_archives_round_trip(spark):
     assert warc.histories(pages.limit(0)).count() == 0
 
 
+def test_index_is_the_global_order(spark):
+    """Null ids and times, many small batches of one archive, a url with most captures: as one sort of all rows."""
+    rng = random.Random(5)
+    rows = [(rng.choice(["a)/", "hot)/", "hot)/", "z)/x"]), rng.choice([None, 3, 1, 2, 7]), None if rng.random() < 0.5 else rng.randint(0, 99), "one") for _ in range(3000)]
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    out = warc.index(spark.createDataFrame(rows, "url_key string, captured int, page_id long, archive string").repartition(3)).collect()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    key = lambda r: tuple((x is not None, x or 0) for x in r[:3])
+    assert [r.position for r in sorted(out, key=lambda r: r.position)] == list(range(3000))
+    assert [key(r) for r in sorted(out, key=lambda r: r.position)] == sorted(map(key, rows))
+
+
 def greedy(word: str, begin: set, go_on: set) -> int:
     at, n = 0, 0
     while at < len(word):
@@ -97,6 +112,10 @@ def test_budgets_and_prefixes(spark):
             assert abs(taken.get(leaf, 0) - budget[leaf]) <= 1.001, (leaf, share)
     mixed = mixing.mixed(docs, share=0.5, epochs=2)
     assert mixed.columns == docs.columns
+    clash = docs.withColumn("row", docs.doc_id * 0).withColumn("taken", docs.doc_id).withColumn("n_tokens", docs.doc_id)
+    assert mixing.mixed(clash, share=0.5, epochs=2).select(docs.columns).exceptAll(mixed).count() == 0 and mixing.mixed(clash, share=0.5).columns == clash.columns
+    same = spark.createDataFrame([(None, "a b c", "en", "s")] * 100, docs.schema)
+    assert sum(r.taken for r in mixing.mixture(same, share=0.5, epochs=1).collect()) == 150
     assert abs(mixed.select(mixing.tokens(mixed.text).alias("n")).agg({"n": "sum"}).first()[0] - sum(r.taken for r in mixing.mixture(docs, share=0.5).collect())) == 0
     assert mixing.mixture(docs.limit(0)).count() == 0
 
