@@ -250,4 +250,17 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, trees: int = TREES,
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per vector of the table: vec_id, n_links, component_id, kept."""
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+SQL = f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+u AS (SELECT vec_id, label, e, sqrt(list_inner_product(e, e)) AS n FROM v
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE a.n > 0 AND b.n > 0 AND list_inner_product(a.e, b.e) / (a.n * b.n) >= {COSINE}),
+r(id, o) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.id, l.b FROM r JOIN l ON l.a = r.o),
+c AS (SELECT id, min(o) AS component_id FROM r GROUP BY id), n AS (SELECT a AS id, count(*) AS n_links FROM l GROUP BY a)
+SELECT c.id AS vec_id, coalesce(n_links, 0) AS n_links, component_id, c.id = component_id AS kept FROM c LEFT JOIN n USING (id)
+"""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 from feedloom.llm import forest, language, minhash, mixing, packing, quality, topk, toxicity, warc, wordpiece
 
 QUERIES = {
@@ -16,10 +15,12 @@ QUERIES = {
     "op8_near_duplicates": minhash.op8,
     "op9_top_k": topk.op9,
     "op10_packing": packing.op10,
-    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
     "op1_warc": warc.SQL,
+    "op4_mixing": mixing.SQL,
+    "op6_near_vectors": forest.SQL,
+    "op8_near_duplicates": minhash.SQL,
     "op9_top_k": topk.SQL,
 }
