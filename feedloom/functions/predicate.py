@@ -23,6 +23,19 @@ def validate(where: dict, df: DataFrame) -> None:
                 raise ValueError(f"unknown operation {op!r}")
 
 
+def check(where: dict | None, tags: set[str] | None = None, purposes: set[str] | None = None) -> None:
+    """Refuses, before any table is there, tests that don't exist, and tags and purposes that nobody declared."""
+    for field, tests in (where or {}).items():
+        for op, value in tests.items():
+            if op not in OPS:
+                raise ValueError(f"unknown operation {op!r}")
+            known = {"tags": tags, "purposes": purposes}.get(field)
+            if known is not None and op != "matches":
+                unknown = sorted(set(value if isinstance(value, (list, tuple)) else [value]) - known)
+                if unknown:
+                    raise ValueError(f"unknown {field} {unknown}")
+
+
 def _one(c: Column, many: bool, op: str, value) -> Column:
     if op.startswith("not_"):
         return ~_one(c, many, op[4:], value)

@@ -2,25 +2,96 @@
 
 from __future__ import annotations
 
+import html
+import unicodedata
+from functools import lru_cache
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: What counts as no value.
 MISSING = ["", "tbd", "t.b.d.", "tba", "to be announced", "to be determined", "n/a"]
 #: Signs that compare alike, position by position; zero-width ones vanish.
 LIKE_FROM, LIKE_TO, ZERO_WIDTH = "\u2013\u2014\u2018\u2019\u201c\u201d", "--''\"\"", "\u200b\u200c\u200d\ufeff"
 ROOM = r"[A-Za-z]{0,2}\d{1,4}[A-Za-z]?"
-INSTITUTION = r"(?i)\b(university|institute|college|school|laboratory|lab|center|centre|inc|corp|research)\b"
+#: Words that show that a text names an institution, as patterns of whole words in any case.
+INSTITUTIONS = [
+    "universit(y|e|at|ät|à|é)", "univ\\.?", "college", "institut(e|o|)", "school", "academy",
+    "laborator(y|ies)", "lab", "centre", "center", "hospital", "foundation",
+    "observatory", "museum", "academ(y|ia)", "polytechnic",
+    "MIT", "NASA", "CERN", "NIH", "NIST", "INRIA", "EPFL", "ETH", "CNRS", "Quantinuum",
+]
+INSTITUTION = r"(?iU)\b(" + "|".join(INSTITUTIONS) + r")\b"
+#: Marks and words of sentences, which no name holds; shapes of a name's first token and of further ones
+#: (a class year, a particle).
+SENTENCE = r"(?iU)[?!:;]|\.\s|\b(and|the|for|of|in|to|on|with|from)\b"
+NAME, FURTHER = r"[A-Z][\w.'\u2019-]*", r"\*\d{2}|[a-z]{2,4}"
+_APART = "\x1f"
+
+
+def let(c: Column, f) -> Column:
+    """f(c), with c computed once: a long expression that is used several times would be written out each time."""
+    return F.element_at(F.transform(F.array(c), f), 1)
 
 
 def collapse(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
 
 
+@lru_cache
+def _tables() -> tuple[dict[str, str], dict[str, str]]:
+    """By Unicode's rules: letters with marks and the one character that they compose to; lower-case characters that
+    case folding changes further. Syllables of Hangul, which have no marks, are left out."""
+    composed, folded = {}, {}
+    for i in range(0x110000):
+        c = chr(i)
+        apart = unicodedata.normalize("NFD", c)
+        if apart != c and not 0xAC00 <= i <= 0xD7A3 and unicodedata.normalize("NFC", apart) == c:
+            composed[apart] = c
+        if c == c.lower() != c.casefold():
+            folded[c] = c.casefold()
+    return composed, folded
+
+
+def _mapped(table: dict[str, str]) -> Column:
+    """A literal map, of two strings."""
+    return F.map_from_arrays(F.split(F.lit(_APART.join(table)), _APART), F.split(F.lit(_APART.join(table.values())), _APART))
+
+
+def compose(c: Column) -> Column:
+    """Letters and their marks as one character where there is one (canonical composition). Only texts with marks are
+    taken apart."""
+    table = _mapped(_tables()[0])
+    part = lambda x: F.coalesce(F.try_element_at(table, x), F.concat(F.try_element_at(table, F.substring(x, 1, 2)), F.substr(x, F.lit(3))), x)
+    return F.when(c.rlike(r"\p{M}"), F.array_join(F.transform(F.regexp_extract_all(c, F.lit(r"(?s)(\P{M}\p{M}*|\p{M}+)"), F.lit(1)), part), "")).otherwise(c)
+
+
+def casefold(c: Column) -> Column:
+    table = _tables()[1]
+    low = F.lower(c)
+    each = F.transform(F.split(low, ""), lambda x: F.coalesce(F.try_element_at(_mapped(table), x), x))
+    return F.when(low.rlike("[" + "".join(table) + "]"), F.array_join(each, "")).otherwise(low)
+
+
 def compare_form(c: Column) -> Column:
-    """The form in which texts are equal: one dash, one quote, no zero-width signs, single spaces, lower case. Composed
-    and decomposed letters differ here; group by collate(x, 'UNICODE_CI') where they must not."""
-    return F.lower(collapse(F.translate(c, LIKE_FROM + ZERO_WIDTH, LIKE_TO)))
+    """The form in which texts are equal: composed letters, one dash, one quote, no zero-width signs, single spaces, case
+    folded."""
+    plain = lambda x: collapse(F.translate(x, LIKE_FROM + ZERO_WIDTH, LIKE_TO))
+    return F.when(c.rlike(r"^[\x00-\x7F]*$"), F.lower(collapse(c))).otherwise(let(let(c, compose), lambda x: casefold(plain(x))))
+
+
+@F.pandas_udf(T.StringType())
+def _unescaped(texts: pd.Series) -> pd.Series:
+    return texts.map(html.unescape, na_action="ignore")
+
+
+def decode_entities(c: Column) -> Column:
+    """Character references of markup decoded once; no-break spaces become spaces. Only texts with an ampersand leave the
+    engine."""
+    got = F.when(c.contains("&"), F.coalesce(_unescaped(F.when(c.contains("&"), c)), c)).otherwise(c)
+    return F.translate(got, "\u00a0", " ")
 
 
 def fold(c: Column) -> Column:
@@ -72,13 +143,13 @@ def series_spacing(c: Column) -> Column:
 
 
 def first_paragraph(c: Column, cap: int = 420) -> Column:
-    """Text before the first blank line; nothing if it begins with a label; beyond the cap, cut after the last sentence
-    that ends past half of it, else with an ellipsis."""
-    p = collapse(F.element_at(F.split(F.trim(c), r"\n\s*\n"), 1))
+    """Text before the first blank line; nothing if it begins with a label; beyond the cap, cut after the last full stop
+    before a space that lies past half of it, else with an ellipsis."""
+    p = F.trim(F.element_at(F.split(c, r"\n{2,}"), 1))
     head = F.substring(p, 1, cap)
-    sentence = F.regexp_extract(head, r"^(.*[.!?])(?:\s|$)", 1)
-    cut = F.when(F.length(sentence) > cap / 2, sentence).otherwise(F.concat(F.rtrim(head), F.lit("…")))
-    return F.when(p.rlike(r"^[A-Z][A-Za-z ]{0,30}:"), F.lit("")).when(F.length(p) <= cap, p).otherwise(cut)
+    stop = cap - F.instr(F.reverse(head), " .") - 1  # places before the last full stop
+    cut = F.when((F.instr(F.reverse(head), " .") > 0) & (stop > cap / 2), F.substr(head, F.lit(1), stop + 1)).otherwise(F.concat(F.rtrim(head), F.lit("…")))
+    return F.when(p.rlike(r"^[A-Z][A-Za-z ]{0,24}:"), F.lit("")).when(F.length(p) <= cap, p).otherwise(cut)
 
 
 def speaker_display(speakers: Column) -> Column:
@@ -94,22 +165,34 @@ def single_affiliation(speakers: Column) -> Column:
 
 def split_speaker(c: Column) -> Column:
     """Name and affiliation at the last comma, if what follows looks like an institution."""
-    tail = F.trim(F.regexp_extract(c, r"^(.*),([^,]*)$", 2))
-    ok = tail.rlike(INSTITUTION)
-    return F.struct(F.when(ok, F.trim(F.regexp_extract(c, r"^(.*),([^,]*)$", 1))).otherwise(F.trim(c)).alias("name"), F.when(ok, tail).otherwise(F.lit("")).alias("affiliation"))
+    v = collapse(c)
+    head, tail = (F.trim(F.regexp_extract(v, r"^(.*),([^,]*)$", i)) for i in (1, 2))
+    ok = (head != "") & tail.rlike(INSTITUTION)
+    return F.struct(F.when(ok, head).otherwise(v).alias("name"), F.when(ok, tail).otherwise(F.lit("")).alias("affiliation"))
 
 
 def excerpt(c: Column, cap: int) -> Column:
     return F.when(F.length(c) > cap, F.concat(F.substring(c, 1, cap - 1), F.lit("…"))).otherwise(c)
 
 
-def plural(n: Column, noun: str) -> Column:
-    return F.concat(n.cast("string"), F.lit(f" {noun}"), F.when(n == 1, F.lit("")).otherwise(F.lit("s")))
+def cell(c: Column, cap: int = 140) -> Column:
+    """Text for a cell of a table: one line, bars escaped, at most `cap` characters."""
+    return excerpt(F.replace(collapse(c), F.lit("|"), F.lit("\\|")), cap)
+
+
+def label(word: str, n: Column) -> Column:
+    """'Speaker:' for one, 'Speakers:' for more."""
+    return F.when(n > 1, F.lit(f"{word}s:")).otherwise(F.lit(f"{word}:"))
+
+
+def first_sentence(c: Column) -> Column:
+    return F.trim(F.regexp_extract(collapse(c), r"^(.*?(?:[.!?](?=\s|$)|$))", 1))
 
 
 def person_name_shape(c: Column, not_a_person: list[str]) -> Column:
-    """Two to four capitalised tokens, none a function word or a word that no name holds, no sentence marks."""
-    t = F.split(collapse(c), " ")
-    bare = lambda x: F.lower(F.regexp_replace(x, r"[^\p{L}]", ""))
-    fine = F.forall(t, lambda x: x.rlike(r"^(\p{Lu}[\p{L}'’-]*\.?|\p{Lu}\.)$"))
-    return F.size(t).between(2, 4) & ~c.rlike(r"[?!:;\"()]") & fine & ~F.exists(t, lambda x: bare(x).isin(not_a_person))
+    """Two to four tokens of a name's shape: none of a sentence's marks and words, no word that no name holds."""
+    v = collapse(c)
+    t = F.split(v, " ")
+    bare = lambda x: casefold(F.regexp_replace(x, r"(?U)[^\w]", ""))
+    shape = v.rlike(rf"(?U)^{NAME}(?: (?:{NAME}|{FURTHER}))*$")
+    return F.size(t).between(2, 4) & ~v.rlike(SENTENCE) & shape & ~F.exists(t, lambda x: bare(x).isin(list(not_a_person) or [""]))

@@ -44,6 +44,40 @@ def cadence_minutes(c: Column, default: int = 60) -> Column:
     return F.when(n != "", F.try_to_number(n, F.lit("999999")).cast("long") * per).otherwise(F.lit(default)).cast("long")
 
 
+def next_edition(now: Column, weekday: int, time: str = "12:00:00") -> Column:
+    """The day of the next edition that isn't out: of this week's, or a week later once that has been published. now: a
+    wall-clock text; weekday: 0 is Monday."""
+    day = F.date_add(week_start(F.to_date(F.substring(now, 1, 10))), weekday)
+    return F.when(now >= F.concat(day.cast("string"), F.lit("T" + time)), F.date_add(day, 7)).otherwise(day)
+
+
+def hours_between(a: Column, b: Column) -> Column:
+    """Hours from one wall-clock text to another; null if either is none."""
+    at = lambda c: F.unix_seconds(F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ss")))
+    return (at(b) - at(a)) / 3600
+
+
+def parse_stamp(c: Column) -> Column:
+    """An instant in its one canonical form, else null."""
+    return F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"), F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'")))
+
+
+def ago(minutes: Column) -> Column:
+    return (
+        F.when(minutes < 1, F.lit("less than a minute ago"))
+        .when(minutes == 1, F.lit("1 minute ago"))
+        .when(minutes < 90, F.concat(minutes.cast("string"), F.lit(" minutes ago")))
+        .otherwise(F.concat(F.round(minutes / 60).cast("int").cast("string"), F.lit(" hours ago")))
+    )
+
+
+def elapsed_window(hours: Column, window: Column) -> Column:
+    """struct(due, reason) of a scrape that is repeated after `window` hours: never made, dated in the future, or old."""
+    said = F.concat(F.lit("scraped "), F.format_string("%.1f", hours), F.lit("h ago, window is "), window.cast("string"), F.lit("h"))
+    pair = lambda d, r: F.struct(d.alias("due"), r.alias("reason"))
+    return F.when(hours.isNull(), pair(F.lit(True), F.lit("never scraped"))).when(hours < 0, pair(F.lit(True), F.lit("last scrape is dated in the future"))).otherwise(pair(hours >= window, said))
+
+
 def due(minutes_since: Column, cadence: Column, slack: int = 10) -> Column:
     """No stamp or one in the future is due; else when the wait and the slack reach the cadence."""
     return minutes_since.isNull() | (minutes_since < 0) | (minutes_since + slack >= cadence)
@@ -65,7 +99,15 @@ def time_range(start: Column, end: Column) -> Column:
     whole = midnight(start) & midnight(end) & (end.cast("date") > start.cast("date"))
     one = F.concat_ws(" ", bare_clock(start), meridiem(start))
     both = F.when(meridiem(start) == meridiem(end), bare_clock(start)).otherwise(one)
-    return F.when(whole, F.lit("All day")).when(end.isNull() | (end <= start), one).otherwise(F.concat(both, F.lit(" — "), bare_clock(end), F.lit(" "), meridiem(end)))
+    return F.when(whole, F.lit("All day")).when(end.isNull(), one).otherwise(F.concat(both, F.lit(" — "), bare_clock(end), F.lit(" "), meridiem(end)))
+
+
+def pretty_date(day: Column) -> Column:
+    return F.date_format(day, "EEEE, MMMM d")
+
+
+def pretty_clock(t: Column) -> Column:
+    return F.concat_ws(" ", F.date_format(t, "h:mm"), meridiem(t))
 
 
 def short_date(day: Column) -> Column:

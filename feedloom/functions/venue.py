@@ -19,23 +19,23 @@ def _sentinel(v: Column) -> Column:
 
 
 def _detail_dash_name(v: Column) -> Column:
-    p = rf"^({ROOM})\s+[-–—]\s+(.+)$"
+    p = r"^(.+?)\s+[-–—]\s+(.+)$"
     return F.when(v.rlike(p), _got(F.regexp_extract(v, p, 2), F.regexp_extract(v, p, 1), "detail_dash_name"))
 
 
 def _slash_room(v: Column) -> Column:
     p = r"^(.*)/([^/]*)$"
     tail = F.trim(F.regexp_extract(v, p, 2))
-    return F.when(tail.rlike(_ALONE), _got(F.regexp_extract(v, p, 1), tail, "slash_room"))
+    return F.when(tail.rlike(_ALONE) & (F.trim(F.regexp_extract(v, p, 1)) != ""), _got(F.regexp_extract(v, p, 1), tail, "slash_room"))
 
 
 def _parenthetical(v: Column) -> Column:
-    p = r"^(.+?)\s*\(([^()]+)\)$"
+    p = r"^(.*\S)\s*\(([^()]+)\)$"
     return F.when(v.rlike(p), _got(F.regexp_extract(v, p, 1), F.regexp_extract(v, p, 2), "parenthetical"))
 
 
 def _comma_room(v: Column) -> Column:
-    p = rf"(?i)^(.+?),\s*(?:room|rm\.?)?\s*({ROOM})$"
+    p = rf"(?i)^(.*\S)\s*,\s*(?:room|rm\.?|suite|ste\.?)?\s*({ROOM})$"
     return F.when(v.rlike(p), _got(F.regexp_extract(v, p, 1), F.regexp_extract(v, p, 2), "comma_room"))
 
 

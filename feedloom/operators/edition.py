@@ -9,16 +9,27 @@ from feedloom.functions import timex
 from feedloom.functions.text import fold
 
 
-def resolved(publication: Column, start: tuple[str, int], end: tuple[str, int], weekday: int) -> dict[str, Column]:
-    """Coverage bounds as wall-clock texts, and whether the publication day is off schedule."""
+def resolved(publication: Column, start: tuple[str, int], end: tuple[str, int], weekday: int, time: str = "12:00:00", deadline: tuple[str, int, str] | None = None) -> dict[str, Column]:
+    """Coverage bounds, publication and deadline as wall-clock texts, and whether the publication day is off schedule. A
+    window that ends before it starts is an error. deadline: anchor, offset, time; without one it is null."""
     first, last = timex.anchor(start[0], publication, start[1]), timex.anchor(end[0], publication, end[1])
+    day = lambda d: F.date_format(d, "yyyy-MM-dd")
+    last = F.when(last >= first, last).otherwise(F.raise_error(F.lit("the coverage window ends before it starts")).cast("date"))
     return {
-        "coverage_start": F.concat(F.date_format(first, "yyyy-MM-dd"), F.lit("T00:00:00")),
-        "coverage_end": F.concat(F.date_format(last, "yyyy-MM-dd"), F.lit("T23:59:59")),
+        "coverage_start": F.concat(day(first), F.lit("T00:00:00")),
+        "coverage_end": F.concat(day(last), F.lit("T23:59:59")),
+        "publication_at": F.concat(day(publication), F.lit(f"T{time}")),
+        "deadline_at": F.concat(day(timex.anchor(deadline[0], publication, deadline[1])), F.lit(f"T{deadline[2]}")) if deadline else F.lit(None).cast("string"),
         "shifted": publication != F.date_add(timex.week_start(publication), weekday),
     }
 
 
+def dropped(included: DataFrame, drop: DataFrame, key: str = "id") -> tuple[DataFrame, DataFrame]:
+    """What an editor keeps and what they took out by hand (drop: the key)."""
+    ids = drop.select(key).distinct()
+    return included.join(ids, key, "left_anti"), included.join(ids, key, "left_semi")
+
+
 def bucket(start_time: Column, purposes: Column, purpose: str | None, lo: Column, hi: Column) -> Column:
     """struct(bucket, reason): malformed starts, then purposes, then the window (both ends inside)."""
     pair = lambda b, r: F.struct(F.lit(b).alias("bucket"), F.lit(r).alias("reason"))

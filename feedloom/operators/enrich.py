@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.functions import text
+
 
 def select_first(html: Column, *classes: str) -> Column:
     """Text of the first class in the list that the page has as a div, else ''."""
@@ -15,7 +17,9 @@ def select_first(html: Column, *classes: str) -> Column:
 def scraped(records: DataFrame, pages: DataFrame, url: str, value: Column, reject: str | None = None) -> DataFrame:
     """Records with `status` and `value`: no_url, http_error, network_error, selector_miss, rejected or filled. Pages
     are made distinct by url first, so each is read once; pages hold url, code (null: network error) and body."""
-    once = pages.dropDuplicates(["url"]).select(F.col("url").alias("_url"), "code", value.alias("_value"))
+    # of several bodies of a url the one that was reached, then the least
+    once = pages.groupBy("url").agg(F.min_by(F.struct("code", "body"), F.struct(F.coalesce(F.col("code") != 200, F.lit(True)), "code", "body")).alias("_p"))
+    once = once.select("url", "_p.code", "_p.body").select(F.col("url").alias("_url"), "code", value.alias("_value"))
     out = records.join(once, records[url] == F.col("_url"), "left")
     status = F.when(F.coalesce(F.col(url), F.lit("")) == "", F.lit("no_url")).when(F.col("code").isNull(), F.lit("network_error")).when(F.col("code") != 200, F.lit("http_error")).when(F.coalesce("_value", F.lit("")) == "", F.lit("selector_miss"))
     if reject:
@@ -30,15 +34,60 @@ def fill(current: Column, value: Column, missing: Column | None = None) -> Colum
     return F.when(empty & (value != ""), value).otherwise(current)
 
 
+def select_all(html: Column, *classes: str) -> Column:
+    """Texts of every div of the first class in the list that has any, distinct, in their order."""
+    bare = lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, "<[^>]+>", " "), r"\s+", " "))
+    of = lambda c: F.array_distinct(F.filter(F.transform(F.regexp_extract_all(html, F.lit(rf'(?s)<div[^>]*class="(?:[^"]* )?{c}(?: [^"]*)?"[^>]*>(.*?)</div>'), F.lit(1)), bare), lambda x: x != ""))
+    found = [of(c) for c in classes]
+    return F.coalesce(*(F.when(F.size(x) > 0, x) for x in found), F.array().cast("array<string>"))
+
+
+def applied(field: str, value: Column, fill: bool = True, split: bool = False) -> dict[str, Column]:
+    """New columns of an event for a scraped value: an array of texts for speakers, else a text. With `fill` what the
+    feed gave stays. A title that is missing changes nothing; one that is taken says that it was enriched."""
+    if field == "speakers":
+        people = F.transform(value, lambda v: text.split_speaker(v) if split else F.struct(v.alias("name"), F.lit("").alias("affiliation")))
+        keep = (F.size("speakers") > 0) & F.lit(fill) | (F.size(value) == 0)
+        return {"speakers": F.when(keep, F.col("speakers")).otherwise(people)}
+    if field == "title":
+        take = ~text.is_missing(value) & (text.is_missing(F.col("title")) | F.lit(not fill))
+        return {
+            "title": F.when(take, value).otherwise(F.col("title")),
+            "title_source": F.when(take, F.lit("enriched")).otherwise(F.col("title_source")),
+            "title_is_placeholder": F.when(take, F.lit(False)).otherwise(F.col("title_is_placeholder")),
+        }
+    keep = (F.col(field) != "") & F.lit(fill) | (F.coalesce(value, F.lit("")) == "")
+    return {field: F.when(keep, F.col(field)).otherwise(value)}
+
+
+def carry(events: DataFrame, held: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """Events with the scraped values of an earlier run (held: key and the fields, title_source among them if title is),
+    provenance included, and `carried`. A title is carried only if it was enriched then. One left join."""
+    names = [*fields, *(["title_source"] if "title" in fields else [])]
+    old = held.select(key, *(F.col(n).alias(f"_{n}") for n in names), F.lit(True).alias("_held"))
+    out = events.join(old, key, "left").withColumn("carried", F.coalesce("_held", F.lit(False)))
+    new: dict[str, Column] = {}
+    for f in fields:
+        if f == "speakers":
+            new[f] = F.when(F.coalesce(F.size("_speakers"), F.lit(0)) > 0, F.col("_speakers")).otherwise(F.col("speakers"))
+        elif f == "title":
+            take = F.coalesce(F.col("_title_source") == "enriched", F.lit(False))
+            new |= {"title": F.when(take, F.col("_title")).otherwise(F.col("title")), "title_source": F.when(take, F.lit("enriched")).otherwise(F.col("title_source"))}
+            new["title_is_placeholder"] = F.when(take, F.lit(False)).otherwise(F.col("title_is_placeholder"))
+        else:
+            new |= applied(f, F.col(f"_{f}"))
+    return out.withColumns(new).drop("_held", *(f"_{n}" for n in names))
+
+
 def carried(records: DataFrame, held: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Records whose key is held, and those still to be scraped."""
-    keys = held.select(key).distinct()
-    return records.join(keys, key, "left_semi"), records.join(keys, key, "left_anti")
+    """Records whose key is held, and those still to be scraped: one join, whose flag both read."""
+    marked = records.join(held.select(key).distinct().withColumn("_held", F.lit(True)), key, "left")
+    return marked.filter("_held").drop("_held"), marked.filter("_held is null").drop("_held")
 
 
 def stats(scraped_: DataFrame, source: str, floor: float = 0.0) -> DataFrame:
     """Counts by source and status, the share of requests that succeeded (1 if none was made), and breaches of a floor."""
     n = lambda s: F.count_if(F.col("status") == s)
-    out = scraped_.groupBy(source).agg(F.count_if(F.col("status") != "no_url").alias("attempted"), *(n(s).alias(s) for s in ("filled", "selector_miss", "rejected", "http_error", "network_error", "no_url")))
+    out = scraped_.groupBy(source).agg(F.count_if(~F.col("status").isin("no_url", "carried")).alias("attempted"), *(n(s).alias(s) for s in ("filled", "selector_miss", "rejected", "http_error", "network_error", "no_url", "carried")))
     rate = F.coalesce(F.try_divide(F.col("attempted") - F.col("http_error") - F.col("network_error"), F.col("attempted")), F.lit(1.0))
     return out.withColumn("success_rate", F.round(rate, 3)).withColumn("breach", (F.col("attempted") > 0) & (rate < floor))

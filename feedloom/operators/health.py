@@ -22,8 +22,16 @@ def served(manifest: DataFrame, records: DataFrame, source: str = "source") -> D
     return out.withColumn("finding", F.when(F.col("served") == F.col("promised"), F.lit("ok")).otherwise(F.lit("fail")))
 
 
-def keepalive(days: Column, warn: int = 35, fail: int = 60) -> Column:
-    return F.when(days >= fail, F.lit("expired")).when(days >= warn, F.lit("renew")).otherwise(F.lit("ok"))
+def keepalive(days: Column, warn: float = 35, fail: float = 60) -> Column:
+    """struct(commit, reason): whether a repository that has been quiet for so many days needs a commit."""
+    n = F.format_string("%.1f", days)
+    pair = lambda c, *parts: F.struct(F.lit(c).alias("commit"), F.concat(F.lit("last commit "), *parts).alias("reason"))
+    return (
+        F.when(days < 0, pair(False, F.format_string("%.1f", -days), F.lit(" days ahead")))
+        .when(days < warn, pair(False, n, F.lit(f" days ago, inside the {warn:g}-day threshold")))
+        .when(days >= fail, pair(True, n, F.lit(f" days ago, past the {fail:g}-day limit")))
+        .otherwise(pair(True, n, F.lit(f" days ago, past the {warn:g}-day threshold and "), F.format_string("%.1f", fail - days), F.lit(" days from the limit")))
+    )
 
 
 def stopped(states: DataFrame, expected: DataFrame) -> DataFrame:
@@ -40,3 +48,15 @@ def protection_gaps(spec: DataFrame, live: DataFrame, checks: str = "required_st
     of = lambda x: x.filter((F.col("type") == checks) & F.col("context").isNotNull()).select("type", "context").distinct()
     missing = of(spec).join(of(live), ["type", "context"], "left_anti").join(live.select("type").distinct(), "type", "left_semi")
     return types.select(F.lit("rule").alias("kind"), F.col("type").alias("name")).union(missing.select(F.lit("check"), "context"))
+
+
+def workflow_states(documents: DataFrame, column: str) -> DataFrame:
+    """(name, path, state) of workflows in a listing as JSON text; a malformed one has none."""
+    got = F.from_json(F.col(column), "workflows array<struct<name:string,path:string,state:string>>")
+    return documents.select(F.explode(got["workflows"]).alias("w")).select("w.*")
+
+
+def page_check(pages: DataFrame, column: str, needed: list[str]) -> DataFrame:
+    """Pages with what they lack of what a landing page must hold."""
+    lacks = F.filter(F.array(*(F.when(~F.coalesce(F.col(column).contains(x), F.lit(False)), F.lit(x)) for x in needed)), lambda x: x.isNotNull())
+    return pages.withColumn("lacks", lacks).withColumn("finding", F.when(F.size("lacks") == 0, F.lit("ok")).otherwise(F.lit("fail")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -47,5 +48,35 @@ def violations(rules: dict[str, Column]) -> Column:
     return F.filter(F.array(*(F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items())), lambda x: x.isNotNull())
 
 
+def event_rules() -> dict[str, Column]:
+    """The published contract of an event, as rules over its columns."""
+    full = lambda c: F.length(F.coalesce(F.col(c), F.lit(""))) > 0
+    like = lambda c, p: F.col(c).rlike(p)
+    unique = lambda c: F.size(F.array_distinct(c)) == F.size(c)
+    instant, wall = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$", r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$"
+    return {
+        "id: pattern": like("id", "^[a-z0-9][a-z0-9-]*:.+$"), "guid: minLength": full("guid"), "sources: minItems": F.size("sources") >= 1, "sources: uniqueItems": unique("sources"),
+        "startsAt: pattern": like("starts_at", instant), "endsAt: pattern": like("ends_at", instant), "startTime: pattern": like("start_time", wall), "endTime: pattern": like("end_time", wall),
+        "title: minLength": full("title"), "tags: uniqueItems": unique("tags"), "purposes: uniqueItems": unique("purposes"), "urlRef: uri": like("url", r"^(?:[A-Za-z][A-Za-z0-9+.-]*:\S+)?$"),
+        "location: required": F.col("location.name").isNotNull() & F.col("location.detail").isNotNull(), "mappingRules: pattern": F.forall("mapping_rules", lambda r: r.rlike("^[a-z0-9][a-z0-9-]*:.+$")),
+        "titleSource: enum": F.col("title_source").isNull() | F.col("title_source").isin("ics", "enriched", "fallback-speaker", "fallback-template", "fallback-series"),
+    }
+
+
+def schema_errors(events: DataFrame, most: int = 25) -> DataFrame:
+    """(source, errors, examples): how many rules are broken, and the first ones by id."""
+    each = events.select("source", "id", F.explode(violations(event_rules())).alias("rule"))
+    first = F.row_number().over(W.partitionBy("source").orderBy("id", "rule"))
+    some = each.withColumn("_n", first).filter(F.col("_n") <= most).groupBy("source").agg(F.array_sort(F.collect_list(F.concat_ws(": ", "id", "rule"))).alias("examples"))
+    return each.groupBy("source").agg(F.count("*").alias("errors")).join(some, "source")
+
+
+def first_ids(df: DataFrame, source: str, ident: str, test: Column, most: int = 5) -> DataFrame:
+    """(source, ids): the least ids that a test finds, for a gate's report. A limit by group, before the shuffle too."""
+    rank = F.row_number().over(W.partitionBy("source").orderBy(ident))
+    found = df.filter(test).select(F.col(source).alias("source"), ident).distinct().withColumn("_n", rank)
+    return found.filter(F.col("_n") <= most).groupBy("source").agg(F.array_sort(F.collect_list(ident)).alias("ids"))
+
+
 def top_unmapped(values: DataFrame, column: str, k: int = 3) -> DataFrame:
     return values.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column).limit(k)

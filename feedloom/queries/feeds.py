@@ -36,7 +36,7 @@ def docs(spark, sf) -> DataFrame:
     return t(spark, sf, "documents").select(F.col("doc_id").alias("id"), "source", F.array("source").alias("sources"), line().alias("title"), F.col("text").alias("content"), "lang", "n_chars")
 
 
-CF = "lower(trim(regexp_replace(translate({}, '–—‘’“”', '--''''\"\"'), '[\\s\\x{{A0}}]+', ' ', 'g')))"
+CF = "replace(lower(trim(regexp_replace(translate(nfc_normalize({}), '–—‘’“”', '--''''\"\"'), '[\\s\\x{{A0}}]+', ' ', 'g'))), 'ß', 'ss')"
 
 
 @query(f"""SELECT min(doc_id) AS id, arg_min(source, doc_id) AS source, array_to_string(list_sort(list_distinct(list(source))), ',') AS sources, count(*) AS n
@@ -57,9 +57,9 @@ def combine_merge_events(spark, sf):
 
 @query("""SELECT k AS key_title, count(DISTINCT (lang, text)) AS variants, array_to_string(list_sort(list(doc_id)), ',') AS ids,
 concat_ws(',', CASE WHEN count(DISTINCT lang) > 1 THEN 'lang' END, CASE WHEN count(DISTINCT text) > 1 THEN 'content' END) AS differing
-FROM (SELECT *, substr(split_part(text, chr(10), 1), 1, 40) AS k FROM documents) GROUP BY k HAVING count(DISTINCT (lang, text)) > 1""")
+FROM (SELECT *, split_part(text, chr(10), 1) AS k FROM documents) GROUP BY k HAVING count(DISTINCT (lang, text)) > 1""")
 def combine_divergence(spark, sf):
-    out = combine.divergences(docs(spark, sf), {"title": F.substring("title", 1, 40)}, {"lang": F.col("lang"), "content": F.col("content")})
+    out = combine.divergences(docs(spark, sf), {"title": F.col("title")}, {"lang": F.col("lang"), "content": F.col("content")})
     return out.select("key_title", "variants", F.array_join("ids", ",").alias("ids"), F.array_join("differing", ",").alias("differing"))
 
 
@@ -162,13 +162,13 @@ def gates(spark, sf):
     return quality.gates(o, "o_orderpriority", "o_custkey", F.col("o_orderdate"), F.col("o_orderdate"), F.col("o_totalprice") > 300000, status == "F", status == "P", F.col("o_orderkey").cast("string"), "^[0-9]*[02468]$", max_placeholder=0.1)
 
 
-@query("""SELECT o_orderpriority AS source, count(*) FILTER (o_orderkey % 3 <> 0) AS before, count(*) FILTER (o_orderkey % 3 <> 0 AND o_totalprice <= 100000) AS removed,
-count(*) FILTER (o_orderkey % 3 = 0 AND o_totalprice > 100000) AS added,
-CASE WHEN count(*) FILTER (o_orderkey % 3 <> 0) <= 3 THEN 'pass' WHEN count(*) FILTER (o_orderkey % 3 <> 0 AND o_totalprice <= 100000) / count(*) FILTER (o_orderkey % 3 <> 0) <= 0.3 THEN 'pass' ELSE 'fail' END AS result FROM orders GROUP BY 1
-HAVING count(*) FILTER (o_orderkey % 3 <> 0 OR o_totalprice > 100000) > 0""")
+@query("""SELECT o_orderpriority AS source, count(*) FILTER (o_orderstatus <> 'P') AS before, count(*) FILTER (o_orderstatus <> 'P' AND o_totalprice <= 100000) AS removed,
+count(*) FILTER (o_orderstatus = 'P' AND o_totalprice > 100000) AS added,
+CASE WHEN count(*) FILTER (o_orderstatus <> 'P') <= 3 THEN 'pass' WHEN count(*) FILTER (o_orderstatus <> 'P' AND o_totalprice <= 100000) / count(*) FILTER (o_orderstatus <> 'P') <= 0.3 THEN 'pass' ELSE 'fail' END AS result FROM orders GROUP BY 1
+HAVING count(*) FILTER (o_orderstatus <> 'P' OR o_totalprice > 100000) > 0""")
 def diff_threshold(spark, sf):
     o = t(spark, sf, "orders")
-    return quality.diff_threshold(o.filter("o_orderkey % 3 <> 0"), o.filter("o_totalprice > 100000"), "o_orderpriority", "o_orderkey", most=0.3)
+    return quality.diff_threshold(o.filter("o_orderstatus <> 'P'"), o.filter("o_totalprice > 100000"), "o_orderpriority", "o_orderkey", most=0.3)
 
 
 @query("""SELECT user_id, date_diff('minute', max(ts), TIMESTAMP '2024-01-30 12:00:00') AS waited, (date_diff('minute', max(ts), TIMESTAMP '2024-01-30 12:00:00') < 0
@@ -259,7 +259,7 @@ def _half(x: str) -> str:
     return f"CASE WHEN hour({x}) < 12 THEN 'a.m.' ELSE 'p.m.' END"
 
 
-@query(f"""SELECT event_id, CASE WHEN (hour(s), minute(s), hour(e), minute(e)) = (0, 0, 0, 0) AND CAST(e AS DATE) > CAST(s AS DATE) THEN 'All day' WHEN e <= s THEN {_clock("s")} || ' ' || {_half("s")}
+@query(f"""SELECT event_id, CASE WHEN (hour(s), minute(s), hour(e), minute(e)) = (0, 0, 0, 0) AND CAST(e AS DATE) > CAST(s AS DATE) THEN 'All day'
 ELSE {_clock("s")} || CASE WHEN {_half("s")} = {_half("e")} THEN '' ELSE ' ' || {_half("s")} END || ' — ' || {_clock("e")} || ' ' || {_half("e")} END AS time_range,
 strftime(s, '%A') || ', ' || list_extract(['Jan.', 'Feb.', 'March', 'April', 'May', 'June', 'July', 'Aug.', 'Sept.', 'Oct.', 'Nov.', 'Dec.'], CAST(month(s) AS INT)) || ' ' || day(s) AS day
 FROM (SELECT event_id, date_trunc('hour', ts) AS s, date_trunc('hour', ts) + to_minutes(CAST(event_id % 24 * 30 AS INT)) AS e FROM events)""")
@@ -356,19 +356,19 @@ def ics_write(spark, sf):
 
 
 @query("""SELECT c_custkey, state FROM (SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'active' ELSE 'disabled' END AS state FROM customer)
-WHERE state <> 'active' AND c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderkey % 7 = 0)""")
+WHERE state <> 'active' AND c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')""")
 def stopped_schedules(spark, sf):
     path = lambda folder, c: F.concat(F.lit(folder), F.col(c).cast("string"), F.lit(".yml"))
     states = t(spark, sf, "customer").select("c_custkey", path("a/b/", "c_custkey").alias("path"), F.when(F.col("c_mktsegment") == "BUILDING", F.lit("active")).otherwise(F.lit("disabled")).alias("state"))
-    return health.stopped(states, t(spark, sf, "orders").filter("o_orderkey % 7 = 0").select(path("c/", "o_custkey").alias("path"))).select("c_custkey", "state")
+    return health.stopped(states, t(spark, sf, "orders").filter("o_orderstatus = 'F'").select(path("c/", "o_custkey").alias("path"))).select("c_custkey", "state")
 
 
-@query("""WITH spec AS (SELECT CASE WHEN p_brand = 'Brand#2' THEN 'required_status_checks' ELSE p_brand END AS type, p_name AS context, p_partkey FROM part),
-live AS (SELECT * FROM spec WHERE p_partkey % 9 = 0 AND type <> 'Brand#1')
+@query("""WITH spec AS (SELECT CASE WHEN p_brand = 'Brand#2' THEN 'required_status_checks' ELSE p_brand END AS type, p_name AS context, p_partkey, p_size FROM part),
+live AS (SELECT * FROM spec WHERE p_size < 10 AND type <> 'Brand#1')
 SELECT 'rule' AS kind, type AS name FROM (SELECT DISTINCT type FROM spec) WHERE type NOT IN (SELECT type FROM live)
 UNION ALL SELECT 'check', context FROM (SELECT DISTINCT context FROM spec WHERE type = 'required_status_checks')
 WHERE context NOT IN (SELECT context FROM live WHERE type = 'required_status_checks') AND EXISTS (SELECT 1 FROM live WHERE type = 'required_status_checks')""")
 def protection_gaps(spark, sf):
     kind = F.when(F.col("p_brand") == "Brand#2", F.lit("required_status_checks")).otherwise(F.col("p_brand"))
-    spec = t(spark, sf, "part").select(kind.alias("type"), F.col("p_name").alias("context"), "p_partkey")
-    return health.protection_gaps(spec, spec.filter("p_partkey % 9 = 0 and type <> 'Brand#1'"))
+    spec = t(spark, sf, "part").select(kind.alias("type"), F.col("p_name").alias("context"), "p_partkey", "p_size")
+    return health.protection_gaps(spec, spec.filter("p_size < 10 and type <> 'Brand#1'"))

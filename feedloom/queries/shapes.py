@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feedloom.functions import chain, text, timex, titles, venue
+from feedloom.functions import chain, display, text, timex, titles, venue
+from feedloom.operators import health
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -32,32 +33,32 @@ def shape(columns: str, rows: list[tuple]):
     ("101 - Maple Hall", "Maple Hall", "101", "detail_dash_name"), ("North Quad J Wing/J223", "North Quad J Wing", "J223", "slash_room"),
     ("Birch Hall 222", "Birch Hall", "222", "unambiguous_room"), ("Birch Hall", "Birch Hall", "", "whole"), ("TBD", "", "", "sentinel"), (" n/a ", "", "", "sentinel"),
     ("Alder Hall, Room 216", "Alder Hall", "216", "comma_room"), ("E105 South-Bio", "South-Bio", "E105", "unambiguous_room"), ("South-Lab F212", "South-Lab", "F212", "unambiguous_room"),
-    ("Cedar Hall (C112 + Atrium C102)", "Cedar Hall", "C112 + Atrium C102", "parenthetical"), ("", "", "", "declined"), ("Oak House - A01", "Oak House", "A01", "unambiguous_room"),
+    ("Cedar Hall (C112 + Atrium C102)", "Cedar Hall", "C112 + Atrium C102", "parenthetical"), ("", "", "", "declined"), ("Oak House - A01", "A01", "Oak House", "detail_dash_name"), ("Ash Hall, Suite 12", "Ash Hall", "12", "comma_room"), ("Ivy Court, Ste. B4", "Ivy Court", "B4", "comma_room"),
     ("101 202", "101 202", "", "whole"), ("Elm Hall, 002 Auditorium", "Elm Hall, 002 Auditorium", "", "whole"),
 ])
 def venue_split(df):
     return df.select("raw", venue.parsed(F.col("raw")).alias("v")).select("raw", "v.name", "v.detail", "v.rule")
 
 
-@shape("raw, article", [("university", "A"), ("FPO", "An"), ("S. S. Wills Lecture", "An"), ("honest talk", "An"), ("evening seminar", "An"), ("One World", "A"), ("talk", "A"), ("European day", "A"), ("", "A"), ("UFO", "A"), ("hour", "An"), ("house", "A")])
+@shape("raw, article", [("university", "A"), ("FPO", "An"), ("S. S. Wills Lecture", "An"), ("honest talk", "An"), ("evening seminar", "An"), ("One World", "A"), ("talk", "A"), ("European day", "A"), ("", "A"), ("UFO", "A"), ("useful day", "A"), ("utter day", "An"), ("Ukrainian day", "A"), ("hour", "An"), ("house", "A")])
 def article_choice(df):
     return df.select("raw", titles.article(F.col("raw")).alias("article"))
 
 
 @shape("raw, title, title_source", [
-    ("Energy,More|Ann Lee", "An Energy seminar by Ann Lee", "fallback-speaker"), ("Energy|", "An Energy seminar", "fallback-template"), ("Bridge|", "A Bridge seminar", "fallback-template"),
+    ("Energy,More|Ann Lee", "An Energy seminar by Ann Lee", "fallback-speaker"), ("Energy|", "An Energy seminar", "fallback-template"), ("Bridge|", "A Bridge seminar", "fallback-template"), ("Opera" + "x" * 130 + "|Ann Lee", "Ann Lee", "fallback-speaker"), ("Opera" + "x" * 130 + "|", "An Opera" + "x" * 130 + " Talk", "fallback-series"),
 ])
 def title_fallback(df):
     part = lambda i: F.element_at(F.split("raw", r"\|"), i)
     return df.select("raw", titles.fallback("{a_an} {series} seminar by", part(1), part(2), F.lit("s")).alias("t")).select("raw", "t.title", "t.title_source")
 
 
-@shape("raw, is_person", [("Ann Lee", True), ("Mary-Jane O'Neil Smith", True), ("Quantum Colloquium", False), ("Ann", False), ("ann lee", False), ("What is Life?", False), ("J. R. Smith", True), ("The Long Talk", False)])
+@shape("raw, is_person", [("Ann Lee", True), ("Mary-Jane O'Neil Smith", True), ("Quantum Colloquium", False), ("Ann", False), ("ann lee", False), ("What is Life?", False), ("J. R. Smith", False), ("Ann van Berg", True), ("Bo Li *22", True), ("Ann O’Neil-Roy", True), ("Energy and Lee", False), ("The Long Talk", False)])
 def person_name_shape(df):
     return df.select("raw", text.person_name_shape(F.col("raw"), ["the", "colloquium", "seminar", "talk", "quantum"]).alias("is_person"))
 
 
-@shape("raw, name, affiliation", [("Ann Lee, Penn University", "Ann Lee", "Penn University"), ("Lee, Ann", "Lee, Ann", ""), ("Bo Li, Phys, MIT Lab", "Bo Li, Phys", "MIT Lab"), ("Solo", "Solo", "")])
+@shape("raw, name, affiliation", [("Ann Lee, Penn University", "Ann Lee", "Penn University"), ("Lee, Ann", "Lee, Ann", ""), ("Bo Li, Phys, MIT Lab", "Bo Li, Phys", "MIT Lab"), ("Solo", "Solo", ""), ("Ann Lee, MIT", "Ann Lee", "MIT"), ("X Y, Research Scientist", "X Y, Research Scientist", ""), ("Li *22, Yale University", "Li *22", "Yale University"), (", Yale University", ", Yale University", ""), ("Eva Roth, Universität Ulm", "Eva Roth", "Universität Ulm")])
 def split_speaker(df):
     return df.select("raw", text.split_speaker(F.col("raw")).alias("s")).select("raw", "s.name", "s.affiliation")
 
@@ -99,6 +100,33 @@ def tags_normalize(df):
     return df.select("raw", F.array_join(tags, ",").alias("canonical"), F.array_join(rest, ",").alias("unmapped"))
 
 
+@shape("raw, decoded", [("a &amp; b", "a & b"), ("a &amp;gt; b", "a &gt; b"), ("no&nbsp;break\xa0here", "no break here"), ("plain", "plain"), ("&eacute;t&#233; &unknown; &", "été &unknown; &")])
+def entities(df):
+    return df.select("raw", text.decode_entities(F.col("raw")).alias("decoded"))
+
+
+@shape("raw, form", [("Cafe\u0301 Stra\u00dfe", "caf\u00e9 strasse"), ("CAF\u00c9  STRASSE", "caf\u00e9 strasse"), ("\u1ec7 e\u0323\u0302", "\u1ec7 \u1ec7"), ("\u03a3\u03c2", "\u03c3\u03c3"), ("\ufb01n", "fin"), ("a\u200bb \u2014 \u201cc\u201d", 'ab - "c"')])
+def compare_shapes(df):
+    return df.select("raw", text.compare_form(F.col("raw")).alias("form"))
+
+
+@shape("raw, line", [("2026-09-28T16:30:00|2026-09-28T18:00:00|Hall 306", "4:30 — 6 p.m. Monday, Sept. 28, in Hall 306"), ("2026-10-03T00:00:00|2026-10-04T00:00:00|", "All day Saturday, Oct. 3, location TBA"), ("2026-10-03T11:00:00|2026-10-03T12:00:00|x", "11 a.m. — 12 p.m. Saturday, Oct. 3, in x")])
+def when_and_where(df):
+    part = lambda i: F.element_at(F.split("raw", r"\|"), i)
+    at = lambda i: part(i).cast("timestamp_ntz")
+    return df.select("raw", display.when_and_where(at(1), at(2), part(3)).alias("line"))
+
+
+@shape("raw, hours", [("-1", "last commit 1.0 days ahead"), ("3", "last commit 3.0 days ago, inside the 35-day threshold"), ("40", "last commit 40.0 days ago, past the 35-day threshold and 20.0 days from the limit"), ("61", "last commit 61.0 days ago, past the 60-day limit")])
+def keepalive(df):
+    return df.select("raw", health.keepalive(F.col("raw").cast("double"))["reason"].alias("hours"))
+
+
+@shape("raw, ago", [("0", "less than a minute ago"), ("1", "1 minute ago"), ("89", "89 minutes ago"), ("90", "2 hours ago"), ("150", "3 hours ago")])
+def minutes_ago(df):
+    return df.select("raw", timex.ago(F.col("raw").cast("int")).alias("ago"))
+
+
 @shape("raw, minutes", [("30m", 30), ("2h", 120), ("1d", 1440), ("soon", 60), ("", 60)])
 def cadence_parse(df):
     return df.select("raw", timex.cadence_minutes(F.col("raw")).cast("int").alias("minutes"))
@@ -120,7 +148,7 @@ def ics_instants(df):
     return df.select("raw", timex.stamp(timex.ics_instant(part(1), part(2))).alias("instant"))
 
 
-@shape("raw, first", [("One two.\n\nThree.", "One two."), ("Abstract: what follows\n\nx", ""), ("x" * 10, "x" * 10), ("A" * 300 + ". " + "b" * 300, "A" * 300 + "."), ("c" * 500, "c" * 420 + "…")])
+@shape("raw, first", [("One two.\n\nThree.", "One two."), ("Abstract: what follows\n\nx", ""), ("x" * 10, "x" * 10), ("A" * 300 + ". " + "b" * 300, "A" * 300 + "."), ("c" * 500, "c" * 420 + "…"), ("A" * 300 + "! " + "b" * 300, "A" * 300 + "! " + "b" * 118 + "…"), ("Talk Abstract: x", "")])
 def first_paragraph(df):
     return df.select("raw", text.first_paragraph(F.col("raw")).alias("first"))
 

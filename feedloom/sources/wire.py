@@ -22,3 +22,13 @@ def from_wire(wire: Column, schema: T.StructType, escaped: list[str] = ()) -> Co
 
 def read(spark, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).json(path, multiLine=True)
+
+
+def write_selected(records: DataFrame, path: str) -> None:
+    """Published records in a folder by source."""
+    records.write.mode("overwrite").partitionBy("source").json(path)
+
+
+def read_selected(spark, path: str, schema: T.StructType, sources: list[str]) -> DataFrame:
+    """Records of some sources: the others' folders are not read."""
+    return spark.read.schema(schema).json(path).filter(F.col("source").isin(sources))

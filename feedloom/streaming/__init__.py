@@ -2,44 +2,63 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedloom.functions import timex
+
 
 def weekly(events: DataFrame, ts: str, delay: str = "1 day") -> DataFrame:
     """Counts by edition week (Monday to Sunday) over a stream with a watermark; late records within it still count."""
     return events.withWatermark(ts, delay).groupBy(F.window(ts, "7 days", "7 days", "4 days")).agg(F.count("*").alias("n")).select(F.col("window.start").cast("date").alias("week"), "n")
 
 
-def publish(stream: DataFrame, path: str, key: list[str], newest: Column, checkpoint: str):
-    """Keeps the newest record of each key in a table of versions under `path`: every batch reads the last version,
-    merges and writes the next, so a failed batch leaves the last good one. Runs over what is there, then stops."""
+#: Parts of the state by a hash of the key; a batch rewrites only those that it touches.
+BUCKETS = 64
+
+
+def publish(stream: DataFrame, path: str, key: list[str], newest: Column, checkpoint: str, buckets: int = BUCKETS):
+    """Keeps the newest record of each key in a table under `path`, in buckets of keys: every batch reads the last version
+    of the buckets that it touches, merges and writes the next ones, so a failed batch leaves the last good state. Runs
+    over what is there, then stops."""
+    bucket = F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        old = latest(spark, path, batch.schema, before=number)
+        touched = {r.b for r in batch.select(bucket.alias("b")).distinct().collect()}
+        old = latest(spark, path, batch.schema, before=number, only=touched)
         every = batch if old is None else batch.unionByName(old)
         best = every.groupBy(*key).agg(F.max_by(F.struct(*batch.columns), newest).alias("r")).select("r.*")
-        best.write.mode("overwrite").parquet(f"{path}/v={number}")
+        best.withColumn("_bucket", bucket).write.mode("overwrite").partitionBy("_bucket").parquet(f"{path}/v={number}")
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def latest(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame | None:
-    """The last version that a batch finished, or None."""
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+def latest(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None, only: set[int] | None = None) -> DataFrame | None:
+    """The last version of each bucket (or of some) that a batch finished, or None."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = [int(s.getPath().getName()[2:]) for s in (fs.listStatus(root) if fs.exists(root) else []) if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    done = [v for v in done if before is None or v < before]
-    return spark.read.schema(schema).parquet(f"{path}/v={max(done)}") if done else None
+    newest: dict[int, tuple[int, str]] = {}
+    for s in fs.listStatus(root) if fs.exists(root) else []:
+        version = int(s.getPath().getName()[2:])
+        if (before is None or version < before) and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")):
+            for part in fs.listStatus(s.getPath()):
+                name = part.getPath().getName()
+                if name.startswith("_bucket="):
+                    b = int(name[8:])
+                    newest[b] = max(newest.get(b, (-1, "")), (version, part.getPath().toString()))
+    found = [p for b, (_, p) in newest.items() if only is None or b in only]
+    return spark.read.schema(schema).parquet(*found) if found else None
+
+
+def due_batches(stream: DataFrame, cadence: DataFrame, minutes_since: Column, key: str = "source") -> DataFrame:
+    """Records of a stream whose source is due by its cadence (source, cadence in minutes; a row for each source)."""
+    return stream.join(F.broadcast(cadence), key).filter(timex.due(minutes_since, F.col("cadence"))).drop("cadence")
 
 
 def first_seen(stream: DataFrame, key: str, ts: str, delay: str = "1 day") -> DataFrame:
     """Each key once within the watermark: what is new since the last scrape."""
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
-
-Batch = Callable[[DataFrame, int], None]
