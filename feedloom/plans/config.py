@@ -6,6 +6,7 @@ import copy
 import dataclasses
 import hashlib
 import json
+import re
 from pathlib import Path
 from typing import Any
 
@@ -76,6 +77,8 @@ class Registry:
                 raise ValueError(f"{s.slug} and {urls[s.feed_url]} share a feed")
 
     def _source(self, slug: str, own: dict) -> Source:
+        if not isinstance(slug, str) or not re.fullmatch("[a-z0-9][a-z0-9-]*", slug):
+            raise ValueError(f"{slug!r} is no name of a source")
         closed(own, _FIELDS - {"slug"}, slug)
         s = Source(slug=slug, **{k: tuple(v) if isinstance(v, list) else v for k, v in own.items()})
         if s.platform not in PLATFORMS:
