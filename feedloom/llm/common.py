@@ -26,11 +26,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a folder of our own only where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; a folder of our own only where that is
+    unset and all run on this machine."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
         base = spark.sparkContext.getCheckpointDir()
         if not base:
+            if not spark.sparkContext.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
             base = f"file://{tempfile.mkdtemp(prefix='feedloom-')}"
             spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from feedloom.llm.components import components
 
 COSINE = 0.93
 #: Trees; vectors of a leaf aimed at; share of a node's vectors that go to both sides of its split.
-TREES, LEAF, SPILL = 6, 600, 0.16
+TREES, LEAF, SPILL = 4, 256, 0.16
 #: Vectors that the splits are learned from at most, by a seeded hash; every vector is indexed.
 SAMPLE = 50_000
 #: Leaves with more vectors are compared block against block, exactly.
@@ -23,36 +24,34 @@ BLOCK = 1500
 SEED = 17
 
 
-def usable(column: pa.Array) -> tuple[list[int], np.ndarray]:
-    """Positions and rows (double precision, unit length) of vectors without null, non-finite or only zero components."""
-    kept, rows = [], []
-    for i, x in enumerate(column):
-        if x.is_valid and x.values.null_count == 0:
-            a = np.asarray(x.values, dtype=np.float64)
-            if len(a) and np.isfinite(a).all() and (top := np.abs(a).max()) > 0:
-                a = a / top
-                kept.append(i)
-                rows.append(a / np.sqrt((a * a).sum()))
-    wide = max((len(r) for r in rows), default=0)
-    out = np.zeros((len(rows), wide))
-    for i, r in enumerate(rows):
-        out[i, : len(r)] = r
-    return kept, out
+def usable(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and rows (double precision, unit length) of vectors without null, non-finite or only zero components;
+    shorter ones are ended by zeros."""
+    size = np.asarray(pc.fill_null(pc.list_value_length(column), 0)).astype(np.int64)
+    values = np.asarray(pc.fill_null(pc.cast(column.flatten(), pa.float64()), np.nan))
+    x = np.zeros((len(column), int(size.max(initial=0))))
+    x[np.repeat(np.arange(len(column)), size), np.arange(len(values)) - np.repeat(np.cumsum(size) - size, size)] = values
+    top = np.abs(x).max(axis=1, initial=0.0)
+    kept = np.flatnonzero((size > 0) & np.isfinite(top) & (top > 0))
+    x = x[kept] / top[kept, None]
+    return kept, x / np.sqrt((x * x).sum(1))[:, None]
 
 
 def _keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A key of each usable vector's exact components, so that equal vectors meet; null for others."""
     for batch in batches:
-        kept, _ = usable(batch.column("embedding"))
+        column = batch.column("embedding")
+        kept, _ = usable(column)
         keys: list = [None] * len(batch)
-        for i in kept:
-            keys[i] = xxhash.xxh3_128_digest((np.asarray(batch.column("embedding")[i].values, np.float64) + 0.0).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("label"), batch.column("embedding"), pa.array(keys, pa.binary())], names=["vec_id", "label", "embedding", "key"])
+        for i in kept.tolist():
+            keys[i] = xxhash.xxh3_128_digest((np.asarray(column[i].values, np.float64) + 0.0).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("label"), column, pa.array(keys, pa.binary())], names=["vec_id", "label", "embedding", "key"])
 
 
 def directions(tree: int, depth: int, wide: int) -> np.ndarray:
-    """One random direction for each level of a tree."""
-    return np.random.default_rng([SEED, tree]).normal(size=(64, max(wide, 1)))[:depth]
+    """One random direction for each level of a tree. A wider one begins like a narrower one, so that vectors of any
+    length meet the same splits in whatever batch they come."""
+    return np.stack([np.random.default_rng([SEED, tree, level]).standard_normal(max(wide, 1)) for level in range(depth)]) if depth else np.zeros((0, max(wide, 1)))
 
 
 def learn(x: np.ndarray, depth: int, tree: int) -> dict[int, tuple[float, float]]:
@@ -73,46 +72,49 @@ def learn(x: np.ndarray, depth: int, tree: int) -> dict[int, tuple[float, float]
     return out
 
 
-def leaves_of(x: np.ndarray, splits: dict[int, tuple[float, float]], depth: int, tree: int) -> list[list[int]]:
-    """The leaves of each vector: one, or more where a split sends it both ways."""
-    d = directions(tree, depth, x.shape[1])
-    p = x @ d.T if depth else np.zeros((len(x), 0))
+def leaves_of(x: np.ndarray, splits: dict[int, tuple[float, float]], depth: int, tree: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and leaves of all vectors: one for each, or more where a split sends it both ways; in order of row."""
+    p = x @ directions(tree, depth, x.shape[1]).T
     at, node = np.arange(len(x)), np.ones(len(x), np.int64)
+    nodes = np.array(sorted(splits), np.int64)
+    bounds = np.array([splits[n] for n in nodes.tolist()]).reshape(-1, 2)
     done_at, done = [], []
     for level in range(depth):
-        known = np.array([n in splits for n in node.tolist()], bool)
+        where = np.minimum(np.searchsorted(nodes, node), max(len(nodes) - 1, 0))
+        known = nodes[where] == node if len(nodes) else np.zeros(len(node), bool)
         done_at.append(at[~known])
         done.append(node[~known])
-        at, node = at[known], node[known]
+        at, node, where = at[known], node[known], where[known]
         if not len(at):
             break
-        bounds = np.array([splits[n] for n in node.tolist()])
         v = p[at, level]
-        left, right = v < bounds[:, 1], v >= bounds[:, 0]
+        left, right = v < bounds[where, 1], v >= bounds[where, 0]
         at, node = np.concatenate([at[left], at[right]]), np.concatenate([2 * node[left], 2 * node[right] + 1])
-    done_at.append(at)
-    done.append(node)
-    out: list[list[int]] = [[] for _ in range(len(x))]
-    for i, n in zip(np.concatenate(done_at).tolist(), np.concatenate(done).tolist(), strict=True):
-        out[i].append(n)
-    return out
+    at, node = np.concatenate([*done_at, at]), np.concatenate([*done, node])
+    order = np.lexsort((node, at))
+    return at[order], node[order]
+
+
+def _leaves(x: np.ndarray, depth: int, splits: list[dict], upto: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and leaves of vectors in the first trees; a leaf's number holds its tree's."""
+    found = [leaves_of(x, s, depth, t) for t, s in enumerate(splits[:upto])]
+    return np.concatenate([a for a, _ in found]), np.concatenate([(t << 40) + n for t, (_, n) in enumerate(found)])
 
 
 def _planted(shared):
+    """A row for each leaf of each vector, with the vector as it came."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = shared.value
         for batch in batches:
-            labels = batch.column("label").to_pylist()
+            labels = np.asarray(batch.column("label"))
             _, x = usable(batch.column("embedding"))
-            all_: list[list[int]] = [[] for _ in labels]
-            for label in set(labels):
-                mine = [i for i, v in enumerate(labels) if v == label]
+            for label in np.unique(labels).tolist():
+                mine = np.flatnonzero(labels == label)
                 depth, splits = trees.get(label, (0, [{}]))
-                for tree, s in enumerate(splits):
-                    for i, found in zip(mine, leaves_of(x[mine], s, depth, tree), strict=True):
-                        all_[i] += [(tree << 40) + n for n in sorted(found)]
-            flat = pa.array([[float(v) for v in r] for r in x], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("label"), batch.column("copies"), flat, pa.array(all_, pa.list_(pa.int64()))], names=["rep", "label", "copies", "x", "leaves"])
+                at, leaf = _leaves(x[mine], depth, splits, len(splits))
+                rows = pa.array(mine[at])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(rows) for c in ("rep", "label", "copies", "embedding")), pa.array(leaf)], names=["rep", "label", "copies", "embedding", "leaf"])
 
     return run
 
@@ -159,34 +161,43 @@ def _compare(leaf: int, across: bool, ids, copies, sides, x: np.ndarray, leaves:
     return links, np.array([ids[root(i)] for i in range(m)], np.int64) if m else np.zeros(0, np.int64)
 
 
-def _grouped(cosine: float):
-    """Rows sorted by group (label, leaf, i, j) of at most 2 * BLOCK vectors or a little more: links by vector."""
+def _grouped(shared, cosine: float):
+    """Rows sorted by group (label, leaf, i, j) of at most 2 * BLOCK vectors or a little more: links by vector. The other
+    leaves of a vector are found anew from its components, which is cheaper than to carry them."""
+
+    def ended(key: tuple, rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        label, leaf, i, j = key
+        if len(rows) < 2:
+            return
+        ids, copies, sides = (np.asarray(rows.column(c)) for c in ("rep", "copies", "side"))
+        _, x = usable(rows.column("embedding").combine_chunks())
+        depth, splits = shared.value.get(label, (0, [{}]))
+        at, node = _leaves(x, depth, splits, (leaf >> 40) + 1)
+        order = np.argsort(at, kind="stable")
+        at, node = at[order], node[order]
+        n = np.bincount(at, minlength=len(x))
+        leaves = np.full((len(x), int(n.max())), -1, np.int64)
+        leaves[at, np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)] = node
+        links, least = _compare(leaf, i != j, ids, copies, sides, x, leaves, cosine)
+        ok = (links > 0) | (least != ids)
+        yield pa.RecordBatch.from_arrays([pa.array(ids[ok]), pa.array(least[ok]), pa.array(links[ok])], names=["rep", "least", "links"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rows = None, []
-
-        def ended():
-            ids = np.array([r[0] for r in rows], np.int64)
-            wide, most = max(len(r[3]) for r in rows), max(len(r[4]) for r in rows)
-            x, leaves = np.zeros((len(rows), wide)), np.full((len(rows), most), -1, np.int64)
-            for i, r in enumerate(rows):
-                x[i, : len(r[3])] = r[3]
-                leaves[i, : len(r[4])] = r[4]
-            links, least = _compare(key[1], key[2] != key[3], ids, np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), x, leaves, cosine)
-            ok = (links > 0) | (least != ids)
-            return pa.RecordBatch.from_arrays([pa.array(ids[ok]), pa.array(least[ok]), pa.array(links[ok])], names=["rep", "least", "links"])
-
+        key, held = None, []
         for batch in batches:
-            keys = list(zip(*(batch.column(c).to_pylist() for c in ("label", "leaf", "i", "j")), strict=True))
-            values = [batch.column(c) for c in ("x", "leaves")]
-            for r, k in enumerate(keys):
-                if k != key:
-                    if len(rows) > 1:
-                        yield ended()
-                    key, rows = k, []
-                rows.append((batch.column("rep")[r].as_py(), batch.column("copies")[r].as_py(), batch.column("side")[r].as_py(), *(np.asarray(v[r].values) for v in values)))
-        if len(rows) > 1:
-            yield ended()
+            if not len(batch):
+                continue
+            keys = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in ("label", "leaf", "i", "j")], axis=1)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(batch)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                k = tuple(keys[a].tolist())
+                if k != key and held:
+                    yield from ended(key, pa.Table.from_batches(held))
+                    held = []
+                key = k
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield from ended(key, pa.Table.from_batches(held))
 
     return run
 
@@ -209,8 +220,9 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, trees: int = TREES,
     """
     spark = vectors.sparkSession
     base = fresh(vectors, "vec_id", "label", "embedding").withColumn("label", F.col("label").cast("long"))
-    base = base.withColumn("embedding", F.col("embedding").cast("array<double>"))
-    keyed = saved(base.mapInArrow(_keyed, "vec_id long, label long, embedding array<double>, key binary").select("vec_id", "label", "embedding", "key"), "keyed")
+    kind = "array<float>" if base.schema["embedding"].dataType.simpleString() == "array<float>" else "array<double>"
+    base = base.withColumn("embedding", F.col("embedding").cast(kind))
+    keyed = saved(base.mapInArrow(_keyed, f"vec_id long, label long, embedding {kind}, key binary").select("vec_id", "label", "embedding", "key"), "keyed")
     live = keyed.filter("key is not null and label is not null and vec_id is not null")
     reps = live.groupBy("label", "key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.min_by("embedding", "vec_id").alias("embedding"))
     reps = saved(reps, "reps")
@@ -219,7 +231,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, trees: int = TREES,
     forest: dict[int, tuple[int, list]] = {}
     if total:
         draw = F.pmod(F.xxhash64("rep", F.lit(SEED)), F.lit(1 << 20)) < int((1 << 20) * min(1.0, 0.97 * SAMPLE / total)) + 1
-        sample = reps.join(sizes, "label").filter(draw).limit(SAMPLE).select("label", "n", "embedding").toArrow().combine_chunks()
+        sample = reps.join(sizes, "label").filter(draw).select("label", "n", "embedding").toArrow().combine_chunks()
         _, x = usable(sample.column("embedding").combine_chunks())
         labels = np.array(sample.column("label").to_pylist())
         for label in np.unique(labels).tolist():
@@ -228,15 +240,16 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, trees: int = TREES,
             depth = min(40, max(0, int(np.ceil(np.log(n / leaf) / np.log(2 / (1 + SPILL))))))
             forest[label] = (depth, [learn(x[labels == label], depth, t) for t in range(trees)])
     shared = spark.sparkContext.broadcast(forest)
-    planted = reps.select("rep", "label", "copies", "embedding").mapInArrow(_planted(shared), "rep long, label long, copies long, x array<double>, leaves array<long>")
-    planted = saved(planted, "planted")
-    each = planted.withColumn("leaf", F.explode("leaves"))
+    each = reps.select("rep", "label", "copies", "embedding").mapInArrow(_planted(shared), f"rep long, label long, copies long, embedding {kind}, leaf long")
     size = each.groupBy("label", "leaf").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    each = each.join(size, ["label", "leaf"]).withColumn("side", F.pmod(F.xxhash64("rep", "leaf"), F.col("blocks")).cast("int"))
+    # only leaves of several blocks are named to the others; most are one
+    split = saved(size.filter("blocks > 1"), "split")
+    each = each.join(split, ["label", "leaf"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))) if split.limit(1).count() else each.withColumn("blocks", F.lit(1))
+    each = each.withColumn("side", F.pmod(F.xxhash64("rep", "leaf"), F.col("blocks")).cast("int"))
     each = each.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    each = each.select("label", "leaf", F.least("side", "o").alias("i"), F.greatest("side", "o").alias("j"), "side", "rep", "copies", "x", "leaves")
+    each = each.select("label", "leaf", F.least("side", "o").alias("i"), F.greatest("side", "o").alias("j"), "side", "rep", "copies", "embedding")
     dealt = each.repartition(tasks(spark), "label", "leaf", "i", "j").sortWithinPartitions("label", "leaf", "i", "j")
-    found = saved(dealt.mapInArrow(_grouped(cosine), "rep long, least long, links long"), "found")
+    found = saved(dealt.mapInArrow(_grouped(shared, cosine), "rep long, least long, links long"), "found")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     same = live.join(reps.select("label", "key", "rep", "copies"), ["label", "key"]).select("vec_id", "label", "key", "rep", "copies")
     edges = found.select(F.col("rep").alias("a"), F.col("least").alias("b")).union(same.select(F.col("vec_id").alias("a"), F.col("rep").alias("b")))

@@ -141,6 +141,35 @@ def test_near_vectors_against_brute_force(spark):
     assert forest.near_vectors(v.limit(0)).count() == 0
 
 
+def test_deep_trees_find_most_links_and_ignore_widths():
+    """Trees of nine levels on near pairs at the threshold: recall; and leaves that don't depend on the batch's width."""
+    rng = np.random.default_rng(9)
+    n, depth, trees = 30_000, 9, forest.TREES
+    x = rng.normal(size=(n, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    other = rng.normal(size=x.shape)
+    other -= (other * x).sum(1, keepdims=True) * x
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    near = 0.94 * x + np.sqrt(1 - 0.94**2) * other
+    splits = [forest.learn(x[:8000], depth, t) for t in range(trees)]
+    a, b = (forest._leaves(y[:4000], depth, splits, trees) for y in (x, near))
+    pairs = set(zip(a[0].tolist(), a[1].tolist())) & set(zip(b[0].tolist(), b[1].tolist()))
+    assert len({i for i, _ in pairs}) >= 0.98 * 4000
+    wider = np.hstack([x[:100], np.zeros((100, 5))])
+    assert all((p == q).all() for p, q in zip(forest._leaves(x[:100], depth, splits, trees), forest._leaves(wider, depth, splits, trees)))
+
+
+def test_vectors_of_unlike_lengths(spark):
+    rows = [(i, [1.0, float(i % 7), 0.5][: 2 + i % 2], 1) for i in range(60)]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    out = {r.vec_id: r for r in forest.near_vectors(v, leaf=16).collect()}
+    x = np.array([[*r[1], 0.0][:3] for r in rows], np.float32).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = (x @ x.T >= 0.93).sum(1) - 1
+    got = np.array([out[i].n_links for i in range(60)])
+    assert (got <= want).all() and got.sum() >= 0.9 * want.sum()
+
+
 def test_top_k_with_ties_and_odd_vectors(spark):
     rng = np.random.default_rng(5)
     rows = [(i, np.round(rng.normal(size=6), 1).tolist(), 0) for i in range(300)] + [(301, None, 0), (350, [float("inf")] * 6, 0), (400, [None] * 6, 0), (None, [1.0] * 6, 0), (450, [9.0], 0)]
