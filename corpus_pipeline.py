@@ -12,36 +12,37 @@ from feedloom.llm.common import fresh, saved, table
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-#: Number of a row of a stage's input.
+#: Number of a row of a stage's input, or of its text.
 ROW = "row"
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """The rows with a number each, written, so that every plan that reads them sees the same numbers."""
-    return saved(fresh(docs, *COLUMNS).withColumn(ROW, F.monotonically_increasing_id()), "rows")
+def _of_text(docs: DataFrame) -> DataFrame:
+    """The rows with a 64-bit hash of the text. Quality and language depend on the text alone, so what is rejected is a
+    set of texts: no row needs a number, whatever the ids, and nothing but the rejected hashes is written."""
+    return fresh(docs, *COLUMNS).withColumn(ROW, F.xxhash64("text"))
 
 
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows that are not among the rejected, whatever their ids."""
-    return docs.join(saved(rejected.select(ROW), "rejected"), ROW, "left_anti").select(*COLUMNS)
+    """The rows whose text is not among the rejected ones."""
+    return docs.join(saved(rejected.select(ROW).distinct(), "rejected"), ROW, "left_anti").select(*COLUMNS)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; null ids have no label and are judged by their text, as is each of
     several rows of one id."""
-    docs = _numbered(docs)
+    docs = _of_text(docs)
     return _without(docs, quality.score(docs, table(spark, sf_dir, "labels"), row=ROW).filter("predicted = 0"))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known and not rejected."""
-    docs = _numbered(docs)
+    docs = _of_text(docs)
     return _without(docs, language.identify(docs, row=ROW).filter("rejected"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates, whatever the ids: that of the smallest id, null ids last."""
-    docs = _numbered(docs)
+    docs = saved(fresh(docs, *COLUMNS).withColumn(ROW, F.monotonically_increasing_id()), "rows")  # plans that read it see the same numbers
     near = minhash.near_duplicates(docs.select(F.col(ROW).alias("doc_id"), "text")).select(F.col("doc_id").alias(ROW), "component_id")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW))[ROW]
     kept = near.join(docs.select(ROW, "doc_id"), ROW).groupBy("component_id").agg(first.alias(ROW))
