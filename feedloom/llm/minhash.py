@@ -339,9 +339,9 @@ SQL = r"""
 WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
   ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS s FROM w),
-n AS (SELECT doc_id, len(s) AS n FROM s), e AS (SELECT doc_id, unnest(s) AS h FROM s),
+n AS (SELECT doc_id, len(s) AS n FROM s), e AS MATERIALIZED (SELECT doc_id, hash(x) AS h FROM (SELECT doc_id, unnest(s) AS x FROM s)),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM e a JOIN e b USING (h) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
-l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * m >= 75 * (x.n + y.n - m)),
+l AS MATERIALIZED (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * m >= 75 * (x.n + y.n - m)),
 r(id, o) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.id, l.b FROM r JOIN l ON l.a = r.o),
 c AS (SELECT id, min(o) AS component_id FROM r GROUP BY id)
 SELECT id AS doc_id, CAST(n AS BIGINT) AS n_shingles, component_id, id = component_id AS kept FROM c JOIN n ON n.doc_id = id
