@@ -39,16 +39,56 @@ def whole(batch: pa.RecordBatch) -> tuple[np.ndarray, list[int], np.ndarray]:
     return np.array(ids, np.int64), kept, out
 
 
-def parts(q: np.ndarray, x: np.ndarray) -> list[np.ndarray]:
-    """The sums of each list, queries by rows, exact: in double precision while all sums fit, else in whole numbers."""
+def _exact(q: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both cut to their common width; as whole numbers without bound (slow) where sums could pass EXACT."""
     wide = min(q.shape[1], x.shape[1])
     q, x = q[:, :wide], x[:, :wide]
     most = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * max(wide, 1)
     if most >= EXACT:
-        q, x = q.astype(object), x.astype(object)  # unbounded integers: slow, exact
-        q, x = np.vectorize(int, otypes=[object])(q), np.vectorize(int, otypes=[object])(x)
+        q, x = (np.vectorize(int, otypes=[object])(v.astype(object)) for v in (q, x))
+    return q, x
+
+
+def _cuts(wide: int) -> list[slice]:
+    """The components of each list."""
     cuts = np.linspace(0, wide, LISTS + 1).astype(int)
-    return [q[:, a:b] @ x[:, a:b].T if b > a else np.zeros((len(q), len(x))) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def _sums(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    return q @ x.T if q.shape[1] else np.zeros((len(q), len(x)))
+
+
+def parts(q: np.ndarray, x: np.ndarray) -> list[np.ndarray]:
+    """The sums of each list, queries by rows, exact: in double precision while all sums fit, else in whole numbers."""
+    q, x = _exact(q, x)
+    return [_sums(q[:, c], x[:, c]) for c in _cuts(q.shape[1])]
+
+
+def reaching(q: np.ndarray, x: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Query, row and score of every pair that reaches its query's cutoff, and how many list sums were computed.
+
+    A pair's lists not yet summed give at most the products of their norms. A row whose sums and this bound stay below
+    the cutoff of every query is left before its next list. Of the other rows, a pair goes on that has an entry of at
+    least cutoff / LISTS in some list, as each pair that reaches the cutoff has.
+    """
+    q, x = _exact(q, x)
+    cuts = _cuts(q.shape[1])
+    long = [np.stack([np.sqrt((v[:, c].astype(float) ** 2).sum(axis=1)) for c in cuts], axis=1) for v in (q, x)]
+    row, done = np.arange(len(x)), 0
+    score, enough = np.zeros((len(q), len(x)), x.dtype), np.zeros((len(q), len(x)), bool)
+    for k, c in enumerate(cuts):
+        rest, sums = long[0][:, k:] @ long[1][row, k:].T, score.astype(float)
+        slack = 1e-9 * (rest + np.abs(sums)) + 1  # more than doubles round
+        live = (~(sums + rest + slack < cut[:, None])).any(axis=0)
+        if not live.all():
+            row, score, enough = row[live], score[:, live], enough[:, live]
+        s = _sums(q[:, c], x[row, c])
+        done += s.size
+        score = score + s
+        enough |= (s >= (cut / LISTS)[:, None]).astype(bool)
+    at, to = np.nonzero(enough & (score >= cut[:, None]).astype(bool))
+    return at, row[to], score[at, to], done
 
 
 def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -96,21 +136,16 @@ def _local_lists(shared, k: int):
 
 
 def _above(shared, cutoffs, k: int):
-    """Phases 2 and 3: rows with an entry of at least cutoff / LISTS in some list; their remaining entries are added to
-    full scores, and of those that reach the cutoff the task's k best go on."""
+    """Phases 2 and 3: rows that may still reach a cutoff, list by list, with an entry of at least cutoff / LISTS in some
+    list; their remaining entries are added to full scores, and of those that reach the cutoff the task's k best go on."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (qid, q), cut = shared.value, cutoffs.value
         held: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(qid)
         for ids, x in _blocks(batches):
-            lists = parts(q, x)
-            enough = np.zeros((len(qid), len(ids)), bool)
-            for s in lists:
-                enough |= (s >= (cut / LISTS)[:, None]).astype(bool)
-            at, row = np.nonzero(enough)
-            score = sum(s[at, row] for s in lists)
-            ok = (score >= cut[at]) & (ids[row] != qid[at])
-            at, row, score = at[ok], row[ok], score[ok].astype(np.int64)
+            at, row, score, _ = reaching(q, x, cut)
+            other = ids[row] != qid[at]
+            at, row, score = at[other], row[other], score[other].astype(np.int64)
             order = np.lexsort((ids[row], -score, at))
             at, row, score = at[order], row[order], score[order]
             ends = np.searchsorted(at, np.arange(len(qid) + 1))
@@ -125,13 +160,21 @@ def _above(shared, cutoffs, k: int):
     return run
 
 
+def _cutoffs(kth: list[int | None]) -> np.ndarray:
+    """Cutoffs as doubles, never above the score: one step lower where whole numbers round. None, of a query with fewer
+    than k rows: every row reaches it."""
+    cut = np.array([-np.inf if s is None else s for s in kth], float)
+    return np.where(np.abs(cut) >= EXACT, np.nextafter(cut, -np.inf), cut)
+
+
 def search(vectors: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     """(query_id, rank, vec_id, score): of every query the k rows of highest integer inner product, its own id left out.
 
     A score is the sum of LISTS partial scores. Phase 1 gathers each task's best entries of each list, with full scores;
     the k-th best full score seen is a safe cutoff, since it is some row's score. Phase 2 broadcasts the cutoff: a row
-    that reaches it has an entry of at least cutoff / LISTS in some list, so only such rows are collected. Phase 3
-    resolves their scores exactly. Candidates are never shuffled and never leave their task but as k rows a query;
+    that reaches it has an entry of at least cutoff / LISTS in some list, so only such rows are collected, and a row is
+    left at the first list from which norms prove that it reaches no query's cutoff. Phase 3 resolves their scores
+    exactly. Candidates are never shuffled and never leave their task but as k rows a query;
     queries are taken in blocks of QUERIES, each broadcast with a proven bound.
 
     Null vectors and ids, and vectors with null or non-finite components, take no part. Shorter vectors count as ended
@@ -157,8 +200,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
                 first = vectors.mapInArrow(_local_lists(shared, k), _FOUND)
                 w = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
                 kth = {r.query_id: r.score for r in first.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") == k).select("query_id", "score").collect()}
-                least = -float(2**62)
-                cut = spark.sparkContext.broadcast(np.array([kth.get(i, least) for i in qid.tolist()], float))
+                cut = spark.sparkContext.broadcast(_cutoffs([kth.get(i) for i in qid.tolist()]))
                 rows = vectors.mapInArrow(_above(shared, cut, k), _FOUND)
                 rows = rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
                 rows = saved(rows.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"), "top")

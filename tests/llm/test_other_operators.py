@@ -185,6 +185,24 @@ def test_top_k_with_ties_and_odd_vectors(spark):
     assert topk.search(v.filter("vec_id < 3"), v.filter("vec_id = 0")).count() == 2
 
 
+def test_threshold_prunes_lists_and_loses_no_pair():
+    rng = np.random.default_rng(8)
+    for scale in (256, 2**29):  # sums in doubles, and beyond 2**53
+        for wide in (1, 3, 16, 50):
+            centre = rng.normal(size=(20, wide))
+            x = np.floor(scale * (centre[rng.integers(0, 20, 400)] + 0.1 * rng.normal(size=(400, wide))))
+            q = np.concatenate([x[:6], np.zeros((1, wide))])
+            full = [[sum(int(a) * int(b) for a, b in zip(u, v)) for v in x] for u in q]
+            kth = [sorted(f)[-5] for f in full]
+            at, row, score, done = topk.reaching(q, x, topk._cutoffs(kth))
+            found = {(int(i), int(j)): int(s) for i, j, s in zip(at, row, score)}
+            assert all(found[i, j] == full[i][j] for i, j in found)
+            assert {(i, j) for i, f in enumerate(full) for j, s in enumerate(f) if s >= kth[i]} <= set(found)
+            few = topk.reaching(q[:6], x, topk._cutoffs(kth[:6]))[3]
+            assert wide < 16 or few < 0.6 * topk.LISTS * 6 * 400  # a good part of the list sums is never made
+            assert len(topk.reaching(-q, x, topk._cutoffs([None] * 7))[0]) == 7 * 400
+
+
 def test_near_duplicates_against_brute_force(spark):
     rng = random.Random(6)
     word = lambda: rng.choice("abcdefghij") + rng.choice("klmnop")
