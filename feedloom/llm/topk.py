@@ -56,7 +56,7 @@ def _cuts(wide: int) -> list[slice]:
 
 
 def _sums(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    return q @ x.T if q.shape[1] else np.zeros((len(q), len(x)))
+    return q @ x.T if q.shape[1] else np.zeros((len(q), len(x)), x.dtype)  # a double zero would round whole numbers
 
 
 def parts(q: np.ndarray, x: np.ndarray) -> list[np.ndarray]:
