@@ -25,7 +25,7 @@ UNKNOWN = "und"
 
 
 #: Bytes of text that look up the model together, and words scored at once.
-TOGETHER, AT_ONCE = 64 << 20, 50_000
+TOGETHER, AT_ONCE = 16 << 20, 8_000
 
 
 def _packed(x: np.ndarray) -> bytes:
