@@ -22,6 +22,8 @@ K = BANDS * ROWS
 GROUP = 256
 #: Sets on either side of a group of the last round.
 BLOCK = 1024
+#: Bytes of text whose shingles a worker holds at once: each byte of text takes some forty of them.
+AT_ONCE = 1 << 20
 
 _ODD = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93)]
 
@@ -82,7 +84,7 @@ def _digests(h: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def _signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block in text_blocks(batches):
+    for block in text_blocks(batches, limit=AT_ONCE):
         of, h = shingle_sets(block.column("text"))
         rows = len(block)
         n = np.bincount(of, minlength=rows).astype(np.int64)
@@ -108,7 +110,7 @@ def _signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in groups of one centre (role 0, first) and its members; yields the members that link with their centre."""
     centre, key = None, None
-    for block in text_blocks(batches):
+    for block in text_blocks(batches, limit=AT_ONCE):
         of, h = shingle_sets(block.column("text"))
         n = np.bincount(of, minlength=len(block))
         at = np.concatenate([[0], np.cumsum(n)])
@@ -136,7 +138,7 @@ def _verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _exploded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block in text_blocks(batches):
+    for block in text_blocks(batches, limit=AT_ONCE):
         of, h = shingle_sets(block.column("text"))
         n = np.bincount(of, minlength=len(block))
         d1 = np.zeros(len(block), np.int64)
@@ -237,7 +239,7 @@ def _grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = _links(ids, comps, sides, np.concatenate(ofs), np.concatenate(hs), key[1] != key[2]) if len(ids) > 1 else []
         return pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["a", "b"])
 
-    for block in text_blocks(batches):
+    for block in text_blocks(batches, limit=AT_ONCE):
         of, h = shingle_sets(block.column("text"))
         n = np.bincount(of, minlength=len(block))
         at = np.concatenate([[0], np.cumsum(n)])
