@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from feedloom.llm import forest, language, minhash, mixing, packing, quality, topk, toxicity, warc, wordpiece
+from feedloom.llm import forest, language, minhash, mixing, negatives, packing, quality, topk, toxicity, warc, wordpiece
 
 QUERIES = {
     "op1_warc": warc.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_near_duplicates": minhash.op8,
     "op9_top_k": topk.op9,
     "op10_packing": packing.op10,
+    "op13_hard_negatives": negatives.op13,
 }
 
 ORACLES: dict[str, str] = {
@@ -23,4 +24,5 @@ ORACLES: dict[str, str] = {
     "op6_near_vectors": forest.SQL,
     "op8_near_duplicates": minhash.SQL,
     "op9_top_k": topk.SQL,
+    "op13_hard_negatives": negatives.SQL,
 }
