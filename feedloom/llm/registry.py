@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from feedloom.llm import forest, language, minhash, mixing, negatives, packing, quality, topk, toxicity, warc, wordpiece
+from feedloom.llm import forest, language, minhash, mixing, negatives, packing, phrases, quality, repeats, topk, toxicity, warc, wordpiece
 
 QUERIES = {
     "op1_warc": warc.op1,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_near_duplicates": minhash.op8,
     "op9_top_k": topk.op9,
     "op10_packing": packing.op10,
+    "op11_collocations": phrases.op11,
+    "op12_repeats": repeats.op12,
     "op13_hard_negatives": negatives.op13,
 }
 
@@ -24,5 +26,6 @@ ORACLES: dict[str, str] = {
     "op6_near_vectors": forest.SQL,
     "op8_near_duplicates": minhash.SQL,
     "op9_top_k": topk.SQL,
+    "op11_collocations": phrases.SQL,
     "op13_hard_negatives": negatives.SQL,
 }
