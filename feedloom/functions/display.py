@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.functions import timex
+from feedloom.functions import text, timex
 
 #: Fixed value: the shape of a room in a listing.
 ROOM = r"^[A-Za-z]?\d{1,4}[A-Za-z]?$"
@@ -31,23 +31,38 @@ def sponsors(records: DataFrame, key: str, sources: str, registry: DataFrame) ->
     return each.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(one)), lambda x: F.struct(x["label"].alias("label"), x["home"].alias("home"))).alias("sponsors"))
 
 
+def decorated(events: DataFrame, registry: DataFrame) -> DataFrame:
+    """Events as a listing shows them: id, times, title, series with spaces, first paragraph, speakers and their bare names,
+    place with and without the word for a room, sponsors in the order of the sources (label and home of the registry),
+    purposes, whether the title stands in for one, and whether the start can't be read. One join with the registry for
+    each source of an event, none over the texts."""
+    said = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))
+    names = F.filter(F.transform("speakers", lambda s: s["name"]), lambda n: n != "")
+    out = events.select(
+        "id", "start_time", "end_time", said("title").alias("title"), text.series_spacing(said("series")).alias("series"), text.first_paragraph(F.coalesce("content", F.lit(""))).alias("description"),
+        text.speaker_display(F.col("speakers")).alias("speakers"), names.alias("names"), place(F.col("location.name"), F.col("location.detail")).alias("location"),
+        place(F.col("location.name"), F.col("location.detail"), room="").alias("place"), F.coalesce("url", F.lit("")).alias("url"), "sources", "purposes",
+        F.coalesce("title_is_placeholder", F.lit(False)).alias("placeholder"), (~F.coalesce(F.col("start_time").rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$"), F.lit(False))).alias("malformed_start"),
+    )
+    return out.join(sponsors(events, "id", "sources", registry), "id", "left").withColumn("sponsors", F.coalesce("sponsors", F.array().cast("array<struct<label:string,home:string>>")))
+
+
+#: Why a record isn't ready.
+CANCELLED, CONFLICTED, UNKNOWN, UNTITLED, NOWHERE = "cancelled", "the mapping conflicted", "a category nothing recognises: ", "no title announced yet", "no location"
+
+
 def reasons(cancelled: Column, conflict: Column, unmapped: Column, placeholder: Column, no_place: Column) -> Column:
     """Why a record isn't ready, what is wrong first; unmapped: an array of categories."""
     found = [
-        F.when(cancelled, F.lit("cancelled")),
-        F.when(conflict, F.lit("the mapping conflicted")),
-        F.when(F.size(unmapped) > 0, F.concat(F.lit("a category nothing recognises: "), F.array_join(unmapped, ", "))),
-        F.when(placeholder, F.lit("no title announced yet")),
-        F.when(no_place, F.lit("no location")),
+        F.when(cancelled, F.lit(CANCELLED)),
+        F.when(conflict, F.lit(CONFLICTED)),
+        F.when(F.size(unmapped) > 0, F.concat(F.lit(UNKNOWN), F.array_join(unmapped, ", "))),
+        F.when(placeholder, F.lit(UNTITLED)),
+        F.when(no_place, F.lit(NOWHERE)),
     ]
     return F.filter(F.array(*found), lambda x: x.isNotNull())
 
 
-def terse(where: dict) -> str:
-    """A clause as one readable line."""
-    return "; ".join(f"{field} {op} {value!r}" for field, tests in where.items() for op, value in tests.items())
-
-
 def calendar_url(title: Column, start: Column, end: Column, place_: Column, details: Column) -> Column:
     """A link that opens an entry in a web calendar. start, end: UTC timestamps."""
     at = lambda c: F.date_format(c, "yyyyMMdd'T'HHmmss'Z'")

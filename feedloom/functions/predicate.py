@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.functions.text import compare_form
+from feedloom.functions.text import compare_form, compare_text
 
 OPS = ("contains", "not_contains", "equals", "not_equals", "in", "not_in", "matches", "before", "after")
 
@@ -42,7 +42,7 @@ def _one(c: Column, many: bool, op: str, value) -> Column:
     if op == "contains":
         return F.array_contains(c, value) if many else c.contains(value)
     if op == "equals":
-        return compare_form(c) == compare_form(F.lit(value))
+        return compare_form(c) == F.lit(compare_text(value))
     if op == "in":
         return F.arrays_overlap(c, F.array(*(F.lit(v) for v in value))) if many else c.isin(list(value))
     if op == "matches":

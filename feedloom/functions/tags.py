@@ -23,5 +23,5 @@ def normalized(candidates: Column, alias: dict[str, str]) -> Column:
     names = F.create_map(*(F.lit(x) for kv in alias.items() for x in kv)) if alias else F.lit(None).cast("map<string,string>")
     tag = lambda c: F.try_element_at(names, tag_key(c))
     known = F.array_sort(F.array_distinct(F.filter(F.transform(candidates, tag), lambda x: x.isNotNull())))
-    rest = F.filter(F.transform(candidates, F.trim), lambda c: (c != "") & tag(c).isNull())
+    rest = F.filter(F.transform(candidates, lambda c: F.trim(c)), lambda c: (c != "") & tag(c).isNull())
     return F.struct(known.alias("tags"), rest.alias("unmapped"))

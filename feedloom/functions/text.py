@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import re
 import unicodedata
 from functools import lru_cache
 
@@ -41,45 +42,47 @@ def collapse(c: Column) -> Column:
 
 
 @lru_cache
-def _tables() -> tuple[dict[str, str], dict[str, str]]:
-    """By Unicode's rules: letters with marks and the one character that they compose to; lower-case characters that
-    case folding changes further. Syllables of Hangul, which have no marks, are left out."""
-    composed, folded = {}, {}
-    for i in range(0x110000):
-        c = chr(i)
-        apart = unicodedata.normalize("NFD", c)
-        if apart != c and not 0xAC00 <= i <= 0xD7A3 and unicodedata.normalize("NFC", apart) == c:
-            composed[apart] = c
-        if c == c.lower() != c.casefold():
-            folded[c] = c.casefold()
-    return composed, folded
+def _folded() -> dict[str, str]:
+    """Lower-case characters that case folding changes further."""
+    each = (chr(i) for i in range(0x110000))
+    return {c: c.casefold() for c in each if c == c.lower() != c.casefold()}
 
 
-def _mapped(table: dict[str, str]) -> Column:
-    """A literal map, of two strings."""
-    return F.map_from_arrays(F.split(F.lit(_APART.join(table)), _APART), F.split(F.lit(_APART.join(table.values())), _APART))
+def casefold(c: Column) -> Column:
+    """Case folding of short texts, by expressions of the engine, so within lambdas too."""
+    table = _folded()
+    found = F.map_from_arrays(F.split(F.lit(_APART.join(table)), _APART), F.split(F.lit(_APART.join(table.values())), _APART))
+    low = F.lower(c)
+    each = F.transform(F.split(low, ""), lambda x: F.coalesce(F.try_element_at(found, x), x))
+    return F.when(low.rlike("[" + "".join(table) + "]"), F.array_join(each, "")).otherwise(low)
 
 
-def compose(c: Column) -> Column:
-    """Letters and their marks as one character where there is one (canonical composition). Only texts with marks are
-    taken apart."""
-    table = _mapped(_tables()[0])
-    part = lambda x: F.coalesce(F.try_element_at(table, x), F.concat(F.try_element_at(table, F.substring(x, 1, 2)), F.substr(x, F.lit(3))), x)
-    return F.when(c.rlike(r"\p{M}"), F.array_join(F.transform(F.regexp_extract_all(c, F.lit(r"(?s)(\P{M}\p{M}*|\p{M}+)"), F.lit(1)), part), "")).otherwise(c)
+def composed(c: Column) -> Column:
+    """Canonical composition (marks in canonical order, syllables of Hangul), by the library that the engine brings for
+    its collations. c: not null."""
+    return F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), c, F.lit(False))
 
 
-def casefold(c: Column) -> Column:
-    table = _tables()[1]
-    low = F.lower(c)
-    each = F.transform(F.split(low, ""), lambda x: F.coalesce(F.try_element_at(_mapped(table), x), x))
-    return F.when(low.rlike("[" + "".join(table) + "]"), F.array_join(each, "")).otherwise(low)
+def folded(c: Column) -> Column:
+    """Full case folding of whole texts. c: not null."""
+    return F.reflect(F.lit("com.ibm.icu.lang.UCharacter"), F.lit("foldCase"), c, F.lit(True))
 
 
 def compare_form(c: Column) -> Column:
     """The form in which texts are equal: composed letters, one dash, one quote, no zero-width signs, single spaces, case
-    folded."""
-    plain = lambda x: collapse(F.translate(x, LIKE_FROM + ZERO_WIDTH, LIKE_TO))
-    return F.when(c.rlike(r"^[\x00-\x7F]*$"), F.lower(collapse(c))).otherwise(let(let(c, compose), lambda x: casefold(plain(x))))
+    folded. Within the engine; texts beyond ASCII are composed and folded as wholes, whatever their letters."""
+    other = collapse(F.translate(folded(composed(c)), LIKE_FROM + ZERO_WIDTH, LIKE_TO))
+    return F.when(c.isNull(), c).when(c.rlike(r"^[\x00-\x7F]*$"), F.lower(collapse(c))).otherwise(other)
+
+
+_ALIKE = str.maketrans(LIKE_FROM, LIKE_TO, ZERO_WIDTH)
+#: What (?U)\\s matches.
+_SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+
+
+def compare_text(value: str) -> str:
+    """compare_form() of a declared value, before any plan is built."""
+    return _SPACES.sub(" ", unicodedata.normalize("NFC", value).casefold().translate(_ALIKE)).strip(" ")
 
 
 @F.pandas_udf(T.StringType())
@@ -185,6 +188,11 @@ def label(word: str, n: Column) -> Column:
     return F.when(n > 1, F.lit(f"{word}s:")).otherwise(F.lit(f"{word}:"))
 
 
+def sentence(c: Column) -> Column:
+    """A text with the full stop that it may lack."""
+    return F.when(c.endswith("."), c).otherwise(F.concat(c, F.lit(".")))
+
+
 def first_sentence(c: Column) -> Column:
     return F.trim(F.regexp_extract(collapse(c), r"^(.*?(?:[.!?](?=\s|$)|$))", 1))
 

@@ -71,6 +71,19 @@ def ago(minutes: Column) -> Column:
     )
 
 
+def relative_hours(hours: Column) -> Column:
+    """'in 5 hours', '1 hour ago', 'in 3 days': days from two of them on; half hours and half days are rounded up."""
+    size = F.abs(hours)
+    whole = F.floor(size + 0.5).cast("int")
+    amount = F.when(size < 48, F.concat(whole.cast("string"), F.when(whole == 1, " hour").otherwise(" hours"))).otherwise(F.concat(F.floor(size / 24 + 0.5).cast("int").cast("string"), F.lit(" days")))
+    return F.when(hours >= 0, F.concat(F.lit("in "), amount)).otherwise(F.concat(amount, F.lit(" ago")))
+
+
+def duration(minutes: Column) -> Column:
+    """'80 minutes', '3.5 hours', '2.1 days'."""
+    return F.when(minutes < 90, F.format_string("%.0f minutes", minutes.cast("double"))).when(minutes < 60 * 48, F.format_string("%.1f hours", minutes / 60)).otherwise(F.format_string("%.1f days", minutes / 1440))
+
+
 def elapsed_window(hours: Column, window: Column) -> Column:
     """struct(due, reason) of a scrape that is repeated after `window` hours: never made, dated in the future, or old."""
     said = F.concat(F.lit("scraped "), F.format_string("%.1f", hours), F.lit("h ago, window is "), window.cast("string"), F.lit("h"))

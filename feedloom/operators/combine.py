@@ -8,8 +8,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.predicate import compiled
+from feedloom.functions.text import compare_form
 
 REFUSED_KEYS = {"guid", "id"}
+#: The fields of an event that are compared, in their order; instants as they are, the rest in compare form.
+COMPARED = ("starts_at", "ends_at", "title", "speaker", "series", "location", "url", "content")
+KEYS = {"starts_at", "ends_at", "title", "url", "location", "speaker"}
+
+
+def compared(name: str) -> Column:
+    """A field of an event as it is compared; the location is its name and detail."""
+    if name in ("starts_at", "ends_at"):
+        return F.col(name)
+    place = F.concat(F.coalesce("location.name", F.lit("")), F.lit("|"), F.coalesce("location.detail", F.lit("")))
+    return compare_form(place if name == "location" else F.coalesce(F.col(name).cast("string"), F.lit("")))
+
+
+def details() -> dict[str, Column]:
+    """What decides whether two events are the same: only what the feed says, nothing that was scraped at some time."""
+    return {name: compared(name) for name in COMPARED}
+
+
+def keyed_names(fields: Iterable[str]) -> list[str]:
+    """The fields that bring events together for comparison; identifiers are refused, as is none at all."""
+    if (wrong := sorted(set(fields) - KEYS)) or not list(fields):
+        raise ValueError(f"{wrong} are no keys to merge by")
+    return list(fields)
+
+
+def keyed(fields: Iterable[str]) -> dict[str, Column]:
+    return {name: compared(name) for name in keyed_names(fields)}
 
 
 def chosen(df: DataFrame, include: Iterable[str] | str = "*", exclude: Iterable[str] = (), where: dict | None = None, exclude_where: dict | None = None) -> DataFrame:

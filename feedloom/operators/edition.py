@@ -39,6 +39,24 @@ def bucket(start_time: Column, purposes: Column, purpose: str | None, lo: Column
     return out.when(start_time.between(lo, hi), pair("included", "")).when(start_time < lo, pair("excluded", "Starts before the window")).otherwise(pair("excluded", "Starts after the window"))
 
 
+def in_editions(events: DataFrame, editions: DataFrame, start: str = "start_time", days: int = 7) -> DataFrame:
+    """Every event with every edition (edition, coverage_start, coverage_end as wall-clock texts) whose window holds its
+    start, both ends inside: all editions of a year at once.
+
+    A window is spread over the stretches of `days` days that it touches, an event lies in one of them, so the join is on
+    the stretch and the bounds are checked within it: one row of an edition for each stretch, no loop over all pairs.
+    Adaptive execution splits a stretch with many events. Unreadable starts are in none."""
+    stretch = lambda c: F.floor(F.unix_date(F.try_to_date(F.substring(c, 1, 10), "yyyy-MM-dd")) / days)
+    wide = editions.withColumn("_stretch", F.explode(F.sequence(stretch("coverage_start"), stretch("coverage_end"))))
+    named = events.withColumn("_stretch", stretch(start))
+    return named.join(wide, "_stretch").filter(F.col(start).between(F.col("coverage_start"), F.col("coverage_end"))).drop("_stretch")
+
+
+def listed(included: DataFrame, start: str = "start_time", title: str = "title") -> DataFrame:
+    """The order of a listing: by start, then by title."""
+    return included.orderBy(start, title)
+
+
 def readiness(cancelled: Column, conflict: Column, unmapped: Column, placeholder: Column, no_place: Column) -> Column:
     return F.when(cancelled | conflict | unmapped, F.lit("check")).when(placeholder | no_place, F.lit("fix")).otherwise(F.lit("ready"))
 

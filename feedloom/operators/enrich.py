@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.functions import pages as trees
 from feedloom.functions import text
+from feedloom.operators.transform import Source, by_source
 
 
 def select_first(html: Column, *classes: str) -> Column:
@@ -42,7 +44,7 @@ def select_all(html: Column, *classes: str) -> Column:
     return F.coalesce(*(F.when(F.size(x) > 0, x) for x in found), F.array().cast("array<string>"))
 
 
-def applied(field: str, value: Column, fill: bool = True, split: bool = False) -> dict[str, Column]:
+def applied(field: str, value: Column, fill: bool | Column = True, split: bool = False) -> dict[str, Column]:
     """New columns of an event for a scraped value: an array of texts for speakers, else a text. With `fill` what the
     feed gave stays. A title that is missing changes nothing; one that is taken says that it was enriched."""
     if field == "speakers":
@@ -91,3 +93,73 @@ def stats(scraped_: DataFrame, source: str, floor: float = 0.0) -> DataFrame:
     out = scraped_.groupBy(source).agg(F.count_if(~F.col("status").isin("no_url", "carried")).alias("attempted"), *(n(s).alias(s) for s in ("filled", "selector_miss", "rejected", "http_error", "network_error", "no_url", "carried")))
     rate = F.coalesce(F.try_divide(F.col("attempted") - F.col("http_error") - F.col("network_error"), F.col("attempted")), F.lit(1.0))
     return out.withColumn("success_rate", F.round(rate, 3)).withColumn("breach", (F.col("attempted") > 0) & (rate < floor))
+
+
+#: Fields that only pages give; they are empty until then.
+PAGE_FIELDS = ("raw_details", "abstract", "bio", "content", "banner_image")
+
+
+def _declared(s: Source, name: str) -> dict | None:
+    return next((t for t in s.enrich if t["field"] == name), None)
+
+
+def enriched(events: DataFrame, sources: list[Source], pages: DataFrame, held: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Events with what their pages say, by the targets that their sources declare (enrich: field, selectors, and reject,
+    split, mode `fill` or `replace`), and (source, field, status) of every event and target.
+
+    An event whose guid `held` has (source, guid and fields of an earlier publication) gets its values from there and its
+    page isn't wanted; so inside a source's window only what is new is scraped. Pages (url, code, body) are read once per
+    url and parsed once, then joined to the events that want them; every target reads the same tree."""
+    names = [t["field"] for s in sources for t in s.enrich]
+    names = sorted(set(names), key=names.index)
+    out = events
+    for name in names:
+        if name not in out.columns:
+            out = out.withColumn(name, F.array().cast("array<struct<name:string,affiliation:string>>") if name == "speakers" else F.lit(""))
+    if held is None:
+        out = out.withColumn("carried", F.lit(False))
+    else:
+        known = held.withColumn("_key", F.concat_ws(":", "source", "guid"))
+        known = known.select("_key", *(F.col(c) for c in [*names, *(["title_source"] if "title" in names else [])]))
+        out = carry(out.withColumn("_key", F.concat_ws(":", "source", "guid")), known.dropDuplicates(["_key"]), "_key", names).drop("_key")
+    wants = F.col("source").isin([s.slug for s in sources if s.enrich]) & ~F.col("carried") & (F.coalesce("url", F.lit("")) != "")
+    once = pages.groupBy("url").agg(F.min_by(F.struct("code", "body"), F.struct(F.coalesce(F.col("code") != 200, F.lit(True)), "code", "body")).alias("p"))
+    once = once.select(F.col("url").alias("_url"), F.col("p.code").alias("_code"), trees.tree(F.col("p.body")).alias("_nodes"))
+    out = out.withColumn("_want", F.when(wants, F.col("url"))).join(once, F.col("_want") == F.col("_url"), "left")
+    status = {}
+    for name in names:
+        some = [s for s in sources if _declared(s, name)]
+        many = name == "speakers"
+        pick = trees.select_all if many else trees.select_first
+        found = by_source(some, lambda s, pick=pick, name=name: pick(F.col("_nodes"), *_declared(s, name)["selectors"]), "enrich")
+        none = F.array().cast("array<string>") if many else F.lit("")
+        found = F.coalesce(found, none)
+        reject = by_source(some, lambda s, name=name: F.lit(_declared(s, name).get("reject") or "").cast("string"), "enrich")
+        first = F.coalesce(F.get(found, 0), F.lit("")) if many else found
+        bad = (reject != "") & F.regexp_like(first, F.concat(F.lit("(?i)"), reject))
+        miss = F.size(found) == 0 if many else found == ""
+        st = F.when(~F.col("source").isin([s.slug for s in some]), F.lit(None).cast("string")).when(F.col("carried"), "carried").when(F.col("_want").isNull(), "no_url")
+        st = st.when(F.col("_code").isNull(), "network_error").when(F.col("_code") != 200, "http_error").when(miss, "selector_miss").when(bad, "rejected").otherwise("filled")
+        out = out.withColumn(f"_st_{name}", st).withColumn(f"_v_{name}", F.when(F.col(f"_st_{name}") == "filled", found).otherwise(none))
+        fills = by_source(some, lambda s, name=name: F.lit(_declared(s, name).get("mode", "fill") == "fill"), "enrich")
+        splits = any(_declared(s, name).get("split") for s in some)
+        new = applied(name, F.col(f"_v_{name}"), F.coalesce(fills, F.lit(True)), splits)
+        out = out.withColumns(new)
+        status[name] = f"_st_{name}"
+    if "speakers" in names:
+        out = out.withColumns({"speaker": text.speaker_display(F.col("speakers")), "affiliation": text.single_affiliation(F.col("speakers"))})
+    rows = F.array(*(F.struct(F.lit(n).alias("field"), F.col(c).alias("status")) for n, c in status.items())) if status else F.array().cast("array<struct<field:string,status:string>>")
+    seen = out.select("source", F.explode(rows).alias("t")).select("source", "t.field", "t.status").filter("status is not null")
+    return out.drop("_want", "_url", "_code", "_nodes", "carried", *(c for c in out.columns if c.startswith(("_st_", "_v_")))), seen
+
+
+def breaches(seen: DataFrame, sources: list[Source]) -> DataFrame:
+    """(source, detail): the sources whose pages were reached less often than they expect, by field. What was not asked
+    for counts neither way."""
+    floor = by_source(sources, lambda s: F.lit(float(s.expectations.get("min_enrich_success_rate", 0.0))), "expectations")
+    n = lambda *some: F.count_if(F.col("status").isin(*some))
+    by = seen.groupBy("source", "field").agg(n("filled", "selector_miss", "rejected").alias("reached"), n("http_error").alias("refused"), n("network_error").alias("silent"))
+    by = by.withColumn("attempted", F.col("reached") + F.col("refused") + F.col("silent")).withColumn("floor", floor)
+    bad = by.filter((F.col("attempted") > 0) & (F.col("reached") / F.col("attempted") < F.col("floor")))
+    said = F.format_string("%s: reached %d of %d pages (%.0f%%, floor %.0f%%)", "field", "reached", "attempted", 100 * F.col("reached") / F.col("attempted"), 100 * F.col("floor"))
+    return bad.groupBy("source").agg(F.array_join(F.array_sort(F.collect_list(said)), "; ").alias("detail"))

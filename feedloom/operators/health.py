@@ -22,16 +22,19 @@ def served(manifest: DataFrame, records: DataFrame, source: str = "source") -> D
     return out.withColumn("finding", F.when(F.col("served") == F.col("promised"), F.lit("ok")).otherwise(F.lit("fail")))
 
 
+#: What is said of a repository's last commit: dated ahead, recent, late, too late.
+COMMITS = (
+    "the last commit is dated %.1f days ahead", "last commit %.1f days ago, inside the {0:g}-day threshold",
+    "last commit %.1f days ago, past the {0:g}-day threshold and %.1f days from the schedules being disabled",
+    "last commit %.1f days ago, past GitHub's {1:g}-day limit — the scheduled workflows have most likely already been disabled",
+)
+
+
 def keepalive(days: Column, warn: float = 35, fail: float = 60) -> Column:
     """struct(commit, reason): whether a repository that has been quiet for so many days needs a commit."""
-    n = F.format_string("%.1f", days)
-    pair = lambda c, *parts: F.struct(F.lit(c).alias("commit"), F.concat(F.lit("last commit "), *parts).alias("reason"))
-    return (
-        F.when(days < 0, pair(False, F.format_string("%.1f", -days), F.lit(" days ahead")))
-        .when(days < warn, pair(False, n, F.lit(f" days ago, inside the {warn:g}-day threshold")))
-        .when(days >= fail, pair(True, n, F.lit(f" days ago, past the {fail:g}-day limit")))
-        .otherwise(pair(True, n, F.lit(f" days ago, past the {warn:g}-day threshold and "), F.format_string("%.1f", fail - days), F.lit(" days from the limit")))
-    )
+    ahead, recent, late, too_late = (c.format(warn, fail) for c in COMMITS)
+    pair = lambda c, said, *n: F.struct(F.lit(c).alias("commit"), F.format_string(said, *n).alias("reason"))
+    return F.when(days < 0, pair(False, ahead, -days)).when(days < warn, pair(False, recent, days)).when(days >= fail, pair(True, too_late, days)).otherwise(pair(True, late, days, fail - days))
 
 
 def stopped(states: DataFrame, expected: DataFrame) -> DataFrame:

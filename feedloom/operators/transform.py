@@ -38,9 +38,16 @@ class Source:
     status: str = "live"
     reason: str = ""
     producer: str = ""
+    cadence: str = "1h"
+    page_size: int | None = None
+    enrich: tuple = ()
+    rebuild_after_hours: int = 24
+    escape: tuple[str, ...] = ()
+    title_template: str = ""
+    expectations: dict = field(default_factory=dict)
 
 
-def _by_source(sources: list[Source], value, *declared: str) -> Column:
+def by_source(sources: list[Source], value, *declared: str) -> Column:
     """value(source) for each row's source; null for rows of none of them. declared: the fields that the value depends
     on; sources that declare the same share a branch, so the plan grows with the declarations, not with the sources."""
     alike: dict[str, list[Source]] = {}
@@ -94,16 +101,16 @@ def events(raw: DataFrame, sources: list[Source], alias: dict[str, str]) -> Data
     record of a source that isn't declared is an error of that source.
     """
     none = lambda c: F.coalesce(F.col(c), F.lit(""))
-    got = raw.withColumn("_summary", text.collapse(text.decode_entities(none("summary")))).withColumn("_zone", _by_source(sources, lambda s: F.lit(s.timezone if _known(s.timezone) else "UTC"), "timezone"))
-    got = got.withColumn("_o", _by_source(sources, lambda s: _outcome(s, F.col("_summary")), "role", "rules", "patterns", "on_no_match", "not_a_person"))
-    got = got.withColumn("_place", _by_source(sources, lambda s: venue.parsed(text.decode_entities(none("location")), s.venues), "venues"))
+    got = raw.withColumn("_summary", text.collapse(text.decode_entities(none("summary")))).withColumn("_zone", by_source(sources, lambda s: F.lit(s.timezone if _known(s.timezone) else "UTC"), "timezone"))
+    got = got.withColumn("_o", by_source(sources, lambda s: _outcome(s, F.col("_summary")), "role", "rules", "patterns", "on_no_match", "not_a_person"))
+    got = got.withColumn("_place", by_source(sources, lambda s: venue.parsed(text.decode_entities(none("location")), s.venues), "venues"))
     tzid = lambda c: F.regexp_extract(none(c), r"TZID=([^;:]+)", 1)
     for end, value, params in (("_start", "dtstart", "dtstart_params"), ("_end", "dtend", "dtend_params")):
         named = tzid(params)
         got = got.withColumn(f"{end}_zone", F.when(named == "", F.col("_zone")).when(F.array_contains(_zones(), named), named))
         got = got.withColumn(end, F.when(F.trim(none(value)).rlike(r"^\d{8}(T\d{6}Z?)?$"), timex.ics_instant(F.trim(none(value)), F.coalesce(f"{end}_zone", F.lit("UTC")))))
-    bad = _by_source(sources, lambda s: F.lit(None if _known(s.timezone) else f"timezone {s.timezone!r} is not known").cast("string"), "timezone")
-    role = _by_source(sources, lambda s: F.lit(None if s.role in ROLES else f"role {s.role!r} is not implemented").cast("string"), "role")
+    bad = by_source(sources, lambda s: F.lit(None if _known(s.timezone) else f"timezone {s.timezone!r} is not known").cast("string"), "timezone")
+    role = by_source(sources, lambda s: F.lit(None if s.role in ROLES else f"role {s.role!r} is not implemented").cast("string"), "role")
     say = lambda test, *parts: F.when(test, F.concat(*parts))
     error = F.coalesce(
         say(F.col("_zone").isNull(), F.lit("the source is not declared")), role,
@@ -121,12 +128,12 @@ def events(raw: DataFrame, sources: list[Source], alias: dict[str, str]) -> Data
     series = F.coalesce(F.nullif(F.array_join(categories, ","), F.lit("")), F.nullif(none("series"), F.lit("")), F.col("_o.series_extra"))
     return got.select(
         "source", "ordinal", F.concat_ws(":", "source", "uid").alias("id"), F.col("uid").alias("guid"), F.array("source").alias("sources"),
-        _by_source(sources, lambda s: F.lit(s.platform), "platform").alias("platform"), timex.stamp(F.col("_start")).alias("starts_at"), timex.stamp(F.col("_end")).alias("ends_at"),
+        by_source(sources, lambda s: F.lit(s.platform), "platform").alias("platform"), timex.stamp(F.col("_start")).alias("starts_at"), timex.stamp(F.col("_end")).alias("ends_at"),
         _local("_start").alias("start_time"), _local("_end").alias("end_time"), F.col("_zone").alias("timezone"),
         F.col("_o.title").alias("title"), none("url").alias("url"), F.struct("_place.name", F.lit("").alias("id"), "_place.detail").alias("location"),
         people.alias("speakers"), text.speaker_display(people).alias("speaker"), text.single_affiliation(people).alias("affiliation"), series.alias("series"),
         F.col("_tags.tags").alias("tags"), F.col("_tags.unmapped").alias("unmapped_tags"), categories.alias("raw_categories"),
-        _by_source(sources, lambda s: F.array(*map(F.lit, s.purposes)).cast("array<string>"), "purposes").alias("purposes"),
+        by_source(sources, lambda s: F.array(*map(F.lit, s.purposes)).cast("array<string>"), "purposes").alias("purposes"),
         text.decode_entities(none("description")).alias("content"), none("summary").alias("summary_raw"), none("location").alias("location_raw"),
         F.array("_o.rule").alias("mapping_rules"), F.col("_o.rest").alias("summary_rest"), F.col("_place.rule").alias("location_rule"),
         F.col("_o.title_source").alias("title_source"), F.lit(False).alias("title_is_placeholder"), F.lit(False).alias("mapping_conflict"), error.alias("error"),
@@ -152,7 +159,7 @@ def resolved(mapped: DataFrame, sources: list[Source]) -> DataFrame:
 
 def selected(mapped: DataFrame, sources: list[Source]) -> Column:
     """Whether a source publishes the event, by its clauses."""
-    return _by_source(sources, lambda s: predicate.selected(mapped, s.publish_where, s.publish_unless), "publish_where", "publish_unless")
+    return by_source(sources, lambda s: predicate.selected(mapped, s.publish_where, s.publish_unless), "publish_where", "publish_unless")
 
 
 def failures(mapped: DataFrame) -> DataFrame:
@@ -167,11 +174,6 @@ def built(mapped: DataFrame) -> DataFrame:
     return mapped.join(failures(mapped).select("source"), "source", "left_anti").drop("error")
 
 
-def ordered(published: DataFrame) -> DataFrame:
-    """The total order of a published feed."""
-    return published.orderBy("starts_at", "id")
-
-
 def counts(published: DataFrame) -> DataFrame:
     """What a run reports of each source; published: events with `declined` (not published by choice)."""
     kept = ~F.col("declined")

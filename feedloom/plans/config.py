@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.functions import chain, predicate, tags, text, venue
+from feedloom.operators import combine
 from feedloom.operators.transform import Source
 from feedloom.sources import ics, rss
 
@@ -84,6 +85,10 @@ class Registry:
         if s.platform not in PLATFORMS:
             raise ValueError(f"{slug}: unknown platform {s.platform!r}")
         venue.validate(s.venues)
+        for target in s.enrich:
+            closed(target, {"field", "selectors", "reject", "split", "mode", "provenance"}, f"{slug}: enrich")
+            if not target.get("field") or not target.get("selectors"):
+                raise ValueError(f"{slug}: an enrichment names no field or no selectors")
         if s.role == "rules":
             chain.validate(list(s.rules), ("title", "speakers", "affiliation", "series_extra"), s.patterns)
         if unknown := {p for ps in (s.purposes, *(v for _, v in s.overrides)) for p in ps} - self.purposes:
@@ -101,8 +106,8 @@ class Registry:
 
     def table(self, spark: SparkSession) -> DataFrame:
         """The dimension of sources: a row for each."""
-        rows = [(s.slug, s.status == "live", s.status, s.platform, s.role, s.label or s.slug, s.home, s.feed_url, s.reason) for s in self.sources]
-        return spark.createDataFrame(rows, "source string, live boolean, status string, platform string, role string, label string, home string, feed_url string, reason string")
+        rows = [(s.slug, s.status == "live", s.status, s.platform, s.role, s.label or s.slug, s.home, s.feed_url, s.reason, s.cadence, len(s.enrich), s.rebuild_after_hours) for s in self.sources]
+        return spark.createDataFrame(rows, "source string, live boolean, status string, platform string, role string, label string, home string, feed_url string, reason string, cadence string, targets int, window int")
 
     def raw_records(self, feeds: DataFrame) -> DataFrame:
         """Raw records of feeds (source, text), each read by the reader of its declared platform, never by its looks."""
@@ -126,11 +131,55 @@ class Registry:
         return found.filter("found <> '' and want <> '' and found <> want").select("source", "found")
 
 
+@dataclasses.dataclass(frozen=True)
+class Combo:
+    """A combined view, as it is declared."""
+
+    name: str
+    include: tuple[str, ...]
+    exclude: tuple[str, ...] = ()
+    where: dict | None = None
+    exclude_where: dict | None = None
+    key: tuple[str, ...] = ("starts_at", "title")
+    enabled: bool = True
+    label: str = ""
+    reason: str = ""
+
+
+def combos(found: list[dict], registry: Registry) -> list[Combo]:
+    """The declared views, refused where they name sources, tags, purposes, tests or keys that don't exist, and where one
+    that isn't built says no reason."""
+    out = []
+    for entry in found:
+        closed(entry, {f.name for f in dataclasses.fields(Combo)}, f"combo {entry.get('name')}")
+        c = Combo(**{k: tuple(v) if isinstance(v, list) else v for k, v in entry.items()})
+        if unknown := sorted({*c.include, *c.exclude} - {"*"} - {s.slug for s in registry.sources}):
+            raise ValueError(f"combo {c.name}: unknown sources {unknown}")
+        combine.keyed_names(c.key)
+        for where in (c.where, c.exclude_where):
+            predicate.check(where, set(registry.alias.values()) or None, registry.purposes or None)
+        if not c.enabled and not c.reason:
+            raise ValueError(f"combo {c.name}: one that isn't built needs a reason")
+        if c.name in {o.name for o in out}:
+            raise ValueError(f"combo {c.name} is declared twice")
+        out.append(c)
+    return out
+
+
 def listing(sources: DataFrame) -> DataFrame:
-    """What a person is shown of the registry, by label: state, and for those that aren't live the reason's first
-    sentence."""
+    """What a person is shown of the registry, by label: state, cadence, number of enrichment targets and feed where they
+    are known, and for those that aren't live the reason's first sentence."""
     said = F.when(F.col("live"), F.lit("")).otherwise(text.first_sentence(F.coalesce("reason", F.lit(""))))
-    return sources.select("source", F.coalesce(F.nullif("label", F.lit("")), "source").alias("label"), F.when(F.col("live"), F.lit("live")).otherwise(F.lit("unavailable")).alias("state"), "platform", "role", said.alias("said"))
+    label = F.coalesce(F.nullif("label", F.lit("")), "source")
+    more = [F.col(c) for c in ("cadence", "targets", "feed_url") if c in sources.columns]
+    state = F.when(F.col("live"), F.lit("live")).otherwise(F.lit("unavailable"))
+    return sources.select("source", label.alias("label"), state.alias("state"), "platform", "role", *more, said.alias("said")).orderBy("label", "source")
+
+
+def totals(sources: DataFrame) -> DataFrame:
+    """One row with one line: how many sources there are, live and not."""
+    n, live = F.count("*"), F.count_if("live")
+    return sources.agg(F.format_string("%d sources, %d live, %d declared unavailable", n, live, n - live).alias("line"))
 
 
 def vocabulary(path: str | Path) -> dict[str, str]:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from feedloom.functions import text, timex
 
-#: Names of fields on the wire, in their order, and the columns they come from.
+#: Names of fields on the wire, in their order, and the columns they come from.
 WIRE = {
     "id": "id", "guid": "guid", "sources": "sources", "platform": "platform", "startsAt": "starts_at", "endsAt": "ends_at",
     "startTime": "start_time", "endTime": "end_time", "timezone": "timezone", "title": "title", "speakers": "speakers", "speaker": "speaker",
@@ -47,21 +47,6 @@ def wire(events: DataFrame, escaped: Iterable[str] = (), collapsed: Iterable[str
     return F.to_json(fields, {"ignoreNullFields": "false", "writeNonAsciiCharacterAsCodePoint": "true"})
 
 
-def feed_files(events: DataFrame, **form) -> Iterable[tuple[str, str]]:
-    """(source, text) of each source's feed: records in total order, two spaces of indent, ASCII, a last line break, no
-    time of writing, so that equal events are equal bytes. Streams in order of source; the driver holds one feed."""
-    rows = events.select("source", "starts_at", "id", wire(events, **form).alias("w")).orderBy("source", "starts_at", "id")
-    now, held = None, []
-    for r in rows.toLocalIterator():
-        if r.source != now:
-            if held:
-                yield now, json.dumps(held, indent=2, ensure_ascii=True) + "\n"
-            now, held = r.source, []
-        held.append(json.loads(r.w))
-    if held:
-        yield now, json.dumps(held, indent=2, ensure_ascii=True) + "\n"
-
-
 def manifest_rows(feeds: DataFrame) -> DataFrame:
     """(path, row): each feed's entry as JSON in order of path, keys in order, those without a value left out. feeds:
     path, status, events, stale, detail, last_success, label, home, sources, purposes, notes."""
@@ -99,6 +84,11 @@ def summary_document(feeds: DataFrame, generated_at: str) -> str:
     return "\n".join([f"### Published {generated_at}", "", head, "", "| feed | status | events | note |", "| --- | --- | ---: | --- |", *lines]) + "\n"
 
 
+#: A row of the manifest.
+FEED_SCHEMA = "path string, status string, events long, stale boolean, detail string, last_success string, label string, home string, sources array<string>, purposes array<string>, notes array<string>"
+FEED = [f.split()[0] for f in FEED_SCHEMA.split(", ")]
+
+IDS = T.StructType().add("source", T.StringType()).add("id", T.StringType())
 STATE = "source string, etag string, last_modified string, last_enriched string"
 
 
@@ -112,9 +102,40 @@ def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Last publication's rows by path."""
-    rows = read_json(spark, path, "feeds array<struct<path:string,status:string,events:bigint,stale:boolean,lastSuccessAt:string>>")
+    rows = read_json(spark, path, "feeds array<struct<path:string,status:string,events:bigint,stale:boolean,lastSuccessAt:string,notes:array<string>>>")
     got = rows.select(F.inline("feeds"))
-    return got.select("path", "status", "events", F.coalesce("stale", F.lit(False)).alias("stale"), F.col("lastSuccessAt").alias("last_success")).filter("path is not null")
+    return got.select("path", "status", "events", F.coalesce("stale", F.lit(False)).alias("stale"), F.col("lastSuccessAt").alias("last_success"), "notes").filter("path is not null")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def read_events(spark: SparkSession, root: str, slugs: list[str], schema: T.StructType, escapes: dict[str, tuple[str, ...]]) -> DataFrame:
+    """The published feeds of some sources as events, escapes undone; a malformed one has no rows."""
+    if not slugs:
+        return spark.createDataFrame([], schema)
+    names = {n: c for n, c in WIRE.items() if c in schema.names}
+    kinds = T.StructType([T.StructField(n, schema[c].dataType) for n, c in names.items()] + [T.StructField("_bad", T.StringType())])
+    paths = [f"{root}/feeds/{s}/events.json" for s in slugs]
+    got = spark.read.schema(kinds).option("columnNameOfCorruptRecord", "_bad").option("mode", "PERMISSIVE").json(paths, multiLine=True).filter("_bad is null and id is not null")
+    got = got.withColumn("_slug", F.substring_index("id", ":", 1))
+
+    def value(name: str, column: str) -> Column:
+        c, kind = F.col(name), schema[column].dataType
+        mine = F.col("_slug").isin([s for s, e in escapes.items() if name in e])
+        if isinstance(kind, T.StringType):
+            return F.when(mine, text.unescape(c)).otherwise(c)
+        if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+            return F.when(mine, F.transform(c, lambda s: F.struct(*(text.unescape(s[f.name]).alias(f.name) for f in kind.elementType.fields)))).otherwise(c)
+        if isinstance(kind, T.ArrayType):
+            return F.when(mine, F.transform(c, text.unescape)).otherwise(c)
+        return c
+
+    columns = [value(n, c).alias(c) for n, c in names.items()]
+    rest = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in names.values() and f.name != "source"]
+    return got.select(F.col("_slug").alias("source"), *columns, *rest).select(*schema.names)
 
 
 def read_feed(spark: SparkSession, path: str, schema: str, escaped: Iterable[str] = ()) -> DataFrame:
@@ -186,3 +207,14 @@ def health_line(feeds: DataFrame, minutes: Column) -> DataFrame:
     fine = F.when((F.col("stale") == 0) & (F.col("failed") == 0), F.lit("none stale or failed"))
     line = F.concat_ws(" · ", F.concat(F.lit("Checked "), timex.ago(minutes)), F.concat(F.col("ok").cast("string"), F.lit(" feeds ok")), part("empty"), part("stale"), part("failed"), fine, F.concat(F.lit("oldest feed content "), F.col("oldest")))
     return got.select(line.alias("line"))
+
+
+def due(sources: DataFrame, manifest: DataFrame, at: str) -> DataFrame:
+    """(source, due, reason) of sources (source, cadence as declared): whether this run fetches their feeds again."""
+    got = sources.join(manifest.select("path", "last_success"), F.concat(F.lit("feeds/"), "source", F.lit("/events.json")) == F.col("path"), "left")
+    waited = timex.hours_between(F.regexp_replace(F.coalesce("last_success", F.lit("")), "Z$", ""), F.lit(at[:19])) * 60
+    every = timex.cadence_minutes(F.col("cadence"))
+    said = F.concat(F.lit("fetched "), F.format_number(waited, "0"), F.lit("m ago, cadence is "), every.cast("string"), F.lit("m"))
+    reason = F.when(F.col("path").isNull(), "never published").when(F.coalesce("last_success", F.lit("")) == "", "no recorded success to measure from").when(waited < 0, "last success is dated in the future").otherwise(said)
+    is_due = F.when(F.col("path").isNull() | (F.coalesce("last_success", F.lit("")) == ""), F.lit(True)).otherwise(timex.due(waited, every))
+    return got.select("source", is_due.alias("due"), reason.alias("reason"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from feedloom.queries import feeds, publication, shapes  # noqa: F401 (publication adds to the queries of feeds)
+from feedloom.queries import feeds, publication, shapes  # noqa: F401 (publication and shapes add to the queries of feeds)
 
-QUERIES = feeds.QUERIES | shapes.QUERIES
-ORACLES: dict[str, str] = feeds.ORACLES | shapes.ORACLES
+QUERIES = feeds.QUERIES
+ORACLES: dict[str, str] = feeds.ORACLES

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.functions import display, text, timex
+from feedloom.functions import display, pages, text, timex
 from feedloom.operators import edition, enrich, quality, transform
-from feedloom.plans import config, publish
-from feedloom.queries.feeds import CF, ORACLES, QUERIES, query, t  # noqa: F401
+from feedloom.plans import config, contract, publish, run
+from feedloom.queries.feeds import CF, ORACLES, QUERIES, line, query, t  # noqa: F401
+from feedloom.session import written
 
-#: Words of the first line that serve as a summary, and records' columns that a feed would have.
-_TALK = r"^([A-Z]\w+ \w+) (.+)$"
+#: The first line is the summary; of one source it begins with a name.
+_TALK = r"^([A-Z][\p{L}\p{M}\p{N}_]+ [\p{L}\p{M}\p{N}_]+) (.+)$"
 SOURCES = {
     "src0": {"role": "speaker", "timezone": "America/Bogota", "label": "Zero", "home": "http://zero"},
     "src1": {"role": "rules", "label": "One", "rules": [{"id": "named", "when": {"matches": "talk"}, "capture": {"speakers": "speakers", "title": "title"}, "tag": ["Deutsch"]}], "patterns": {"talk": r"(?P<speakers>[A-Z]\w+ \w+) (?P<title>.+)"}},
@@ -28,11 +29,10 @@ def registry() -> config.Registry:
 
 def raw(spark, sf) -> DataFrame:
     d = t(spark, sf, "documents").filter("text is not null")
-    words = F.slice(F.split(F.regexp_replace(F.element_at(F.split("text", "\n"), 1), r"[^\w ]", ""), " +"), 1, 5)
     at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("doc_id") * 60)
     return d.select(
-        "source", F.col("doc_id").cast("int").alias("ordinal"), F.col("doc_id").cast("string").alias("uid"), F.array_join(words, " ").alias("summary"), F.lit("").alias("description"),
-        F.concat(F.lit("Hall, Room "), (F.col("n_chars") % 1000).cast("string")).alias("location"), F.concat(F.lit("http://x/"), F.col("doc_id").cast("string")).alias("url"),
+        "source", F.col("doc_id").cast("int").alias("ordinal"), F.col("doc_id").cast("string").alias("uid"), line().alias("summary"), F.lit("").alias("description"),
+        F.when(F.col("n_chars") < 300, "").otherwise(F.concat(F.lit("Hall, Room "), (F.col("n_chars") % 1000).cast("string"))).alias("location"), F.concat(F.lit("http://x/"), F.col("doc_id").cast("string")).alias("url"),
         F.array("lang").alias("categories"), F.date_format(at, "yyyyMMdd'T'HHmmss'Z'").alias("dtstart"), F.lit("").alias("dtstart_params"),
         F.lit("").alias("dtend"), F.lit("").alias("dtend_params"), F.lit("").alias("series"), F.array().cast(transform.PEOPLE).alias("speakers"),
     )
@@ -43,15 +43,14 @@ def mapped(spark, sf) -> DataFrame:
     return transform.resolved(transform.events(raw(spark, sf), r.sources, r.alias), r.sources)
 
 
-_RAW = r"""(SELECT *, array_to_string(list_slice(regexp_split_to_array(regexp_replace(split_part(text, chr(10), 1), '[^0-9A-Za-z_ ]', '', 'g'), ' +'), 1, 5), ' ') AS s0 FROM documents WHERE text IS NOT NULL)"""
-_EVENTS = rf"""(SELECT source, doc_id, source || ':' || doc_id AS id, lang, n_chars, trim(regexp_replace(s0, '\s+', ' ', 'g')) AS s,
-make_timestamp((1700000000 + doc_id * 60) * 1000000) AS ts0 FROM {_RAW})"""
+_EVENTS = r"""(SELECT source, doc_id, source || ':' || doc_id AS id, lang, n_chars, trim(regexp_replace(split_part(text, chr(10), 1), '[\s\x{A0}]+', ' ', 'g')) AS s,
+make_timestamp((1700000000 + doc_id * 60) * 1000000) AS ts0 FROM documents WHERE text IS NOT NULL)"""
 
 
 @query(rf"""SELECT id, strftime(ts0, '%Y-%m-%dT%H:%M:%SZ') AS starts_at, strftime(CASE WHEN source = 'src0' THEN ts0 - INTERVAL 5 HOUR ELSE ts0 END, '%Y-%m-%dT%H:%M:%S') AS start_time,
 CASE WHEN source = 'src0' THEN '' WHEN source = 'src1' AND regexp_matches(s, '{_TALK}') THEN regexp_extract(s, '{_TALK}', 2) WHEN lower(s) IN ('tbd', 'tba', 'n/a') THEN '' ELSE s END AS title,
 CASE WHEN source = 'src0' THEN s WHEN source = 'src1' AND regexp_matches(s, '{_TALK}') THEN regexp_extract(s, '{_TALK}', 1) ELSE '' END AS speaker,
-'Hall' AS place, CAST(n_chars % 1000 AS VARCHAR) AS room, lang AS series,
+CASE WHEN n_chars < 300 THEN '' ELSE 'Hall' END AS place, CASE WHEN n_chars < 300 THEN '' ELSE CAST(n_chars % 1000 AS VARCHAR) END AS room, lang AS series,
 CASE lang WHEN 'de' THEN 'german' WHEN 'en' THEN CASE WHEN source = 'src1' AND regexp_matches(s, '{_TALK}') THEN 'english,german' ELSE 'english' END
   ELSE CASE WHEN source = 'src1' AND regexp_matches(s, '{_TALK}') THEN 'german' ELSE '' END END AS tags,
 CASE WHEN lang IN ('de', 'en') THEN '' ELSE lang END AS unmapped,
@@ -79,9 +78,11 @@ def rule_distribution(spark, sf):
     return mapped(spark, sf).groupBy("source", F.element_at("mapping_rules", 1).alias("rule")).agg(F.count("*").alias("n"))
 
 
-@query("""SELECT source, count(*) FILTER (lang <> 'es') AS events, 0::BIGINT AS placeholder_titles, 0::BIGINT AS locations_declined, count(*) FILTER (lang = 'es') AS declined FROM documents WHERE text IS NOT NULL GROUP BY source""")
+@query("""SELECT source, count(*) FILTER (lang <> 'es') AS events, count(*) FILTER (lang <> 'es' AND source = 'src0') AS placeholder_titles, count(*) FILTER (lang <> 'es' AND n_chars < 300) AS locations_declined,
+count(*) FILTER (lang = 'es') AS declined FROM documents WHERE text IS NOT NULL GROUP BY source""")
 def run_counts(spark, sf):
     m = mapped(spark, sf)
+    m = m.withColumn("title_is_placeholder", text.is_missing(F.col("title")))
     return transform.counts(m.withColumn("declined", F.array_contains("raw_categories", "es")))
 
 
@@ -217,14 +218,6 @@ def manual_drops(spark, sf):
     return both.groupBy("side").agg(F.count("*").alias("n"))
 
 
-_LISTED = "SELECT 'src' || i AS source, CASE i WHEN 0 THEN 'Zero' WHEN 1 THEN 'One' ELSE 'src' || i END AS label, CASE i WHEN 2 THEN 'unavailable' ELSE 'live' END AS state, 'ics' AS platform, CASE i WHEN 0 THEN 'speaker' WHEN 1 THEN 'rules' ELSE 'title' END AS role, CASE i WHEN 2 THEN 'Has no feed.' ELSE '' END AS said FROM range(20) AS r(i)"
-
-
-@query(_LISTED)
-def registry_listing(spark, sf):
-    return config.listing(registry().table(spark))
-
-
 @query(f"""SELECT source, count(*) AS errors, list_sort(list(id || ': title: minLength' ORDER BY id)[1:25])[1] AS first FROM (SELECT *, CASE WHEN source = 'src0' THEN '' WHEN source = 'src1' AND regexp_matches(s, '{_TALK}') THEN regexp_extract(s, '{_TALK}', 2) ELSE s END AS title FROM {_EVENTS})
 WHERE title = '' GROUP BY source""")
 def schema_violations(spark, sf):
@@ -239,13 +232,107 @@ def gate_examples(spark, sf):
     return out.select("source", F.array_join("ids", ",").alias("ids"))
 
 
-@query("""SELECT id, guid, title FROM (SELECT source || ':' || doc_id AS id, CAST(doc_id AS VARCHAR) AS guid, source FROM documents WHERE text IS NOT NULL), (SELECT '1' AS one) JOIN (SELECT source || ':' || doc_id AS id2, '' AS title FROM documents WHERE source = 'src0' AND text IS NOT NULL) ON id = id2""")
+#: The keys of an event on the wire, in their order.
+_KEYS = "id guid sources platform startsAt endsAt startTime endTime timezone title speakers speaker affiliation series tags purposes rawCategories unmappedTags location urlRef content rawEventDetails rawExtractAbstract rawExtractBio cancelled bannerImage itemType summaryRaw locationRaw mappingRules locationRule summaryRest titleSource titleIsPlaceholder mappingConflict"
+
+
+@query(rf"""SELECT id, '{",".join(_KEYS.split())}' AS keys, CAST(doc_id AS VARCHAR) AS guid, strftime(ts0, '%Y-%m-%dT%H:%M:%SZ') AS starts_at,
+CASE WHEN source = 'src0' THEN '' WHEN source = 'src1' AND regexp_matches(s, '{_TALK}') THEN regexp_extract(s, '{_TALK}', 2) WHEN lower(s) IN ('tbd', 'tba', 'n/a') THEN '' ELSE s END AS title,
+CASE WHEN n_chars < 300 THEN '' ELSE 'Hall' END AS place, '["' || lang || '"]' AS categories, true AS ascii FROM {_EVENTS}""")
 def wire_keys(spark, sf):
-    """An event's object on the wire read back: its first keys, for the source whose titles are left to enrichment."""
-    e = transform.built(mapped(spark, sf)).filter("source = 'src0'")
-    return e.select(publish.wire(e).alias("w")).select(F.get_json_object("w", "$.id").alias("id"), F.get_json_object("w", "$.guid").alias("guid"), F.get_json_object("w", "$.title").alias("title"))
+    """Events as objects on the wire: all their keys in order, and values read back."""
+    e = transform.built(mapped(spark, sf))
+    w = e.select(publish.wire(e).alias("w"))
+    got = lambda path: F.get_json_object("w", path)
+    keys = F.array_join(F.json_object_keys("w"), ",")
+    return w.select(got("$.id").alias("id"), keys.alias("keys"), got("$.guid").alias("guid"), got("$.startsAt").alias("starts_at"), got("$.title").alias("title"), got("$.location.name").alias("place"), got("$.rawCategories").alias("categories"), F.col("w").rlike(r"^[\x00-\x7F]*$").alias("ascii"))
 
 
-@query(f"SELECT doc_id, {CF.format('text')} AS form FROM documents WHERE text IS NOT NULL AND lang = 'de'")
+@query(f"SELECT doc_id, {CF.format('text')} AS form FROM documents WHERE text IS NOT NULL")
 def compare_forms(spark, sf):
-    return t(spark, sf, "documents").filter("text is not null and lang = 'de'").select("doc_id", text.compare_form(F.col("text")).alias("form"))
+    return t(spark, sf, "documents").filter("text is not null").select("doc_id", text.compare_form(F.col("text")).alias("form"))
+
+
+_BARE = r"trim(regexp_replace(replace(replace({}, '&nbsp;', ' '), '&amp;', '&'), '\s+', ' ', 'g'))"
+
+
+@query(rf"""SELECT page_id, {_BARE.format("regexp_extract(html, '<h1>([^<]*)</h1>', 1)")} AS heading, {_BARE.format("regexp_extract(html, '<div class=\"ad\">([^<]*)</div>', 1)")} AS ad,
+{_BARE.format("regexp_extract(html, '<li><a href=\"[^\"]*\">([^<]*)</a></li>', 1)")} AS first_link, len(list_distinct(list_filter(list_transform(regexp_extract_all(html, '<li><a href=\"[^\"]*\">([^<]*)</a></li>', 1), lambda x: {_BARE.format("x")}), lambda x: x <> ''))) AS links,
+len(regexp_extract_all(html, '<[a-zA-Z]')) AS elements, '' AS script FROM pages""")
+def page_selected(spark, sf):
+    """Whole pages as trees: what selectors by tag, class, attribute, child and descendant find, and how many elements there are."""
+    p = t(spark, sf, "pages").select("page_id", pages.tree(F.col("html")).alias("n"))
+    n = F.col("n")
+    first = lambda *s: pages.select_first(n, *s)
+    return p.select(
+        "page_id", first("article > h1").alias("heading"), first("div.none", "body div.ad").alias("ad"), first("nav li > a[href]").alias("first_link"), F.size(pages.select_all(n, "nav ul > li a[href^='/']")).cast("long").alias("links"),
+        F.size(F.filter(n, lambda x: x["tag"] != "#text")).cast("long").alias("elements"), first("script").alias("script"),
+    )
+
+
+@query("""WITH e AS (SELECT event_type || ':' || event_id AS id, event_type, strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M:%SZ') AS starts_at, 'Talk ' || user_id AS title, CASE WHEN value < 50 THEN 'Hall' ELSE 'hall ' END || '|' || '' AS place FROM events WHERE event_type <> 'signup'),
+g AS (SELECT starts_at, title, lower(trim(split_part(place, '|', 1))) AS p, min(id) AS id, array_to_string(list_sort(list_distinct(list(event_type))), ',') AS sources, count(*) AS n FROM e GROUP BY 1, 2, 3)
+SELECT id, starts_at, sources, n FROM g""")
+def combined_feed(spark, sf):
+    """Events of several sources in one view: merged where all eight compared fields agree; one source's are left out by
+    a clause of their tags."""
+    e = t(spark, sf, "events").withColumn("source", F.col("event_type"))
+    start = F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    name = F.when(F.col("value") < 50, F.lit("Hall")).otherwise(F.lit("hall "))
+    e = e.select(
+        F.concat_ws(":", "source", "event_id").alias("id"), "source", F.array("source").alias("sources"), F.array("source").alias("tags"), F.array().cast("array<string>").alias("purposes"), start.alias("starts_at"), start.alias("ends_at"),
+        F.concat(F.lit("Talk "), F.col("user_id").cast("string")).alias("title"), F.lit("").alias("speaker"), F.lit("").alias("series"), F.struct(F.trim(name).alias("name"), F.lit("").alias("detail")).alias("location"), F.lit("").alias("url"), F.lit("").alias("content"),
+    )
+    view = config.Combo("all", ("*",), exclude_where={"tags": {"contains": "signup"}})
+    made = run.combined(e, view, ["click", "error", "purchase", "signup", "view"])[0]
+    return made.select("id", "starts_at", F.array_join("sources", ",").alias("sources"), "n")
+
+
+@query("""WITH w AS (SELECT DISTINCT CAST(date_trunc('week', o_orderdate) AS DATE) AS edition FROM orders),
+e AS (SELECT edition, strftime(edition + INTERVAL 7 DAY, '%Y-%m-%d') || 'T00:00:00' AS lo, strftime(edition + INTERVAL 17 DAY, '%Y-%m-%d') || 'T23:59:59' AS hi FROM w)
+SELECT edition, count(*) AS events, min(o_orderkey) AS first FROM e JOIN orders ON strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') BETWEEN lo AND hi GROUP BY edition""")
+def editions_of_years(spark, sf):
+    """The windows of all editions at once, eleven days each, so an event lies in one or two of them."""
+    o = t(spark, sf, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("start_time"), timex.week_start(F.to_date("o_orderdate")).alias("edition"))
+    window = edition.resolved(F.col("edition"), ("next_week_start", 0), ("next_week_start", 10), 0)
+    editions = o.select("edition").distinct().select("edition", window["coverage_start"].alias("coverage_start"), window["coverage_end"].alias("coverage_end"))
+    held = edition.in_editions(o.drop("edition"), editions)
+    return held.groupBy("edition").agg(F.count("*").alias("events"), F.min("o_orderkey").alias("first"))
+
+
+@query(rf"""SELECT id, strftime(CASE WHEN source = 'src0' THEN ts0 - INTERVAL 5 HOUR ELSE ts0 END, '%Y-%m-%dT%H:%M:%S') AS start_time, lang || ', ' || source AS series, CASE WHEN n_chars < 300 THEN '' ELSE 'Hall, Room ' || (n_chars % 1000) END AS location,
+CASE WHEN n_chars < 300 THEN '' ELSE 'Hall ' || (n_chars % 1000) END AS place, CASE WHEN source IN ('src0', 'src1') THEN CASE source WHEN 'src0' THEN 'Zero@http://zero' ELSE 'One@' END ELSE source || '@' END AS sponsors,
+CASE WHEN source = 'src0' THEN s ELSE '' END AS names, false AS malformed_start FROM {_EVENTS} WHERE source <> 'src1'""")
+def listing_items(spark, sf):
+    """Events as a listing shows them, with their sponsors."""
+    r = registry()
+    e = transform.built(mapped(spark, sf)).filter("source <> 'src1'").withColumn("series", F.concat_ws(",", F.col("raw_categories")[0], "source"))
+    known = r.table(spark).select("source", "label", "home")
+    d = display.decorated(e, known)
+    joined = F.array_join(F.transform("sponsors", lambda s: F.concat(s["label"], F.lit("@"), s["home"])), "; ")
+    return d.select("id", "start_time", "series", "location", "place", joined.alias("sponsors"), F.array_join("names", "|").alias("names"), "malformed_start")
+
+
+@query(rf"""SELECT source, rule, count(*) AS errors FROM (SELECT source, unnest(list_filter([CASE WHEN source = 'src0' OR s = '' THEN '$.title: minLength' END, CASE WHEN lang = 'fr' THEN '$.location.id: required' END,
+CASE WHEN n_chars < 300 THEN '$.urlRef: format' END, CASE WHEN lang = 'de' THEN '$.extra: additionalProperties' END, CASE WHEN lang = 'en' AND n_chars >= 300 THEN '$.titleIsPlaceholder: type' END], lambda x: x IS NOT NULL)) AS rule FROM {_EVENTS} WHERE source <> 'src1') GROUP BY ALL""")
+def contract_errors(spark, sf):
+    """Events on the wire, some broken on purpose, against the published schema: broken rules by source."""
+    e = transform.built(mapped(spark, sf)).filter("source <> 'src1'")
+    lang = F.col("raw_categories")[0]
+    far = F.col("location.name") != ""
+    e = e.withColumn("url", F.when(far, F.col("url")).otherwise("no link"))
+    w = e.select("source", lang.alias("lang"), far.alias("far"), publish.wire(e).alias("w"))
+    w = w.withColumn("w", F.when(F.col("lang") == "fr", F.regexp_replace("w", r'("location":\{"name":"[^"]*"),"id":""', "$1")).otherwise(F.col("w")))
+    w = w.withColumn("w", F.when(F.col("lang") == "de", F.regexp_replace("w", r"\}$", ',"extra":1}')).otherwise(F.col("w")))
+    w = w.withColumn("w", F.when((F.col("lang") == "en") & F.col("far"), F.replace("w", F.lit('"titleIsPlaceholder":false'), F.lit('"titleIsPlaceholder":"no"'))).otherwise(F.col("w")))
+    return contract.errors_by_rule(written(w.select("source", "w"), "wires"), ["source"], "w")
+
+
+@query("""SELECT event_id, CASE WHEN h >= 0 THEN 'in ' || a ELSE a || ' ago' END AS relative, CASE WHEN m < 90 THEN printf('%.0f minutes', m) WHEN m < 2880 THEN printf('%.1f hours', m / 60) ELSE printf('%.1f days', m / 1440) END AS lasting,
+strftime(ts, '%A') || ', ' || strftime(ts, '%B') || ' ' || day(ts) AS pretty, CASE WHEN suffix(event_type, '.') THEN event_type ELSE event_type || '.' END AS sentence
+FROM (SELECT *, CASE WHEN abs(h) < 48 THEN CAST(floor(abs(h) + 0.5) AS INT) || CASE WHEN floor(abs(h) + 0.5) = 1 THEN ' hour' ELSE ' hours' END ELSE CAST(floor(abs(h) / 24 + 0.5) AS INT) || ' days' END AS a
+FROM (SELECT *, date_diff('minute', TIMESTAMP '2024-01-15 12:00:00', date_trunc('minute', ts)) / 60 AS h, CAST(value * 97 AS INT) + 0.25 AS m FROM events))""")
+def relative_times(spark, sf):
+    h = (F.unix_seconds(F.date_trunc("minute", "ts").cast("timestamp")) - F.unix_seconds(F.lit("2024-01-15 12:00:00").cast("timestamp"))) / 3600
+    m = F.round(F.col("value") * 97).cast("int") + F.lit(0.25).cast("double")
+    return t(spark, sf, "events").select("event_id", timex.relative_hours(h).alias("relative"), timex.duration(m).alias("lasting"), timex.pretty_date(F.col("ts")).alias("pretty"), text.sentence(F.col("event_type")).alias("sentence"))

@@ -1,66 +1,113 @@
-"""Queries over literal rows: shapes of text that the driver's tables lack, with the rows that are expected as their SQL."""
+"""Queries over shapes of text that are made from the driver's tables: places, titles, names, rules, tags, escapes, dates."""
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feedloom.functions import chain, display, text, timex, titles, venue
+from feedloom.functions import chain, display, tags, text, timex, titles, venue
 from feedloom.operators import health
+from feedloom.plans import config
+from feedloom.queries.feeds import CF, _clock, _half, line, query, t
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+#: SQL of what the functions share: single spaces, no value, characters of words, the first line.
+_ONE = r"trim(regexp_replace({}, '[\s\x{{A0}}]+', ' ', 'g'))"
+_NONE = "({} IS NULL OR lower(trim({})) IN ('', 'tbd', 't.b.d.', 'tba', 'to be announced', 'to be determined', 'n/a'))"
+_W = r"\p{L}\p{M}\p{N}_"
+_LINE = "split_part(text, chr(10), 1)"
+_DOCS = f"(SELECT *, {_LINE} AS line FROM documents WHERE text IS NOT NULL)"
 
 
-def _sql(columns: str, rows: list[tuple]) -> str:
-    lit = lambda v: "NULL" if v is None else str(v).lower() if isinstance(v, bool) else str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
-    return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(lit, r)) + ')' for r in rows)}) AS t({columns})"
+def docs(spark, sf):
+    return t(spark, sf, "documents").filter("text is not null").withColumn("line", line())
 
 
-def shape(columns: str, rows: list[tuple]):
-    """rows: the input and what is expected of it."""
+def _words(c: str, n: int) -> Column:
+    return F.array_join(F.slice(F.split(text.collapse(F.col(c)), " "), 1, n), " ")
 
-    def add(f):
-        def run(spark, sf):
-            return f(spark.createDataFrame([(r[0],) for r in rows], "raw string"))
 
-        QUERIES[f.__name__], ORACLES[f.__name__] = run, _sql(columns, rows)
-        return f
+def _first_words(c: str, n: int) -> str:
+    return f"array_to_string(list_slice(string_split({_ONE.format(c)}, ' '), 1, {n}), ' ')"
 
-    return add
 
+_PLACE = """CASE WHEN p_size < 5 THEN p_partkey || ' - ' || p_name WHEN p_size < 10 THEN p_name || '/J' || p_size WHEN p_size < 15 THEN p_name || ' ' || p_size WHEN p_size < 18 THEN ' tbd '
+WHEN p_size < 22 THEN p_name || ', Room ' || p_size WHEN p_size < 25 THEN p_name || ' ,Ste. B' || p_size WHEN p_size < 30 THEN p_name || ' (' || p_type || ' + ' || p_brand || ')' WHEN p_size < 33 THEN ''
+WHEN p_size < 40 THEN 'E' || p_size || '  ' || p_name WHEN p_size < 45 THEN p_size || ' ' || p_name || ' ' || p_size ELSE p_name || ', ' || p_type END"""
+_ROOM = "[A-Za-z]{0,2}[0-9]{1,4}[A-Za-z]?"
 
-@shape("raw, name, detail, rule", [
-    ("101 - Maple Hall", "Maple Hall", "101", "detail_dash_name"), ("North Quad J Wing/J223", "North Quad J Wing", "J223", "slash_room"),
-    ("Birch Hall 222", "Birch Hall", "222", "unambiguous_room"), ("Birch Hall", "Birch Hall", "", "whole"), ("TBD", "", "", "sentinel"), (" n/a ", "", "", "sentinel"),
-    ("Alder Hall, Room 216", "Alder Hall", "216", "comma_room"), ("E105 South-Bio", "South-Bio", "E105", "unambiguous_room"), ("South-Lab F212", "South-Lab", "F212", "unambiguous_room"),
-    ("Cedar Hall (C112 + Atrium C102)", "Cedar Hall", "C112 + Atrium C102", "parenthetical"), ("", "", "", "declined"), ("Oak House - A01", "A01", "Oak House", "detail_dash_name"), ("Ash Hall, Suite 12", "Ash Hall", "12", "comma_room"), ("Ivy Court, Ste. B4", "Ivy Court", "B4", "comma_room"),
-    ("101 202", "101 202", "", "whole"), ("Elm Hall, 002 Auditorium", "Elm Hall, 002 Auditorium", "", "whole"),
-])
-def venue_split(df):
-    return df.select("raw", venue.parsed(F.col("raw")).alias("v")).select("raw", "v.name", "v.detail", "v.rule")
 
+@query(rf"""SELECT p_partkey, raw, rule, trim(CASE rule WHEN 'detail_dash_name' THEN regexp_extract(v, '^(.+?)\s+[-–—]\s+(.+)$', 2) WHEN 'slash_room' THEN regexp_extract(v, '^(.*)/([^/]*)$', 1)
+WHEN 'parenthetical' THEN regexp_extract(v, '^(.*\S)\s*\(([^()]+)\)$', 1) WHEN 'comma_room' THEN regexp_extract(v, '(?i)^(.*\S)\s*,\s*(?:room|rm\.?|suite|ste\.?)?\s*({_ROOM})$', 1)
+WHEN 'unambiguous_room' THEN CASE WHEN a THEN regexp_extract(v, '^\S+ (.*)$', 1) ELSE regexp_extract(v, '^(.*) \S+$', 1) END WHEN 'whole' THEN v ELSE '' END) AS name,
+trim(CASE rule WHEN 'detail_dash_name' THEN regexp_extract(v, '^(.+?)\s+[-–—]\s+(.+)$', 1) WHEN 'slash_room' THEN regexp_extract(v, '^(.*)/([^/]*)$', 2)
+WHEN 'parenthetical' THEN regexp_extract(v, '^(.*\S)\s*\(([^()]+)\)$', 2) WHEN 'comma_room' THEN regexp_extract(v, '(?i)^(.*\S)\s*,\s*(?:room|rm\.?|suite|ste\.?)?\s*({_ROOM})$', 2)
+WHEN 'unambiguous_room' THEN CASE WHEN a THEN regexp_extract(v, '^(\S+) ', 1) ELSE regexp_extract(v, ' (\S+)$', 1) END ELSE '' END) AS detail
+FROM (SELECT *, CASE WHEN v = '' THEN 'declined' WHEN {_NONE.format("v", "v")} THEN 'sentinel' WHEN regexp_matches(v, '^(.+?)\s+[-–—]\s+(.+)$') THEN 'detail_dash_name'
+WHEN regexp_matches(v, '^\s*\S.*/\s*{_ROOM}\s*$') THEN 'slash_room' WHEN regexp_matches(v, '^(.*\S)\s*\(([^()]+)\)$') THEN 'parenthetical'
+WHEN regexp_matches(v, '(?i)^(.*\S)\s*,\s*(?:room|rm\.?|suite|ste\.?)?\s*({_ROOM})$') THEN 'comma_room' WHEN a <> z THEN 'unambiguous_room' ELSE 'whole' END AS rule
+FROM (SELECT *, regexp_matches(v, '^{_ROOM}( |$)') AS a, regexp_matches(v, '(^| ){_ROOM}$') AS z FROM (SELECT p_partkey, raw, {_ONE.format("raw")} AS v FROM (SELECT *, {_PLACE} AS raw FROM part))))""")
+def venue_split(spark, sf):
+    """Places of parts in nine conventions, each split by the first rule that reads it."""
+    p = t(spark, sf, "part").withColumn("raw", F.expr(_PLACE.replace("|| p_partkey", "|| string(p_partkey)")))
+    return p.select("p_partkey", "raw", venue.parsed(F.col("raw")).alias("v")).select("p_partkey", "raw", "v.rule", "v.name", "v.detail")
 
-@shape("raw, article", [("university", "A"), ("FPO", "An"), ("S. S. Wills Lecture", "An"), ("honest talk", "An"), ("evening seminar", "An"), ("One World", "A"), ("talk", "A"), ("European day", "A"), ("", "A"), ("UFO", "A"), ("useful day", "A"), ("utter day", "An"), ("Ukrainian day", "A"), ("hour", "An"), ("house", "A")])
-def article_choice(df):
-    return df.select("raw", titles.article(F.col("raw")).alias("article"))
 
+def _article(word: str) -> str:
+    """SQL of the article before a text."""
+    token = rf"regexp_replace(regexp_extract({word}, '^\s*(\S*)', 1), '[^\p{{L}}]', '', 'g')"
+    return rf"""CASE WHEN {token} = '' THEN 'A' WHEN length({token}) = 1 OR {token} = upper({token}) THEN CASE WHEN contains('AEFHILMNORSX', upper({token}[1])) THEN 'An' ELSE 'A' END
+WHEN regexp_matches(lower({token}), '^(heir|honest|honor|honour|hour)') THEN 'An' WHEN regexp_matches(lower({token}), '^(eu|ewe|once|one|ubiq|uk|ukr|uni|ura|urol|usa|use|usu|utili|utop)') THEN 'A'
+WHEN regexp_matches(lower({token}), '^[aeiou]') THEN 'An' ELSE 'A' END"""
 
-@shape("raw, title, title_source", [
-    ("Energy,More|Ann Lee", "An Energy seminar by Ann Lee", "fallback-speaker"), ("Energy|", "An Energy seminar", "fallback-template"), ("Bridge|", "A Bridge seminar", "fallback-template"), ("Opera" + "x" * 130 + "|Ann Lee", "Ann Lee", "fallback-speaker"), ("Opera" + "x" * 130 + "|", "An Opera" + "x" * 130 + " Talk", "fallback-series"),
-])
-def title_fallback(df):
-    part = lambda i: F.element_at(F.split("raw", r"\|"), i)
-    return df.select("raw", titles.fallback("{a_an} {series} seminar by", part(1), part(2), F.lit("s")).alias("t")).select("raw", "t.title", "t.title_source")
 
+@query(f"""SELECT raw, {_article("raw")} AS article FROM (SELECT DISTINCT unnest(string_split(replace(text, chr(10), ' '), ' ')) AS raw FROM documents WHERE text IS NOT NULL)""")
+def article_choice(spark, sf):
+    """The article before each word that occurs."""
+    w = t(spark, sf, "documents").filter("text is not null").select(F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("raw")).distinct()
+    return w.select("raw", titles.article(F.col("raw")).alias("article"))
 
-@shape("raw, is_person", [("Ann Lee", True), ("Mary-Jane O'Neil Smith", True), ("Quantum Colloquium", False), ("Ann", False), ("ann lee", False), ("What is Life?", False), ("J. R. Smith", False), ("Ann van Berg", True), ("Bo Li *22", True), ("Ann O’Neil-Roy", True), ("Energy and Lee", False), ("The Long Talk", False)])
-def person_name_shape(df):
-    return df.select("raw", text.person_name_shape(F.col("raw"), ["the", "colloquium", "seminar", "talk", "quantum"]).alias("is_person"))
 
+_HEAD = "trim(split_part(line, ',', 1))"
 
-@shape("raw, name, affiliation", [("Ann Lee, Penn University", "Ann Lee", "Penn University"), ("Lee, Ann", "Lee, Ann", ""), ("Bo Li, Phys, MIT Lab", "Bo Li, Phys", "MIT Lab"), ("Solo", "Solo", ""), ("Ann Lee, MIT", "Ann Lee", "MIT"), ("X Y, Research Scientist", "X Y, Research Scientist", ""), ("Li *22, Yale University", "Li *22", "Yale University"), (", Yale University", ", Yale University", ""), ("Eva Roth, Universität Ulm", "Eva Roth", "Universität Ulm")])
-def split_speaker(df):
-    return df.select("raw", text.split_speaker(F.col("raw")).alias("s")).select("raw", "s.name", "s.affiliation")
+
+@query(rf"""SELECT doc_id, CASE WHEN speaker <> '' THEN trim(concat_ws(' ', p, speaker)) WHEN p <> '' THEN rtrim(regexp_replace(rtrim(p), '(?i) by$', '')) WHEN {_HEAD} <> '' THEN {_article(_HEAD)} || ' ' || {_HEAD} || ' Talk' ELSE 'A Seminar Talk' END AS title,
+CASE WHEN speaker <> '' THEN 'fallback-speaker' WHEN p <> '' THEN 'fallback-template' ELSE 'fallback-series' END AS title_source
+FROM (SELECT *, CASE WHEN length(p0) < 128 THEN p0 ELSE '' END AS p FROM (SELECT *, {_ONE.format(f"{_article(_HEAD)} || ' ' || split_part(line, ',', 1) || ' seminar by'")} AS p0, CASE WHEN lang IN ('en', 'de') THEN '' ELSE source END AS speaker FROM {_DOCS}))""")
+def title_fallback(spark, sf):
+    """Titles for documents as if they had none: the whole first line is the series."""
+    speaker = F.when(F.col("lang").isin("en", "de"), "").otherwise(F.col("source"))
+    return docs(spark, sf).select("doc_id", titles.fallback("{a_an} {series} seminar by", F.col("line"), speaker, F.lit("s")).alias("t")).select("doc_id", "t.title", "t.title_source")
+
+
+_NOBODY = ["the", "that", "de", "der", "und"]
+
+
+def _person(v: str, nobody: list[str]) -> str:
+    """SQL of whether a text has the shape of a name."""
+    further = rf"(?:[A-Z][{_W}.''’-]*|\*[0-9]{{2}}|[a-z]{{2,4}})"
+    none = ", ".join(f"'{x}'" for x in nobody)
+    listed = rf"len(list_filter(string_split({v}, ' '), lambda x: lower(regexp_replace(x, '[^{_W}]', '', 'g')) IN ({none}))) = 0" if nobody else "true"
+    return rf"""(len(string_split({v}, ' ')) BETWEEN 2 AND 4 AND NOT regexp_matches({v}, '(?i)[?!:;]|\.\s|(^|[^{_W}])(and|the|for|of|in|to|on|with|from)($|[^{_W}])')
+AND regexp_matches({v}, '^[A-Z][{_W}.''’-]*(?: {further})*$') AND {listed})"""
+
+
+@query(f"""SELECT doc_id, n, raw, {_person("raw", _NOBODY)} AS is_person FROM (SELECT doc_id, 2 AS n, {_first_words("line", 2)} AS raw FROM {_DOCS} UNION ALL SELECT doc_id, 4, {_first_words("line", 4)} FROM {_DOCS} UNION ALL SELECT doc_id, 9, {_ONE.format("line")} FROM {_DOCS})""")
+def person_name_shape(spark, sf):
+    """Whether the first words of a line, and the whole line, look like a name."""
+    d = docs(spark, sf)
+    each = F.array(*(F.struct(F.lit(n).alias("n"), c.alias("raw")) for n, c in ((2, _words("line", 2)), (4, _words("line", 4)), (9, text.collapse(F.col("line"))))))
+    rows = d.select("doc_id", F.explode(each).alias("x")).select("doc_id", "x.n", "x.raw")
+    return rows.select("doc_id", "n", "raw", text.person_name_shape(F.col("raw"), _NOBODY).alias("is_person"))
+
+
+_SPEAKER = "CASE lang WHEN 'en' THEN line || ', ' || source || ' University' WHEN 'de' THEN 'Dr. ' || source || ', Universität  ' || lang ELSE line || ', ' || source END"
+_INSTITUTION = rf"(?i)(^|[^{_W}])({'|'.join(text.INSTITUTIONS)})($|[^{_W}])"
+
+
+@query(rf"""SELECT doc_id, CASE WHEN ok THEN head ELSE v END AS name, CASE WHEN ok THEN tail ELSE '' END AS affiliation FROM (SELECT *, head <> '' AND regexp_matches(tail, '{_INSTITUTION}') AS ok
+FROM (SELECT doc_id, v, trim(regexp_extract(v, '^(.*),([^,]*)$', 1)) AS head, trim(regexp_extract(v, '^(.*),([^,]*)$', 2)) AS tail FROM (SELECT doc_id, {_ONE.format(_SPEAKER)} AS v FROM {_DOCS})))""")
+def split_speaker(spark, sf):
+    return docs(spark, sf).select("doc_id", text.split_speaker(F.expr(_SPEAKER)).alias("s")).select("doc_id", "s.name", "s.affiliation")
 
 
 PATTERNS = {"series_colon": r"(?P<series>[A-Z][A-Za-z ]+ (?:Colloquium|Seminar)): (?P<title>.+)", "dash": r"(?P<speaker>[A-Z][a-z]+ [A-Z][a-z]+) - (?P<title>.+)"}
@@ -68,101 +115,161 @@ RULES = [
     {"id": "series-colon", "when": {"matches": "series_colon"}, "capture": {"series": "series", "title": "title"}, "tag": ["talk"]},
     {"id": "dash", "when": {"matches": "dash"}, "capture": {"speaker": "speaker", "title": "title"}},
     {"id": "person", "when": {"all": [{"predicate": "person_name_shape"}, {"not": {"contains": "hall"}}]}, "assign": {"speaker": "summary"}},
-    {"id": "defense", "when": {"any": [{"starts_with": "fpo"}, {"ends_with": "defense"}, {"in": ["exam", "quals"]}]}, "assign": {"title": "summary", "series": "Defense"}, "unresolved": True},
+    {"id": "defense", "when": {"any": [{"starts_with": "fpo"}, {"ends_with": "defense"}, {"in": ["exam", "quals"]}]}, "assign": {"title": "summary", "series": "Defense"}, "unresolved": True, "defer": ["speaker"]},
 ]
+_SUMMARY = f"""CASE WHEN source IN ('src0', 'src1') THEN 'Physics Colloquium: ' || CASE WHEN n_chars < 600 THEN 'TBA' ELSE line END WHEN source = 'src2' THEN 'Ann Lee - ' || line WHEN source = 'src3' THEN 'FPO of ' || line
+WHEN source = 'src4' THEN '{{}}' ELSE CASE WHEN n_chars < 2000 THEN {{}} ELSE line END END"""
+_RAW = _SUMMARY.format("Quals", _first_words("line", 3))
+_RULE = rf"""CASE WHEN regexp_matches(v, '^[A-Z][A-Za-z ]+ (?:Colloquium|Seminar): .+') THEN 'series-colon' WHEN regexp_matches(v, '^[A-Z][a-z]+ [A-Z][a-z]+ - .+') THEN 'dash'
+WHEN {_person("v", [])} AND NOT contains(lower(v), 'hall') THEN 'person' WHEN starts_with(lower(v), 'fpo') OR suffix(lower(v), 'defense') OR lower(trim(v)) IN ('exam', 'quals') THEN 'defense' END"""
+_CHAIN = rf"(SELECT *, {_RULE} AS rule, regexp_extract(v, '^([A-Z][A-Za-z ]+ (?:Colloquium|Seminar)): (.+)', 2) AS t1 FROM (SELECT doc_id, {_ONE.format(_RAW)} AS v FROM {_DOCS}))"
+
+
+def _summaries(spark, sf):
+    return docs(spark, sf).withColumn("words", _words("line", 3)).withColumn("raw", F.expr(_SUMMARY.format("Quals", "words")))
 
 
-@shape("raw, rule_id, title, speaker, series, tags, unresolved", [
-    ("Physics Colloquium: Time: a (short) history", "series-colon", "Time: a (short) history", "", "Physics Colloquium", "talk", ""),
-    ("Math Seminar: TBD", "series-colon", "", "", "Math Seminar", "talk", ""), ("Ann Lee - On Graphs", "dash", "On Graphs", "Ann Lee", "", "", ""),
-    ("  Ann   Lee ", "person", "", "Ann Lee", "", "", ""), ("FPO of Bo", "defense", "FPO of Bo", "", "Defense", "", "FPO of Bo"), ("Quals", "defense", "Quals", "", "Defense", "", "Quals"),
-    ("an open day", "no-match-title", "an open day", "", "", "", ""),
-])
-def rule_chain(df):
+@query(rf"""SELECT doc_id, coalesce(rule, 'no-match-title') AS rule_id, CASE rule WHEN 'series-colon' THEN CASE WHEN {_NONE.format("t1", "t1")} THEN '' ELSE trim(t1) END WHEN 'dash' THEN trim(regexp_extract(v, '^[A-Z][a-z]+ [A-Z][a-z]+ - (.+)', 1))
+WHEN 'person' THEN '' ELSE v END AS title, CASE rule WHEN 'dash' THEN regexp_extract(v, '^([A-Z][a-z]+ [A-Z][a-z]+) - ', 1) WHEN 'person' THEN v ELSE '' END AS speaker,
+CASE rule WHEN 'series-colon' THEN regexp_extract(v, '^([A-Z][A-Za-z ]+ (?:Colloquium|Seminar)): ', 1) WHEN 'defense' THEN 'Defense' ELSE '' END AS series, CASE rule WHEN 'series-colon' THEN 'talk' ELSE '' END AS tags,
+CASE rule WHEN 'defense' THEN v ELSE '' END AS unresolved, CASE rule WHEN 'defense' THEN 'speaker' ELSE '' END AS deferred FROM {_CHAIN}""")
+def rule_chain(spark, sf):
+    """Summaries of six conventions through a chain of four rules."""
     r = chain.applied(F.col("raw"), RULES, ("title", "speaker", "series"), PATTERNS)
-    return df.select("raw", r.alias("r")).select("raw", "r.rule_id", "r.title", "r.speaker", "r.series", F.array_join("r.tags", ",").alias("tags"), "r.unresolved")
+    rows = _summaries(spark, sf).select("doc_id", r.alias("r"))
+    joined = lambda c: F.array_join(f"r.{c}", ",").alias(c)
+    return rows.select("doc_id", "r.rule_id", "r.title", "r.speaker", "r.series", joined("tags"), "r.unresolved", joined("deferred"))
+
+
+@query(f"SELECT coalesce(rule, '(fails)') AS rule, count(*) AS n FROM {_CHAIN} GROUP BY 1")
+def rule_chain_distribution(spark, sf):
+    """How many summaries each rule reads where one that no rule reads fails its source."""
+    r = chain.applied(F.col("raw"), RULES, ("title", "speaker", "series"), PATTERNS, on_no_match="fail")["rule_id"]
+    return _summaries(spark, sf).groupBy(F.coalesce(r, F.lit("(fails)")).alias("rule")).agg(F.count("*").alias("n"))
+
+
+ALIAS = {"1-urgent": "urgent", "2-high": "urgent", "urgent": "urgent", "3-medium": "usual", "f": "done"}
+
+
+@query("""SELECT o_orderkey, array_to_string(list_sort(list_distinct(list_filter([CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'urgent' WHEN o_orderpriority = '3-MEDIUM' THEN 'usual' END, CASE WHEN o_orderstatus = 'F' THEN 'done' END], lambda x: x IS NOT NULL))), ',') AS tags,
+array_to_string(list_filter([CASE WHEN o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM') THEN o_orderpriority || ' Fall 2026' END, CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END, 'odd ' || o_orderstatus], lambda x: x IS NOT NULL), '|') AS unmapped FROM orders""")
+def tags_normalize(spark, sf):
+    """Categories in several spellings, with terms of the year and blanks around them, to the tags of a vocabulary."""
+    urgent = F.when(F.col("o_orderpriority") == "1-URGENT", F.array(F.lit("Urgent"))).otherwise(F.array().cast("array<string>"))
+    cats = F.concat(F.array(F.concat("o_orderpriority", F.lit(" Fall 2026")), F.concat(F.lit(" "), "o_orderstatus"), F.lit(""), F.concat(F.lit("odd "), "o_orderstatus")), urgent)
+    return t(spark, sf, "orders").select("o_orderkey", tags.normalized(cats, ALIAS).alias("t")).select("o_orderkey", F.array_join("t.tags", ",").alias("tags"), F.array_join("t.unmapped", "|").alias("unmapped"))
 
 
-@shape("raw, rules, n", [("x", "dash,no-match-title,person", 3)])
-def rule_chain_distribution(df):
-    rows = df.select(F.explode(F.array(*(F.lit(x) for x in ("Ann Lee - On Graphs", "Ann Lee", "an open day", "Bo Li")))).alias("s"))
-    got = rows.select(chain.applied(F.col("s"), RULES, ("title", "speaker", "series"), PATTERNS)["rule_id"].alias("rule")).groupBy("rule").agg(F.count("*").alias("n"))
-    return got.agg(F.array_join(F.array_sort(F.collect_list("rule")), ",").alias("rules"), F.count("*").cast("int").alias("n")).select(F.lit("x").alias("raw"), "rules", "n")
+@query("""SELECT page_id, regexp_replace(replace(replace(replace(html, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g') AS decoded FROM pages""")
+def entities(spark, sf):
+    """Character references of whole pages decoded once."""
+    return t(spark, sf, "pages").select("page_id", text.decode_entities(F.col("html")).alias("decoded"))
 
 
-@shape("raw, canonical, unmapped", [("Talks Fall 2026|Physics|Odd Thing", "physics,talk", "Odd Thing"), ("physics colloquia|PHYSICS", "physics", ""), ("", "", "")])
-def tags_normalize(df):
-    alias = {"talks": "talk", "talk": "talk", "physics": "physics", "physics colloquia": "physics"}
-    names = F.create_map(*(F.lit(x) for kv in alias.items() for x in kv))
-    cats = F.filter(F.split("raw", r"\|"), lambda x: x != "")
-    tags = F.array_sort(F.array_distinct(F.filter(F.transform(cats, lambda c: F.try_element_at(names, text.tag_key(c))), lambda x: x.isNotNull())))
-    rest = F.filter(F.transform(cats, F.trim), lambda c: F.try_element_at(names, text.tag_key(c)).isNull())
-    return df.select("raw", F.array_join(tags, ",").alias("canonical"), F.array_join(rest, ",").alias("unmapped"))
+@query(f"SELECT doc_id, {CF.format('text')} AS form FROM documents WHERE text IS NOT NULL")
+def compare_shapes(spark, sf):
+    """Texts taken apart to letters and marks compare as they did before."""
+    apart = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("decompose"), F.col("text"), F.lit(False))
+    return docs(spark, sf).select("doc_id", apart.alias("text")).select("doc_id", text.compare_form(F.col("text")).alias("form"))
 
 
-@shape("raw, decoded", [("a &amp; b", "a & b"), ("a &amp;gt; b", "a &gt; b"), ("no&nbsp;break\xa0here", "no break here"), ("plain", "plain"), ("&eacute;t&#233; &unknown; &", "été &unknown; &")])
-def entities(df):
-    return df.select("raw", text.decode_entities(F.col("raw")).alias("decoded"))
+@query(f"""SELECT event_id, {_clock("s")} || CASE WHEN {_half("s")} = {_half("e")} THEN '' ELSE ' ' || {_half("s")} END || ' — ' || {_clock("e")} || ' ' || {_half("e")} || ' ' || strftime(s, '%A') || ', '
+|| list_extract(['Jan.', 'Feb.', 'March', 'April', 'May', 'June', 'July', 'Aug.', 'Sept.', 'Oct.', 'Nov.', 'Dec.'], CAST(month(s) AS INT)) || ' ' || day(s) || ', ' || CASE event_type WHEN 'view' THEN 'location TBA' ELSE 'in Hall ' || user_id END AS line
+FROM (SELECT *, date_trunc('minute', ts) AS s, date_trunc('minute', ts) + INTERVAL 95 MINUTE AS e FROM events)""")
+def when_and_where(spark, sf):
+    s = F.date_trunc("minute", F.col("ts").cast("timestamp"))
+    e = t(spark, sf, "events").withColumn("s", s).withColumn("e", F.timestamp_seconds(F.unix_seconds("s") + 95 * 60))
+    place = F.when(F.col("event_type") == "view", "").otherwise(F.concat(F.lit("Hall "), F.col("user_id").cast("string")))
+    return e.select("event_id", display.when_and_where(F.col("s"), F.col("e"), place).alias("line"))
 
 
-@shape("raw, form", [("Cafe\u0301 Stra\u00dfe", "caf\u00e9 strasse"), ("CAF\u00c9  STRASSE", "caf\u00e9 strasse"), ("\u1ec7 e\u0323\u0302", "\u1ec7 \u1ec7"), ("\u03a3\u03c2", "\u03c3\u03c3"), ("\ufb01n", "fin"), ("a\u200bb \u2014 \u201cc\u201d", 'ab - "c"')])
-def compare_shapes(df):
-    return df.select("raw", text.compare_form(F.col("raw")).alias("form"))
+_QUIET = "(SELECT user_id, date_diff('second', date_trunc('second', max(ts)), TIMESTAMP '2024-01-29 01:17:00') / 3600 AS days FROM events GROUP BY user_id)"
 
 
-@shape("raw, line", [("2026-09-28T16:30:00|2026-09-28T18:00:00|Hall 306", "4:30 — 6 p.m. Monday, Sept. 28, in Hall 306"), ("2026-10-03T00:00:00|2026-10-04T00:00:00|", "All day Saturday, Oct. 3, location TBA"), ("2026-10-03T11:00:00|2026-10-03T12:00:00|x", "11 a.m. — 12 p.m. Saturday, Oct. 3, in x")])
-def when_and_where(df):
-    part = lambda i: F.element_at(F.split("raw", r"\|"), i)
-    at = lambda i: part(i).cast("timestamp_ntz")
-    return df.select("raw", display.when_and_where(at(1), at(2), part(3)).alias("line"))
+@query(f"""SELECT user_id, days >= 35 AS commit, CASE WHEN days < 0 THEN format('the last commit is dated {{:.1f}} days ahead', -days) WHEN days < 35 THEN format('last commit {{:.1f}} days ago, inside the 35-day threshold', days)
+WHEN days >= 60 THEN format('last commit {{:.1f}} days ago, past GitHub''s 60-day limit — the scheduled workflows have most likely already been disabled', days)
+ELSE format('last commit {{:.1f}} days ago, past the 35-day threshold and {{:.1f}} days from the schedules being disabled', days, 60 - days) END AS reason FROM {_QUIET}""")
+def keepalive(spark, sf):
+    """Users as repositories: an hour since their last event counts as a day."""
+    last = t(spark, sf, "events").groupBy("user_id").agg(F.max(F.date_trunc("second", "ts")).alias("last"))
+    days = (F.unix_seconds(F.lit("2024-01-29 01:17:00").cast("timestamp")) - F.unix_seconds(F.col("last").cast("timestamp"))) / 3600
+    return last.select("user_id", health.keepalive(days).alias("k")).select("user_id", "k.commit", "k.reason")
 
 
-@shape("raw, hours", [("-1", "last commit 1.0 days ahead"), ("3", "last commit 3.0 days ago, inside the 35-day threshold"), ("40", "last commit 40.0 days ago, past the 35-day threshold and 20.0 days from the limit"), ("61", "last commit 61.0 days ago, past the 60-day limit")])
-def keepalive(df):
-    return df.select("raw", health.keepalive(F.col("raw").cast("double"))["reason"].alias("hours"))
+@query("""SELECT event_id, CASE WHEN m < 1 THEN 'less than a minute ago' WHEN m = 1 THEN '1 minute ago' WHEN m < 90 THEN m || ' minutes ago' ELSE CAST(round(m / 60) AS INT) || ' hours ago' END AS ago
+FROM (SELECT event_id, date_diff('second', date_trunc('second', ts), TIMESTAMP '2024-01-30 22:00:00') // 60 AS m FROM events)""")
+def minutes_ago(spark, sf):
+    m = F.floor((F.lit(1706652000) - F.unix_seconds(F.col("ts").cast("timestamp"))) / 60).cast("int")
+    return t(spark, sf, "events").select("event_id", timex.ago(m).alias("ago"))
 
 
-@shape("raw, ago", [("0", "less than a minute ago"), ("1", "1 minute ago"), ("89", "89 minutes ago"), ("90", "2 hours ago"), ("150", "3 hours ago")])
-def minutes_ago(df):
-    return df.select("raw", timex.ago(F.col("raw").cast("int")).alias("ago"))
+_CADENCE = "CASE WHEN p_size < 10 THEN p_size || 'm' WHEN p_size < 20 THEN p_size || 'h' WHEN p_size < 30 THEN p_size || 'd' WHEN p_size < 40 THEN string(p_size) WHEN p_size < 45 THEN '' ELSE p_type || 'm' END"
 
 
-@shape("raw, minutes", [("30m", 30), ("2h", 120), ("1d", 1440), ("soon", 60), ("", 60)])
-def cadence_parse(df):
-    return df.select("raw", timex.cadence_minutes(F.col("raw")).cast("int").alias("minutes"))
+@query(f"""SELECT p_partkey, CASE WHEN regexp_matches(c, '^[0-9]+[mhd]$') THEN CAST(c[:-2] AS INT) * CASE c[-1] WHEN 'm' THEN 1 WHEN 'h' THEN 60 ELSE 1440 END ELSE 60 END AS minutes FROM (SELECT p_partkey, {_CADENCE.replace("string(p_size)", "CAST(p_size AS VARCHAR)")} AS c FROM part)""")
+def cadence_parse(spark, sf):
+    return t(spark, sf, "part").select("p_partkey", timex.cadence_minutes(F.expr(_CADENCE)).cast("int").alias("minutes"))
 
 
-@shape("raw, escaped, back, collapsed", [("a, b; c", "a\\, b\\; c", "a, b; c", "a, b; c"), ("x\\, y", "x\\, y", "x, y", "x\\, y"), (" p  q\t", " p  q\t", " p  q\t", "p q")])
-def escapes(df):
-    return df.select("raw", text.escape(F.col("raw")).alias("escaped"), text.unescape(text.escape(F.col("raw"))).alias("back"), text.collapse(F.col("raw")).alias("collapsed"))
+_ESCAPED = r"regexp_replace(regexp_replace({}, '(^|[^\\])([,;])', '\1\\\2', 'g'), '(^|[^\\])([,;])', '\1\\\2', 'g')"
 
 
-@shape("raw, value", [("a\\, b\\; c\\nd", "a, b; c\nd"), ("back\\\\nslash", "back\\nslash"), ("odd\\x", "odd\\x"), ("N\\Nn", "N\nn")])
-def ics_text(df):
-    return df.select("raw", text.ics_unescape(F.col("raw")).alias("value"))
+@query(rf"""SELECT doc_id, {_ESCAPED.format("text")} AS escaped, replace(replace(text, '\,', ','), '\;', ';') AS back, {_ONE.format("text")} AS collapsed FROM documents WHERE text IS NOT NULL""")
+def escapes(spark, sf):
+    c = F.col("text")
+    return docs(spark, sf).select("doc_id", text.escape(c).alias("escaped"), text.unescape(text.escape(c)).alias("back"), text.collapse(c).alias("collapsed"))
 
 
-@shape("raw, instant", [("20260915T203000Z|UTC", "2026-09-15T20:30:00Z"), ("20260915T163000|America/New_York", "2026-09-15T20:30:00Z"), ("20261003|America/New_York", "2026-10-03T04:00:00Z"), ("nonsense|UTC", None)])
-def ics_instants(df):
-    part = lambda i: F.element_at(F.split("raw", r"\|"), i)
-    return df.select("raw", timex.stamp(timex.ics_instant(part(1), part(2))).alias("instant"))
+@query(r"""SELECT doc_id, replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), '') AS value, array_to_string(list_filter(list_transform(string_split(line, ','), lambda x: trim(x)), lambda x: x <> ''), '|') AS items
+FROM (SELECT *, split_part(text, chr(10), 1) AS line FROM documents WHERE text IS NOT NULL AND NOT contains(split_part(text, chr(10), 1), chr(92)))""")
+def ics_text(spark, sf):
+    """Texts escaped for a calendar and read back, and the items of their first lines."""
+    d = docs(spark, sf).filter(~F.col("line").contains("\\"))
+    return d.select("doc_id", text.ics_unescape(text.ics_escape(F.col("text"))).alias("value"), F.array_join(text.ics_list(F.col("line")), "|").alias("items"))
 
 
-@shape("raw, first", [("One two.\n\nThree.", "One two."), ("Abstract: what follows\n\nx", ""), ("x" * 10, "x" * 10), ("A" * 300 + ". " + "b" * 300, "A" * 300 + "."), ("c" * 500, "c" * 420 + "…"), ("A" * 300 + "! " + "b" * 300, "A" * 300 + "! " + "b" * 118 + "…"), ("Talk Abstract: x", "")])
-def first_paragraph(df):
-    return df.select("raw", text.first_paragraph(F.col("raw")).alias("first"))
+@query("""SELECT event_id, summer, CASE event_type WHEN 'click' THEN strftime(s, '%Y-%m-%dT%H:%M:%SZ') WHEN 'view' THEN strftime(CAST(s AS DATE) + to_hours(CASE WHEN summer THEN 4 ELSE 5 END), '%Y-%m-%dT%H:%M:%SZ')
+ELSE strftime(s + to_hours(CASE WHEN summer THEN 4 ELSE 5 END), '%Y-%m-%dT%H:%M:%SZ') END AS instant
+FROM (SELECT event_id, event_type, false AS summer, date_trunc('second', ts) AS s FROM events UNION ALL SELECT event_id, event_type, true, date_trunc('second', ts) + INTERVAL 180 DAY FROM events)""")
+def ics_instants(spark, sf):
+    """Calendar values of three forms, in winter and in summer, in a zone that changes its clocks."""
+    e = t(spark, sf, "events").select("event_id", "event_type", "ts", F.explode(F.array(F.lit(False), F.lit(True))).alias("summer"))
+    s = F.when(F.col("summer"), F.expr("ts + interval 180 days")).otherwise(F.col("ts"))
+    form = F.when(F.col("event_type") == "click", F.date_format(s, "yyyyMMdd'T'HHmmss'Z'")).when(F.col("event_type") == "view", F.date_format(s, "yyyyMMdd")).otherwise(F.date_format(s, "yyyyMMdd'T'HHmmss"))
+    return e.select("event_id", "summer", timex.stamp(timex.ics_instant(form, F.lit("America/New_York"))).alias("instant"))
 
 
-_ITEM = "<rss><channel><item><title>On Graphs</title><link>http://u</link><guid>{}</guid><e:date>{}</e:date><e:speaker>Ann</e:speaker><e:speaker>Bo</e:speaker><e:speakerOrg>X</e:speakerOrg>{}<e:hostOrg>Host</e:hostOrg></item></channel></rss>"
+@query(r"""SELECT doc_id, CASE WHEN regexp_matches(p, '^[A-Z][A-Za-z ]{0,24}:') THEN '' WHEN length(p) <= 420 THEN p WHEN dot > 0 AND 420 - dot - 1 > 210 THEN substr(head, 1, 420 - dot) ELSE rtrim(head) || '…' END AS first
+FROM (SELECT *, instr(reverse(head), ' .') AS dot FROM (SELECT *, substr(p, 1, 420) AS head FROM (SELECT doc_id, trim(regexp_split_to_array(text, '\n{2,}')[1]) AS p FROM documents WHERE text IS NOT NULL)))""")
+def first_paragraph(spark, sf):
+    return docs(spark, sf).select("doc_id", text.first_paragraph(F.col("text")).alias("first"))
 
 
-@shape("raw, uid, dtstart, dtend, speakers, series", [
-    (_ITEM.format("7", "Thursday, October 8, 2026 - 16:15", "<e:speakerOrg>Y</e:speakerOrg>"), "7", "20261008T161500", "", "Ann, X; Bo, Y", "Host"),
-    (_ITEM.format("", "Thursday, October 8, 2026 - 16:15 - Thursday, October 8, 2026 - 17:15", ""), "http://u", "20261008T161500", "20261008T171500", "Ann; Bo", "Host"),
-    (_ITEM.format("8", "Friday, October 8, 2026 - 16:15", ""), "8", None, "", "Ann; Bo", "Host"),
-])
-def rss_parse(df):
+@query("""SELECT event_id, CASE WHEN event_type = 'signup' THEN '' ELSE CAST(event_id AS VARCHAR) END AS guid, CASE WHEN event_type = 'view' THEN NULL ELSE strftime(ts, '%Y%m%dT%H%M00') END AS dtstart,
+CASE WHEN event_type = 'purchase' THEN strftime(ts + INTERVAL 1 HOUR, '%Y%m%dT%H%M00') ELSE '' END AS dtend, CASE WHEN event_type = 'click' THEN 'Ann, X; Bo, Y' ELSE 'Ann; Bo' END AS speakers, 'Host ' || user_id AS series, event_type = 'view' AS wrong FROM events""")
+def rss_parse(spark, sf):
+    """Syndication text written from events, one feed a user, and read back; a weekday that doesn't fit is an error."""
     from feedloom.sources import rss
 
-    r = rss.records(df, "raw", "raw")
-    return r.select(F.col("source").alias("raw"), "uid", "dtstart", "dtend", text.speaker_display(F.col("speakers")).alias("speakers"), "series")
+    form = "EEEE, MMMM d, yyyy - HH:mm"
+    kind, ts = F.col("event_type"), F.col("ts")
+    date = F.when(kind == "view", F.concat(F.date_format(F.expr("ts + interval 1 day"), "EEEE"), F.lit(", "), F.date_format(ts, "MMMM d, yyyy - HH:mm"))).otherwise(F.date_format(ts, form))
+    date = F.when(kind == "purchase", F.concat(date, F.lit(" - "), F.date_format(F.expr("ts + interval 1 hour"), form))).otherwise(date)
+    orgs = F.when(kind == "click", F.lit("<e:speakerOrg>X</e:speakerOrg><e:speakerOrg>Y</e:speakerOrg>")).otherwise("<e:speakerOrg>X</e:speakerOrg>")
+    ident = F.col("event_id").cast("string")
+    guid = F.when(kind == "signup", F.lit("")).otherwise(F.concat(F.lit("<guid>"), ident, F.lit("</guid>")))
+    item = F.concat(F.lit("<item><title>On Graphs</title><link>http://u/"), ident, F.lit("</link>"), guid, F.lit("<e:date>"), date, F.lit("</e:date><e:speaker>Ann</e:speaker><e:speaker>Bo</e:speaker>"), orgs, F.lit("<e:hostOrg>Host "), F.col("user_id").cast("string"), F.lit("</e:hostOrg></item>"))
+    feeds = t(spark, sf, "events").groupBy("user_id").agg(F.concat(F.lit("<rss><channel>"), F.array_join(F.array_sort(F.collect_list(item)), ""), F.lit("</channel></rss>")).alias("text"))
+    r = rss.records(feeds, "user_id")
+    named = F.when(F.col("uid").startswith("http"), F.lit("")).otherwise(F.col("uid"))
+    return r.select(F.regexp_extract("url", r"(\d+)\s*$", 1).try_cast("long").alias("event_id"), named.alias("guid"), "dtstart", "dtend", text.speaker_display(F.col("speakers")).alias("speakers"), "series", F.col("error").isNotNull().alias("wrong"))
+
+
+@query("""SELECT 's' || s_suppkey AS source, s_name AS label, CASE WHEN s_acctbal > 0 THEN 'live' ELSE 'unavailable' END AS state, CASE WHEN s_nationkey < 12 THEN 'ics' ELSE 'rss' END AS platform, 'title' AS role,
+CASE WHEN s_acctbal > 0 THEN '' ELSE 'Owes ' || CAST(-s_acctbal AS INT) || '.' END AS said FROM supplier""")
+def registry_listing(spark, sf):
+    """Suppliers as sources: what a person is shown of each."""
+    live = F.col("s_acctbal") > 0
+    reason = F.concat(F.lit("Owes "), F.round(-F.col("s_acctbal")).cast("int").cast("string"), F.lit(".  Ask again."))
+    s = t(spark, sf, "supplier").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("source"), live.alias("live"), F.col("s_name").alias("label"), F.when(F.col("s_nationkey") < 12, "ics").otherwise("rss").alias("platform"), F.lit("title").alias("role"), reason.alias("reason"))
+    return config.listing(s)

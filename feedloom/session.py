@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parent.parent)
 
@@ -35,3 +37,20 @@ def local(cpus: int | str = 8, memory: str = "8g", partitions: int = 8, **more:
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return attach(spark)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df written once to the folder that driver and executors share (spark.checkpoint.dir; a folder of our own only where
+    that is unset and all run on this machine) and read again; it is removed when the application ends."""
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='feedloom-')}"
+        spark.sparkContext.setCheckpointDir(base)
+    path = f"{base.rstrip('/')}/feedloom-{uuid.uuid4().hex}-{name}"
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -8,7 +8,8 @@ import urllib.request
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 #: Policy: seconds to wait for an answer, repeats after the first try, first pause (each next one is twice as long).
 TIMEOUT, RETRIES, PAUSE = 15.0, 2, 0.5
@@ -51,23 +52,50 @@ def fetched(url: str, headers: dict, transport: Transport = http, retries: int =
     return "network_error" if code is None else "http_error", code, b"", said
 
 
-def captures(sources: DataFrame, transport: Transport = http, **policy) -> DataFrame:
-    """OUTCOMES of sources (source, url, captured, etag, last_modified, headers map): each url once, one task row by row,
-    as the network is what it waits for. Write the result before reading it twice: it is not the same again."""
+def _asked(transport: Transport, policy: dict):
+    """Requests (url, headers) to their answers, one after the other, as the network is what a task waits for."""
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[tuple, tuple] = {}
         for batch in batches:
             rows = []
-            for r in batch.itertuples():
-                headers = conditions(bool(r.captured), r.etag or "", r.last_modified or "", dict(r.headers or {}))
-                key = (r.url, tuple(sorted(headers.items())))
-                if key not in known:
-                    known[key] = fetched(r.url, headers, transport, **policy)
-                outcome, code, body, said = known[key]
+            for url, asked, said_before in zip(batch["url"], batch["asked"], batch["headers"], strict=True):
+                outcome, code, body, said = fetched(url, dict(said_before or {}), transport, **policy)
                 low = {k.lower(): v for k, v in said.items()}
-                rows.append((r.source, outcome, code, body.decode("utf-8", "replace") if outcome == "ok" else None, low.get("etag"), low.get("last-modified")))
-            out = pd.DataFrame(rows, columns=["source", "outcome", "code", "body", "etag", "last_modified"])
+                rows.append((url, asked, outcome, code, body.decode("utf-8", "replace") if outcome == "ok" else None, low.get("etag"), low.get("last-modified")))
+            out = pd.DataFrame(rows, columns=["url", "asked", "outcome", "code", "body", "etag", "last_modified"])
             yield out.astype({"code": "Int32"})
 
-    return sources.select("source", "url", "captured", "etag", "last_modified", "headers").mapInPandas(run, OUTCOMES)
+    return run
+
+
+def host(url: Column) -> Column:
+    return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)", 1)), F.lit(""))
+
+
+def asked_once(requests: DataFrame, transport: Transport = http, spread: int = 1, **policy) -> DataFrame:
+    """requests (url, headers map, and more) with outcome, code, body, etag and last_modified.
+
+    Each url with the same headers is asked once over all tasks, and the answers are joined back to all who want them. A
+    host's requests are the work of `spread` tasks, so no host gets more than so many at a time, whatever the number of
+    tasks; different hosts are asked at once. Null urls are asked nothing and have outcome no_url. Write the result before
+    reading it twice: it is not the same again."""
+    asked = F.to_json(F.transform(F.array_sort(F.map_entries(F.coalesce("headers", F.map_from_arrays(F.array(), F.array()).cast("map<string,string>")))), lambda e: F.array(e["key"], e["value"])))
+    wanted = requests.withColumn("asked", asked)
+    once = wanted.filter("url is not null").groupBy("url", "asked").agg(F.first("headers").alias("headers"))
+    n = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = once.repartition(n, host(F.col("url")), F.pmod(F.xxhash64("url"), F.lit(spread)))
+    answers = dealt.mapInPandas(_asked(transport, policy), "url string, asked string, outcome string, code int, body string, etag string, last_modified string")
+    out = wanted.drop("outcome", "code", "body", "etag", "last_modified").join(answers, ["url", "asked"], "left").drop("asked")
+    return out.withColumn("outcome", F.coalesce("outcome", F.lit("no_url")))
+
+
+def captures(sources: DataFrame, transport: Transport = http, **policy) -> DataFrame:
+    """OUTCOMES of sources (source, url, captured, etag, last_modified, headers map): a validator of the state is sent
+    only where an earlier capture is still there to serve, and a source's own headers win (as `conditions`)."""
+    given = lambda c: F.nullif(F.col(c), F.lit(""))
+    own = F.coalesce("headers", F.map_from_arrays(F.array(), F.array()).cast("map<string,string>"))
+    known = F.map_from_arrays(F.array(F.lit("If-None-Match"), F.lit("If-Modified-Since")), F.array(given("etag"), given("last_modified")))
+    mine = F.map_filter(own, lambda k, v: v != "")
+    rest = F.map_filter(known, lambda k, v: v.isNotNull() & F.coalesce(F.col("captured"), F.lit(False)) & ~F.map_contains_key(own, k))
+    requests = sources.select("source", "url", F.map_concat(rest, mine).alias("headers"))
+    return asked_once(requests, transport, **policy).select("source", "outcome", "code", "body", "etag", "last_modified")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def _all(name: str) -> Column:
-    return F.transform(F.xpath("item", F.lit(f"/item/*[local-name()='{name}']/text()")), F.trim)
+    return F.transform(F.xpath("item", F.lit(f"/item/*[local-name()='{name}']/text()")), lambda x: F.trim(x))  # F.trim itself would take the place for what to trim
 
 
 def _one(name: str) -> Column:

@@ -139,3 +139,85 @@ def test_last_good_is_served(spark, tmp_path):
     run.published(spark, registry, broken, f"file://{tmp_path}", "2026-01-03T00:00:00Z", previous=good.events)
     status = json.loads((tmp_path / "status.json").read_text())["feeds"][0]
     assert status["stale"] and status["events"] == 1 and status["status"] == "failed" and "no UID" in status["detail"]
+
+
+def _tree(root):
+    return {str(p.relative_to(root)): p.read_bytes() for p in sorted(root.rglob("*.json")) if p.name == "events.json"}
+
+
+def _status(root):
+    return {f["path"]: f for f in json.loads((root / "status.json").read_text())["feeds"]}
+
+
+def test_failed_and_unasked_sources_keep_their_feeds(spark, tmp_path):
+    """A broken feed, one that lost most of its events and one that wasn't asked: files and last successes stay."""
+    feeds, out = tmp_path / "feeds", tmp_path / "out"
+    feeds.mkdir()
+    many = "".join(_ONE.format(i, f":2026010{i}T100000Z", f"Talk {i}") for i in range(1, 7))
+    for name in ("a", "b", "c"):
+        (feeds / f"{name}.txt").write_text(_ICS.format(many), newline="")
+    (tmp_path / "r.yaml").write_text("defaults: {escape: [title]}\nsources:\n  a: {}\n  b: {page_size: 6}\n  c: {publish_unless: {title: {contains: '6'}}}\n  d: {}\n")
+    (tmp_path / "c.yaml").write_text("combos:\n  - {name: all, include: ['*'], exclude: [c]}\n  - {name: later, include: [a], enabled: false, reason: 'No tag.'}\n")
+    args = ["publish", "--registry", str(tmp_path / "r.yaml"), "--combos", str(tmp_path / "c.yaml"), "--feeds", str(feeds), "--out", f"file://{out}"]
+    assert main([*args, "--at", "2026-01-03T00:00:00Z"], spark) == 0
+    first, status = _tree(out), _status(out)
+    assert status["feeds/d/events.json"]["status"] == "failed" and "Never published" in status["feeds/d/events.json"]["detail"] and not (out / "feeds/d").exists()
+    assert "complete only up to the last start it lists (2026-01-06 10:00 local)" in status["feeds/b/events.json"]["notes"][0]
+    assert status["feeds/c/events.json"]["notes"] == ["declined: 1 event(s) present in the upstream feed are deliberately not published here, per this source's publish_unless (title contains '6').", "unmapped_tags: 5"] and status["feeds/c/events.json"]["events"] == 5
+    every = json.loads(first["combos/all/events.json"])
+    assert [e["sources"] for e in every] == [["a", "b"]] * 6 and status["combos/all/events.json"]["sources"] == ["a", "b", "d"] and status["combos/later/events.json"]["status"] == "disabled"
+    assert status["combos/all/events.json"]["notes"][0].startswith("6 event(s) were published by more than one source")
+
+    (feeds / "a.txt").write_text(_ICS.format(_ONE.format(1, ":20260101T100000Z", "Talk 1")), newline="")  # five of six vanished
+    (feeds / "b.txt").write_text(_ICS.format(many.replace("UID:2", "UID:")), newline="")
+    assert main([*args, "--at", "2026-01-04T00:00:00Z"], spark) == 4
+    second, status = _tree(out), _status(out)
+    assert {k: v for k, v in second.items() if k.startswith("feeds/")} == {k: v for k, v in first.items() if k.startswith("feeds/")}
+    assert second["combos/all/events.json"] == first["combos/all/events.json"] and status["combos/all/events.json"]["stale"] and "the last good copy of a" in status["combos/all/events.json"]["detail"]
+    a, b, c = (status[f"feeds/{x}/events.json"] for x in "abc")
+    assert (a["status"], a["stale"], a["events"], a["lastSuccessAt"]) == ("failed", True, 6, "2026-01-03T00:00:00Z") and "5 of 6 events disappeared" in a["detail"]
+    assert b["stale"] and "no UID" in b["detail"] and c["lastSuccessAt"] == "2026-01-04T00:00:00Z"
+
+    assert main([*args, "--at", "2026-01-05T00:00:00Z", "--source", "a", "--allow-large-diff"], spark) == 0
+    third, status = _tree(out), _status(out)
+    assert len(json.loads(third["feeds/a/events.json"])) == 1 and third["feeds/b/events.json"] == first["feeds/b/events.json"] and third["feeds/c/events.json"] == first["feeds/c/events.json"]
+    assert status["feeds/b/events.json"]["stale"] and status["feeds/c/events.json"]["lastSuccessAt"] == "2026-01-04T00:00:00Z" and status["feeds/a/events.json"]["status"] == "ok"
+    assert len(json.loads(third["combos/all/events.json"])) == 6
+
+
+def test_fetch_and_pages(spark, tmp_path):
+    """Feeds and pages by a counting transport: validators, cadence, windows, new events within a window."""
+    log = tmp_path / "log"
+    event = "BEGIN:VEVENT\r\nUID:{0}\r\nDTSTART:20260101T100000Z\r\nSUMMARY:TBD\r\nLOCATION:Hall 12\r\nCATEGORIES:Talks\r\nURL:http://p/{0}\r\nEND:VEVENT\r\n"
+    (tmp_path / "n").write_text("2")
+
+    def transport(url, headers):
+        with open(log, "a") as f:
+            f.write(url + "\n")
+        if url.startswith("http://p/"):
+            return (403, {}, b"") if url.endswith("9") else (200, {}, f"<body><div class='top t'><b>On</b> {url[-1]}</div><div class=who>Ann Lee, Yale University</div><div class=who>Bo</div>".encode())
+        if url == "http://bad/f":
+            return 500, {}, b""
+        n = int((tmp_path / "n").read_text())
+        return (304, {}, b"") if headers.get("If-None-Match") == f"e{n}" else (200, {"ETag": f"e{n}"}, _ICS.format("".join(event.format(i) for i in range(n))).encode())
+
+    target = "[{field: title, selectors: [div.none, body > div.t]}, {field: speakers, selectors: [div.who], split: true}, {field: raw_details, selectors: [body], reject: 'on 1'}]"
+    (tmp_path / "r.yaml").write_text(f"sources:\n  a: {{feed_url: 'http://a/f', cadence: 2h, enrich: {target}}}\n  bad: {{feed_url: 'http://bad/f'}}\n")
+    (tmp_path / "feeds").mkdir()
+    args = ["publish", "--registry", str(tmp_path / "r.yaml"), "--feeds", f"file://{tmp_path}/feeds", "--out", f"file://{tmp_path}/out", "--fetch", "--enrich"]
+
+    def publish_at(at, *more):
+        log.write_text("")
+        code = main([*args, "--at", at, *more], spark, lambda url, headers: transport(url, headers))
+        return code, sorted(set(log.read_text().split())), len(log.read_text().split()), json.loads((tmp_path / "out/feeds/a/events.json").read_text())
+
+    code, asked, calls, events = publish_at("2026-01-01T00:00:00Z")
+    assert code == 4 and asked == ["http://a/f", "http://bad/f", "http://p/0", "http://p/1"] and calls == 6  # the failing one is tried three times
+    assert [(e["title"], e["titleSource"], e["speaker"], e["rawEventDetails"]) for e in events] == [("On 0", "enriched", "Ann Lee, Yale University; Bo", "On 0 Ann Lee, Yale University Bo"), ("On 1", "enriched", "Ann Lee, Yale University; Bo", "")]
+    assert json.loads((tmp_path / "out/state.json").read_text())["sources"]["a"] == {"etag": "e2", "lastEnrichedAt": "2026-01-01T00:00:00Z"}
+    assert "HTTP 500" in _status(tmp_path / "out")["feeds/bad/events.json"]["detail"]
+    (tmp_path / "n").write_text("3")
+    code, asked, _, events = publish_at("2026-01-01T06:00:00Z")  # within the window: only the new event's page
+    assert asked == ["http://a/f", "http://bad/f", "http://p/2"] and [e["title"] for e in events] == ["On 0", "On 1", "On 2"]
+    code, asked, _, again = publish_at("2026-01-01T06:30:00Z")  # not due: the capture on disk
+    assert asked == ["http://bad/f"] and again == events
