@@ -63,8 +63,7 @@ def _fetched(spark, registry: config.Registry, a, at: str, state, transport: fet
     return got, trouble
 
 
-def _publish(spark, registry: config.Registry, a, at: str, known: list[str], transport: fetch.Transport) -> int:
-    combos = config.combos((config.read(a.combos, {"combos"}).get("combos") or []), registry) if a.combos else []
+def _publish(spark, registry: config.Registry, combos: list[config.Combo], a, at: str, known: list[str], transport: fetch.Transport) -> int:
     state = publish.read_state(spark, f"{a.out}/state.json")
     outcomes, trouble = _fetched(spark, registry, a, at, state, transport) if a.fetch else (None, None)
     name = F.regexp_extract(F.input_file_name(), r"([^/]+)\.txt$", 1)
@@ -138,6 +137,7 @@ def main(argv: list[str] | None = None, spark=None, transport: fetch.Transport =
         return FAILED if found[0] == "fail" or stale else OK
     try:
         registry = load(a.registry, a.tags)
+        combos = config.combos((config.read(a.combos, {"combos"}).get("combos") or []), registry) if a.combos else []
     except (ValueError, TypeError) as e:
         print(e, file=sys.stderr)
         return CONFIG
@@ -158,11 +158,7 @@ def main(argv: list[str] | None = None, spark=None, transport: fetch.Transport =
     if not known:
         print(f"{a.source} is not live", file=sys.stderr)
         return CONFIG
-    try:
-        return _publish(spark, registry, a, at, known, transport)
-    except (ValueError, TypeError) as e:
-        print(e, file=sys.stderr)
-        return CONFIG
+    return _publish(spark, registry, combos, a, at, known, transport)
 
 
 if __name__ == "__main__":

@@ -52,7 +52,7 @@ def applied(field: str, value: Column, fill: bool | Column = True, split: bool =
         keep = (F.size("speakers") > 0) & F.lit(fill) | (F.size(value) == 0)
         return {"speakers": F.when(keep, F.col("speakers")).otherwise(people)}
     if field == "title":
-        take = ~text.is_missing(value) & (text.is_missing(F.col("title")) | F.lit(not fill))
+        take = ~text.is_missing(value) & (text.is_missing(F.col("title")) | ~F.lit(fill))
         return {
             "title": F.when(take, value).otherwise(F.col("title")),
             "title_source": F.when(take, F.lit("enriched")).otherwise(F.col("title_source")),

@@ -214,7 +214,7 @@ def due(sources: DataFrame, manifest: DataFrame, at: str) -> DataFrame:
     got = sources.join(manifest.select("path", "last_success"), F.concat(F.lit("feeds/"), "source", F.lit("/events.json")) == F.col("path"), "left")
     waited = timex.hours_between(F.regexp_replace(F.coalesce("last_success", F.lit("")), "Z$", ""), F.lit(at[:19])) * 60
     every = timex.cadence_minutes(F.col("cadence"))
-    said = F.concat(F.lit("fetched "), F.format_number(waited, "0"), F.lit("m ago, cadence is "), every.cast("string"), F.lit("m"))
+    said = F.concat(F.lit("fetched "), F.format_string("%.0f", waited), F.lit("m ago, cadence is "), every.cast("string"), F.lit("m"))
     reason = F.when(F.col("path").isNull(), "never published").when(F.coalesce("last_success", F.lit("")) == "", "no recorded success to measure from").when(waited < 0, "last success is dated in the future").otherwise(said)
     is_due = F.when(F.col("path").isNull() | (F.coalesce("last_success", F.lit("")) == ""), F.lit(True)).otherwise(timex.due(waited, every))
     return got.select("source", is_due.alias("due"), reason.alias("reason"))
