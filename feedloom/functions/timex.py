@@ -86,6 +86,7 @@ def duration(minutes: Column) -> Column:
 
 def elapsed_window(hours: Column, window: Column) -> Column:
     """struct(due, reason) of a scrape that is repeated after `window` hours: never made, dated in the future, or old."""
+    # the texts are fixed values
     said = F.concat(F.lit("scraped "), F.format_string("%.1f", hours), F.lit("h ago, window is "), window.cast("string"), F.lit("h"))
     pair = lambda d, r: F.struct(d.alias("due"), r.alias("reason"))
     return F.when(hours.isNull(), pair(F.lit(True), F.lit("never scraped"))).when(hours < 0, pair(F.lit(True), F.lit("last scrape is dated in the future"))).otherwise(pair(hours >= window, said))

@@ -49,7 +49,7 @@ def violations(rules: dict[str, Column]) -> Column:
 
 
 def event_rules() -> dict[str, Column]:
-    """The published contract of an event, as rules over its columns."""
+    """The published contract of an event, as rules over its columns. Patterns and names are fixed values."""
     full = lambda c: F.length(F.coalesce(F.col(c), F.lit(""))) > 0
     like = lambda c, p: F.col(c).rlike(p)
     unique = lambda c: F.size(F.array_distinct(c)) == F.size(c)

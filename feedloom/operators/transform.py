@@ -111,6 +111,7 @@ def events(raw: DataFrame, sources: list[Source], alias: dict[str, str]) -> Data
         got = got.withColumn(end, F.when(F.trim(none(value)).rlike(r"^\d{8}(T\d{6}Z?)?$"), timex.ics_instant(F.trim(none(value)), F.coalesce(f"{end}_zone", F.lit("UTC")))))
     bad = by_source(sources, lambda s: F.lit(None if _known(s.timezone) else f"timezone {s.timezone!r} is not known").cast("string"), "timezone")
     role = by_source(sources, lambda s: F.lit(None if s.role in ROLES else f"role {s.role!r} is not implemented").cast("string"), "role")
+    # the texts of errors are fixed values
     say = lambda test, *parts: F.when(test, F.concat(*parts))
     error = F.coalesce(
         say(F.col("_zone").isNull(), F.lit("the source is not declared")), role,

@@ -110,3 +110,48 @@ def test_calendar_lines_are_folded(spark):
         text = df.select(ics.calendar(F.lit("u"), at, at, F.col("s"), F.lit(None).cast("string"), F.lit(None).cast("string"))).first()[0]
         assert text.endswith("END:VCALENDAR\r\n") and max(map(len, text.split("\r\n"))) <= 75 and "URL" not in text
         assert f"SUMMARY:{'x' * n}\r\n" in text.replace("\r\n ", "")
+
+
+def test_load_time_refusals():
+    """What a chain, a view or a target declares wrongly is refused before any plan is built."""
+    from feedloom.plans import config
+
+    one = {"id": "a", "when": {"matches": "p"}, "capture": {"x": "title"}}
+    patterns = {"p": "(?P<x>a)", "q": "(?P<x>a)(?P<y>b)"}
+    chain.validate([one], ("title",), patterns)
+    for bad in (
+        {"when": {"like": "x"}}, {"when": {"all": [{"in": "x"}]}}, {"when": {"contains": ["x"]}}, {"when": {"not": {"predicate": "none"}}}, {"when": {"any": []}}, {"when": {}},
+        {"when": {"matches": "none"}}, {"when": {"matches": "q"}}, {"when": {"contains": "x"}}, {"capture": {"z": "title"}}, {"capture": {"x": "nothing"}},
+    ):
+        with pytest.raises(ValueError):
+            chain.validate([one | bad], ("title",), patterns)
+    registry = config.Registry({"a": {}, "b": {}}, alias={"f": "fpo"}, purposes={"web"})
+    assert config.combos([{"name": "x", "include": ["*"], "exclude_where": {"tags": {"contains": "fpo"}}}], registry)[0].key == ("starts_at", "title")
+    for bad in ({"include": ["c"]}, {"include": ["a"], "key": ["guid"]}, {"include": ["a"], "key": []}, {"include": ["a"], "where": {"tags": {"in": ["none"]}}}, {"include": ["a"], "enabled": False}, {"include": ["a"], "odd": 1}):
+        with pytest.raises(ValueError):
+            config.combos([{"name": "x", **bad}], registry)
+    for bad in ({"selectors": ["a"]}, {"field": "title"}, {"field": "title", "selectors": ["a"], "odd": 1}):
+        with pytest.raises(ValueError):
+            config.Registry({"a": {"enrich": [bad]}})
+
+
+def test_capture_without_a_match_fails_its_source(spark):
+    df = spark.createDataFrame([("Ann Lee",), ("x",)], "s string")
+    r = chain.applied(F.col("s"), [{"id": "a", "when": {"starts_with": "ann"}, "assign": {"title": "summary"}}], ("title",), {}, on_no_match="fail")
+    assert [x.r.rule_id for x in df.select(r.alias("r")).collect()] == ["a", None]
+
+
+def test_exclude_where_and_eight_fields(spark):
+    """Events that differ in one of the eight compared fields stay apart; what isn't compared doesn't matter."""
+    base = {"id": "a:1", "source": "a", "sources": ["a"], "purposes": ["web"], "tags": ["x"], "starts_at": "s", "ends_at": "e", "title": "Winds – Waves", "speaker": "Ann", "series": "S", "location": ("Hall", "1"), "url": "u", "content": "c", "bio": ""}
+    rows = [base, base | {"id": "b:2", "source": "b", "sources": ["b"], "title": "winds  - waves", "purposes": ["news"], "bio": "other"}]
+    for i, change in enumerate(({"ends_at": "f"}, {"speaker": "Bo"}, {"series": "T"}, {"location": ("Hall", "2")}, {"url": "v"}, {"content": "d"})):
+        rows.append(base | {"id": f"c:{i}", "source": "c", "sources": ["c"]} | change)
+    rows.append(base | {"id": "d:1", "source": "d", "sources": ["d"], "tags": ["fpo"]})
+    schema = "id string, source string, sources array<string>, purposes array<string>, tags array<string>, starts_at string, ends_at string, title string, speaker string, series string, location struct<name:string,detail:string>, url string, content string, bio string"
+    df = spark.createDataFrame([tuple(r[c.split()[0]] for c in schema.split(", ")) for r in rows], schema)
+    chosen = combine.chosen(df, exclude_where={"tags": {"contains": "fpo"}})
+    out = {r.id: r for r in combine.merged(chosen, combine.keyed(["starts_at", "title"]), combine.details(), ["id"], sets=("sources", "purposes")).collect()}
+    assert sorted(out) == ["a:1", *(f"c:{i}" for i in range(6))] and out["a:1"].sources == ["a", "b"] and out["a:1"].purposes == ["news", "web"] and out["a:1"].n == 2
+    apart = combine.divergences(chosen, combine.keyed(["starts_at", "title"]), combine.details()).collect()
+    assert len(apart) == 1 and apart[0].differing == ["ends_at", "speaker", "series", "location", "url", "content"] and len(apart[0].ids) == 8
