@@ -34,7 +34,8 @@ def usable(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     top = np.abs(x).max(axis=1, initial=0.0)
     kept = np.flatnonzero((size > 0) & np.isfinite(top) & (top > 0))
     x = x[kept] / top[kept, None]
-    return kept, x / np.sqrt((x * x).sum(1))[:, None]
+    # summed from the first component on, so that zeros behind a shorter vector change no bit
+    return kept, x / np.sqrt(np.cumsum(x * x, axis=1)[:, -1] if x.shape[1] else np.zeros(len(x)))[:, None]
 
 
 def _keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -54,6 +55,16 @@ def directions(tree: int, depth: int, wide: int) -> np.ndarray:
     return np.stack([np.random.default_rng([SEED, tree, level]).standard_normal(max(wide, 1)) for level in range(depth)]) if depth else np.zeros((0, max(wide, 1)))
 
 
+#: Steps of a unit, of components and of directions: products stay far below 2**53.
+FINE, COARSE = 1 << 24, 1 << 12
+
+
+def projected(x: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Projections of unit vectors on directions, as whole numbers: their sums have no order, so a vector has the same
+    ones alone, in any batch and as one of the sample that the splits are learned from."""
+    return (np.rint(x * FINE).astype(np.int64) @ np.rint(d * COARSE).astype(np.int64).T).astype(np.float64)
+
+
 def learn(x: np.ndarray, depth: int, tree: int) -> dict[int, tuple[float, float]]:
     """Bounds (low, high) of each node's split: vectors below high go left, those from low on go right."""
     d = directions(tree, depth, x.shape[1])
@@ -64,7 +75,7 @@ def learn(x: np.ndarray, depth: int, tree: int) -> dict[int, tuple[float, float]
         for node, rows in nodes.items():
             if len(rows) < 8:
                 continue
-            p = x[rows] @ d[level]
+            p = projected(x[rows], d[level])
             low, high = np.quantile(p, [0.5 - SPILL / 2, 0.5 + SPILL / 2])
             out[node] = (float(low), float(high))
             below[2 * node], below[2 * node + 1] = rows[p < high], rows[p >= low]
@@ -74,7 +85,7 @@ def learn(x: np.ndarray, depth: int, tree: int) -> dict[int, tuple[float, float]
 
 def leaves_of(x: np.ndarray, splits: dict[int, tuple[float, float]], depth: int, tree: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows and leaves of all vectors: one for each, or more where a split sends it both ways; in order of row."""
-    p = x @ directions(tree, depth, x.shape[1]).T
+    p = projected(x, directions(tree, depth, x.shape[1]))
     at, node = np.arange(len(x)), np.ones(len(x), np.int64)
     nodes = np.array(sorted(splits), np.int64)
     bounds = np.array([splits[n] for n in nodes.tolist()]).reshape(-1, 2)
