@@ -331,8 +331,8 @@ def contract_errors(spark, sf):
 @query("""SELECT event_id, CASE WHEN h >= 0 THEN 'in ' || a ELSE a || ' ago' END AS relative, CASE WHEN m < 90 THEN printf('%.0f minutes', m) WHEN m < 2880 THEN printf('%.1f hours', m / 60) ELSE printf('%.1f days', m / 1440) END AS lasting,
 strftime(ts, '%A') || ', ' || strftime(ts, '%B') || ' ' || day(ts) AS pretty, CASE WHEN suffix(event_type, '.') THEN event_type ELSE event_type || '.' END AS sentence
 FROM (SELECT *, CASE WHEN abs(h) < 48 THEN CAST(floor(abs(h) + 0.5) AS INT) || CASE WHEN floor(abs(h) + 0.5) = 1 THEN ' hour' ELSE ' hours' END ELSE CAST(floor(abs(h) / 24 + 0.5) AS INT) || ' days' END AS a
-FROM (SELECT *, date_diff('minute', TIMESTAMP '2024-01-15 12:00:00', date_trunc('minute', ts)) / 60 AS h, CAST(value * 97 AS INT) + 0.25 AS m FROM events))""")
+FROM (SELECT *, date_diff('minute', TIMESTAMP '2024-01-15 12:00:00', date_trunc('minute', ts)) / 60 AS h, CAST(floor(value * 97) AS INT) + 0.25 AS m FROM events))""")
 def relative_times(spark, sf):
     h = (F.unix_seconds(F.date_trunc("minute", "ts").cast("timestamp")) - F.unix_seconds(F.lit("2024-01-15 12:00:00").cast("timestamp"))) / 3600
-    m = F.round(F.col("value") * 97).cast("int") + F.lit(0.25).cast("double")
+    m = F.floor(F.col("value") * 97).cast("int") + F.lit(0.25).cast("double")
     return t(spark, sf, "events").select("event_id", timex.relative_hours(h).alias("relative"), timex.duration(m).alias("lasting"), timex.pretty_date(F.col("ts")).alias("pretty"), text.sentence(F.col("event_type")).alias("sentence"))
