@@ -38,7 +38,9 @@ def let(c: Column, f) -> Column:
 
 
 def collapse(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
+    """Single spaces for all white space, none at the ends. What is a single space already isn't matched, so a text that
+    needs nothing is only read."""
+    return F.trim(F.regexp_replace(c, r"(?U)\s{2,}|[\s&&[^ ]]", " "))
 
 
 @lru_cache
