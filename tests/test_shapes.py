@@ -143,6 +143,20 @@ def first_paragraph(df):
     return df.select("raw", text.first_paragraph(F.col("raw")).alias("first"))
 
 
+_DOUBLES = ["45.15", "23.25", "0.35", "1.45", "16.05", "0.25", "0.75", "2.5", "0.05", "0.04", "-0.05", "9.95", "9.96", "99.949", "0", "-7", "123456789.05", "1e-9", "0.15000000000000002", "5.5", "62.5"]
+
+
+@shape("raw, none, one, three", [(x, *(f"{float(x):.{n}f}" for n in (0, 1, 3))) for x in _DOUBLES])
+def decimals(df):
+    x = F.col("raw").cast("double")
+    return df.select("raw", text.decimals(x, 0).alias("none"), text.decimals(x).alias("one"), text.decimals(x, 3).alias("three"))
+
+
+@shape("raw, reason", [("6.25", "scraped 6.2h ago, window is 6h"), ("1.45", "scraped 1.4h ago, window is 6h"), ("0.35", "scraped 0.3h ago, window is 6h"), ("0.75", "scraped 0.8h ago, window is 6h"), (None, "never scraped")])
+def elapsed_window(df):
+    return df.select("raw", timex.elapsed_window(F.col("raw").cast("double"), F.lit(6))["reason"].alias("reason"))
+
+
 _ITEM = "<rss><channel><item><title>On Graphs</title><link>http://u</link><guid>{}</guid><e:date>{}</e:date><e:speaker>Ann</e:speaker><e:speaker>Bo</e:speaker><e:speakerOrg>X</e:speakerOrg>{}<e:hostOrg>Host</e:hostOrg></item></channel></rss>"
 
 
