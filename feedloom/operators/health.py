@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.functions.text import decimals
+
 
 def freshness(age_minutes: Column, most: int = 90) -> Column:
     return F.when(age_minutes.isNull() | (age_minutes > most), F.lit("fail")).when(age_minutes < -5, F.lit("warn")).otherwise(F.lit("ok"))
@@ -24,16 +26,16 @@ def served(manifest: DataFrame, records: DataFrame, source: str = "source") -> D
 
 #: What is said of a repository's last commit: dated ahead, recent, late, too late.
 COMMITS = (
-    "the last commit is dated %.1f days ahead", "last commit %.1f days ago, inside the {0:g}-day threshold",
-    "last commit %.1f days ago, past the {0:g}-day threshold and %.1f days from the schedules being disabled",
-    "last commit %.1f days ago, past GitHub's {1:g}-day limit — the scheduled workflows have most likely already been disabled",
+    "the last commit is dated %s days ahead", "last commit %s days ago, inside the {0:g}-day threshold",
+    "last commit %s days ago, past the {0:g}-day threshold and %s days from the schedules being disabled",
+    "last commit %s days ago, past GitHub's {1:g}-day limit — the scheduled workflows have most likely already been disabled",
 )
 
 
 def keepalive(days: Column, warn: float = 35, fail: float = 60) -> Column:
     """struct(commit, reason): whether a repository that has been quiet for so many days needs a commit."""
     ahead, recent, late, too_late = (c.format(warn, fail) for c in COMMITS)
-    pair = lambda c, said, *n: F.struct(F.lit(c).alias("commit"), F.format_string(said, *n).alias("reason"))
+    pair = lambda c, said, *n: F.struct(F.lit(c).alias("commit"), F.format_string(said, *map(decimals, n)).alias("reason"))
     return F.when(days < 0, pair(False, ahead, -days)).when(days < warn, pair(False, recent, days)).when(days >= fail, pair(True, too_late, days)).otherwise(pair(True, late, days, fail - days))
 
 

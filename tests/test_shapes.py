@@ -112,6 +112,11 @@ def keepalive(df):
     return df.select("raw", health.keepalive(F.col("raw").cast("double"))["reason"].alias("hours"))
 
 
+@shape("raw, reason", [("45.15", "last commit 45.1 days ago, past the 35-day threshold and 14.9 days from the schedules being disabled"), ("-23.25", "the last commit is dated 23.2 days ahead"), ("0.35", "last commit 0.3 days ago, inside the 35-day threshold")])
+def keepalive_rounding(df):
+    return df.select("raw", health.keepalive(F.col("raw").cast("double"))["reason"].alias("reason"))
+
+
 @shape("raw, ago", [("0", "less than a minute ago"), ("1", "1 minute ago"), ("89", "89 minutes ago"), ("90", "2 hours ago"), ("150", "3 hours ago")])
 def minutes_ago(df):
     return df.select("raw", timex.ago(F.col("raw").cast("int")).alias("ago"))
