@@ -16,22 +16,26 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 ROW = "row"
 
 
+#: Rejected numbers that are sent to the scan; beyond these, rows and numbers are shuffled.
+FEW = 200_000
+
+
 def _of_text(docs: DataFrame) -> DataFrame:
-    """The rows with a 64-bit hash of the text. Quality and language depend on the text alone, so what is rejected is a
-    set of texts: no row needs a number, whatever the ids, and nothing but the rejected hashes is written."""
+    """The rows with a 64-bit hash of the text. The language depends on the text alone, so what is rejected is a set of
+    texts: no row needs a number, whatever the ids, and nothing but the rejected hashes is written."""
     return fresh(docs, *COLUMNS).withColumn(ROW, F.xxhash64("text"))
 
 
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows whose text is not among the rejected ones."""
-    return docs.join(saved(rejected.select(ROW).distinct(), "rejected"), ROW, "left_anti").select(*COLUMNS)
+    """The rows whose number is not among the rejected ones. While these are few the texts are not shuffled."""
+    gone = saved(rejected.select(ROW).distinct(), "rejected")
+    return docs.join(F.broadcast(gone) if gone.count() <= FEW else gone, ROW, "left_anti").select(*COLUMNS)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; null ids have no label and are judged by their text, as is each of
     several rows of one id."""
-    docs = _of_text(docs)
-    return _without(docs, quality.score(docs, table(spark, sf_dir, "labels"), row=ROW).filter("predicted = 0"))
+    return quality.accepted(fresh(docs, *COLUMNS), table(spark, sf_dir, "labels"))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,9 +48,10 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One row of each group of near duplicates, whatever the ids: that of the smallest id, null ids last."""
     docs = saved(fresh(docs, *COLUMNS).withColumn(ROW, F.monotonically_increasing_id()), "rows")  # plans that read it see the same numbers
     near = minhash.near_duplicates(docs.select(F.col(ROW).alias("doc_id"), "text")).select(F.col("doc_id").alias(ROW), "component_id")
+    near = saved(near.join(docs.select(ROW, "doc_id"), ROW), "near")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW))[ROW]
-    kept = near.join(docs.select(ROW, "doc_id"), ROW).groupBy("component_id").agg(first.alias(ROW))
-    return docs.join(saved(kept.select(ROW), "kept"), ROW, "left_semi").select(*COLUMNS)
+    kept = near.groupBy("component_id").agg(first.alias("kept"), F.count("*").alias("n")).filter("n > 1").select("component_id", "kept")
+    return _without(docs, near.join(kept, "component_id").filter(F.col(ROW) != F.col("kept")))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -178,23 +178,14 @@ def prior_of(cells: list) -> float:
     return float(np.clip(((cu + slack) / cp)[ok].min(), 0.05, 0.98))
 
 
-def score(docs: DataFrame, labels: DataFrame, row: str | None = None) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted; before them the column `row` (long), if one is named.
+def _table(docs: DataFrame, *own: str) -> DataFrame:
+    """Numbers of every whole text, written once."""
+    described = fresh(docs, *own, "doc_id", "text").mapInArrow(_described, "".join(f"`{c}` long, " for c in own) + "doc_id long, x array<float>")
+    return saved(described.withColumn("held_out", crc_mod("doc_id", FOLDS) == HELD_OUT), "described")
 
-    One pass describes every whole text by numbers (letters, marks, repetition, variety ...; never label, lang, source
-    or id); that small table is written once. Trusted positives are texts of the training folds (crc32 of the id modulo
-    3 is not 1) with quality 1; unlabelled ones are all texts of the training folds, whatever their label. Means,
-    deviations, the class prior and every step of the fits come from all of them: a step is an aggregate of the engine,
-    of about 2,000 sums. The score is computed by expressions of the engine.
 
-    Null and empty texts are described as empty and scored like others. Labels other than 1 are not learned from. An id
-    that is labelled twice counts once as positive if any label is 1. Null ids are scored, as held out if the empty text
-    is. With no positive or no training text every score is 0.5. An empty table gives an empty result.
-    """
-    spark = docs.sparkSession
-    own = [row] if row else []
-    described = fresh(docs, *own, "doc_id", "text").mapInArrow(_described, "".join(f"`{c}` long, " for c in own) + "doc_id long, x array<float>")
-    described = saved(described.withColumn("held_out", crc_mod("doc_id", FOLDS) == HELD_OUT), "described")
+def _fitted(described: DataFrame, labels: DataFrame) -> np.ndarray:
+    """Weights of the score (bias last), as score() says."""
     good = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("id")).distinct()
     train = described.filter("not held_out").join(good, described.doc_id == good.id, "left").select("x", "doc_id", F.col("id").isNotNull().alias("p"))
     train = saved(train, "training")
@@ -213,10 +204,41 @@ def score(docs: DataFrame, labels: DataFrame, row: str | None = None) -> DataFra
         cell = F.size(F.filter(F.array(*(F.lit(float(c)) for c in cuts)), lambda c: c <= F.col("s")))
         cells = first.select(cell.alias("cell"), "p").groupBy("cell").agg(F.count_if("p").alias("p"), F.count("*").alias("u")).orderBy(F.desc("cell")).collect()
         final = raw(fit(summed, len(final), prior_of(cells)))
-    out = described.select(*own, "doc_id", "held_out", _linear(final).alias("score"))
+    return final
+
+
+def score(docs: DataFrame, labels: DataFrame, row: str | None = None) -> DataFrame:
+    """One row per document: doc_id, held_out, score, predicted; before them the column `row` (long), if one is named.
+
+    One pass describes every whole text by numbers (letters, marks, repetition, variety ...; never label, lang, source
+    or id); that small table is written once. Trusted positives are texts of the training folds (crc32 of the id modulo
+    3 is not 1) with quality 1; unlabelled ones are all texts of the training folds, whatever their label. Means,
+    deviations, the class prior and every step of the fits come from all of them: a step is an aggregate of the engine,
+    of about 2,000 sums. The score is computed by expressions of the engine.
+
+    Null and empty texts are described as empty and scored like others. Labels other than 1 are not learned from. An id
+    that is labelled twice counts once as positive if any label is 1. Null ids are scored, as held out if the empty text
+    is. With no positive or no training text every score is 0.5. An empty table gives an empty result.
+    """
+    own = [row] if row else []
+    described = _table(docs, *own)
+    out = described.select(*own, "doc_id", "held_out", _linear(_fitted(described, labels)).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, whose text score() predicts 1. A last pass describes the texts once more
+    and lets through what it accepts, so no row is joined with its score and no text is shuffled."""
+    w = _fitted(_table(docs), labels)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in text_blocks(batches, limit=BLOCK):
+            x = describe(block.column("text")).astype(np.float32).astype(float)
+            yield block.filter(pa.array(sigmoid(x @ w[:-1] + w[-1]) >= 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document of the table: doc_id, held_out, score, predicted."""
     return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
