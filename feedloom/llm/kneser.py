@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,8 @@ from feedloom.llm.common import listed, mix64, saved, text_blocks, words
 ORDER = 4
 #: The mark before and after a run of letters.
 EDGE = "_"
+#: Characters of words whose positions are held at once: each takes some hundred bytes.
+AT_ONCE = 1 << 17
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _LETTER = np.zeros(0x110000, bool)
 
@@ -36,6 +39,14 @@ class Spots:
     at: np.ndarray
 
 
+def portions(names: list[str]) -> Iterator[slice]:
+    """Slices of the words with about AT_ONCE characters each (a longer word may be a slice by itself)."""
+    part = np.cumsum(np.fromiter((len(x) + 1 for x in names), np.int64, len(names))) // AT_ONCE
+    for first, end in pairwise([0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(names)]):
+        if end > first:
+            yield slice(first, end)
+
+
 def spots(names: list[str], order: int = ORDER) -> Spots:
     """Words are lower-cased; what is not a letter ends a run."""
     text = "\n" + "\n".join(names).lower() + "\n"
@@ -63,16 +74,22 @@ def hashes(s: Spots, n: int, back: int = 0) -> np.ndarray:
 
 def grams(names: list[str], times: np.ndarray, name: str, order: int = ORDER) -> Iterator[pa.RecordBatch]:
     """(class, gram, n) of words that occur `times` times: the longest n-gram that ends at each position, once each."""
-    s = spots(names, order)
-    times = times[s.word]
-    for n in range(2, order + 1):
-        some = np.flatnonzero((s.order == n) & (times > 0))
-        if not len(some):
+    found: dict[int, list] = {n: [] for n in range(2, order + 1)}
+    for portion in portions(names):
+        s = spots(names[portion], order)
+        each = times[portion][s.word]
+        for n, parts in found.items():
+            some = np.flatnonzero((s.order == n) & (each > 0))
+            part = Spots(s.word[some], s.order[some], s.chars, s.at[some])
+            h, first, inverse = np.unique(hashes(part, n), return_index=True, return_inverse=True)
+            parts.append((h, s.chars[part.at[first][:, None] + np.arange(1 - n, 1)].astype("<u4"), np.bincount(inverse, weights=each[some])))
+    for n, parts in found.items():
+        h, chars, total = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else ([], [], [])
+        if not len(h):
             continue
-        part = Spots(s.word[some], s.order[some], s.chars, s.at[some])
-        _, first, inverse = np.unique(hashes(part, n), return_index=True, return_inverse=True)
-        total = np.bincount(inverse, weights=times[some]).astype(np.int64)
-        texts = s.chars[part.at[first][:, None] + np.arange(1 - n, 1)].astype("<u4").tobytes().decode("utf-32-le")
+        _, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+        total = np.bincount(inverse, weights=total).astype(np.int64)
+        texts = chars[first].tobytes().decode("utf-32-le")
         texts = [texts[i : i + n] for i in range(0, len(texts), n)]
         yield pa.RecordBatch.from_arrays([pa.array([name] * len(texts)), pa.array(texts), pa.array(total)], names=["class", "gram", "n"])
 
@@ -86,7 +103,9 @@ def _counted(order: int):
             classes = pc.cast(block.column("class"), pa.string()).dictionary_encode()
             kind, own = np.asarray(classes.indices)[doc], listed(names)
             for k, name in enumerate(classes.dictionary.to_pylist()):
-                yield from grams(own, np.bincount(code[kind == k], minlength=len(own)), name, order)
+                times = np.bincount(code[kind == k], minlength=len(own))
+                some = np.flatnonzero(times)
+                yield from grams([own[i] for i in some], times[some], name, order)
             # the next block comes before these names are bound anew
             del doc, code, names, own
 
@@ -238,14 +257,17 @@ class Held:
 
 def needed(names: list[str], order: int = ORDER) -> np.ndarray:
     """Hashes of all strings of a model that the scores of some words look up."""
-    s, out = spots(names, order), [np.zeros(0, np.uint64)]
-    for n in range(1, order + 1):
-        rest = np.flatnonzero(s.order >= n)
-        part = Spots(s.word[rest], s.order[rest], s.chars, s.at[rest])
-        out.append(np.unique(hashes(part, n)))
-        if n > 1:
-            out.append(np.unique(hashes(part, n - 1, 1)))
-    return np.unique(np.concatenate(out))
+    keys = np.zeros(0, np.uint64)
+    for portion in portions(names):
+        s, out = spots(names[portion], order), [keys]
+        for n in range(1, order + 1):
+            rest = np.flatnonzero(s.order >= n)
+            part = Spots(s.word[rest], s.order[rest], s.chars, s.at[rest])
+            out.append(np.unique(hashes(part, n)))
+            if n > 1:
+                out.append(np.unique(hashes(part, n - 1, 1)))
+        keys = np.unique(np.concatenate(out))
+    return keys
 
 
 def _find(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

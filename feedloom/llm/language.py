@@ -26,6 +26,8 @@ UNKNOWN = "und"
 
 #: Bytes of text that look up the model together, and words scored at once.
 TOGETHER, AT_ONCE = 16 << 20, 8_000
+#: Different words that end such a block early, and bytes of a slice of it: what a worker holds of either.
+MOST, SLICE = 400_000, 1 << 20
 
 
 def _packed(x: np.ndarray) -> bytes:
@@ -44,8 +46,8 @@ def _bags(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     earlier slices (`part`) of the same block don't have."""
     task = TaskContext.get().partitionId() << 32
     block, part, size, known, seen = 0, 0, 0, {}, np.zeros(0, np.uint64)
-    for slice_ in text_blocks(batches):
-        if size > TOGETHER:
+    for slice_ in text_blocks(batches, limit=SLICE):
+        if size > TOGETHER or len(known) > MOST:
             block, part, size, known, seen = block + 1, 0, 0, {}, seen[:0]
         size += int(pc.sum(pc.binary_length(slice_.column("text"))).as_py() or 0)
         doc, code, names = words(slice_.column("text"))

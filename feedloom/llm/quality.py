@@ -14,7 +14,7 @@ from feedloom.llm.common import crc_mod, fresh, saved, table, text_blocks, words
 
 FOLDS, HELD_OUT = 3, 1
 #: Bytes of text that a worker describes at once; blocks twice as large cost as much time and more memory.
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 #: Newton steps at most, half steps at most, the ridge, and the step that ends the fit.
 STEPS, HALVES, DECAY, STILL = 25, 12, 1e-2, 1e-5
 #: Cells of the score distributions that the class prior is read from, and the least share of positives above a cut.

@@ -1,9 +1,10 @@
 import math
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 
-from feedloom.llm import kneser
+from feedloom.llm import kneser, language
 from feedloom.llm.common import crc_fold
 from feedloom.llm.language import identify
 
@@ -106,3 +107,66 @@ def test_every_gram_is_kept_and_looked_up(spark):
             for w, s in zip(words, got[:, k], strict=True):
                 t = "_" + w + "_"
                 assert abs(sum(math.log(p(t[max(0, i - 2) : i + 1])) for i in range(1, len(t))) - s) < 1e-9, (w, k)
+
+
+def different_words(n: int) -> list[str]:
+    return ["".join(chr(97 + i // 26**k % 26) for k in range(4)) + "ßä日"[i % 3] * (i % 5) + ("'" + "xyz"[i % 3] * 3) * (i % 2) for i in range(n)]
+
+
+def peak_mb(run) -> float:
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_words_are_held_in_portions():
+    """A worker that met 1 MB of different words at once took over 100 bytes for each of their characters."""
+    words = different_words(100_000)
+    assert peak_mb(lambda: kneser.needed(words)) < 40
+    assert peak_mb(lambda: sum(len(x) for x in kneser.grams(words, np.ones(len(words)), "x"))) < 40
+
+
+def test_portions_change_nothing(monkeypatch):
+    words, times = ["", "x" * 50, *different_words(300), "banana", "12"], np.arange(304) % 7
+    keys, grams = kneser.needed(words), pa.Table.from_batches(kneser.grams(words, times, "x"))
+    monkeypatch.setattr(kneser, "AT_ONCE", 40)
+    portions = list(kneser.portions(words))
+    assert len(portions) > 50 and [w for p in portions for w in words[p]] == words
+    assert kneser.needed(words).tolist() == keys.tolist()
+    assert pa.Table.from_batches(kneser.grams(words, times, "x")).equals(grams)
+    assert list(kneser.portions([])) == [] and not len(kneser.needed([])) and not list(kneser.grams([], times[:0], "x"))
+
+
+def test_blocks_of_bags_hold_few_words(monkeypatch):
+    """Many different words end a block; each text keeps its words, and each block what they look up."""
+
+    class Task:
+        @staticmethod
+        def get():
+            return type("Context", (), {"partitionId": lambda self: 0})()
+
+    monkeypatch.setattr(language, "TaskContext", Task)
+    monkeypatch.setattr(language, "SLICE", 100)
+    monkeypatch.setattr(language, "MOST", 40)
+    texts = [" ".join(different_words(200)[i : i + 6] + ["the"] * (i % 3)) for i in range(0, 190, 3)] + [None, ""]
+    n = len(texts)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array(range(n), pa.int64()), pa.array(["x"] * n), pa.array([False] * n), pa.array(texts, pa.string())], names=["row", "doc_id", "lang", "held_out", "text"])
+    blocks, got = {}, []
+    for bag in language._bags([batch]):
+        (r,) = bag.to_pylist()
+        names, keys = blocks.setdefault(r["block"], ([], []))
+        names += r["names"]
+        keys += r["keys"]
+        per = language._unpacked(r["per"], len(r["row"]))
+        step, times = (language._unpacked(r[x], per.sum()) for x in ("step", "times"))
+        for count, end in zip(per, np.cumsum(per)):
+            code = np.cumsum(step[end - count : end])
+            got.append(sorted(names[c] for c, t in zip(code, times[end - count : end]) for _ in range(t)))
+    assert got == [sorted((t or "").split()) for t in texts]
+    assert len(blocks) > 3
+    for names, keys in blocks.values():
+        assert len(names) == len(set(names)) <= 40 + 2 * 14
+        assert sorted(keys) == sorted(kneser.needed(names).view(np.int64).tolist())
