@@ -177,7 +177,7 @@ def estimated(found: DataFrame, order: int = ORDER, hashed: bool = True) -> tupl
             head = part.groupBy("class", F.expr(f"substring(s, 1, {n - 1})").alias("s")).agg(F.lit(0).cast("long").alias("c"), F.sum("c").alias("total"), F.count("*").alias("types"))
             rows = rows.union(head.select("class", "s", "c", "total", "types"))
         every = rows if every is None else every.union(rows)
-    numbers = spark.createDataFrame(list(number.items()), "class string, k int")
+    numbers = spark.createDataFrame(pa.table({"class": pa.array(classes, pa.string()), "k": pa.array(range(len(classes)), pa.int32())}))  # of an Arrow table no Python worker is started
     each = every.join(F.broadcast(numbers), "class").groupBy("s", "k").agg(*(F.sum(x).alias(x) for x in ("c", "total", "types")))
     if not hashed:
         return base, saved(each, "model")

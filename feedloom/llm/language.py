@@ -152,7 +152,8 @@ def identify(docs: DataFrame, deviations: float = DEVIATIONS, row: str | None =
             by[lang][0] = mean + deviations * max(dev, 0.02)
     # Between length classes with too few texts, the next shorter one that has enough (its spread is wider), else any.
     rows = [(lang, s, limit) for lang, sizes in by.items() for s in range(41) for limit in [sizes[max((x for x in sizes if x <= s), default=min(sizes))]]]
-    limits = spark.createDataFrame(rows, "lang_pred string, size int, most double")
+    kinds = {"lang_pred": pa.string(), "size": pa.int32(), "most": pa.float64()}
+    limits = spark.createDataFrame(pa.table({x: pa.array([r[i] for r in rows], kind) for i, (x, kind) in enumerate(kinds.items())}))  # no Python worker
     out = scored.withColumn("size", size).join(F.broadcast(limits), ["lang_pred", "size"], "left")
     rejected = (F.col("lang_pred") == UNKNOWN) | F.coalesce(F.col("entropy") > F.col("most"), F.lit(False))
     return out.select(*([F.col("row").alias(row)] if row else []), "doc_id", "held_out", "lang_pred", "score", "entropy", rejected.alias("rejected"))

@@ -18,7 +18,7 @@ END = 2
 #: Pieces of a randomised group on average; groups are packed apart, each by one task in bounded memory.
 GROUP = 4096
 #: Bytes of text that a worker holds as ids at once; larger blocks take more memory and no less time.
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from itertools import chain
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +15,9 @@ from feedloom.llm.common import listed, words
 _PLAIN = r"^[\t-\r -~À-ÿ]*$"
 #: How the file's pre-tokenizer cuts, for lower-cased plain words.
 _CUT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
-#: Words and parts of words that a worker remembers between blocks.
-REMEMBERED = 600_000
+#: Words and parts of words that a worker remembers as recent ones; as many older ones stay until these are full. A worker
+#: lives on beside later stages with what it remembers.
+REMEMBERED = 80_000
 
 
 def _bytes_as_letters() -> dict[int, str]:
@@ -35,25 +36,35 @@ class Pieces:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = _bytes_as_letters()
-        self.seen: dict[str, list[int]] = {}
-        self.whole: dict[str, list[int]] = {}
-
-    def _plain_words(self, names: list[str]) -> list[list[int]]:
-        seen, whole, cut, tokenize, letters = self.seen, self.whole, _CUT.findall, self.model.tokenize, self.letters
-        if len(seen) + len(whole) >= REMEMBERED:
-            seen.clear()
-            whole.clear()
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _remember(self, word: str, ids: bytes) -> bytes:
+        if len(self.recent) >= REMEMBERED:
+            self.recent, self.older = {}, self.recent
+        self.recent[word] = ids
+        return ids
+
+    def _plain_words(self, names: list[str]) -> list[bytes]:
+        """Ids of each word, four bytes each. A part of a word is cut as it would be as a word by itself."""
+        cut, tokenize, letters, remember = _CUT.findall, self.model.tokenize, self.letters, self._remember
+
+        def part_ids(part: str) -> bytes:
+            found = tokenize(part if part.isascii() else "".join([letters[b] for b in part.encode()]))
+            return pack(f"<{len(found)}I", *[t.id for t in found])
+
         out = []
         for word in names:
-            ids = whole.get(word)
+            ids = self.recent.get(word)
             if ids is None:
-                ids = []
-                for part in cut(word):
-                    own = seen.get(part)
-                    if own is None:
-                        seen[part] = own = [t.id for t in tokenize(part if part.isascii() else "".join([letters[b] for b in part.encode()]))]
-                    ids = ids + own if ids else own
-                whole[word] = ids
+                ids = self.older.get(word)
+                if ids is None:
+                    parts = cut(word)
+                    if parts == [word]:
+                        ids = part_ids(word)
+                    else:
+                        ids = b"".join([self.recent.get(x) or self.older.get(x) or remember(x, part_ids(x)) for x in parts])
+                remember(word, ids)
             out.append(ids)
         return out
 
@@ -69,13 +80,13 @@ class Pieces:
             some = text.take(pa.array(where))
             doc, code, names = words(pc.utf8_lower(some) if lower else some, lower=False)
             names = listed(names)
-            ids = self._plain_words(names) if lower else [e.ids for e in self.tokenizer.encode_batch(names, add_special_tokens=False)]
+            ids = self._plain_words(names) if lower else [pack(f"<{len(e.ids)}I", *e.ids) for e in self.tokenizer.encode_batch(names, add_special_tokens=False)]
             parts.append((where[doc], code, ids))
         n = np.zeros(len(text), np.int64)
         flats = []
         for doc, code, ids in parts:
-            size = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))
+            size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            flat = np.frombuffer(b"".join(ids), "<u4")
             at = np.cumsum(size) - size
             long = size[code]
             where = np.repeat(at[code] - (np.cumsum(long) - long), long) + np.arange(long.sum())

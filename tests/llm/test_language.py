@@ -170,3 +170,12 @@ def test_blocks_of_bags_hold_few_words(monkeypatch):
     for names, keys in blocks.values():
         assert len(names) == len(set(names)) <= 40 + 2 * 14
         assert sorted(keys) == sorted(kneser.needed(names).view(np.int64).tolist())
+
+
+def test_small_tables_start_no_python_workers(spark, monkeypatch):
+    made = []
+    real = type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **k: made.append(type(data).__name__) or real(self, data, *a, **k))
+    docs = real(spark, [(i, f"some words of number {i}", "en") for i in range(50)], "doc_id long, text string, lang string")
+    assert language.identify(docs).count() == 50
+    assert made and set(made) == {"Table"}

@@ -65,3 +65,15 @@ def test_pack_round_trip(spark, pieces):
 
 def test_pack_of_an_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_a_worker_remembers_few_words_and_no_lists(monkeypatch):
+    monkeypatch.setattr("feedloom.llm.pieces.REMEMBERED", 500)
+    own = Pieces(packing.vocabulary())
+    for k in range(0, 6000, 1000):
+        texts = [f"often w{i}x'{i % 7} q{i}é" for i in range(k, k + 1000)]
+        offsets, ids = own.encode(pa.array(texts))
+        for i in (0, 1, 500, 999):
+            assert ids[offsets[i] : offsets[i + 1]].tolist() == own.tokenizer.encode(texts[i], add_special_tokens=False).ids
+        assert len(own.recent) <= 500 and len(own.older) <= 500
+    assert own.recent and all(isinstance(x, bytes) for x in own.recent.values())
