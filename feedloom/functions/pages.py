@@ -22,15 +22,23 @@ _S, _I = T.StringType(), T.IntegerType()
 NODE = T.ArrayType(T.StructType().add("tag", _S).add("attributes", T.MapType(_S, _S)).add("begin", _I).add("end", _I).add("parent", _I).add("text", _S))
 
 
+#: Stands for an ampersand while a page is read as it is written; no text of the engine holds half of a surrogate pair.
+_HELD = "\udc26"
+
+
 class _Nodes(HTMLParser):
-    def __init__(self):
+    def __init__(self, decoded: bool = True):
         super().__init__(convert_charrefs=True)
+        self.decoded = decoded
         self.nodes: list[list] = []
         self.open: list[int] = []
         self.unseen = 0
 
     def _add(self, tag: str, attributes: dict, text: str | None) -> None:
         at = len(self.nodes)
+        if not self.decoded:
+            tag, text = tag.replace(_HELD, "&"), text and text.replace(_HELD, "&")
+            attributes = {k.replace(_HELD, "&"): v.replace(_HELD, "&") for k, v in attributes.items()}
         self.nodes.append([tag, attributes, at, at, self.open[-1] if self.open else -1, text])
 
     def handle_starttag(self, tag, attrs):
@@ -60,7 +68,7 @@ class _Nodes(HTMLParser):
                 pass
 
     def handle_data(self, data):
-        text = " ".join(data.split())
+        text = " ".join(data.split()) if self.decoded else data
         if text and not self.unseen:
             self._add("#text", {}, text)
 
@@ -71,9 +79,9 @@ class _Nodes(HTMLParser):
         return [tuple(n) for n in self.nodes]
 
 
-def nodes_of(html: str) -> list[tuple]:
-    p = _Nodes()
-    p.feed(html)
+def nodes_of(html: str, decoded: bool = True) -> list[tuple]:
+    p = _Nodes(decoded)
+    p.feed(html if decoded else html.replace("&", _HELD))
     return p.done()
 
 
@@ -82,10 +90,16 @@ def _tree(html: pd.Series) -> pd.Series:
     return html.map(nodes_of, na_action="ignore")
 
 
-def tree(html: Column) -> Column:
+@F.pandas_udf(NODE)
+def _tree_as_written(html: pd.Series) -> pd.Series:
+    return html.map(lambda x: nodes_of(x, decoded=False), na_action="ignore")
+
+
+def tree(html: Column, decoded: bool = True) -> Column:
     """The nodes of a page in their order; null for null. Ends without a start are left out, starts without an end reach
-    to the end of what encloses them; texts are in single spaces, references decoded, scripts and styles without any."""
-    return _tree(html)
+    to the end of what encloses them; texts are in single spaces, references decoded, scripts and styles without any.
+    decoded=False: texts and attributes as the page writes them, with their references and white space."""
+    return _tree(html) if decoded else _tree_as_written(html)
 
 
 _NAME = r"[A-Za-z_][\w-]*|\*"

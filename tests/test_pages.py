@@ -66,3 +66,10 @@ def test_intervals_nest(spark):
         assert [n[2] for n in nodes] == list(range(len(nodes)))
         for n in nodes:
             assert n[3] >= n[2] and (n[4] < 0 or nodes[n[4]][2] < n[2] <= n[3] <= nodes[n[4]][3])
+
+
+def test_texts_as_written(spark):
+    n = pages.tree(F.col("h"), decoded=False)
+    df = spark.createDataFrame([('<div class="a&amp;b" id="&quot;">x &amp; <b> &quot;y&amp</b></div><title>&lt;t</title>',), (None,)], "h string").withColumn("n", n)
+    r, none = df.select("n", pages.select_first(F.col("n"), "b").alias("b"), pages.select_first(F.col("n"), "title").alias("t")).collect()
+    assert (r.b, r.t, r.n[0].attributes) == (" &quot;y&amp", "&lt;t", {"class": "a&amp;b", "id": "&quot;"}) and none.n is None

@@ -38,6 +38,30 @@ def test_query_equals_its_sql(spark, duck, name):
     assert sorted(names) == sorted(df.columns) and got == want
 
 
+def _rows_and_sql(spark, tmp_path, name, table, rows, schema):
+    """The rows of a query over one small table, and what its SQL gives there."""
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{table}.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view {table} as select * from '{tmp_path}/{table}.parquet/*.parquet'")
+    want = con.sql(registered.ORACLES[name])
+    return sorted(map(tuple, registered.QUERIES[name](spark, str(tmp_path)).select(*want.columns).collect()), key=str), sorted(want.fetchall(), key=str)
+
+
+PAGE = "<html><head><style>p{{}}</style><script>var t=\"</p>\";</script></head><body><nav><ul>{}</ul></nav><article><h1>{}</h1><p>x</p></article><div class=\"ad\">{}</div></body></html>"
+
+
+def test_page_selected_decodes_what_its_sql_does(spark, tmp_path):
+    link = '<li><a href="/x">{}</a></li>'
+    rows = [
+        (1, PAGE.format(link.format("a"), "token = &quot;5a&quot;", "&copy; ad")),
+        (2, PAGE.format(link.format("a") + link.format(" a ") + link.format("") + link.format("b&amp;c") + link.format("b&c"), "the&amp;&amp;&amp", " a&nbsp;&nbsp;b\n c ")),
+        (3, PAGE.format("", "a &amp;amp; b &amp;nbsp; c&#38; &", "no\u00a0break")),
+        (4, PAGE.format(link.format("&nbsp;") + link.format("d &nbsp; e"), " ", "")),
+    ]
+    got, want = _rows_and_sql(spark, tmp_path, "page_selected", "pages", rows, "page_id long, html string")
+    assert got == want and got[0][1] == "token = &quot;5a&quot;" and got[1][1] == "the&&&amp"
+
+
 def test_registry_listing_rounds_halves_to_even(spark, tmp_path):
     rows = [(i, f"S{i}", 1, x) for i, x in enumerate((-12.5, -13.5, -0.5, -0.3, -1.49, 0.0, 7.5))]
     spark.createDataFrame(rows, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double").coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
