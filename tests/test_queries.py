@@ -62,6 +62,16 @@ def test_page_selected_decodes_what_its_sql_does(spark, tmp_path):
     assert got == want and got[0][1] == "token = &quot;5a&quot;" and got[1][1] == "the&&&amp"
 
 
+LINES = ["Der berßer, mit schtepf,&&& äß", "Ann Lee,  University of X", "Keit,MIT!! ER", "Bo mit Cy, Di", " a , \u00a0MIT ", "Ann Lee, ETH\nmore"]
+DOCUMENTS = [(len(LINES) * k + i, x, lang, f"src{k}", len(x) * 20) for k, lang in enumerate(["de", "en", "fr"]) for i, x in enumerate(LINES)]
+DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_listing_items_names_speakers_as_its_sql_does(spark, tmp_path):
+    got, want = _rows_and_sql(spark, tmp_path, "listing_items", "documents", DOCUMENTS, DOCUMENT)
+    assert got == want and {"Ann Lee, University of X", "Keit,MIT!! ER", "a , MIT"} <= {r[6] for r in got}
+
+
 def test_registry_listing_rounds_halves_to_even(spark, tmp_path):
     rows = [(i, f"S{i}", 1, x) for i, x in enumerate((-12.5, -13.5, -0.5, -0.3, -1.49, 0.0, 7.5))]
     spark.createDataFrame(rows, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double").coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
