@@ -72,6 +72,11 @@ def test_listing_items_names_speakers_as_its_sql_does(spark, tmp_path):
     assert got == want and {"Ann Lee, University of X", "Keit,MIT!! ER", "a , MIT"} <= {r[6] for r in got}
 
 
+def test_feed_transform_gives_speakers_as_its_sql_does(spark, tmp_path):
+    got, want = _rows_and_sql(spark, tmp_path, "feed_transform", "documents", DOCUMENTS, DOCUMENT)
+    assert got == want and {"Ann Lee, University of X", "Keit,MIT!! ER", "a , MIT"} <= {r[4] for r in got}
+
+
 def test_registry_listing_rounds_halves_to_even(spark, tmp_path):
     rows = [(i, f"S{i}", 1, x) for i, x in enumerate((-12.5, -13.5, -0.5, -0.3, -1.49, 0.0, 7.5))]
     spark.createDataFrame(rows, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double").coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
