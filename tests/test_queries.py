@@ -83,6 +83,12 @@ def test_entities_decodes_what_its_sql_does(spark, tmp_path):
     assert got == want and got[0][1] == "<title>token = &quot</title>"
 
 
+def test_run_counts_placeholders_as_its_sql_does(spark, tmp_path):
+    more = [(100 + i, x, lang, f"src{i % 4}", n) for i, (x, lang, n) in enumerate((x, lang, n) for x in ("", " \n second", "\u00a0\nmore", "TBA", "To be announced\n.", "Aa bb n/a") for lang in ("de", "es", None) for n in (9, 900))]
+    got, want = _rows_and_sql(spark, tmp_path, "run_counts", "documents", DOCUMENTS + more, DOCUMENT)
+    assert got == want
+
+
 def test_registry_listing_rounds_halves_to_even(spark, tmp_path):
     rows = [(i, f"S{i}", 1, x) for i, x in enumerate((-12.5, -13.5, -0.5, -0.3, -1.49, 0.0, 7.5))]
     spark.createDataFrame(rows, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double").coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
